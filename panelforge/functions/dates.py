@@ -30,11 +30,14 @@ def month_index(date: Column | str) -> Column:
 
 
 def parse_yyyymm(value: Column) -> Column:
-    return F.to_date(F.concat(value.cast("string"), F.lit("01")), "yyyyMMdd")
+    """First day of the month in a yyyymm number or text, by arithmetic rather than text formats."""
+    number = value.cast("int")
+    return F.make_date(F.floor(number / 100).cast("int"), number % 100, F.lit(1))
 
 
 def parse_yyyymmdd(value: Column) -> Column:
-    return F.to_date(value.cast("string"), "yyyyMMdd")
+    number = value.cast("int")
+    return F.make_date(F.floor(number / 10_000).cast("int"), F.floor(number / 100).cast("int") % 100, number % 100)
 
 
 def period_grid(spark, start: str, end: str, months: int, name: str = "date") -> DataFrame:

@@ -92,7 +92,7 @@ def overlapping_links(t):
 # -- accounting --------------------------------------------------------------------------------------------------
 
 
-@query("book_equity", "SELECT gvkey, datadate, be FROM t_equity", "be")
+@query("book_equity", "SELECT gvkey, datadate, be FROM t_equity", "be", 9)
 def book_equity(t):
     return accounting.with_equity(accounting.standard_format(t.funda)).select("gvkey", "datadate", "be")
 
@@ -113,7 +113,7 @@ def asset_growth(t):
     return accounting.asset_growth(yearly).select("gvkey", "year", "at", "at_lag", "inv")
 
 
-@query("accounting_panel", "SELECT gvkey, datadate, year, be, op, at_lag, inv FROM t_accounts", "be op at_lag inv")
+@query("accounting_panel", "SELECT gvkey, datadate, year, be, op, at_lag, inv FROM t_accounts", "be op at_lag inv", 9)
 def accounting_panel(t):
     return t.accounts.select("gvkey", "datadate", "year", "be", "op", "at_lag", "inv")
 

@@ -16,6 +16,7 @@ from panelforge.plans import accounting, betas, value_sorts
 from panelforge.plans.daily_panel import daily_panel
 from panelforge.plans.monthly_panel import link_entities, monthly_panel
 from panelforge.sources import factors as factor_tables
+from panelforge.sources.schemas import DRIVER
 from panelforge.storage import materialize
 
 START, END = "1995-01-01", "2001-12-31"
@@ -32,7 +33,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(DRIVER[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- aggregates of lineitem ------------------------------------------------------------------------------
 
@@ -140,7 +141,7 @@ class Tables:
             F.expr(self._spread("permno % 3 = 0")).alias("HML"),
             F.expr(self._spread("permno % 5 = 0")).alias("RMW"),
             F.expr(self._spread("permno % 7 = 0")).alias("CMA"),
-        ).selectExpr("date_format(month, 'yyyyMM') AS date", "RF", "`Mkt-RF`", "SMB", "HML", "RMW", "CMA")
+        ).selectExpr("CAST(year(month) * 100 + month(month) AS STRING) AS date", "RF", "`Mkt-RF`", "SMB", "HML", "RMW", "CMA")
 
     @cached_property
     def factors_daily_raw(self) -> DataFrame:
@@ -149,7 +150,7 @@ class Tables:
             F.expr("round(avg(r) * 100, 6)").alias("Mkt-RF"),
             F.expr(self._spread("permno % 2 = 0")).alias("SMB"),
             F.expr(self._spread("permno % 3 = 0")).alias("HML"),
-        ).selectExpr("date_format(date, 'yyyyMMdd') AS date", "RF", "`Mkt-RF`", "SMB", "HML")
+        ).selectExpr("CAST(year(date) * 10000 + month(date) * 100 + day(date) AS STRING) AS date", "RF", "`Mkt-RF`", "SMB", "HML")
 
     @cached_property
     def q_factors_raw(self) -> DataFrame:
@@ -163,7 +164,7 @@ class Tables:
     @cached_property
     def industries_raw(self) -> DataFrame:
         sums = [F.expr(f"round(avg(CASE WHEN permno % 10 = {i} THEN r END) * 100, 6)").alias(c) for i, c in enumerate(INDUSTRY_COLUMNS)]
-        return self.monthly_trade.groupBy("month").agg(*sums).withColumn("date", F.date_format("month", "yyyyMM")).drop("month")
+        return self.monthly_trade.groupBy("month").agg(*sums).withColumn("date", F.expr("CAST(year(month) * 100 + month(month) AS STRING)")).drop("month")
 
     @cached_property
     def macro_raw(self) -> DataFrame:
@@ -172,7 +173,7 @@ class Tables:
             F.max("top").alias("top"), F.count(F.lit(1)).alias("k"),
         )
         return sums.selectExpr(
-            "date_format(month, 'yyyyMM') AS yyyymm", "vol / 1000 AS Index", "disc / 1000 AS D12", "disc / 500 AS E12",
+            "CAST(year(month) * 100 + month(month) AS STRING) AS yyyymm", "vol / 1000 AS Index", "disc / 1000 AS D12", "disc / 500 AS E12",
             "CAST(mi % 5 AS DOUBLE) * 0.0002D + 0.001D AS Rfree",
             "CASE WHEN mi % 29 = 0 THEN 'n/a' ELSE CAST(k AS STRING) END AS svar",
             "qty / vol AS `b/m`", "top / vol AS ntis", "CAST(mi % 7 AS DOUBLE) / 100 AS tbl", "CAST(mi % 9 AS DOUBLE) / 100 AS lty",
