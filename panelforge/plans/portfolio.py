@@ -49,7 +49,7 @@ def two_funds(returns: DataFrame) -> DataFrame:
     mean = returns.groupBy(F.col("symbol").alias("i")).agg(F.avg("ret").alias("x"))
     mean = mean.select("i", F.lit(None).cast(key).alias("j"), "x")
     schema = f"symbol {key}, mvp double, efficient double, mu double, cov_mvp double, cov_efficient double"
-    return cov.unionByName(mean).groupBy(F.lit(0)).applyInPandas(_two_funds, schema)
+    return cov.unionByName(mean).withColumn("universe", F.lit(0)).groupBy("universe").applyInPandas(_two_funds, schema)
 
 
 def portfolio_weights(funds: DataFrame) -> DataFrame:

@@ -152,7 +152,7 @@ SUMMARY = """avg(value) AS mean, stddev_samp(value) AS sd, min(value) AS min, qu
     "bond_summary",
     f"""SELECT measure, {SUMMARY} FROM (SELECT (maturity - offering_date) / 365 AS maturity, coupon, offering_amt / 1000 AS offering_amt FROM t_bonds)
         UNPIVOT (value FOR measure IN (maturity, coupon, offering_amt)) GROUP BY measure""",
-    "mean sd min q05 q50 q95 max",
+    "mean sd min q05 q50 q95 max", 8,
 )
 def bond_summary(t):
     return bonds.bond_summary(bonds.bond_universe(t.issues, t.issuers))
@@ -162,7 +162,7 @@ def bond_summary(t):
     "trade_day_summary",
     f"""SELECT measure, {SUMMARY} FROM (SELECT trd_exctn_dt, sum(entrd_vol_qt * rptd_pr / 100) / 1e6 AS trade_size, CAST(count(*) AS DOUBLE) AS trade_number
           FROM t_trades GROUP BY trd_exctn_dt) UNPIVOT (value FOR measure IN (trade_size, trade_number)) GROUP BY measure""",
-    "mean sd min q05 q50 q95 max",
+    "mean sd min q05 q50 q95 max", 8,
 )
 def trade_day_summary(t):
     return bonds.trade_day_summary(t.trades)

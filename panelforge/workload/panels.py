@@ -12,7 +12,7 @@ from panelforge.sources import factors as factor_tables
 from panelforge.workload.registry import query
 from panelforge.workload.tables import AS_OF, END, INDUSTRY_COLUMNS, START
 
-PANEL_DOUBLES = "ret shrout altprc mktcap mktcap_lag ret_excess"
+PANEL_DOUBLES = "ret ret_excess"
 
 
 @query("valid_names", "SELECT permno, date, month, ret, exchcd, siccd FROM t_valid", "ret")
@@ -189,7 +189,7 @@ def exchange_share(t):
               quantile_cont(mktcap, 0.5) AS q50, quantile_cont(mktcap, 0.95) AS q95, max(mktcap) AS max, count(mktcap) AS n
        FROM (SELECT unnest([exchange, 'Overall']) AS exchange, mktcap FROM t_panel WHERE month = (SELECT max(month) FROM t_panel))
        GROUP BY exchange""",
-    "mean sd min q05 q50 q95 max",
+    "mean sd min q05 q50 q95 max", 9,
 )
 def size_summary(t):
     return reports.size_summary(t.stored_panel)

@@ -290,7 +290,7 @@ VALUE_WEIGHTED, EQUAL_WEIGHTED = "sum(ret_excess * mktcap_lag) / sum(mktcap_lag)
     "breakpoints",
     f"""SELECT month, unnest(range(0, 11))::INTEGER AS k, unnest(breaks) AS breakpoint
         FROM ({breaks_sql("SELECT * FROM t_panel", "mktcap_lag", 10, "month", "'NYSE'")})""",
-    "breakpoint",
+    "breakpoint", 9,
 )
 def breakpoints(t):
     arrays = size_sorts.breakpoints(t.stored_panel, "mktcap_lag", 10, ["month"], ("NYSE",))
@@ -299,14 +299,14 @@ def breakpoints(t):
 
 @query(
     "breakpoint_rows",
-    f"""SELECT month, CAST(k AS INTEGER) AS portfolio, CASE WHEN k = 1 THEN '-inf'::DOUBLE ELSE round(breaks[k], 6) END AS port_min,
-          CASE WHEN k = 5 THEN 'inf'::DOUBLE ELSE round(breaks[k + 1], 6) END AS port_max
+    f"""SELECT month, CAST(k AS INTEGER) AS portfolio, CASE WHEN k = 1 THEN '-inf'::DOUBLE ELSE round(breaks[k], 9) END AS port_min,
+          CASE WHEN k = 5 THEN 'inf'::DOUBLE ELSE round(breaks[k + 1], 9) END AS port_max
         FROM (SELECT *, unnest(range(1, 6)) AS k FROM ({breaks_sql("SELECT * FROM t_panel", "mktcap_lag", 5, "month", ALL3)}))""",
 )
 def breakpoint_rows(t):
     rows = size_sorts.breakpoint_rows(size_sorts.breakpoints(t.stored_panel, "mktcap_lag", 5, ["month"], size_sorts.ALL_EXCHANGES), ["month"])
     infinite = [float("-inf"), float("inf")]
-    return rows.withColumns({c: F.when(F.col(c).isin(infinite), F.col(c)).otherwise(F.round(c, 6)) for c in ("port_min", "port_max")})
+    return rows.withColumns({c: F.when(F.col(c).isin(infinite), F.col(c)).otherwise(F.round(c, 9)) for c in ("port_min", "port_max")})
 
 
 @query("assign_portfolio", f"SELECT permno, month, portfolio FROM ({SIZE_ASSIGNED})")
