@@ -38,3 +38,25 @@ def label_extremes(df: DataFrame, bucket: str, by: Sequence[str], name: str = "l
     window = Window.partitionBy(*by)
     lowest, highest = F.min(bucket).over(window), F.max(bucket).over(window)
     return df.withColumn(name, F.when(F.col(bucket) == lowest, low).when(F.col(bucket) == highest, high).otherwise("other"))
+
+
+def rolling_sums(df: DataFrame, terms: dict[str, Column], entity: str, order: str, before: tuple, until: tuple) -> DataFrame:
+    """Sums of ``terms`` over a moving frame as differences of running totals.
+
+    ``until`` and ``before`` are ``("rows" | "range", offset)``: the frame ends at offset ``until`` and starts right
+    after offset ``before``.  Running totals cost one step per row, where a moving frame would add up its whole width
+    again for each row.
+    """
+    ordered = Window.partitionBy(entity).orderBy(order)
+
+    def upto(bound: tuple):
+        kind, offset = bound
+        build = ordered.rowsBetween if kind == "rows" else ordered.rangeBetween
+        return build(Window.unboundedPreceding, offset)
+
+    totals = F.struct(*[F.coalesce(F.sum(t).over(ordered.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)).alias(k) for k, t in terms.items()])
+    out = df.withColumn("__total", totals)
+    out = out.withColumns({"__end": F.last("__total").over(upto(until)), "__start": F.last("__total").over(upto(before))})
+    zero = F.lit(0.0)
+    sums = {k: F.coalesce(F.col(f"__end.{k}"), zero) - F.coalesce(F.col(f"__start.{k}"), zero) for k in terms}
+    return out.withColumns(sums).drop("__total", "__end", "__start")

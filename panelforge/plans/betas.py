@@ -12,19 +12,30 @@ from panelforge.operators.aggregates import keep_min_rows, share_known, summariz
 from panelforge.operators.joins import period_lookup
 from panelforge.operators.quantiles import exact_quantiles, ntile, quantile_rows
 from panelforge.operators.reshape import to_long
-from panelforge.operators.windows import months_window
+from panelforge.operators.windows import rolling_sums
 
 Y, X = "ret_excess", "mkt_excess"
 BETAS = ("beta_monthly", "beta_daily")
+NOISE = 1e-10
 
 
 def with_market(panel: DataFrame, factors: DataFrame, period: str) -> DataFrame:
     return panel.join(period_lookup(factors.select(period, X), period), period, "left")
 
 
-def _slope(window) -> Column:
-    """Slope where the regressor varies inside the frame."""
-    return F.when(F.regr_sxx(Y, X).over(window) > 0, F.regr_slope(Y, X).over(window))
+def _pair_terms() -> dict[str, Column]:
+    """Summands of the regression of Y on X over rows where both are known."""
+    pair = F.col(Y).isNotNull() & F.col(X).isNotNull()
+    terms = {"n": F.lit(1.0), "sx": F.col(X), "sy": F.col(Y), "sxx": F.col(X) * F.col(X), "sxy": F.col(X) * F.col(Y)}
+    return {k: F.when(pair, t) for k, t in terms.items()}
+
+
+def _slope() -> Column:
+    """Slope from the sums, where the regressor varies beyond rounding noise."""
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    sxx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    sxy = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    return F.when(sxx > F.col("sxx") * NOISE, sxy / F.nullif(sxx, F.lit(0.0)))
 
 
 def beta_monthly(
@@ -39,15 +50,15 @@ def beta_monthly(
     """Rolling slope of excess returns on the market over ``months`` calendar months (or ``rows`` preceding rows)."""
     data = keep_min_rows(panel, "permno", min_history) if min_history else panel
     data = with_market(data.select("permno", "month", Y), factors, "month").withColumn("__mi", month_index("month"))
-    if rows is None:
-        window = months_window("permno", "__mi", months)
-    else:
-        window = Window.partitionBy("permno").orderBy("__mi").rowsBetween(-rows, 0)
-    out = data.withColumns({"beta_monthly": _slope(window), "n_obs": F.regr_count(Y, X).over(window)})
+    before = ("range", -months) if rows is None else ("rows", -(rows + 1))
+    out = rolling_sums(data, _pair_terms(), "permno", "__mi", before, ("rows", 0))
     if require_consecutive:
-        span = months_apart(F.min("month").over(window), F.max("month").over(window))
-        out = out.withColumn("__gap", span + 1 - F.count("month").over(window)).where("__gap = 0")
-    return out.where(F.col("n_obs") >= min_obs).select("permno", "month", "beta_monthly", "n_obs").dropna(subset=["beta_monthly"])
+        frame = Window.partitionBy("permno").orderBy("__mi")
+        frame = frame.rangeBetween(-(months - 1), 0) if rows is None else frame.rowsBetween(-rows, 0)
+        span = months_apart(F.min("month").over(frame), F.max("month").over(frame))
+        out = out.withColumn("__gap", span + 1 - F.count("month").over(frame)).where("__gap = 0")
+    out = out.where(F.col("n") >= min_obs)
+    return out.select("permno", "month", _slope().alias("beta_monthly"), F.col("n").cast("long").alias("n_obs")).dropna(subset=["beta_monthly"])
 
 
 def beta_daily(
@@ -59,30 +70,19 @@ def beta_daily(
     """
     data = keep_min_rows(daily, "permno", min_history) if min_history else daily
     data = with_market(data.select("permno", "month", "date", Y), factors, "date")
-    pair = F.col(Y).isNotNull() & F.col(X).isNotNull()
-    terms = {"n": F.lit(1.0), "sx": F.col(X), "sy": F.col(Y), "sxx": F.col(X) * F.col(X), "sxy": F.col(X) * F.col(Y)}
-    monthly = data.groupBy("permno", "month").agg(*[F.sum(F.when(pair, t)).alias(k) for k, t in terms.items()])
-    window = months_window("permno", "__mi", months)
-    rolled = monthly.withColumn("__mi", month_index("month")).select(
-        "permno", "month", *[F.coalesce(F.sum(k).over(window), F.lit(0.0)).alias(k) for k in terms]
-    )
-    n = F.col("n")
-    sxx = F.col("sxx") - F.col("sx") * F.col("sx") / F.nullif(n, F.lit(0.0))
-    sxy = F.col("sxy") - F.col("sx") * F.col("sy") / F.nullif(n, F.lit(0.0))
-    return (
-        rolled.withColumn("beta_daily", F.when(sxx > 0, sxy / F.nullif(sxx, F.lit(0.0))))
-        .where(n >= min_obs)
-        .select("permno", "month", "beta_daily", n.cast("long").alias("n_obs"))
-        .dropna(subset=["beta_daily"])
-    )
+    terms = _pair_terms()
+    monthly = data.groupBy("permno", "month").agg(*[F.sum(t).alias(k) for k, t in terms.items()])
+    monthly = monthly.withColumn("__mi", month_index("month"))
+    out = rolling_sums(monthly, {k: F.col(k) for k in terms}, "permno", "__mi", ("range", -months), ("rows", 0))
+    out = out.where(F.col("n") >= min_obs)
+    return out.select("permno", "month", _slope().alias("beta_daily"), F.col("n").cast("long").alias("n_obs")).dropna(subset=["beta_daily"])
 
 
 def beta_trailing_days(daily: DataFrame, factors: DataFrame, days: int = 90, min_obs: int = 50) -> DataFrame:
     """Slope over the ``days`` rows before the current one."""
     data = with_market(daily.select("permno", "date", Y), factors, "date")
-    window = Window.partitionBy("permno").orderBy("date").rowsBetween(-days, -1)
-    out = data.withColumns({"beta": _slope(window), "n_obs": F.regr_count(Y, X).over(window)})
-    return out.where(F.col("n_obs") >= min_obs).select("permno", "date", "beta").dropna(subset=["beta"])
+    out = rolling_sums(data, _pair_terms(), "permno", "date", ("rows", -(days + 1)), ("rows", -1))
+    return out.where(F.col("n") >= min_obs).select("permno", "date", _slope().alias("beta")).dropna(subset=["beta"])
 
 
 def beta_table(monthly: DataFrame, daily: DataFrame) -> DataFrame:

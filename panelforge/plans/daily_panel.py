@@ -6,19 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.dates import month_of
-from panelforge.operators.joins import join_add_missing
 from panelforge.plans.monthly_panel import add_excess_return
 
 
 def daily_panel(returns: DataFrame, delistings: DataFrame, factors: DataFrame, end_date: str) -> DataFrame:
-    """Known daily returns; the delisting return replaces or adds the delisting day, later days are dropped."""
+    """Known daily returns; the delisting return replaces or adds the delisting day, later days are dropped.
+
+    One lookup of the delisting record per security serves replacement and cut-off.  The days to add are found by
+    reducing the returns to delisting days first, so the daily table itself is never shuffled for them.
+    """
     known = delistings.dropna(subset=["permno", "dlstdt", "dlret"])
     exits = known.groupBy("permno").agg(F.max_by(F.struct("dlstdt", "dlret"), "dlstdt").alias("d")).select("permno", "d.*")
     daily = returns.select("permno", "date", "ret").dropna()
-    joined = join_add_missing(daily, exits.select("permno", F.col("dlstdt").alias("date"), "dlret"), ["permno", "date"])
-    joined = joined.withColumn("ret", F.coalesce("dlret", "ret")).drop("dlret")
-    cut = joined.join(exits.select("permno", "dlstdt"), "permno", "left")
-    cut = cut.where(F.col("date") <= F.coalesce("dlstdt", F.lit(end_date).cast("date"))).drop("dlstdt")
-    return add_excess_return(cut.withColumn("month", month_of("date")), factors, "date").select(
+    exit_days = exits.select("permno", F.col("dlstdt").alias("date"))
+    present = daily.select("permno", "date").join(exit_days, ["permno", "date"], "left_semi")
+    added = exits.select("permno", F.col("dlstdt").alias("date"), F.col("dlret").alias("ret")).join(present, ["permno", "date"], "left_anti")
+
+    looked_up = daily.join(exits, "permno", "left")
+    replaced = F.when(F.col("date") == F.col("dlstdt"), F.col("dlret")).otherwise(F.col("ret"))
+    kept = looked_up.where(F.col("date") <= F.coalesce("dlstdt", F.lit(end_date).cast("date")))
+    full = kept.select("permno", "date", replaced.alias("ret")).unionByName(added)
+    return add_excess_return(full.withColumn("month", month_of("date")), factors, "date").select(
         "permno", "date", "month", "ret", "ret_excess"
     )

@@ -87,16 +87,18 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
         .distinct(),
         "corrections",
     )
-    originals = edges.select(*group, F.col("original").alias("key")).distinct()
+    originals = materialize(edges.select(*group, F.col("original").alias("key")).distinct(), "originals")
+    onward = originals.withColumnRenamed("key", "replacement")
+    passing = materialize(edges.join(onward, [*group, "replacement"], "left_semi"), "passing")
     present = kept.select(*group, F.col("msg_seq_nb").alias("key"))
     level = 0
     frontier = materialize(originals.join(present.distinct(), [*group, "key"], "left_semi").withColumn("level", F.lit(level)), "level")
     levels = frontier
     while not frontier.isEmpty():
         level += 1
-        reached = edges.join(frontier.withColumnRenamed("key", "original"), [*group, "original"], "left_semi")
+        reached = passing.join(frontier.withColumnRenamed("key", "original"), [*group, "original"], "left_semi")
         reached = reached.select(*group, F.col("replacement").alias("key")).distinct()
-        fresh = reached.join(originals, [*group, "key"], "left_semi").join(levels, [*group, "key"], "left_anti")
+        fresh = reached.join(levels, [*group, "key"], "left_anti")
         frontier = materialize(fresh.withColumn("level", F.lit(level)), "level")
         levels = levels.unionByName(frontier)
     levels = materialize(levels, "levels")

@@ -12,8 +12,6 @@ from panelforge.sources import factors as factor_tables
 from panelforge.workload.registry import query
 from panelforge.workload.tables import AS_OF, END, INDUSTRY_COLUMNS, START
 
-PANEL_DOUBLES = "ret ret_excess"
-
 
 @query("valid_names", "SELECT permno, date, month, ret, exchcd, siccd FROM t_valid", "ret")
 def valid_names(t):
@@ -64,12 +62,12 @@ def excess_return(t):
     return mp.add_excess_return(panel, t.ff3, "month", "ret_adj").select("permno", "month", "ret_adj", "ret_excess")
 
 
-@query("build_monthly_panel", "SELECT * FROM t_panel", PANEL_DOUBLES)
+@query("build_monthly_panel", "SELECT * FROM t_panel")
 def build_monthly_panel(t):
     return t.panel
 
 
-@query("build_daily_panel", "SELECT * FROM t_daily", "ret ret_excess")
+@query("build_daily_panel", "SELECT * FROM t_daily")
 def build_daily_panel(t):
     return t.daily
 
@@ -170,7 +168,7 @@ def book_equity_coverage(t):
     "value",
 )
 def size_concentration(t):
-    return reports.size_concentration(t.stored_panel)
+    return reports.size_concentration(t.stored_panel("month", "mktcap"))
 
 
 @query(
@@ -192,7 +190,7 @@ def exchange_share(t):
     "mean sd min q05 q50 q95 max", 9,
 )
 def size_summary(t):
-    return reports.size_summary(t.stored_panel)
+    return reports.size_summary(t.stored_panel("month", "exchange", "mktcap"))
 
 
 # -- factor and macro ingestion ------------------------------------------------------------------------------------

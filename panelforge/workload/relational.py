@@ -218,7 +218,7 @@ def case_two_way(t):
     f"SELECT permno, month, portfolio FROM ({assigned_sql('SELECT *, abs(altprc) AS price FROM t_panel', 'price', 3, 'month', chr(39) + 'NYSE' + chr(39), 'portfolio')})",
 )
 def column_argument(t):
-    priced = t.stored_panel.withColumn("price", F.abs("altprc"))
+    priced = t.stored_panel("permno", "month", "exchange", "altprc").withColumn("price", F.abs("altprc"))
     return size_sorts.assign_portfolio(priced, "price", 3, ["month"], ("NYSE",)).select("permno", "month", "portfolio")
 
 
@@ -310,7 +310,7 @@ def join_validity(t):
 
 @query("join_interval_bucket", f"SELECT permno, month, bucket FROM ({assigned_sql('SELECT * FROM t_panel', 'mktcap', 4, 'month, industry', chr(39) + 'NYSE' + chr(39) + ', ' + chr(39) + 'AMEX' + chr(39), 'bucket')})")
 def join_interval_bucket(t):
-    out = size_sorts.assign_portfolio(t.stored_panel, "mktcap", 4, ["month", "industry"], ("NYSE", "AMEX"), "bucket")
+    out = size_sorts.assign_portfolio(t.stored_panel("permno", "month", "exchange", "industry", "mktcap"), "mktcap", 4, ["month", "industry"], ("NYSE", "AMEX"), "bucket")
     return out.select("permno", "month", "bucket")
 
 
@@ -515,7 +515,7 @@ def agg_extreme_diff(t):
     "SELECT month, CAST(d AS INTEGER) AS d, min(mktcap) AS floor FROM (SELECT month, mktcap, ntile(4) OVER (PARTITION BY month ORDER BY mktcap, permno) AS d FROM t_panel) GROUP BY 1, 2",
 )
 def agg_group_floor(t):
-    ranked = quantiles.ntile(t.stored_panel.select("permno", "month", "mktcap"), "mktcap", 4, ["month"], "permno", "d")
+    ranked = quantiles.ntile(t.stored_panel("permno", "month", "mktcap"), "mktcap", 4, ["month"], "permno", "d")
     return ranked.groupBy("month", "d").agg(F.min("mktcap").alias("floor"))
 
 
@@ -564,7 +564,7 @@ def win_share(t):
 
 @query("win_ntile", "SELECT permno, month, CAST(ntile(10) OVER (PARTITION BY month ORDER BY mktcap, permno) AS INTEGER) AS decile FROM t_panel")
 def win_ntile(t):
-    return quantiles.ntile(t.stored_panel.select("permno", "month", "mktcap"), "mktcap", 10, ["month"], "permno", "decile").drop("mktcap")
+    return quantiles.ntile(t.stored_panel("permno", "month", "mktcap"), "mktcap", 10, ["month"], "permno", "decile").drop("mktcap")
 
 
 @query(
@@ -640,7 +640,7 @@ def win_fill_down(t):
     "low high", 9,
 )
 def win_unnest_lag(t):
-    arrays = size_sorts.breakpoints(t.stored_panel, "mktcap", 4, ["month"], ("NYSE",))
+    arrays = size_sorts.breakpoints(t.stored_panel("month", "exchange", "mktcap"), "mktcap", 4, ["month"], ("NYSE",))
     rows = arrays.select("month", F.posexplode("breaks").alias("k", "high"))
     return rows.withColumn("low", windows.lag_row("high", ["month"], "k")).where("k > 0").select("month", "k", "low", "high")
 
@@ -712,7 +712,7 @@ def unnest_parallel(t):
     "breakpoint", 9,
 )
 def row_per_quantile(t):
-    arrays = quantiles.exact_quantiles(t.stored_panel, "mktcap_lag", buckets.even_probabilities(5), ["month"], "breaks")
+    arrays = quantiles.exact_quantiles(t.stored_panel("month", "mktcap_lag"), "mktcap_lag", buckets.even_probabilities(5), ["month"], "breaks")
     return arrays.select("month", F.posexplode("breaks").alias("k", "breakpoint"))
 
 

@@ -14,6 +14,7 @@ EXAMPLES = [(1, "Alpha"), (3, "Beta"), (5, "Gamma"), (7, "Delta")]
 EXAMPLES_SQL = "(VALUES (1, 'Alpha'), (3, 'Beta'), (5, 'Gamma'), (7, 'Delta')) e(permno, company)"
 COMPARISON_START = "1999-01-01"
 SPLIT = "1998-07-01"
+SORT_COLUMNS = ("month", "exchange", "ret", "ret_excess", "mktcap_lag")
 
 
 def examples(t):
@@ -163,7 +164,7 @@ SUMMARY = """avg(value) AS mean, stddev_samp(value) AS sd, min(value) AS min, qu
     "mean sd min q05 q50 q95 max",
 )
 def beta_summary(t):
-    return betas.beta_summary(t.stored_panel, t.beta)
+    return betas.beta_summary(t.stored_panel("permno", "month"), t.beta)
 
 
 @query("agg_corr", "SELECT corr(beta_monthly, beta_daily) AS corr FROM t_beta", "corr")
@@ -293,7 +294,7 @@ VALUE_WEIGHTED, EQUAL_WEIGHTED = "sum(ret_excess * mktcap_lag) / sum(mktcap_lag)
     "breakpoint", 9,
 )
 def breakpoints(t):
-    arrays = size_sorts.breakpoints(t.stored_panel, "mktcap_lag", 10, ["month"], ("NYSE",))
+    arrays = size_sorts.breakpoints(t.stored_panel("month", "exchange", "mktcap_lag"), "mktcap_lag", 10, ["month"], ("NYSE",))
     return arrays.select("month", F.posexplode("breaks").alias("k", "breakpoint"))
 
 
@@ -304,14 +305,14 @@ def breakpoints(t):
         FROM (SELECT *, unnest(range(1, 6)) AS k FROM ({breaks_sql("SELECT * FROM t_panel", "mktcap_lag", 5, "month", ALL3)}))""",
 )
 def breakpoint_rows(t):
-    rows = size_sorts.breakpoint_rows(size_sorts.breakpoints(t.stored_panel, "mktcap_lag", 5, ["month"], size_sorts.ALL_EXCHANGES), ["month"])
+    rows = size_sorts.breakpoint_rows(size_sorts.breakpoints(t.stored_panel("month", "exchange", "mktcap_lag"), "mktcap_lag", 5, ["month"], size_sorts.ALL_EXCHANGES), ["month"])
     infinite = [float("-inf"), float("inf")]
     return rows.withColumns({c: F.when(F.col(c).isin(infinite), F.col(c)).otherwise(F.round(c, 9)) for c in ("port_min", "port_max")})
 
 
 @query("assign_portfolio", f"SELECT permno, month, portfolio FROM ({SIZE_ASSIGNED})")
 def assign_portfolio(t):
-    return size_sorts.assign_portfolio(t.stored_panel, "mktcap_lag", 10, ["month"], size_sorts.ALL_EXCHANGES).select("permno", "month", "portfolio")
+    return size_sorts.assign_portfolio(t.stored_panel("permno", "month", "exchange", "mktcap_lag"), "mktcap_lag", 10, ["month"], size_sorts.ALL_EXCHANGES).select("permno", "month", "portfolio")
 
 
 @query(
@@ -320,7 +321,7 @@ def assign_portfolio(t):
     "ret",
 )
 def size_portfolios(t):
-    return size_sorts.size_portfolios(t.stored_panel)
+    return size_sorts.size_portfolios(t.stored_panel(*SORT_COLUMNS))
 
 
 @query(
@@ -331,12 +332,12 @@ def size_portfolios(t):
     "ret",
 )
 def win_global_extreme_label(t):
-    return label_extremes(size_sorts.size_portfolios(t.stored_panel), "portfolio", ["month"]).select("month", "leg", "ret")
+    return label_extremes(size_sorts.size_portfolios(t.stored_panel(*SORT_COLUMNS)), "portfolio", ["month"]).select("month", "leg", "ret")
 
 
 @query("size_premium", f"SELECT 'NYSE, NASDAQ, AMEX' AS exchanges, * FROM ({premium_sql(SIZE_ASSIGNED, VALUE_WEIGHTED)})", "size_premium", 9)
 def size_premium(t):
-    return size_sorts.size_premium(t.stored_panel)
+    return size_sorts.size_premium(t.stored_panel(*SORT_COLUMNS))
 
 
 def grid_sql() -> str:
@@ -359,7 +360,7 @@ def grid_sql() -> str:
 
 @query("specification_grid", grid_sql(), "size_premium", 9)
 def specification_grid(t):
-    return size_sorts.specification_grid(t.stored_panel, SPLIT)
+    return size_sorts.specification_grid(t.stored_panel(*SORT_COLUMNS, "industry"), SPLIT)
 
 
 # -- value sorts ---------------------------------------------------------------------------------------------------

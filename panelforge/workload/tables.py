@@ -295,10 +295,9 @@ class Tables:
     def panel(self) -> DataFrame:
         return monthly_panel(self.msf, self.names, self.delistings, self.ff3)
 
-    @cached_property
-    def stored_panel(self) -> DataFrame:
-        """The monthly panel written once, for plans that read it several times."""
-        return materialize(self.panel, "panel")
+    def stored_panel(self, *columns: str) -> DataFrame:
+        """The needed columns of the monthly panel written once, for plans that read them several times."""
+        return materialize(self.panel.select(*columns), "panel")
 
     @cached_property
     def linked(self) -> DataFrame:
