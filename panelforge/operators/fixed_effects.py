@@ -2,8 +2,8 @@
 
 One-way effects need no demeaned rows at all: centred cross products per entity add up to the within moments.
 Two-way effects are solved directly instead of by alternating projections.  After demeaning by entity, the period
-effects are ordinary regressors, as many as the calendar has periods; their normal equations are accumulated per
-entity, solved once, and the residualised rows follow from one broadcast of the period effects.
+effects are ordinary regressors, as many as the calendar has periods; their normal equations are accumulated from
+counts per (entity, period), solved once, and the residualised rows follow from one broadcast of the period effects.
 """
 
 from __future__ import annotations
@@ -54,24 +54,20 @@ def demean(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     )
 
 
-def _period_equations(periods: list, width: int):
-    """Per-batch partial sums of the normal equations of the entity-demeaned period indicators."""
+def _period_equations(periods: list):
+    """Per-batch partial sums of the cross products of the entity-demeaned period indicators."""
     position = {p: i for i, p in enumerate(periods)}
     size = len(periods)
 
     def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left = np.zeros((size, size))
-        right = np.zeros((size, width))
+        total = np.zeros((size, size))
         for batch in batches:
-            for ids, values in zip(batch["periods"], batch["values"], strict=True):
+            for ids, counts in zip(batch["periods"], batch["counts"], strict=True):
                 at = np.fromiter((position[p] for p in ids), dtype=int, count=len(ids))
-                indicator = np.zeros((len(at), size))
-                indicator[np.arange(len(at)), at] = 1.0
-                indicator -= indicator.mean(axis=0)
-                block = np.vstack([np.asarray(v, dtype=float) for v in values])
-                left += indicator.T @ indicator
-                right += indicator.T @ block
-        yield pd.DataFrame({"i": np.arange(size), "left": list(left), "right": list(right)})
+                n = np.asarray(counts, dtype=float)
+                total[at, at] += n
+                total[np.ix_(at, at)] -= np.outer(n, n) / n.sum()
+        yield pd.DataFrame({"i": np.arange(size), "row": list(total)})
 
     return accumulate
 
@@ -79,33 +75,26 @@ def _period_equations(periods: list, width: int):
 def residualize_two_way(df: DataFrame, columns: Sequence[str], entity: str, period: str) -> tuple[DataFrame, int, int]:
     """Remove entity and period effects exactly, balanced or not.
 
-    Returns the rows with residualised columns, the number of entities and the number of periods.  Expects one row
-    per (entity, period), which bounds an entity by the calendar.
+    Returns the rows with residualised columns, the number of entities and the number of periods.  Rows are first
+    counted and summed per (entity, period), so what is gathered for one entity is bounded by the calendar.
     """
     spark = df.sparkSession
     within = materialize(demean(df.select(entity, period, *columns), columns, entity), "within")
-    periods = [r[0] for r in within.select(period).distinct().orderBy(period).limit(MAX_PERIODS + 1).collect()]
-    if len(periods) > MAX_PERIODS:
+    sums = [F.sum(c).alias(f"__s{k}") for k, c in enumerate(columns)]
+    per_period = within.groupBy(period).agg(*sums).orderBy(period).limit(MAX_PERIODS + 1).collect()
+    if len(per_period) > MAX_PERIODS:
         raise ValueError(f"period effects are solved densely; {period} has more than {MAX_PERIODS} values")
+    periods = [r[period] for r in per_period]
+    right = np.array([[r[f"__s{k}"] for k in range(len(columns))] for r in per_period])
+
+    cells = within.groupBy(entity, period).agg(F.count(F.lit(1)).alias("n"))
+    per_entity = cells.groupBy(entity).agg(F.collect_list(F.struct(F.col(period).alias("p"), "n")).alias("e"))
+    per_entity = per_entity.select(F.col("e.p").alias("periods"), F.col("e.n").alias("counts"))
     entities = within.select(entity).distinct().count()
-    rows = within.select(entity, F.struct(F.col(period).alias("p"), F.array(*columns).alias("v")).alias("e"))
-    per_entity = rows.groupBy(entity).agg(F.collect_list("e").alias("e")).select(
-        F.col("e.p").alias("periods"), F.col("e.v").alias("values")
-    )
-    parts = per_entity.mapInPandas(_period_equations(periods, len(columns)), "i int, left array<double>, right array<double>")
+    parts = per_entity.mapInPandas(_period_equations(periods), "i int, row array<double>")
     left = np.zeros((len(periods), len(periods)))
-    right = np.zeros((len(periods), len(columns)))
-    summed = (
-        parts.select("i", F.posexplode(F.concat("left", "right")).alias("j", "x"))
-        .groupBy("i", "j")
-        .agg(F.sum("x").alias("x"))
-        .collect()
-    )
-    for r in summed:
-        if r["j"] < len(periods):
-            left[r["i"], r["j"]] = r["x"]
-        else:
-            right[r["i"], r["j"] - len(periods)] = r["x"]
+    for r in parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
+        left[r["i"], r["j"]] = r["x"]
     effects = np.linalg.lstsq(left, right, rcond=None)[0]
     names = [f"__g_{c}" for c in columns]
     schema = ", ".join([f"{period} {within.schema[period].dataType.simpleString()}", *[f"{g} double" for g in names]])

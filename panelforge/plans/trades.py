@@ -67,6 +67,13 @@ def post_reversal(kept: DataFrame, trades: DataFrame) -> DataFrame:
     return drop_matched(kept, _status(trades, True, "Y"), _original_message())
 
 
+def post_regime(trades: DataFrame) -> DataFrame:
+    """Cancellations and reversals of the later regime in one anti join, as both match the same key of the trades."""
+    cancelled = _status(trades, True, "X", "C").select(*MESSAGE_KEY)
+    reversed_ = _status(trades, True, "Y").select(*[F.col(theirs).alias(ours) for ours, theirs in _original_message().items()])
+    return drop_matched(_status(trades, True, "T", "R"), cancelled.unionByName(reversed_), _same_message())
+
+
 def pre_cancel(trades: DataFrame) -> DataFrame:
     """Earlier regime: trades that no cancellation names as its original."""
     return drop_matched(_status(trades, False, "T"), _status(trades, False, "C"), _original_message())
@@ -90,9 +97,9 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
     originals = materialize(edges.select(*group, F.col("original").alias("key")).distinct(), "originals")
     onward = originals.withColumnRenamed("key", "replacement")
     passing = materialize(edges.join(onward, [*group, "replacement"], "left_semi"), "passing")
-    present = kept.select(*group, F.col("msg_seq_nb").alias("key"))
+    present = kept.select(*group, F.col("msg_seq_nb").alias("key")).join(originals, [*group, "key"], "left_semi").distinct()
     level = 0
-    frontier = materialize(originals.join(present.distinct(), [*group, "key"], "left_semi").withColumn("level", F.lit(level)), "level")
+    frontier = materialize(present.withColumn("level", F.lit(level)), "level")
     levels = frontier
     while not frontier.isEmpty():
         level += 1
@@ -114,9 +121,11 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
 def pre_reversals(kept: DataFrame) -> DataFrame:
     """Earlier regime: drop reversals, and for each one the next trade with the same terms, in time order.
 
-    With c reversals of some terms the first c matching trades go.  Identical reports are counted before they are
-    ordered, first by execution time (bounded by the seconds of a day) and then within one time, so a large
-    group of copies is one row until the survivors are written out again.
+    With c reversals of some terms the first c matching trades go.  Only terms with a reversal are looked at; their
+    identical reports are counted before they are ordered, first by execution time (bounded by the seconds of a
+    day) and then within one time, so a large group of copies is one row until the survivors are written out again.
+    The affected reports are written first: a hot key of the join is then split by skew handling, and the copies are
+    combined map-side by the count.
     """
     terms = list(TERMS)
     reversals = kept.where("asof_cd = 'R'").groupBy(*terms).agg(F.count(F.lit(1)).alias("__c"))
@@ -124,7 +133,8 @@ def pre_reversals(kept: DataFrame) -> DataFrame:
     safe = candidates.join(reversals.select(*terms), terms, "left_anti")
 
     columns = kept.columns
-    counted = candidates.join(reversals, terms).groupBy(*columns, "__c").agg(F.count(F.lit(1)).alias("__copies"))
+    affected = materialize(candidates.join(reversals, terms), "affected")
+    counted = affected.groupBy(*columns, "__c").agg(F.count(F.lit(1)).alias("__copies"))
     times = counted.groupBy(*terms, "trd_exctn_tm").agg(F.sum("__copies").alias("__at_time"))
     by_time = Window.partitionBy(*terms).orderBy(F.col("trd_exctn_tm").asc_nulls_last())
     times = times.withColumn("__earlier", F.sum("__at_time").over(by_time.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__at_time"))
@@ -182,7 +192,7 @@ def output(trades: DataFrame, ordered: bool = True) -> DataFrame:
 def clean_trades(trades: DataFrame, start: str, end: str, ids: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """All cleaning steps in order."""
     scoped = materialize(scope(trades, start, end, ids), "scope")
-    later = post_reversal(post_cancel(scoped), scoped)
+    later = post_regime(scoped)
     kept = materialize(pre_cancel(scoped).select(*COLUMNS), "kept")
     corrected = materialize(pre_corrections(kept, scoped), "corrected")
     earlier = pre_reversals(corrected)

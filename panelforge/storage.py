@@ -17,14 +17,14 @@ _SETTING = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor; a private one is made only for local sessions without the setting."""
-    configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="panelforge-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="panelforge-"))
+    return context.getCheckpointDir()
 
 
 def stage_path(spark: SparkSession, name: str = "stage") -> str:

@@ -44,7 +44,7 @@ def _corrected(t):
 
 def _combined(t):
     scoped = _stored_scope(t)
-    later = trades.post_reversal(trades.post_cancel(scoped), scoped).select(*trades.COLUMNS)
+    later = trades.post_regime(scoped).select(*trades.COLUMNS)
     kept = materialize(trades.pre_cancel(scoped).select(*trades.COLUMNS), "kept")
     earlier = trades.pre_reversals(materialize(trades.pre_corrections(kept, scoped), "corrected"))
     return materialize(later.unionByName(earlier.select(*trades.COLUMNS)), "combined")

@@ -131,17 +131,49 @@ def _funds(t):
     return portfolio.two_funds(materialize(_balanced_returns(t), "balanced"))
 
 
-@query("portfolio_weights", rounded="mvp efficient")
+# Gauss-Jordan elimination of the covariance matrix with the right-hand sides (1, mean), one column per step.
+ELIMINATION = """
+    WITH RECURSIVE cov AS MATERIALIZED (
+      SELECT a.symbol AS i, list(covar ORDER BY b.symbol) AS line FROM (SELECT DISTINCT symbol FROM t_balanced) a
+      JOIN (SELECT x.symbol, y.symbol AS other, covar_samp(x.ret, y.ret) AS covar FROM t_balanced x JOIN t_balanced y ON x.month = y.month GROUP BY ALL) b ON a.symbol = b.other GROUP BY 1),
+    means AS MATERIALIZED (SELECT symbol AS i, avg(ret) AS mu FROM t_balanced GROUP BY 1),
+    steps(k, m) AS (
+      SELECT 0, list(list_concat(line, [1.0, mu]) ORDER BY i) FROM cov JOIN means USING (i)
+      UNION ALL
+      SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / m[k + 1][k + 1])
+        ELSE list_transform(r, lambda v, j: v - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+      FROM steps WHERE k < len(m)),
+    solved AS MATERIALIZED (SELECT m, len(m) AS n FROM steps ORDER BY k DESC LIMIT 1),
+    base AS MATERIALIZED (
+      SELECT i AS symbol, mu, m[p][n + 1] AS si, m[p][n + 2] AS sm FROM (SELECT *, row_number() OVER (ORDER BY i) AS p FROM means), solved),
+    constants AS MATERIALIZED (SELECT sum(si) AS c, sum(sm) AS d, sum(mu * sm) AS e FROM base),
+    funds AS MATERIALIZED (
+      SELECT symbol, mu, si / c AS mvp, si / c + (3 * d / c - d / c) / (e - d * d / c) * (sm - d * si / c) AS efficient, c, d, e FROM base, constants),
+    sums AS MATERIALIZED (SELECT sum(mvp * mu) AS m1, sum(efficient * mu) AS m2 FROM funds),
+    spread AS MATERIALIZED (
+      SELECT sum(f.mvp * covar * g.mvp) AS v11, sum(f.mvp * covar * g.efficient) AS v12, sum(f.efficient * covar * g.efficient) AS v22
+      FROM funds f JOIN (SELECT x.symbol AS a, y.symbol AS b, covar_samp(x.ret, y.ret) AS covar FROM t_balanced x JOIN t_balanced y ON x.month = y.month GROUP BY ALL) k ON f.symbol = k.a
+      JOIN funds g ON g.symbol = k.b)
+"""
+
+
+@query("portfolio_weights", ELIMINATION + "SELECT symbol, mvp, efficient FROM funds", "mvp efficient")
 def portfolio_weights(t):
     return portfolio.portfolio_weights(_funds(t))
 
 
-@query("portfolio_choice", rounded="average_ret volatility")
+@query("portfolio_choice", ELIMINATION + "SELECT m1 AS average_ret, sqrt(v11) AS volatility FROM sums, spread", "average_ret volatility")
 def portfolio_choice(t):
     return portfolio.minimum_variance_performance(_funds(t))
 
 
-@query("efficient_frontier", rounded="mu sd")
+@query(
+    "efficient_frontier",
+    ELIMINATION
+    + """SELECT c, 1200 * ((1 - c) * m1 + c * m2) AS mu, 100 * sqrt(12) * sqrt((1 - c) ** 2 * v11 + 2 * c * (1 - c) * v12 + c ** 2 * v22) AS sd
+         FROM (SELECT CAST(k - 40 AS DOUBLE) / 100 AS c FROM (SELECT unnest(range(0, 231)) AS k)), sums, spread""",
+    "mu sd",
+)
 def efficient_frontier(t):
     return portfolio.efficient_frontier(materialize(_funds(t), "funds"))
 
@@ -253,7 +285,20 @@ def ols_fe_twoway(t):
     return fit.table(t.spark, fit.iid(absorbed=entities + years - 1), "fe2")
 
 
-@query("ols_fe_twoway_unbalanced", rounded=FITTED)
+def _alternating(table: str, passes: int = 60) -> str:
+    """Rows demeaned in turn by entity and by year until the means vanish."""
+    once = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY permno) AS {c}" for c in "yxz")
+    twice = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY year) AS {c}" for c in "yxz")
+    return f"""WITH RECURSIVE turn(k, id, permno, year, y, x, z) AS (
+        SELECT 0, row_number() OVER (), permno, year, y, x, z FROM {table}
+        UNION ALL SELECT k + 1, id, permno, year, {twice} FROM (SELECT k, id, permno, year, {once} FROM turn WHERE k < {passes}))
+        SELECT permno, year, y, x, z FROM turn WHERE k = {passes}"""
+
+
+UNBALANCED = TWO.format(sums=SUMS.format(rows=_alternating("t_year_panel")))
+
+
+@query("ols_fe_twoway_unbalanced", _terms(UNBALANCED, "fe2", f"{ENTITIES} + {YEARS} - 1"), FITTED)
 def ols_fe_twoway_unbalanced(t):
     fit, _, entities, years = two_way_fit(_year_panel(t), "y", ["x", "z"], "permno", "year")
     return fit.table(t.spark, fit.iid(absorbed=entities + years - 1), "fe2")
@@ -311,7 +356,24 @@ def se_newey_west(t):
     return univariate.long_short_test(_spread(t), lag=HAC_LAG, prewhite=False)
 
 
-@query("se_newey_west_automatic", rounded=FITTED)
+HAC_AUTOMATIC = f"""
+    WITH u AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY month) AS t, avg(long_short) OVER () AS m, count(*) OVER () AS n, long_short - avg(long_short) OVER () AS u
+      FROM ({SPREAD}) WHERE long_short IS NOT NULL),
+    r AS MATERIALIZED (SELECT sum(a.u * b.u) / sum(b.u * b.u) AS rho FROM u a JOIN u b ON a.t = b.t + 1),
+    v AS MATERIALIZED (SELECT a.t, a.u - rho * b.u AS v FROM u a JOIN u b ON a.t = b.t + 1, r),
+    g AS MATERIALIZED (SELECT a.t - b.t AS j, sum(a.v * b.v) AS g FROM v a JOIN v b ON a.t >= b.t GROUP BY 1),
+    s AS (SELECT any_value(n) AS n, any_value(m) AS m FROM u),
+    w AS MATERIALIZED (
+      SELECT CAST(floor(1.1447 * pow(pow(sum(CASE WHEN j > 0 THEN 2 * j * g ELSE 0 END) / sum(CASE WHEN j > 0 THEN 2 * g ELSE g END), 2), 1.0 / 3) * pow(any_value(n), 1.0 / 3)) AS INTEGER) AS lag
+      FROM g, s WHERE j <= floor(3 * pow(n / 100, 2.0 / 9)))
+    SELECT 'const' AS term, m AS estimate, sqrt(x) AS std_error, m / sqrt(x) AS t_stat, lag, n FROM (
+      SELECT any_value(m) AS m, any_value(n) AS n, any_value(lag) AS lag,
+             sum(CASE WHEN j = 0 THEN g ELSE 2 * (1 - j / (lag + 1)) * g END) / any_value((1 - rho) * (1 - rho)) / any_value(n) ** 2 AS x
+      FROM g, s, w, r WHERE j <= lag)"""
+
+
+@query("se_newey_west_automatic", HAC_AUTOMATIC, FITTED)
 def se_newey_west_automatic(t):
     return univariate.long_short_test(_spread(t))
 
@@ -357,6 +419,33 @@ def panel_summary(t):
     return investment.panel_summary(materialize(investment.investment_panel(t.accounts, t.linked), "investment"))
 
 
-@query("panel_regressions", rounded=FITTED)
+tables_sql.CTES["t_reg"] = "SELECT gvkey AS permno, year, investment_lead AS y, cash_flows AS x, tobins_q AS z FROM t_investment"
+
+
+def _on_investment(text: str) -> str:
+    return text.replace("t_year_panel", "t_reg")
+
+
+REG_ROWS = _alternating("t_reg")
+REG_TWO_WAY = TWO.format(sums=SUMS.format(rows=REG_ROWS))
+REG_FIRMS, REG_YEARS = _on_investment(ENTITIES), _on_investment(YEARS)
+REG_TWO_WAY_MEAT = f"""SELECT f.mxx + y.mxx - b.mxx AS mxx, f.mxz + y.mxz - b.mxz AS mxz, f.mzz + y.mzz - b.mzz AS mzz, least(f.g, y.g) AS g
+    FROM ({_meat(REG_ROWS, "permno")}) f, ({_meat(REG_ROWS, "year")}) y, ({_meat(REG_ROWS, "permno, year")}) b"""
+REG_MODELS = [
+    _terms(_on_investment(POOLED), "ols", "0", True),
+    _terms(_on_investment(WITHIN), "fe_firm", REG_FIRMS),
+    _terms(REG_TWO_WAY, "fe_firm_year", f"{REG_FIRMS} + {REG_YEARS} - 1"),
+    _clustered(REG_TWO_WAY, REG_ROWS, "cluster_firm", _meat(REG_ROWS, "permno"), f"2 + {REG_YEARS}"),
+    _clustered(REG_TWO_WAY, REG_ROWS, "cluster_firm_year", REG_TWO_WAY_MEAT, "3"),
+]
+
+
+@query(
+    "panel_regressions",
+    "SELECT model, CASE term WHEN 'x' THEN 'cash_flows' WHEN 'z' THEN 'tobins_q' ELSE term END AS term, estimate, std_error, t_stat, n FROM ("
+    + " UNION ALL ".join(f"SELECT * FROM ({m})" for m in REG_MODELS)
+    + ")",
+    FITTED,
+)
 def panel_regressions(t):
     return investment.panel_regressions(investment.investment_panel(t.accounts, t.linked))

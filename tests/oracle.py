@@ -14,16 +14,19 @@ TABLES = (
 ).split()
 
 
-def make_session(cores: str = "8") -> SparkSession:
-    spark = (
+def make_session(cores: str = "8", **settings: str) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("panelforge")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
