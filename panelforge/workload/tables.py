@@ -1,7 +1,7 @@
 """Raw inputs and panels derived from the driver tables.
 
-Every table here has a twin in ``tables_sql``.  Amounts are summed and rounded to the number of decimals that the
-source values have, so both engines start from bit-identical doubles.
+Every table here has a twin in ``tables_sql``.  Amounts are summed in whole units of their last decimal, so both
+engines start from bit-identical doubles whatever the order of addition.
 """
 
 from __future__ import annotations
@@ -26,6 +26,11 @@ INDUSTRY_COLUMNS = ("NoDur", "Durbl", "Manuf", "Enrgy", "HiTec", "Telcm", "Shops
 DAILY_MIN_OBS = 15
 
 
+def _units(amount: str, per_unit: int):
+    """Whole smallest units of an amount, so that sums are exact in any order."""
+    return F.expr(f"floor(({amount}) * {per_unit} + 0.5D)")
+
+
 class Tables:
     """Lazy tables over one scale-factor directory."""
 
@@ -47,8 +52,8 @@ class Tables:
         return rows.groupBy(*by).agg(
             F.max("date").alias("last_date"),
             F.sum("l_quantity").alias("qty"),
-            F.round(F.sum("l_extendedprice"), 2).alias("vol"),
-            F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 4).alias("disc"),
+            (F.sum(_units("l_extendedprice", 100)) / 100).alias("vol"),
+            (F.sum(_units("l_extendedprice * l_discount", 10_000)) / 10_000).alias("disc"),
             F.max("l_extendedprice").alias("top"),
         )
 
@@ -122,7 +127,7 @@ class Tables:
         )
         nations = self.driver("supplier").selectExpr("s_suppkey AS l_suppkey", "concat('N', s_nationkey) AS symbol")
         grouped = rows.join(nations, "l_suppkey").groupBy("symbol", "date").agg(
-            F.sum("l_quantity").alias("volume"), F.round(F.sum("l_extendedprice"), 2).alias("vol"), F.max("l_extendedprice").alias("close")
+            F.sum("l_quantity").alias("volume"), (F.sum(_units("l_extendedprice", 100)) / 100).alias("vol"), F.max("l_extendedprice").alias("close")
         )
         return grouped.selectExpr("symbol", "date", "vol / volume AS adjusted", "close", "volume")
 
@@ -192,7 +197,7 @@ class Tables:
     def funda(self) -> DataFrame:
         sums = self.driver("orders").groupBy(
             F.expr("concat('G', o_custkey DIV 15)").alias("gvkey"), F.last_day("o_orderdate").alias("datadate")
-        ).agg(F.expr("round(sum(o_totalprice), 2) / 1000").alias("x"), F.min("o_orderkey").alias("k"))
+        ).agg((F.sum(_units("o_totalprice", 100)) / 100 / 1000).alias("x"), F.min("o_orderkey").alias("k"))
         return sums.selectExpr(
             "gvkey", "datadate",
             "CASE WHEN k % 19 = 0 THEN 'FS' ELSE 'INDL' END AS indfmt",

@@ -7,6 +7,10 @@ import re
 from panelforge.workload.tables import AS_OF, DAILY_MIN_OBS, END, INDUSTRY_COLUMNS, START
 
 
+def _units(amount: str, per_unit: int) -> str:
+    return f"sum(floor(({amount}) * {per_unit} + 0.5)) / {per_unit}"
+
+
 def _spread(condition: str) -> str:
     return f"round((avg(CASE WHEN {condition} THEN r END) - avg(CASE WHEN NOT ({condition}) THEN r END)) * 100, 6)"
 
@@ -34,13 +38,13 @@ CTES: dict[str, str] = {
         SELECT *, {_MI.format("month")} AS mi, disc / vol - 0.05 AS r FROM (
           SELECT CAST(l_suppkey AS INTEGER) AS permno, {_MONTH.format("l_shipdate")} AS month,
                  max(CAST(l_shipdate AS DATE)) AS last_date, sum(l_quantity) AS qty,
-                 round(sum(l_extendedprice), 2) AS vol, round(sum(l_extendedprice * l_discount), 4) AS disc,
+                 {_units('l_extendedprice', 100)} AS vol, {_units('l_extendedprice * l_discount', 10_000)} AS disc,
                  max(l_extendedprice) AS top
           FROM lineitem GROUP BY 1, 2)""",
     "t_daily_trade": f"""
         SELECT *, {_MI.format("date")} AS mi, disc / vol - 0.05 AS r FROM (
           SELECT CAST(l_suppkey AS INTEGER) AS permno, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS qty,
-                 round(sum(l_extendedprice), 2) AS vol, round(sum(l_extendedprice * l_discount), 4) AS disc
+                 {_units('l_extendedprice', 100)} AS vol, {_units('l_extendedprice * l_discount', 10_000)} AS disc
           FROM lineitem GROUP BY 1, 2)""",
     "t_msf": """
         SELECT permno, last_date AS date, CASE WHEN (permno * 7 + mi) % 53 <> 0 THEN r END AS ret,
@@ -68,10 +72,10 @@ CTES: dict[str, str] = {
                CASE WHEN s_suppkey % 19 = 18 THEN 0 ELSE 1 END AS usedflag,
                CASE rec WHEN 2 THEN cut + 1 ELSE DATE '1994-01-01' END AS linkdt, CASE rec WHEN 1 THEN cut END AS linkenddt
         FROM (SELECT *, DATE '1998-01-01' + CAST(s_suppkey * 53 % 700 AS INTEGER) AS cut, unnest([1, 2, 3]) AS rec FROM supplier)""",
-    "t_prices": """
+    "t_prices": f"""
         SELECT symbol, date, vol / volume AS adjusted, close, volume FROM (
           SELECT 'N' || s_nationkey AS symbol, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS volume,
-                 round(sum(l_extendedprice), 2) AS vol, max(l_extendedprice) AS close
+                 {_units('l_extendedprice', 100)} AS vol, max(l_extendedprice) AS close
           FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2)""",
     "t_factors_raw": f"""
         SELECT strftime(month, '%Y%m') AS date, CAST(min(mi) % 5 AS DOUBLE) * 0.02 + 0.1 AS "RF",
@@ -99,7 +103,7 @@ CTES: dict[str, str] = {
         FROM (SELECT month, mi, round(sum(vol), 2) AS vol, sum(qty) AS qty, round(sum(disc), 4) AS disc, max(top) AS top, count(*) AS k
               FROM t_monthly_trade GROUP BY month, mi)""",
     "t_cpi_raw": "SELECT month AS date, round(sum(vol), 2) / sum(qty) AS price FROM t_monthly_trade GROUP BY month",
-    "t_funda": """
+    "t_funda": f"""
         SELECT gvkey, datadate, CASE WHEN k % 19 = 0 THEN 'FS' ELSE 'INDL' END AS indfmt,
                CASE WHEN k % 43 = 0 THEN 'SUMM' ELSE 'STD' END AS datafmt, 'C' AS consol,
                CASE WHEN k % 41 = 0 THEN 0.0 ELSE x END AS "at", x * 0.55 AS lt,
@@ -112,7 +116,7 @@ CTES: dict[str, str] = {
                x * 0.9 AS sale, CASE WHEN k % 6 <> 0 THEN x * 0.5 END AS cogs, CASE WHEN k % 8 <> 0 THEN x * 0.02 END AS xint,
                CASE WHEN k % 9 <> 0 THEN x * 0.1 END AS xsga
         FROM (SELECT 'G' || (o_custkey // 15) AS gvkey, last_day(CAST(o_orderdate AS DATE)) AS datadate,
-                     round(sum(o_totalprice), 2) / 1000 AS x, min(o_orderkey) AS k
+                     {_units('o_totalprice', 100)} / 1000 AS x, min(o_orderkey) AS k
               FROM orders GROUP BY 1, 2)""",
     "t_issues": f"""
         SELECT 'B' || p_partkey AS complete_cusip, {_OFFERED} AS offering_date, {_OFFERED} + 365 * (2 + p_size % 20) AS maturity,
