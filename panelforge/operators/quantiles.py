@@ -22,6 +22,7 @@ from panelforge.storage import materialize
 MAX_GROUP_ROWS = 1_000_000
 RANGES = 128
 BROADCAST_CELLS = 2_000_000
+EVERYTHING = "__all"
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,9 @@ def quantile_rows(
 
 
 def _narrowed_quantiles(rows: DataFrame, probs: Sequence[float], by: list[str], name: str, bound: int) -> DataFrame:
-    keys = by or ["__all"]
+    keys = by or [EVERYTHING]
     if not by:
-        rows = rows.withColumn("__all", F.lit(0))
+        rows = rows.withColumn(EVERYTHING, F.lit(0))
     sizes = materialize(rows.groupBy(*keys).agg(F.count("__v").alias("__n")), "sizes")
     wanted = sizes.select(
         *keys,
@@ -116,9 +117,15 @@ def select_ranks(rows: DataFrame, by: list[str], wanted: DataFrame, bound: int =
         return join_groups(per_value, ranks, by).select(*by, F.explode(hit).alias("__rank"), "__v", "__below")
 
     steps = F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)])
-    cuts = materialize(rows.groupBy(*by).agg(F.array_distinct(F.percentile_approx("__v", steps, 10_000)).alias("__cuts")), "cuts")
+    cuts = rows.groupBy(*by).agg(F.array_distinct(F.percentile_approx("__v", steps, 10_000)).alias("__cuts"))
     bin_name = f"__b{depth}"
-    binned = join_groups(rows, cuts, by).withColumn(bin_name, F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    if by == [EVERYTHING]:
+        limits = cuts.first()["__cuts"]
+        position = F.size(F.filter(F.array(*[F.lit(c) for c in limits]), lambda c: c < F.col("__v")))
+        binned = rows.withColumn(bin_name, position)
+    else:
+        joined = join_groups(rows, materialize(cuts, "cuts"), by)
+        binned = joined.withColumn(bin_name, F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
     running = Window.partitionBy(*by).orderBy(bin_name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = (
         binned.groupBy(*by, bin_name)

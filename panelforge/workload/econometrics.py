@@ -184,15 +184,14 @@ FIT = """regr_intercept({y}, {x}) AS intercept, regr_slope({y}, {x}) AS slope,
     sqrt((regr_syy({y}, {x}) - regr_sxy({y}, {x}) ** 2 / regr_sxx({y}, {x})) / (regr_count({y}, {x}) - 2) / regr_sxx({y}, {x})) AS se_slope,
     sqrt((regr_syy({y}, {x}) - regr_sxy({y}, {x}) ** 2 / regr_sxx({y}, {x})) / (regr_count({y}, {x}) - 2)
          * (1 / regr_count({y}, {x}) + regr_avgx({y}, {x}) ** 2 / regr_sxx({y}, {x}))) AS se_intercept,
-    regr_r2({y}, {x}) AS r2, regr_count({y}, {x}) AS n""".format(y="ret_excess", x="mkt_excess")
+    regr_r2({y}, {x}) AS r2, CAST(regr_count({y}, {x}) AS BIGINT) AS n""".format(y="ret_excess", x="mkt_excess")
 FIT_COLUMNS = "intercept slope se_slope se_intercept r2"
 MARKET = "SELECT p.*, f.mkt_excess FROM t_panel p LEFT JOIN t_ff3 f ON p.month = f.month"
 
 
-@query("ols_single", f"SELECT {FIT} FROM ({MARKET}) WHERE permno = 1", FIT_COLUMNS)
+@query("ols_single", f"SELECT {FIT} FROM ({MARKET})", FIT_COLUMNS)
 def ols_single(t):
-    one = betas.with_market(t.panel.where("permno = 1"), t.ff3, "month")
-    return one.agg(*regression.simple_fit("ret_excess", "mkt_excess"))
+    return betas.with_market(t.panel, t.ff3, "month").agg(*regression.simple_fit("ret_excess", "mkt_excess"))
 
 
 @query("ols_by_group", f"SELECT permno, {FIT} FROM ({MARKET}) GROUP BY permno HAVING count(*) >= 24", FIT_COLUMNS)
@@ -383,6 +382,32 @@ def se_newey_west_regression(t):
     return univariate.long_short_test(_spread(t), t.ff3)
 
 
+def _lagged_sums(pairs: str) -> str:
+    """Bartlett-weighted autocovariance sums of the score products in ``pairs`` (columns j, a, b)."""
+    return f"sum(CASE WHEN j = 0 THEN {pairs} ELSE (1 - j / ({HAC_LAG} + 1)) * {pairs} END)"
+
+
+HAC_REGRESSION = f"""
+    WITH d AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY s.month) AS t, long_short AS y, mkt_excess AS x FROM ({SPREAD}) s JOIN t_ff3 f ON s.month = f.month
+      WHERE long_short IS NOT NULL AND mkt_excess IS NOT NULL),
+    c AS MATERIALIZED (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, count(*) * sum(x * x) - sum(x) ** 2 AS det FROM d),
+    u AS MATERIALIZED (SELECT t, y - a - b * x AS u, x * (y - a - b * x) AS v FROM d, c),
+    m AS MATERIALIZED (
+      SELECT {_lagged_sums("p.u * q.u * CASE WHEN j = 0 THEN 1 ELSE 2 END")} AS m11, {_lagged_sums("CASE WHEN j = 0 THEN p.u * q.v ELSE p.u * q.v + p.v * q.u END")} AS m12,
+             {_lagged_sums("p.v * q.v * CASE WHEN j = 0 THEN 1 ELSE 2 END")} AS m22
+      FROM (SELECT unnest(range(0, {HAC_LAG + 1})) AS j) l, u p JOIN u q ON TRUE WHERE p.t = q.t + j),
+    r AS (
+      SELECT 'const' AS term, a AS estimate, (sxx * sxx * m11 - 2 * sxx * sx * m12 + sx * sx * m22) / (det * det) AS var, n FROM c, m
+      UNION ALL SELECT 'mkt_excess', b, (sx * sx * m11 - 2 * sx * n * m12 + n * n * m22) / (det * det), n FROM c, m)
+    SELECT term, estimate, sqrt(var) AS std_error, estimate / sqrt(var) AS t_stat, {HAC_LAG}::INTEGER AS lag, n FROM r"""
+
+
+@query("se_newey_west_regression_lag", HAC_REGRESSION, FITTED)
+def se_newey_west_regression_lag(t):
+    return univariate.long_short_test(_spread(t), t.ff3, lag=HAC_LAG, prewhite=False)
+
+
 @query("se_newey_west_by_portfolio", rounded=FITTED)
 def se_newey_west_by_portfolio(t):
     deciles = univariate.with_factors(univariate.decile_sort(sort_data(t), "beta_lag"), t.ff3.select("month", "mkt_excess"))

@@ -10,7 +10,7 @@ from panelforge.operators import aggregates, joins, quantiles, reshape, windows
 from panelforge.plans import betas, size_sorts, trades, univariate
 from panelforge.sources import factors as factor_tables
 from panelforge.sources import readers, schemas
-from panelforge.storage import materialize, shared_dir, stage_path
+from panelforge.storage import materialize, stage_path
 from panelforge.workload.registry import query
 from panelforge.workload.sorting import EXAMPLES_SQL, VALUE_WEIGHTED, assigned_sql, breaks_sql, examples
 from panelforge.workload.tables import END, START
@@ -22,17 +22,14 @@ def _orders(t):
     return t.driver("orders").withColumn("d", F.to_date("o_orderdate"))
 
 
-def _data_dir(t):
-    return f"{shared_dir(t.spark)}/panelforge-data"
-
-
 # -- sources and sinks -----------------------------------------------------------------------------------------------
 
 
 @query("scan_parquet", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_nationkey >= 10")
 def scan_parquet(t):
-    readers.write_parquet(t.driver("customer"), "customer", "raw", _data_dir(t))
-    table = readers.scan_parquet(t.spark, "customer", "raw", _data_dir(t), schemas.DRIVER["customer"])
+    data_dir = stage_path(t.spark, "data")
+    readers.write_parquet(t.driver("customer"), "customer", "raw", data_dir)
+    table = readers.scan_parquet(t.spark, "customer", "raw", data_dir, schemas.DRIVER["customer"])
     return table.where("c_nationkey >= 10").select("c_custkey", "c_mktsegment")
 
 
@@ -78,8 +75,9 @@ def inline_table(t):
 
 @query("write_parquet", "SELECT permno, date, ret FROM t_dsf", "ret", 9)
 def write_parquet(t):
-    readers.write_parquet(t.dsf, "dsf", "crsp", _data_dir(t))
-    return readers.scan_parquet(t.spark, "dsf", "crsp", _data_dir(t), schemas.DAILY_STOCK)
+    data_dir = stage_path(t.spark, "data")
+    readers.write_parquet(t.dsf, "dsf", "stocks", data_dir)
+    return readers.scan_parquet(t.spark, "dsf", "stocks", data_dir, schemas.DAILY_STOCK)
 
 
 @query("write_table", "SELECT * FROM t_delistings", "dlret")
@@ -94,7 +92,7 @@ def convert_catalog(t):
     for name in ("nation", "region"):
         names.append(f"panelforge_{name}")
         readers.write_table(t.driver(name), names[-1], stage_path(t.spark, name))
-    paths = readers.convert_catalog(t.spark, names, "converted", _data_dir(t))
+    paths = readers.convert_catalog(t.spark, names, "converted", stage_path(t.spark, "data"))
     nation = t.spark.read.schema(schemas.DRIVER["nation"]).parquet(paths[0])
     region = t.spark.read.schema(schemas.DRIVER["region"]).parquet(paths[1])
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
@@ -459,7 +457,7 @@ def agg_quantile(t):
 
 @query(
     "agg_quantile_narrowed",
-    "SELECT event_type, unnest([0.01, 0.5, 0.99]) AS prob, unnest(quantile_cont(value, [0.01, 0.5, 0.99])) AS quantile FROM events GROUP BY 1",
+    "SELECT event_type, unnest([0.01, 0.5, 0.99]::DOUBLE[]) AS prob, unnest(quantile_cont(value, [0.01, 0.5, 0.99])) AS quantile FROM events GROUP BY 1",
     "quantile",
 )
 def agg_quantile_narrowed(t):
@@ -470,7 +468,7 @@ def agg_quantile_narrowed(t):
 
 @query(
     "agg_quantile_array",
-    "SELECT event_type, unnest([0.25, 0.5, 0.75]) AS prob, unnest(quantile_cont(value, [0.25, 0.5, 0.75])) AS quantile FROM events GROUP BY 1",
+    "SELECT event_type, unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS prob, unnest(quantile_cont(value, [0.25, 0.5, 0.75])) AS quantile FROM events GROUP BY 1",
     "quantile",
 )
 def agg_quantile_array(t):
@@ -483,7 +481,7 @@ def agg_median(t):
     return out.select("c_mktsegment", F.col("__q")[0].alias("median"))
 
 
-@query("agg_regr", "SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS slope, regr_count(l_extendedprice, l_quantity) AS n FROM lineitem GROUP BY 1", "slope")
+@query("agg_regr", "SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS slope, CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY 1", "slope")
 def agg_regr(t):
     return t.driver("lineitem").groupBy("l_returnflag").agg(
         F.regr_slope("l_extendedprice", "l_quantity").alias("slope"), F.regr_count("l_extendedprice", "l_quantity").alias("n")
@@ -529,9 +527,14 @@ def agg_global(t):
     return t.driver("lineitem").agg(F.avg("l_discount").alias("mean"))
 
 
-@query("agg_rescale_base", "SELECT symbol, date, adjusted / (SELECT arg_max(adjusted, date) FROM t_prices WHERE symbol = 'N1') AS adjusted FROM t_prices WHERE symbol = 'N1'", "adjusted")
+@query(
+    "agg_rescale_base",
+    """WITH level AS (SELECT date, max(adjusted) AS adjusted FROM t_prices GROUP BY 1)
+       SELECT date, adjusted / (SELECT arg_max(adjusted, date) FROM level) AS adjusted FROM level""",
+    "adjusted",
+)
 def agg_rescale_base(t):
-    return aggregates.rescale_to_last(t.prices.where("symbol = 'N1'").select("symbol", "date", "adjusted"), "adjusted", "date")
+    return aggregates.rescale_to_last(t.prices.groupBy("date").agg(F.max("adjusted").alias("adjusted")), "adjusted", "date")
 
 
 # -- windows over panels with one row per (entity, period) ----------------------------------------------------------------
@@ -698,7 +701,7 @@ def unnest(t):
 
 @query(
     "unnest_parallel",
-    "SELECT event_type, unnest([0.1, 0.9]) AS probs, unnest(quantile_cont(value, [0.1, 0.9])) AS values FROM events GROUP BY 1",
+    "SELECT event_type, unnest([0.1, 0.9]::DOUBLE[]) AS probs, unnest(quantile_cont(value, [0.1, 0.9])) AS values FROM events GROUP BY 1",
     "values",
 )
 def unnest_parallel(t):
@@ -819,7 +822,7 @@ def interval_search(t):
     return t.driver("part").select("p_partkey", buckets.bucket_index(F.col("p_size"), breaks, 4).alias("bucket"))
 
 
-@query("array_literal", "SELECT n_nationkey, unnest([0.25, 0.5, 0.75]) AS prob FROM nation")
+@query("array_literal", "SELECT n_nationkey, unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS prob FROM nation")
 def array_literal(t):
     return t.driver("nation").select("n_nationkey", F.explode(F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])).alias("prob"))
 
@@ -830,7 +833,7 @@ def array_literal(t):
 @query(
     "ols_rolling",
     """SELECT permno, month, beta_monthly, n_obs FROM (
-         SELECT p.permno, p.month, regr_slope(p.ret_excess, f.mkt_excess) OVER w AS beta_monthly, regr_count(p.ret_excess, f.mkt_excess) OVER w AS n_obs
+         SELECT p.permno, p.month, regr_slope(p.ret_excess, f.mkt_excess) OVER w AS beta_monthly, CAST(regr_count(p.ret_excess, f.mkt_excess) OVER w AS BIGINT) AS n_obs
          FROM t_panel p LEFT JOIN t_ff3 f ON p.month = f.month
          WINDOW w AS (PARTITION BY p.permno ORDER BY p.month RANGE BETWEEN INTERVAL 23 MONTH PRECEDING AND CURRENT ROW)) WHERE n_obs >= 18""",
     "beta_monthly",
@@ -841,7 +844,7 @@ def ols_rolling(t):
 
 @query(
     "ols_cross_section",
-    """SELECT regr_intercept(ret, beta) AS intercept, regr_slope(ret, beta) AS slope, regr_count(ret, beta) AS n FROM (
+    """SELECT regr_intercept(ret, beta) AS intercept, regr_slope(ret, beta) AS slope, CAST(regr_count(ret, beta) AS BIGINT) AS n FROM (
          SELECT permno, regr_slope(ret_excess, mkt_excess) AS beta, avg(ret_excess) AS ret FROM t_panel p LEFT JOIN t_ff3 f ON p.month = f.month GROUP BY permno)""",
     "intercept slope",
 )

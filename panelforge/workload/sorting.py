@@ -32,7 +32,7 @@ def beta_monthly(t):
 @query(
     "beta_monthly_rows",
     """SELECT permno, month, beta_monthly, n_obs FROM (
-         SELECT p.permno, p.month, regr_slope(p.ret_excess, f.mkt_excess) OVER w AS beta_monthly, regr_count(p.ret_excess, f.mkt_excess) OVER w AS n_obs
+         SELECT p.permno, p.month, regr_slope(p.ret_excess, f.mkt_excess) OVER w AS beta_monthly, CAST(regr_count(p.ret_excess, f.mkt_excess) OVER w AS BIGINT) AS n_obs
          FROM t_panel p JOIN (SELECT permno FROM t_panel GROUP BY permno HAVING count(*) >= 61) v ON p.permno = v.permno
          LEFT JOIN t_ff3 f ON p.month = f.month
          WINDOW w AS (PARTITION BY p.permno ORDER BY p.month ROWS BETWEEN 60 PRECEDING AND CURRENT ROW))
@@ -46,7 +46,7 @@ def beta_monthly_rows(t):
 @query(
     "beta_monthly_consecutive",
     """SELECT permno, month, beta_monthly, n_obs FROM (
-         SELECT p.permno, p.month, regr_slope(p.ret_excess, f.mkt_excess) OVER w AS beta_monthly, regr_count(p.ret_excess, f.mkt_excess) OVER w AS n_obs,
+         SELECT p.permno, p.month, regr_slope(p.ret_excess, f.mkt_excess) OVER w AS beta_monthly, CAST(regr_count(p.ret_excess, f.mkt_excess) OVER w AS BIGINT) AS n_obs,
                 date_diff('month', min(p.month) OVER w, max(p.month) OVER w) + 1 - count(*) OVER w AS gaps
          FROM t_panel p LEFT JOIN t_ff3 f ON p.month = f.month
          WINDOW w AS (PARTITION BY p.permno ORDER BY p.month RANGE BETWEEN INTERVAL 11 MONTH PRECEDING AND CURRENT ROW))
@@ -66,7 +66,7 @@ def beta_daily(t):
     "beta_trailing_days",
     """SELECT permno, date, beta FROM (
          SELECT d.permno, d.date, CASE WHEN regr_sxx(d.ret_excess, f.mkt_excess) OVER w > 0 THEN regr_slope(d.ret_excess, f.mkt_excess) OVER w END AS beta,
-                regr_count(d.ret_excess, f.mkt_excess) OVER w AS n
+                CAST(regr_count(d.ret_excess, f.mkt_excess) OVER w AS BIGINT) AS n
          FROM t_daily d LEFT JOIN t_ff3_daily f ON d.date = f.date
          WINDOW w AS (PARTITION BY d.permno ORDER BY d.date ROWS BETWEEN 90 PRECEDING AND 1 PRECEDING))
        WHERE n >= 50 AND beta IS NOT NULL""",
@@ -233,7 +233,7 @@ def capm_performance(t):
 
 @query(
     "market_line",
-    f"SELECT regr_intercept(ret, beta) AS intercept, regr_slope(ret, beta) AS slope, regr_count(ret, beta) AS n FROM ({PERFORMANCE})",
+    f"SELECT regr_intercept(ret, beta) AS intercept, regr_slope(ret, beta) AS slope, CAST(regr_count(ret, beta) AS BIGINT) AS n FROM ({PERFORMANCE})",
     "intercept slope",
 )
 def market_line(t):

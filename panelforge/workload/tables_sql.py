@@ -222,14 +222,14 @@ CTES: dict[str, str] = {
     "t_beta_monthly": """
         SELECT permno, month, beta_monthly, n_obs FROM (
           SELECT p.permno, p.month, CASE WHEN regr_sxx(p.ret_excess, f.mkt_excess) OVER w > 0 THEN regr_slope(p.ret_excess, f.mkt_excess) OVER w END AS beta_monthly,
-                 regr_count(p.ret_excess, f.mkt_excess) OVER w AS n_obs
+                 CAST(regr_count(p.ret_excess, f.mkt_excess) OVER w AS BIGINT) AS n_obs
           FROM t_panel p LEFT JOIN t_ff3 f ON p.month = f.month
           WINDOW w AS (PARTITION BY p.permno ORDER BY p.month RANGE BETWEEN INTERVAL 59 MONTH PRECEDING AND CURRENT ROW))
         WHERE n_obs >= 48 AND beta_monthly IS NOT NULL""",
     "t_beta_daily": f"""
         SELECT permno, month, beta_daily, n_obs FROM (
           SELECT m.permno, m.month, CASE WHEN regr_sxx(d.ret_excess, f.mkt_excess) > 0 THEN regr_slope(d.ret_excess, f.mkt_excess) END AS beta_daily,
-                 regr_count(d.ret_excess, f.mkt_excess) AS n_obs
+                 CAST(regr_count(d.ret_excess, f.mkt_excess) AS BIGINT) AS n_obs
           FROM (SELECT DISTINCT permno, month FROM t_daily) m
           JOIN t_daily d ON d.permno = m.permno AND d.month BETWEEN m.month - INTERVAL 2 MONTH AND m.month
           LEFT JOIN t_ff3_daily f ON d.date = f.date

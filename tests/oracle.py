@@ -68,3 +68,11 @@ def compare(found: pd.DataFrame, expected: pd.DataFrame) -> str:
         left, right = sorted(set(ours) - set(theirs)), sorted(set(theirs) - set(ours))
         return f"{len(left)} rows differ: {columns} {left[:2]} {right[:2]}"
     return "ok" if len(ours) else "EMPTY"
+
+
+def type_differences(frame, relation) -> str:
+    """Columns whose type differs between the two engines."""
+    names = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+    theirs = dict(zip(relation.columns, [str(t) for t in relation.types], strict=True))
+    pairs = [(f.name, names.get(f.dataType.simpleString(), f.dataType.simpleString()), theirs.get(f.name)) for f in frame.schema]
+    return "; ".join(f"{n} {a} {b}" for n, a, b in pairs if a != b)
