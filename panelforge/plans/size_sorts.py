@@ -82,9 +82,9 @@ def grid_subsamples(split: str) -> dict[str, Column]:
 def specification_grid(panel: DataFrame, split: str = GRID_SPLIT, **options) -> DataFrame:
     """Size premium for every combination of number of portfolios, exchanges, weighting and subsample.
 
-    One plan answers all combinations: each row is labelled with the subsamples it belongs to, one quantile
-    aggregate serves all numbers of portfolios, and both weightings share one aggregation whose partial sums are
-    formed before the shuffle.
+    One plan answers all combinations.  Each row is labelled with the subsamples it belongs to and is placed once per
+    exchange set, in the finest buckets; as every number of portfolios divides the finest one, coarser buckets are
+    unions of finest ones and follow from the small table of sums, as do both weightings.
     """
     finest = max(GRID_PORTFOLIOS)
     labels = F.array_compact(F.array(*[F.when(p, F.lit(name)) for name, p in grid_subsamples(split).items()]))
@@ -102,26 +102,24 @@ def specification_grid(panel: DataFrame, split: str = GRID_SPLIT, **options) ->
 
     kept = rows.dropna(subset=["ret", "mktcap_lag", "ret_excess"])
     joined = kept.join(broadcast_if_small(cells, profile.groups, finest + 1), ["month", "subsample"])
-    choices = joined.withColumn("set", F.explode("sets")).drop("sets")
-    bucket = [
-        F.struct(F.lit(n).alias("n"), bucket_index(F.col("mktcap_lag"), _every(F.col("set.breaks"), finest // n, n), n).alias("portfolio"))
-        for n in GRID_PORTFOLIOS
-    ]
-    sorted_rows = choices.withColumn("b", F.explode(F.array(*bucket)))
-    cell = ["month", "subsample", F.col("set.exchanges").alias("exchanges"), F.col("b.n").alias("n_portfolios"), F.col("b.portfolio").alias("portfolio")]
-    returns = sorted_rows.groupBy(*cell).agg(
-        (F.sum(F.col("ret_excess") * F.col("mktcap_lag")) / F.nullif(F.sum("mktcap_lag"), F.lit(0.0))).alias("true"),
-        F.avg("ret_excess").alias("false"),
+    placed = joined.withColumn("set", F.explode("sets")).select(
+        "month", "subsample", F.col("set.exchanges").alias("exchanges"), "ret_excess", "mktcap_lag",
+        bucket_index(F.col("mktcap_lag"), F.col("set.breaks"), finest).alias("fine"),
+    )
+    sums = placed.groupBy(*group, "fine").agg(
+        F.sum(F.col("ret_excess") * F.col("mktcap_lag")).alias("weighted"), F.sum("mktcap_lag").alias("weight"),
+        F.sum("ret_excess").alias("plain"), F.count("ret_excess").alias("rows"),
+    )
+    coarser = sums.withColumn("n_portfolios", F.explode(F.array(*[F.lit(n) for n in GRID_PORTFOLIOS])))
+    bucket = F.floor((F.col("fine") - 1) / (F.lit(finest) / F.col("n_portfolios"))).cast("int") + 1
+    returns = coarser.groupBy(*group, "n_portfolios", bucket.alias("portfolio")).agg(
+        (F.sum("weighted") / F.nullif(F.sum("weight"), F.lit(0.0))).alias("by_size"), (F.sum("plain") / F.sum("rows")).alias("by_count")
+    )
+    weightings = F.array(*[F.struct(F.lit(size).alias("w"), F.col("by_size" if size else "by_count").alias("ret")) for size in GRID_WEIGHTS])
+    both = returns.withColumn("e", F.explode(weightings)).select(
+        *group, "n_portfolios", "portfolio", F.col("e.w").alias("value_weighted"), F.col("e.ret").alias("ret")
     )
-    both = returns.select(
-        "month", "subsample", "exchanges", "n_portfolios", "portfolio",
-        F.explode(F.array(F.struct(F.lit(True).alias("w"), F.col("true").alias("ret")), F.struct(F.lit(False).alias("w"), F.col("false").alias("ret")))).alias("e"),
-    ).select("month", "subsample", "exchanges", "n_portfolios", "portfolio", F.col("e.w").alias("value_weighted"), F.col("e.ret").alias("ret"))
     spec = ["n_portfolios", "exchanges", "value_weighted", "subsample"]
     monthly = small_minus_big(both, ["month", *spec])
     out = monthly.groupBy(*spec).agg(F.avg("size_premium").alias("size_premium"))
     return out.where("size_premium IS NOT NULL").orderBy(F.desc("size_premium"))
-
-
-def _every(breaks: Column, step: int, n: int) -> Column:
-    return F.array(*[F.get(breaks, F.lit(k * step)) for k in range(n + 1)])

@@ -28,9 +28,11 @@ COLUMNS = (
 OUTPUT_COLUMNS = (
     "cusip_id", "trd_exctn_dt", "trd_exctn_tm", "rptd_pr", "entrd_vol_qt", "yld_pt", "rpt_side_cd", "cntra_mp_id",
 )
+FINAL_COLUMNS = (*OUTPUT_COLUMNS, "asof_cd", "wis_fl", "days_to_sttl_ct", "stlmnt_dt", "spcl_trd_fl")
 NOT_A_TRADE = ("R", "X", "D")
 MAX_SETTLEMENT_DAYS = 7
 COPIES_PER_ROW = 100_000
+LEVELS_PER_TABLE = 16
 
 
 def scope(trades: DataFrame, start: str, end: str, ids: DataFrame | None = None) -> DataFrame:
@@ -85,6 +87,7 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
     A report key is (bond, day, sequence number).  All corrections of a key apply together, in the round after the
     key first appears, and remove exactly the reports that were there at that time.  It is therefore enough to find
     the first round of every corrected key; the rounds walk over the keys of corrections only, never over trades.
+    A key enters one round only, so each link between corrections is followed at most once and the loop ends.
     """
     corrections = _status(trades, False, "W")
     group = ["cusip_id", "trd_exctn_dt"]
@@ -94,7 +97,7 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
         .distinct(),
         "corrections",
     )
-    originals = materialize(edges.select(*group, F.col("original").alias("key")).distinct(), "originals")
+    originals = edges.select(*group, F.col("original").alias("key")).distinct()
     onward = originals.withColumnRenamed("key", "replacement")
     passing = materialize(edges.join(onward, [*group, "replacement"], "left_semi"), "passing")
     present = kept.select(*group, F.col("msg_seq_nb").alias("key")).join(originals, [*group, "key"], "left_semi").distinct()
@@ -104,11 +107,12 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
     while not frontier.isEmpty():
         level += 1
         reached = passing.join(frontier.withColumnRenamed("key", "original"), [*group, "original"], "left_semi")
-        reached = reached.select(*group, F.col("replacement").alias("key")).distinct()
-        fresh = reached.join(levels, [*group, "key"], "left_anti")
+        fresh = reached.select(*group, F.col("replacement").alias("key")).join(levels, [*group, "key"], "left_anti")
         frontier = materialize(fresh.withColumn("level", F.lit(level)), "level")
         levels = levels.unionByName(frontier)
-    levels = materialize(levels, "levels")
+        if level % LEVELS_PER_TABLE == 0:
+            levels = materialize(levels, "levels")
+    levels = materialize(levels.groupBy(*group, "key").agg(F.min("level").alias("level")), "levels")
 
     removed = levels.where("level = 0").withColumnRenamed("key", "msg_seq_nb").drop("level")
     untouched = kept.join(removed, [*group, "msg_seq_nb"], "left_anti")
@@ -190,11 +194,17 @@ def output(trades: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def clean_trades(trades: DataFrame, start: str, end: str, ids: DataFrame | None = None, ordered: bool = True) -> DataFrame:
-    """All cleaning steps in order."""
-    scoped = materialize(scope(trades, start, end, ids), "scope")
+    """All cleaning steps in order.
+
+    The scope is a filter that each branch pushes into its own narrow scan, so it is written only when a list of
+    bonds has to be joined first.  Results of anti joins that several branches read are written once.
+    """
+    scoped = scope(trades, start, end, ids)
+    if ids is not None:
+        scoped = materialize(scoped, "scope")
     later = post_regime(scoped)
     kept = materialize(pre_cancel(scoped).select(*COLUMNS), "kept")
     corrected = materialize(pre_corrections(kept, scoped), "corrected")
     earlier = pre_reversals(corrected)
-    combined = materialize(later.select(*COLUMNS).unionByName(earlier.select(*COLUMNS)), "combined")
-    return output(settlement_filters(agency(combined)), ordered)
+    combined = later.select(*FINAL_COLUMNS).unionByName(earlier.select(*FINAL_COLUMNS))
+    return output(settlement_filters(agency(materialize(combined, "combined"))), ordered)

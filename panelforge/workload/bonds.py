@@ -112,7 +112,7 @@ def settlement_filters(t):
     "yld_pt",
 )
 def clean_trades(t):
-    return trades.clean_trades(t.trades, TRADE_START, TRADE_END)
+    return trades.clean_trades(materialize(t.trades, "reports"), TRADE_START, TRADE_END)
 
 
 @query(

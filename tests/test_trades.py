@@ -30,16 +30,16 @@ def table(spark, rows):
 
 
 def clean_by_hand(rows):
-    """Plain-Python cleaning of a small list of reports."""
+    """Plain-Python cleaning of a small list of reports; a key with a missing part matches nothing."""
     cut = dt.date(2012, 2, 6)
     same = ("cusip_id", "msg_seq_nb", "entrd_vol_qt", "rptd_pr", "rpt_side_cd", "cntra_mp_id", "trd_exctn_dt", "trd_exctn_tm")
     key = lambda r: tuple(r[c] for c in same)
     original = lambda r: tuple(r["orig_msg_seq_nb"] if c == "msg_seq_nb" else r[c] for c in same)
     late, early = [r for r in rows if r["trd_rpt_dt"] >= cut], [r for r in rows if r["trd_rpt_dt"] < cut]
     dropped = {key(r) for r in late if r["trc_st"] in "XC"} | {original(r) for r in late if r["trc_st"] == "Y"}
-    out = [r for r in late if r["trc_st"] in "TR" and key(r) not in dropped]
+    out = [r for r in late if r["trc_st"] in "TR" and (None in key(r) or key(r) not in dropped)]
     cancelled = {original(r) for r in early if r["trc_st"] == "C"}
-    kept = [r for r in early if r["trc_st"] == "T" and key(r) not in cancelled]
+    kept = [r for r in early if r["trc_st"] == "T" and (None in key(r) or key(r) not in cancelled)]
     waiting = [r for r in early if r["trc_st"] == "W"]
     own = lambda r: (r["cusip_id"], r["trd_exctn_dt"], r["msg_seq_nb"])
     target = lambda r: (r["cusip_id"], r["trd_exctn_dt"], r["orig_msg_seq_nb"])
