@@ -22,6 +22,12 @@ def lag_month(value: str, entity: str, month: str) -> Column:
     return F.when(F.lag(month).over(window) == F.add_months(month, -1), F.lag(value).over(window))
 
 
+def shift_year(value: str, entity: str, year: str, years: int) -> Column:
+    """Value of the previous (``years=1``) or next (``years=-1``) year, NULL when that year is missing."""
+    window = Window.partitionBy(entity).orderBy(year)
+    return F.when(F.lag(year, years).over(window) == F.col(year) - years, F.lag(value, years).over(window))
+
+
 def fill_down(value: str, by: Sequence[str], order: str) -> Column:
     """Last known value up to the current row."""
     window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.scalars import ratio
 from panelforge.operators.aggregates import keep_group_maximum
-from panelforge.operators.joins import join_shifted_year
+from panelforge.operators.windows import shift_year
 
 # Standard reporting format.
 FORMAT = {"indfmt": "INDL", "datafmt": "STD", "consol": "C"}
@@ -45,7 +45,8 @@ def last_filing_per_year(filings: DataFrame) -> DataFrame:
 
 
 def asset_growth(yearly: DataFrame) -> DataFrame:
-    lagged = join_shifted_year(yearly, ["gvkey"], "year", {"at": "at_lag"}, 1)
+    """Growth over the previous calendar year; the table has one row per (gvkey, year)."""
+    lagged = yearly.withColumn("at_lag", shift_year("at", "gvkey", "year", 1))
     growth = F.col("at") / F.nullif(F.col("at_lag"), F.lit(0.0)) - 1
     return lagged.withColumn("inv", F.when(F.col("at_lag") > 0, growth))
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from panelforge.functions.dates import month_of
 from panelforge.operators.aggregates import summarize
 from panelforge.operators.fixed_effects import two_way_fit, within_fit
-from panelforge.operators.joins import join_shifted_year
 from panelforge.operators.regression import cluster_covariance, ols, winsorize
 from panelforge.operators.reshape import to_long
+from panelforge.operators.windows import shift_year
 from panelforge.storage import materialize
 
 MEASURES = ("investment_lead", "cash_flows", "tobins_q")
@@ -18,11 +18,14 @@ Y, XS = "investment_lead", ["cash_flows", "tobins_q"]
 
 
 def investment_inputs(accounts: DataFrame, panel: DataFrame) -> DataFrame:
-    """Next year's investment, cash flows and market-to-book of assets; complete rows only."""
+    """Next year's investment, cash flows and market-to-book of assets; complete rows only.
+
+    Both year shifts are windows over one row per (gvkey, year), so they share one shuffle.
+    """
     base = accounts.select("gvkey", "year", "datadate", "at", "be", "txdb", "capx", "oancf")
-    lagged = join_shifted_year(base, ["gvkey"], "year", {"at": "at_lag"}, 1).where("at > 0 AND at_lag > 0")
+    lagged = base.withColumn("at_lag", shift_year("at", "gvkey", "year", 1)).where("at > 0 AND at_lag > 0")
     scaled = lagged.withColumns({"investment": F.col("capx") / F.col("at_lag"), "cash_flows": F.col("oancf") / F.col("at_lag")})
-    led = join_shifted_year(scaled, ["gvkey"], "year", {"investment": "investment_lead"}, -1)
+    led = scaled.withColumn("investment_lead", shift_year("investment", "gvkey", "year", -1))
     sized = led.withColumn("month", month_of("datadate")).join(panel.select("gvkey", "month", "mktcap"), ["gvkey", "month"], "left")
     q = (F.col("mktcap") + F.col("at") - F.col("be") + F.col("txdb")) / F.col("at")
     return sized.withColumn("tobins_q", q).select("gvkey", "year", *MEASURES).dropna()

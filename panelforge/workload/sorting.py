@@ -388,7 +388,7 @@ def book_to_market(t):
 
 @query("sorting_panel", SORTING, "ret_excess mktcap_lag me bm")
 def sorting_panel(t):
-    return value_sorts.sorting_panel(t.linked, t.book)
+    return value_sorts.sorting_panel(t.stored_linked, t.book)
 
 
 @query("double_sort_independent", cells_sql(INDEPENDENT), "ret")

@@ -328,11 +328,14 @@ class Tables:
     def beta(self) -> DataFrame:
         return materialize(betas.beta_table(self.beta_monthly, self.beta_daily), "beta")
 
+    @cached_property
+    def stored_linked(self) -> DataFrame:
+        return materialize(self.linked, "linked")
+
     @cached_property
     def book(self) -> DataFrame:
-        return value_sorts.book_to_market(self.accounts, self.linked)
+        return value_sorts.book_to_market(self.accounts, self.stored_linked)
 
     @cached_property
     def sorting(self) -> DataFrame:
-        linked = materialize(self.linked, "linked")
-        return materialize(value_sorts.sorting_panel(linked, value_sorts.book_to_market(self.accounts, linked)), "sorting")
+        return materialize(value_sorts.sorting_panel(self.stored_linked, self.book), "sorting")
