@@ -65,7 +65,6 @@ def test_delisting_branches(spark):
 
 def test_links_open_and_overlapping(spark):
     panel = spark.createDataFrame([(1, day("2000-06-30")), (2, day("2000-06-30")), (3, day("2000-06-30"))], "permno int, date date")
-    link = (1, "P", 1)
     rows = [(1, "A", "LU", "P", 1, day("1999-01-01"), None), (2, "B", "LC", "C", 1, day("1999-01-01"), day("2000-12-31")),
             (2, "C", "LU", "P", 1, day("2000-01-01"), None), (3, "D", "LX", "P", 1, day("1990-01-01"), None)]
     links = spark.createDataFrame(rows, schemas.LINKS)
@@ -73,7 +72,7 @@ def test_links_open_and_overlapping(spark):
     assert got == [(1, "A"), (2, "B"), (2, "C"), (3, "")]
     assert [(r["permno"], r["links"]) for r in mp.overlapping_links(panel, links, "2001-01-01").collect()] == [(2, 2)]
     closed = mp.link_entities(panel, links, "2000-01-15").where("permno = 1").first()
-    assert closed["gvkey"] is None and link
+    assert closed["gvkey"] is None
 
 
 def test_daily_panel_adds_and_cuts(spark):
