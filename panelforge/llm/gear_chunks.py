@@ -2,9 +2,8 @@
 
 A gear hash rolls over the UTF-8 bytes of every whole text; a chunk ends where the hash has a given pattern, but not before
 ``MIN_BYTES`` and no later than ``MAX_BYTES``.  Cuts depend on the bytes just before them only, so an insertion moves the
-cuts around itself and leaves the others.  Chunks with equal 128-bit digests are copies; the occurrence with the smallest
-(id, position) is their keeper.  A run of consecutive copied chunks that lie in the same order behind one another in one
-keeper is a repeated span; spans of ``MIN_SPAN_WORDS`` or more are reported.  A passage loses less than one chunk at either
+cuts around itself and leaves the others.  Chunks with equal 128-bit digests in several documents are copies; the occurrence with the smallest
+(id, position) is their keeper.  A run of consecutive copied chunks with one keeper is a repeated span; spans of ``MIN_SPAN_WORDS`` or more are reported.  A passage loses less than one chunk at either
 end, so passages of over 50 words are found, while shared lines of a dozen words are left alone.
 
 Digests are counted by partial aggregation and joined back, so a chunk that a third of all documents share is never
@@ -113,30 +112,34 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Chunks that occur twice or more, each with its keeper.  Chunks are cut again for the join instead of being stored."""
+    """Chunks that occur in two documents or more, each with its keeper.  Chunks are cut again for the join instead of being stored."""
     cut = chunks(docs, id_col, text_col)
-    keepers = cut.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first")).where("n > 1")
+    keepers = cut.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
     keepers = keepers.select("hi", "lo", F.col("first.doc_id").alias("keeper_id"), F.col("first.start").alias("keeper_start"))
     return cut.join(keepers, ["hi", "lo"]).drop("hi", "lo")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS) -> DataFrame:
-    """One row per repeated span: document, byte range, words, the keeper's range, and whether this is the keeper.
+    """One row per repeated span: document, byte range, words, the keeper's first byte, and whether this is the keeper.
 
-    Runs are found by aggregation: the chunks of a run have one keeper and one distance to it, and their numbers are
-    consecutive within that group, which holds chunks of one document only.
+    The chunks of a run have one keeper and consecutive numbers; the keeper's own chunks and further copies inside the
+    keeper are told apart.  Runs are found within one document and keeper, so no window is larger than a document.
     """
-    copies = materialize(repeated_chunks(docs, id_col, text_col).withColumn("shift", F.col("start") - F.col("keeper_start")), "chunk-copies")
-    line = Window.partitionBy("doc_id", "keeper_id", "shift").orderBy("chunk")
+    copies = materialize(repeated_chunks(docs, id_col, text_col), "chunk-copies")
+    own = (F.col("doc_id") == F.col("keeper_id")) & (F.col("start") == F.col("keeper_start"))
     # repeated rows of one document give every chunk as often: keep one of each
-    single = copies.dropDuplicates(["doc_id", "keeper_id", "shift", "chunk"])
+    single = copies.withColumn("is_keeper", own).dropDuplicates(["doc_id", "keeper_id", "is_keeper", "chunk"])
+    line = Window.partitionBy("doc_id", "keeper_id", "is_keeper").orderBy("chunk")
     runs = single.withColumn("run", F.col("chunk") - F.row_number().over(line))
-    spans = runs.groupBy("doc_id", "keeper_id", "shift", "run").agg(
-        F.min("start").alias("span_start"), F.max(F.col("start") + F.col("bytes")).alias("span_end"), F.sum("words").alias("n_words"), F.count("*").alias("n_chunks")
+    spans = runs.groupBy("doc_id", "keeper_id", "is_keeper", "run").agg(
+        F.min("start").alias("span_start"),
+        F.max(F.col("start") + F.col("bytes")).alias("span_end"),
+        F.sum("words").alias("n_words"),
+        F.count("*").alias("n_chunks"),
+        F.min_by("keeper_start", "chunk").alias("keeper_start"),
     )
     return spans.where(F.col("n_words") >= min_words).select(
-        "doc_id", "span_start", "span_end", "n_words", "n_chunks", "keeper_id", (F.col("span_start") - F.col("shift")).alias("keeper_start"),
-        ((F.col("doc_id") == F.col("keeper_id")) & (F.col("shift") == 0)).alias("is_keeper"),
+        "doc_id", "span_start", "span_end", "n_words", "n_chunks", "keeper_id", "keeper_start", "is_keeper"
     )
 
 

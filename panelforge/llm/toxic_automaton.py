@@ -39,6 +39,10 @@ MIN_NEIGHBOURS = 4
 MAX_CANDIDATES = 5_000
 MAX_TERMS = 500
 
+#: Weight of a text's further matches, and documents that the assumed weight of a misspelling counts for.
+FURTHER = 0.1
+ASSUMED_ROWS = 2.0
+
 #: Words on either side of a match that are searched for quotation marks and verbs of speech.
 WINDOW = 8
 SPEECH = frozenset("said says say wrote writes called calls quoted quote quotes term word word's".split())
@@ -47,6 +51,7 @@ _OPEN, _CLOSE = "\"“„«‹'‘", "\"”“»›'’"
 _EDGES = string.punctuation + "“”„«»‹›‘’…–—¿¡"
 _CACHE = 200_000
 _STATES = 50_000
+_PLACES = 63
 
 
 def bare(word: bytes) -> str:
@@ -157,10 +162,11 @@ class Matcher(dict):
         return found
 
     def features(self, text: bytes | None) -> set[tuple[int, int, int]]:
-        """Distinct (term, misspelled, quoted) of a text."""
+        """Distinct (term, misspelled, quoted) of a text; misspelled ones count where no term is spelled right."""
         words = text.split() if text else []
         hits = [(i, hit) for i, hit in enumerate(map(self.__getitem__, words)) if hit]
-        return {(term, int(edits > 0), quotation(words, i)) for i, (edits, term) in hits}
+        exact = [(i, hit) for i, hit in hits if not hit[0]]
+        return {(term, int(edits > 0), quotation(words, i)) for i, (edits, term) in exact or hits}
 
 
 def quotation(words: list[bytes], at: int) -> int:
@@ -185,11 +191,9 @@ class Model:
             return 0.0
         if not features:
             return 1.0 / (1.0 + math.exp(-(self.prior + self.none)))
-        best: dict[int, float] = {}
-        for f in features:
-            best[f[0]] = max(best.get(f[0], -9.0), self.weights.get(f, 0.0))
-        # matches that say nothing leave a text where texts without matches are
-        total = max(self.none + sum(w for w in best.values() if w > 0), self.none)
+        weights = sorted(((self.weights.get(f, 0.0), f) for f in features), reverse=True)
+        # terms of a text go together, so the strongest match counts in full and each further one a little
+        total = weights[0][0] + sum(FURTHER * w for w, _ in weights[1:] if w > 0)
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.prior + total))))
 
 
@@ -218,7 +222,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for word in (text or b"").split():
                 term = bare(word)
                 if len(term) > 2 and term.isalpha():
-                    bit = 1 << crc32(before) % 63
+                    bit = 1 << crc32(before) % _PLACES
                     for t in (term, *(term[:n] + "*" for n in STEM_LENGTHS if len(term) >= n)):
                         seen[t] = seen.get(t, 0) | bit
                 before = word
@@ -270,8 +274,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = materialize(counted, "terms")
     # a term must stand in so many toxic texts that chance would not give one such term among all
     enough = max(3.0, (math.log(max(2, counted.count())) + 1.0) / math.log((positive + negative) / positive))
+    # and follow at least half as many different words as it would if it stood in different places everywhere
+    spread = 0.5 * _PLACES * (1.0 - F.exp(-F.col("pos") / _PLACES))
     found = counted.where(
-        (F.col("pos") >= enough) & (F.col("pos") >= MIN_PRECISION * (F.col("pos") + F.col("neg"))) & (F.bit_count("after") >= MIN_NEIGHBOURS)
+        (F.col("pos") >= enough)
+        & (F.col("pos") >= MIN_PRECISION * (F.col("pos") + F.col("neg")))
+        & (F.bit_count("after") >= F.greatest(F.lit(float(MIN_NEIGHBOURS)), spread))
     )
     candidates = [(r["term"], r["pos"]) for r in found.orderBy(F.desc("pos"), "term").limit(MAX_CANDIDATES).collect()]
     terms = choose_terms(candidates)
@@ -289,15 +297,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     measured = rows.mapInArrow(present, "term long, misspelled long, quoted long, pos long, neg long")
     measured = measured.groupBy("term", "misspelled", "quoted").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    seen = {(r["term"], r["misspelled"], r["quoted"]): (r["pos"], r["neg"]) for r in measured.collect()}
+
+    def ratio(key: tuple[int, int, int]) -> float:
+        pos, neg = seen.get(key, (0, 0))
+        return math.log((pos + 0.5) / (positive + 1.0)) - math.log((neg + 0.5) / (negative + 1.0))
+
+    def towards(key: tuple[int, int, int], assumed: float) -> float:
+        n = sum(seen.get(key, (0, 0)))
+        return (n * ratio(key) + ASSUMED_ROWS * assumed) / (n + ASSUMED_ROWS)
+
+    none = ratio((-1, 0, 0))
     weights = {}
-    for r in measured.collect():
-        ratio = math.log((r["pos"] + 0.5) / (positive + 1.0)) - math.log((r["neg"] + 0.5) / (negative + 1.0))
-        weights[r["term"], r["misspelled"], r["quoted"]] = ratio
-    none = weights.pop((-1, 0, 0), 0.0)
-    for number in range(len(terms)):  # contexts never seen take half the weight of the plain one
-        for misspelled in (0, 1):
-            plain = weights.setdefault((number, misspelled, 0), 0.5 * weights.get((number, 0, 0), 0.0))
-            weights.setdefault((number, misspelled, 1), 0.5 * plain)
+    for number in range(len(terms)):
+        weights[number, 0, 0] = ratio((number, 0, 0))
+        weights[number, 1, 0] = towards((number, 1, 0), 0.75 * weights[number, 0, 0])
+        for misspelled in (0, 1):  # a report of abuse is assumed to weigh half as much
+            weights[number, misspelled, 1] = towards((number, misspelled, 1), 0.5 * weights[number, misspelled, 0])
     return Model(terms, weights, math.log(positive / negative), none)
 
 
