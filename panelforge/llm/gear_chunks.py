@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import bounded_batches
 from panelforge.storage import materialize
 
-MIN_BYTES = 16
+MIN_BYTES = 8
 MASK_BITS = 5
 MAX_BYTES = 96
-MIN_SPAN_WORDS = 24
+MIN_SPAN_WORDS = 20
 
 #: The table of the gear hash, from a rule: one hash per byte value.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 2024) for b in range(256)], np.uint64)
