@@ -161,9 +161,10 @@ WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, {lower} AS lower F
 templates(template, label, words, needed) AS (VALUES {values}),
 phrases(phrase, label, n) AS (VALUES {phrases}),
 worded AS (SELECT *, regexp_extract_all(lower, '[^{BETWEEN}]+') AS w FROM numbered),
-starts AS (
-  SELECT row, label, i - 1 AS start FROM (SELECT row, w, unnest(generate_series(1, len(w))) AS i FROM worded) p, phrases
-  WHERE array_to_string(w[i:i + n - 1], ' ') = phrase),
+tokens AS (
+  SELECT row, i, word, word || ' ' || lead(word) OVER o AS two, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS three
+  FROM (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM worded) WINDOW o AS (PARTITION BY row ORDER BY i)),
+starts AS (SELECT row, label, i - 1 AS start FROM tokens JOIN phrases ON phrase = CASE n WHEN 2 THEN two ELSE three END),
 base AS (SELECT row, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS labels FROM starts GROUP BY row),
 lines AS (SELECT row, list_distinct(regexp_extract_all(line, '[^{BETWEEN}]+')) AS w FROM (SELECT row, unnest(string_split(lower, chr(10))) AS line FROM numbered)),
 met AS (

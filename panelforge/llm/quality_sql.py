@@ -11,8 +11,10 @@ def sql() -> str:
 WITH numbered AS (
   SELECT row_number() OVER () AS row, doc_id, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS host, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '{WORD_PATTERN}') AS w FROM documents),
-triples AS (SELECT row, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t FROM (SELECT row, w, unnest(generate_series(1, len(w) - 2)) AS i FROM numbered)),
-again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, t) AS n FROM triples) WHERE n > 1),
+triples AS (
+  SELECT row, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS t
+  FROM (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM numbered) WINDOW o AS (PARTITION BY row ORDER BY i)),
+again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, t) AS n FROM triples WHERE t IS NOT NULL) WHERE n > 1),
 repeated AS (SELECT row, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY row),
 lines AS (
   SELECT row, count(*) - count(DISTINCT line) AS n FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM numbered)

@@ -1,6 +1,7 @@
 """Benchmark decontamination by template windows and slot consistency.
 
-Texts become templates: numbers, names (capitalised words within a sentence; neighbouring ones are one name) and units
+Texts become templates: numbers, names (capitalised words
+within a sentence, unless all in capitals; neighbouring ones are one name) and units
 after numbers are replaced by typed placeholders, other words are lower-cased and stripped of punctuation.  Windows of
 ``WINDOW`` template words of every item are hashed; the windows of every document are joined to them by hash.  Matches of
 an item on one alignment give a mapping from the item's slot values to the document's.  It must be one to one, so that a
@@ -81,7 +82,7 @@ class Templates(dict):
             flag = 0 if core else _EMPTY
             if _DIGITS.match(low):
                 flag |= _NUMBER
-            elif core[:1].isupper():
+            elif core[:1].isupper() and not core.isupper():
                 flag |= _CAPITAL
             if low in UNITS:
                 flag |= _UNIT
