@@ -24,10 +24,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator / F.nullif(denominator, F.lit(0.0))
 
 
-def first_known(*values: Column) -> Column:
-    return F.coalesce(*values)
-
-
 def zero_to_null(value: Column) -> Column:
     return F.when(value != 0, value)
 
@@ -36,6 +32,11 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def finite(value: Column) -> Column:
+    """NULL for NaN and infinities."""
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def all_of(*predicates: Column) -> Column:
     return reduce(lambda a, b: a & b, predicates)
 

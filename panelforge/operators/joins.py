@@ -10,13 +10,26 @@ from pyspark.sql import functions as F
 from panelforge.functions.dates import shift_months
 
 
+def one_row_per(df: DataFrame, key: str) -> DataFrame:
+    """Rows with a known ``key``; the job fails when two different rows share one, instead of choosing between them."""
+    rest = [c for c in df.columns if c != key]
+    known = df.where(F.col(key).isNotNull())
+    if not rest:
+        return known.distinct()
+    message = F.concat(F.lit(f"several rows for one {key}: "), F.col(key).cast("string"))
+    rows = F.collect_set(F.struct(*[F.col(f"`{c}`") for c in rest]))
+    single = known.groupBy(key).agg(rows.alias("__rows"))
+    checked = F.when(F.size("__rows") == 1, F.col("__rows")[0]).otherwise(F.raise_error(message))
+    return single.select(key, checked.alias("__row")).select(*[F.col(f"__row.`{c}`").alias(c) if c != key else F.col(key) for c in df.columns])
+
+
 def period_lookup(df: DataFrame, period: str) -> DataFrame:
     """Broadcastable lookup with one row per calendar period.
 
-    Deduplication on the period bounds the table by the calendar (about 120,000 months or 3.7 million days are
-    all that a DATE can hold, a few thousand in practice), whatever the size of the input.
+    One row per period bounds the table by the calendar (about 120,000 months or 3.7 million days are all that a DATE
+    can hold, a few thousand in practice), whatever the size of the input.
     """
-    return F.broadcast(df.dropDuplicates([period]))
+    return F.broadcast(one_row_per(df, period))
 
 
 def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:

@@ -166,39 +166,35 @@ def ntile(
     descending: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Equal-count buckets 1..n of ``value`` within each group, ties ordered by the numeric column ``tie``.
+    """Equal-count buckets 1..n of ``value`` within each group, ties ordered by the column ``tie``.
 
-    Rows with a missing value are dropped.  Groups beyond the bound are not sorted: the last row of each bucket is
-    found by rank, and rows are compared with those at most ``n - 1`` edges.
+    Rows with a missing value are dropped.  Groups up to the bound are one window each; larger ones are numbered by
+    places in one distributed sort.  Both compare value and tie in their own types and split equal rows by count.
     """
     known = df.where(F.col(value).isNotNull())
-    sign = -1 if descending else 1
-    profile = profile_groups(known.select(*by), by)
-    if profile.largest <= max_group_rows:
-        order = F.col(value).desc() if descending else F.col(value).asc()
-        return known.withColumn(name, F.ntile(n).over(Window.partitionBy(*by).orderBy(order, F.col(tie))))
-
-    keys = list(by)
-    signal = (F.col(value) * sign).cast("double")
-    rows = known.select(*keys, signal.alias("__v"), F.lit(1).cast("long").alias("__c"))
-    sizes = materialize(rows.groupBy(*keys).agg(F.count("__v").alias("__n")), "sizes")
-    edges = sizes.select(*keys, F.explode(_last_rank_of_buckets(F.col("__n"), n)).alias("__rank")).where("__rank >= 0").distinct()
-    at_value = materialize(select_ranks(rows, keys, edges, max_group_rows), "edges")
-
-    tied_keys = [*keys, "__v"]
-    tied = known.select(*keys, signal.alias("__v"), F.col(tie).cast("double").alias("__t"))
-    tied = join_groups(tied, at_value.select(*tied_keys).distinct(), tied_keys, "left_semi")
-    tied = tied.withColumnsRenamed({"__v": "__edge", "__t": "__v"}).withColumn("__c", F.lit(1).cast("long"))
-    within = at_value.select(*keys, F.col("__v").alias("__edge"), (F.col("__rank") - F.col("__below")).alias("__rank"))
-    exact = select_ranks(materialize(tied, "tied"), [*keys, "__edge"], within, max_group_rows)
-    limits = exact.groupBy(*keys).agg(F.collect_list(F.struct(F.col("__edge").alias("v"), F.col("__v").alias("t"))).alias("__limits"))
-    own = F.struct(signal.alias("v"), F.col(tie).cast("double").alias("t"))
-    limited = join_groups(known, broadcast_if_small(limits, profile.groups, n), keys, "left")
-    passed = F.size(F.filter("__limits", lambda e: e < own))
-    return limited.withColumn(name, F.when(F.col("__limits").isNull(), 1).otherwise(passed + 1)).drop("__limits")
-
-
-def _last_rank_of_buckets(size: Column, n: int) -> Column:
-    """0-based ranks of the last row of buckets 1..n-1; the first ``size % n`` buckets get one row more."""
+    order = [F.col(value).desc() if descending else F.col(value).asc(), F.col(tie).asc()]
+    if profile_groups(known.select(*by), by).largest <= max_group_rows:
+        return known.withColumn(name, F.ntile(n).over(Window.partitionBy(*by).orderBy(*order)))
+    place, size = F.col("__place"), F.col("__size")
     base, extra = F.floor(size / n), size % n
-    return F.array(*[(base * j + F.least(extra, F.lit(j)) - 1).cast("long") for j in range(1, n)])
+    wide = extra * (base + 1)
+    bucket = F.when(place < wide, F.floor(place / (base + 1))).otherwise(F.floor((place - wide) / F.greatest(base, F.lit(1))) + extra) + 1
+    return number_rows(known, list(by), order).withColumn(name, bucket.cast("int")).drop("__place", "__size")
+
+
+def number_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """0-based place ``__place`` of every row in its group and rows ``__size`` of the group, at any group size.
+
+    Rows are range-partitioned by group and order and written, so a large group lies in many parts; a place is the
+    rows of the group in earlier parts plus the place within the part.  Rows that tie are spread by a hash.
+    """
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    sorted_parts = df.repartitionByRange(*[F.col(k) for k in keys], *order, spread)
+    parts = materialize(sorted_parts.withColumn("__part", F.spark_partition_id()), "ranges")
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumns({"__before": F.coalesce(F.sum("__n").over(earlier), F.lit(0)), "__size": F.sum("__n").over(group)}).drop("__n")
+    within = F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*order))
+    numbered = join_groups(parts.withColumn("__within", within), counts, [*keys, "__part"])
+    return numbered.withColumn("__place", F.col("__before") + F.col("__within") - 1).drop("__before", "__within", "__part")

@@ -11,21 +11,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.functions.dates import month_index
+from panelforge.functions.scalars import finite
+
 
 def lag_row(value: str, by: Sequence[str], order: str, offset: int = 1) -> Column:
     return F.lag(value, offset).over(Window.partitionBy(*by).orderBy(order))
 
 
 def lag_month(value: str, entity: str, month: str) -> Column:
-    """Value of the previous calendar month, NULL when that month is missing (one shuffle, no self join)."""
-    window = Window.partitionBy(entity).orderBy(month)
-    return F.when(F.lag(month).over(window) == F.add_months(month, -1), F.lag(value).over(window))
+    """Value of the previous calendar month, NULL when that month is missing (one shuffle, no self join).
+
+    The frame is the previous month itself, so every row of a month gets the same value; where the previous month has
+    several rows it is their largest.
+    """
+    return F.max(value).over(Window.partitionBy(entity).orderBy(month_index(month)).rangeBetween(-1, -1))
 
 
 def shift_year(value: str, entity: str, year: str, years: int) -> Column:
-    """Value of the previous (``years=1``) or next (``years=-1``) year, NULL when that year is missing."""
-    window = Window.partitionBy(entity).orderBy(year)
-    return F.when(F.lag(year, years).over(window) == F.col(year) - years, F.lag(value, years).over(window))
+    """Value of the previous (``years=1``) or next (``years=-1``) year, NULL when that year is missing; the largest of several."""
+    return F.max(value).over(Window.partitionBy(entity).orderBy(year).rangeBetween(-years, -years))
 
 
 def fill_down(value: str, by: Sequence[str], order: str) -> Column:
@@ -46,23 +51,13 @@ def label_extremes(df: DataFrame, bucket: str, by: Sequence[str], name: str = "l
     return df.withColumn(name, F.when(F.col(bucket) == lowest, low).when(F.col(bucket) == highest, high).otherwise("other"))
 
 
-def rolling_sums(df: DataFrame, terms: dict[str, Column], entity: str, order: str, before: tuple, until: tuple) -> DataFrame:
-    """Sums of ``terms`` over a moving frame as differences of running totals.
+def rolling_sums(df: DataFrame, terms: dict[str, Column], entity: str, order: str, frame: tuple[str, int, int]) -> DataFrame:
+    """Sums of ``terms`` over a moving frame ``("rows" | "range", first offset, last offset)``.
 
-    ``until`` and ``before`` are ``("rows" | "range", offset)``: the frame ends at offset ``until`` and starts right
-    after offset ``before``.  Running totals cost one step per row, where a moving frame would add up its whole width
-    again for each row.
+    Every frame is added up on its own: a NaN or infinite term counts as missing, and a huge one is gone as soon as the
+    frame has passed it, which differences of running totals cannot promise.
     """
+    kind, first, last = frame
     ordered = Window.partitionBy(entity).orderBy(order)
-
-    def upto(bound: tuple):
-        kind, offset = bound
-        build = ordered.rowsBetween if kind == "rows" else ordered.rangeBetween
-        return build(Window.unboundedPreceding, offset)
-
-    totals = F.struct(*[F.coalesce(F.sum(t).over(ordered.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)).alias(k) for k, t in terms.items()])
-    out = df.withColumn("__total", totals)
-    out = out.withColumns({"__end": F.last("__total").over(upto(until)), "__start": F.last("__total").over(upto(before))})
-    zero = F.lit(0.0)
-    sums = {k: F.coalesce(F.col(f"__end.{k}"), zero) - F.coalesce(F.col(f"__start.{k}"), zero) for k in terms}
-    return out.withColumns(sums).drop("__total", "__end", "__start")
+    window = ordered.rowsBetween(first, last) if kind == "rows" else ordered.rangeBetween(first, last)
+    return df.withColumns({k: F.coalesce(F.sum(finite(t)).over(window), F.lit(0.0)) for k, t in terms.items()})

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.dates import month_index, months_apart
+from panelforge.functions.scalars import finite
 from panelforge.operators.aggregates import keep_min_rows, share_known, summarize
 from panelforge.operators.joins import period_lookup
 from panelforge.operators.quantiles import exact_quantiles, ntile, quantile_rows
@@ -20,7 +21,14 @@ NOISE = 1e-10
 
 
 def with_market(panel: DataFrame, factors: DataFrame, period: str) -> DataFrame:
-    return panel.join(period_lookup(factors.select(period, X), period), period, "left")
+    """The market return less its mean over the calendar, which leaves slopes as they are and keeps sums of squares small.
+
+    The lookup has one row per period, so its unpartitioned window is bounded by the calendar.  Values that are no
+    finite numbers count as missing on both sides.
+    """
+    market = period_lookup(factors.select(period, finite(F.col(X)).alias(X)), period)
+    centred = F.col(X) - F.avg(X).over(Window.partitionBy(F.lit(0)))
+    return panel.withColumn(Y, finite(F.col(Y))).join(F.broadcast(market.withColumn(X, centred)), period, "left")
 
 
 def _pair_terms() -> dict[str, Column]:
@@ -50,8 +58,8 @@ def beta_monthly(
     """Rolling slope of excess returns on the market over ``months`` calendar months (or ``rows`` preceding rows)."""
     data = keep_min_rows(panel, "permno", min_history) if min_history else panel
     data = with_market(data.select("permno", "month", Y), factors, "month").withColumn("__mi", month_index("month"))
-    before = ("range", -months) if rows is None else ("rows", -(rows + 1))
-    out = rolling_sums(data, _pair_terms(), "permno", "__mi", before, ("rows", 0))
+    width = ("range", -(months - 1), 0) if rows is None else ("rows", -rows, 0)
+    out = rolling_sums(data, _pair_terms(), "permno", "__mi", width)
     if require_consecutive:
         frame = Window.partitionBy("permno").orderBy("__mi")
         frame = frame.rangeBetween(-(months - 1), 0) if rows is None else frame.rowsBetween(-rows, 0)
@@ -73,7 +81,7 @@ def beta_daily(
     terms = _pair_terms()
     monthly = data.groupBy("permno", "month").agg(*[F.sum(t).alias(k) for k, t in terms.items()])
     monthly = monthly.withColumn("__mi", month_index("month"))
-    out = rolling_sums(monthly, {k: F.col(k) for k in terms}, "permno", "__mi", ("range", -months), ("rows", 0))
+    out = rolling_sums(monthly, {k: F.col(k) for k in terms}, "permno", "__mi", ("range", -(months - 1), 0))
     out = out.where(F.col("n") >= min_obs)
     return out.select("permno", "month", _slope().alias("beta_daily"), F.col("n").cast("long").alias("n_obs")).dropna(subset=["beta_daily"])
 
@@ -81,7 +89,7 @@ def beta_daily(
 def beta_trailing_days(daily: DataFrame, factors: DataFrame, days: int = 90, min_obs: int = 50) -> DataFrame:
     """Slope over the ``days`` rows before the current one."""
     data = with_market(daily.select("permno", "date", Y), factors, "date")
-    out = rolling_sums(data, _pair_terms(), "permno", "date", ("rows", -(days + 1)), ("rows", -1))
+    out = rolling_sums(data, _pair_terms(), "permno", "date", ("rows", -days, -1))
     return out.where(F.col("n") >= min_obs).select("permno", "date", _slope().alias("beta")).dropna(subset=["beta"])
 
 

@@ -69,10 +69,10 @@ def valid_names(returns: DataFrame, names: DataFrame) -> DataFrame:
     return join_validity(returns, common, "permno", "date", "namedt", "nameendt").drop("namedt", "nameendt")
 
 
-def one_delisting(delistings: DataFrame) -> DataFrame:
-    """The latest delisting record of each security."""
-    last = F.max_by(F.struct("dlstdt", "dlret", "dlstcd"), "dlstdt").alias("d")
-    return delistings.groupBy("permno").agg(last).select("permno", "d.*")
+def delistings_by_month(delistings: DataFrame) -> DataFrame:
+    """The delisting record of each security and month, the latest where a month has several."""
+    last = F.max_by(F.struct("dlret", "dlstcd"), F.struct("dlstdt", "dlstcd", "dlret")).alias("d")
+    return delistings.groupBy("permno", month_of("dlstdt").alias("month")).agg(last).select("permno", "month", "d.*")
 
 
 def add_excess_return(df: DataFrame, risk_free: DataFrame, period: str, ret: str = "ret") -> DataFrame:
@@ -83,7 +83,7 @@ def add_excess_return(df: DataFrame, risk_free: DataFrame, period: str, ret: str
 
 def classified_returns(returns: DataFrame, names: DataFrame, delistings: DataFrame) -> DataFrame:
     """Monthly returns with size, lagged size, classifications and delisting-adjusted return (no row filter)."""
-    exits = one_delisting(delistings).select("permno", month_of("dlstdt").alias("month"), "dlret", "dlstcd")
+    exits = delistings_by_month(delistings)
     panel = valid_names(returns.withColumn("month", month_of("date")), names)
     panel = panel.join(exits, ["permno", "month"], "left")
     panel = panel.withColumn("mktcap", market_cap(F.col("shrout"), F.col("altprc")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelforge.functions.dates import month_of, parse_yyyymm, parse_yyyymmdd
 from panelforge.functions.scalars import text_to_number
 from panelforge.operators.aggregates import rescale_to_last
+from panelforge.operators.joins import one_row_per
 from panelforge.operators.reshape import map_columns, numeric_columns, rename_all, text_columns
 
 # Column names of the published factor files and of the derived tables.
@@ -60,7 +61,7 @@ def macro_predictors(raw: DataFrame, start: str, end: str) -> DataFrame:
     the date filter.
     """
     sheet = map_columns(raw, [c for c in text_columns(raw) if c != "yyyymm"], text_to_number)
-    sheet = sheet.dropDuplicates(["yyyymm"]).withColumn("month", parse_yyyymm(F.col("yyyymm")))
+    sheet = one_row_per(sheet, "yyyymm").withColumn("month", parse_yyyymm(F.col("yyyymm")))
     time = Window.orderBy("month")
     with_dividends = F.ln(F.col("Index") + F.col("D12"))
     sheet = sheet.withColumns(

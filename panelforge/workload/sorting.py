@@ -113,7 +113,7 @@ def beta_industry_order(t):
     "beta_monthly",
 )
 def beta_deciles(t):
-    return betas.beta_deciles(t.beta)
+    return betas.beta_deciles(t.beta_monthly)
 
 
 @query(
@@ -124,7 +124,7 @@ def beta_deciles(t):
     "x",
 )
 def beta_decile_floors(t):
-    return betas.beta_decile_floors(t.beta)
+    return betas.beta_decile_floors(t.beta_monthly)
 
 
 BETA_LONG = """

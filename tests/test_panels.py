@@ -113,3 +113,52 @@ def test_small_ingests(spark):
         [(f"2000{m:02d}", 100.0 + m, 2.0, 3.0, 0.01, "bad" if m == 5 else "0.5", *([0.1] * 8)) for m in range(1, 8)], schemas.MACRO)
     got = sorted(r["month"].month for r in macro_predictors(sheet, "2000-01-01", "2000-12-31").collect())
     assert got == [2, 3, 4, 6]
+
+
+def test_two_delistings_of_one_security_each_count_in_their_month(spark):
+    from panelforge.plans.monthly_panel import delistings_by_month
+
+    rows = spark.createDataFrame(
+        [(1, "2001-03-05", 0.1, 500), (1, "2004-07-09", 0.2, 100), (1, "2004-07-20", 0.3, 100)], "permno int, dlstdt string, dlret double, dlstcd int"
+    ).selectExpr("permno", "to_date(dlstdt) AS dlstdt", "dlret", "dlstcd")
+    found = sorted((str(r["month"]), r["dlret"]) for r in delistings_by_month(rows).collect())
+    assert found == [("2001-03-01", 0.1), ("2004-07-01", 0.3)]
+
+
+def test_two_rows_for_one_period_are_an_error(spark):
+    import pytest
+
+    from panelforge.operators.joins import period_lookup
+
+    rows = spark.createDataFrame([("2001-01", 0.1), ("2001-01", 0.1), ("2001-02", 0.2)], "month string, rf double")
+    assert period_lookup(rows, "month").count() == 2
+    with pytest.raises(Exception, match="several rows for one month"):
+        period_lookup(rows.union(spark.createDataFrame([("2001-02", 0.3)], rows.schema)), "month").collect()
+
+
+def test_lag_month_with_two_rows_in_a_month(spark):
+    from panelforge.operators.windows import lag_month
+
+    rows = spark.createDataFrame([(1, "2001-01-01", 5.0), (1, "2001-02-01", 6.0), (1, "2001-02-01", 7.0), (1, "2001-04-01", 8.0)], "id int, m string, v double")
+    rows = rows.selectExpr("id", "to_date(m) AS m", "v")
+    assert sorted((r["v"], r["l"]) for r in rows.withColumn("l", lag_month("v", "id", "m")).collect()) == [(5.0, None), (6.0, 5.0), (7.0, 5.0), (8.0, None)]
+
+
+def test_rolling_betas_forget_bad_values(spark):
+    import datetime
+
+    import numpy as np
+
+    from panelforge.plans.betas import beta_monthly
+
+    rng = np.random.default_rng(1)
+    months = [datetime.date(2000 + i // 12, i % 12 + 1, 1) for i in range(60)]
+    market = rng.normal(0.5, 0.02, 60)
+    returns = 1.3 * market + rng.normal(0, 0.01, 60)
+    returns[0], returns[1], returns[2] = np.nan, 1e12, np.inf
+    panel = spark.createDataFrame([(1, m, float(r)) for m, r in zip(months, returns)], "permno int, month date, ret_excess double")
+    factors = spark.createDataFrame([(m, float(x)) for m, x in zip(months, market)], "month date, mkt_excess double")
+    found = {r["month"]: r["beta_monthly"] for r in beta_monthly(panel, factors, months=12, min_obs=6).collect()}
+    for i in range(14, 60):
+        expected = np.polyfit(market[i - 11 : i + 1], returns[i - 11 : i + 1], 1)[0]
+        assert abs(found[months[i]] - expected) < 1e-9 * max(1, abs(expected))

@@ -67,6 +67,23 @@ def test_ntile_fewer_rows_than_buckets(spark):
         assert sorted((r["id"], r["b"]) for r in got.collect()) == [(0, 1), (1, 2), (2, 3)]
 
 
+@pytest.mark.parametrize(("schema", "ids"), [
+    ("g string, v double, id string", [f"k{i:04d}" for i in range(101)]),
+    ("g string, v bigint, id bigint", [(1 << 60) + i for i in range(101)]),
+    ("g string, v double, id int", [None if i % 2 else 7 for i in range(101)]),
+])
+def test_ntile_is_the_same_at_every_size(spark, schema, ids):
+    """Text ties, integers beyond 2^53, and repeated or missing ties."""
+    whole = "v bigint" in schema
+    rows = [("g" if i % 3 else None, (1 << 60) + i // 2 if whole else float(i // 10), k) for i, k in enumerate(ids)]
+    frame = spark.createDataFrame(rows, schema)
+    found = []
+    for bound in (10**6, 5):
+        got = ntile(frame, "v", 4, ["g"], "id", "b", max_group_rows=bound).collect()
+        found.append(sorted((str(r["g"]), r["v"], str(r["id"]), r["b"]) for r in got))
+    assert found[0] == found[1]
+
+
 def test_bucket_index_matches_range_join(spark):
     rng = np.random.default_rng(3)
     values = rng.integers(0, 12, 200).astype(float)
