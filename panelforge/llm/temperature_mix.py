@@ -66,14 +66,18 @@ def find_exponent(sources: DataFrame, entropy_share: float | None = ENTROPY_SHAR
         return 1.0
     over_all = math.log(budget / facts["t"]) if budget else None
 
-    def search(fits) -> float:
+    def search(fits, sums: bool = True) -> float:
         """The largest point of [0, 1] that fits, for a condition that fails from some point on."""
+
+        def at(points: list[float]) -> list[tuple[float, float]]:
+            return _weights_at(sources, points) if sums else [(0.0, 0.0)] * len(points)
+
         low, high = 0.0, 1.0
-        if fits(1.0, *_weights_at(sources, [1.0])[0]):
+        if fits(1.0, *at([1.0])[0]):
             return 1.0
         for _ in range(_ROUNDS):
             points = [low + (high - low) * i / (_POINTS + 1) for i in range(1, _POINTS + 1)]
-            good = [a for a, found in zip(points, _weights_at(sources, points), strict=True) if fits(a, *found)]
+            good = [a for a, found in zip(points, at(points), strict=True) if fits(a, *found)]
             width = (high - low) / (_POINTS + 1)
             low = max(good, default=low)
             high = min(high, low + width)
@@ -91,7 +95,7 @@ def find_exponent(sources: DataFrame, entropy_share: float | None = ENTROPY_SHAR
         exponent = search(lambda a, log_z, entropy: entropy >= target - 1e-12)
     if max_repeats is not None:
         limit = math.log(max_repeats)
-        exponent = max(exponent, search(lambda a, log_z, entropy: repeats(a, log_z) > limit + 1e-12))
+        exponent = max(exponent, search(lambda a, log_z, entropy: repeats(a, log_z) > limit + 1e-12, over_all is not None))
     return round(exponent, _DIGITS)
 
 

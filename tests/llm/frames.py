@@ -11,7 +11,7 @@ def empty_documents(spark):
 
 def awkward_documents(spark):
     """NULLs in every column, empty, wordless and very long texts, ties, repeated rows, columns with clashing names."""
-    long_text = " ".join(f"w{i * 7919 % 5003} x{i % 13}," for i in range(30_000))
+    long_text = " ".join(f"w{i * 7919 % 5003} x{i % 13}," for i in range(4_000))
     texts = {
         1: _LINE,
         2: _LINE,

@@ -15,9 +15,10 @@ from tests.llm.frames import awkward_documents, empty_documents
 def slow_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     out = 0
     for bit in range(64):
-        votes = sum(xxhash.xxh64_intdigest(s.encode(), 42) >> bit & 1 for s in shingles)
+        votes = sum(h >> bit & 1 for h in hashes)
         out |= (1 << bit) if votes * 2 > len(shingles) else 0
     return out
 
