@@ -8,8 +8,10 @@ an item on one alignment give a mapping from the item's slot values to the docum
 question asked again with other numbers and names is caught and a form that merely looks alike is not.  A document leaks an
 item when consistent alignments cover ``MIN_CONTAINMENT`` of the item's windows.
 
-Items are read in slices of at most ``SLICE_BYTES`` of text; a slice is a lookup table sent with the tasks, and documents
-pass all slices in one scan, so nothing of the documents is shuffled.
+Items are cut into windows on the executors and stay a table.  A bit map of their hashes, of fixed size, goes with the
+tasks that read documents, so that hardly a window without a partner leaves its task; the rest meet in a hash join, for which
+the items' windows are broadcast only where counting them found at most ``BROADCAST_WINDOWS``.  Slot values travel as 64-bit
+hashes.  Matches are gathered by document and item, after a count has dropped the pairs that cannot reach the threshold.
 
 Defined results: items with fewer than ``MIN_WORDS`` template words, NULL ones included, match nothing; NULL and empty
 documents leak nothing; repeated items and documents are each reported; empty tables give no pairs; extra columns are
@@ -18,23 +20,26 @@ ignored, or passed through by ``without_leaks``.
 
 from __future__ import annotations
 
-import math
 import re
 import string
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import append_columns, fresh
+from panelforge.llm.common import bounded_batches, identified
 from panelforge.storage import materialize
 
 WINDOW = 8
 MIN_WORDS = 4
 MIN_CONTAINMENT = 0.5
-SLICE_BYTES = 2 << 20
+
+#: Windows of items that may be broadcast, some 100 bytes each.
+BROADCAST_WINDOWS = 200_000
 
 #: Units that make a placeholder after a number.
 UNITS = frozenset(
@@ -46,8 +51,12 @@ _NUMBER, _CAPITAL, _SENTENCE, _LINE, _EMPTY, _UNIT = 1, 2, 4, 8, 16, 32
 _EDGES = string.punctuation + "“”„«»‹›‘’…–—¿¡"
 _DIGITS = re.compile(r"[+-]?[\d][\d.,:/^x*+-]*[a-z%]{0,3}$")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 _CACHE = 300_000
-_BITS = 22
+_FLUSH = 50_000
+
+#: The bit map has 2**_BITS bits, 2 MiB.
+_BITS = 24
 
 
 def _hash(text: str) -> int:
@@ -121,113 +130,165 @@ def windows(h: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _values(words: list[bytes], at: np.ndarray, h: np.ndarray, slots: np.ndarray, places: range) -> dict[int, tuple[int, bytes]]:
-    """Slot values by place: kind and lower-cased text up to the next template word."""
-    out = {}
+def keyed_windows(h: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the windows that differ by length as well."""
+    return windows(h, length) + np.uint64(length) * _MIX
+
+
+def _values(words: list[bytes], at: np.ndarray, h: np.ndarray, slots: np.ndarray, memo: dict[int, int], begin: int, length: int) -> tuple[list[int], list[int]]:
+    """Slots of a window: their places in it, and hashes of kind and lower-cased text up to the next template word."""
+    places = np.nonzero(slots[begin : begin + length])[0].tolist()
+    out = []
     for i in places:
-        if slots[i]:
+        i += begin
+        if i not in memo:
             end = at[i + 1] if i + 1 < len(at) else len(words)
             raw = b" ".join(w for w in words[at[i] : end] if w != b"\0").decode("utf-8", "replace")
-            out[i] = (int(h[i]), raw.strip(_EDGES).lower().encode())
-    return out
+            memo[i] = xxhash.xxh64_intdigest(raw.strip(_EDGES).lower().encode(), int(h[i])) >> 1
+        out.append(memo[i])
+    return places, out
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo = Templates()
+    for batch in batches:
+        rows: list[tuple] = []
+        for item, item_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            h, slots, words, at = memo.template(text.encode())
+            length = min(WINDOW, len(h))
+            if length < MIN_WORDS or slots.all():
+                continue
+            found = keyed_windows(h, length).view(np.int64).tolist()
+            seen: dict[int, int] = {}
+            for there, key in enumerate(found):
+                rows.append((key, item, item_id, len(found), length, there, _values(words, at, h, slots, seen, there, length)[1]))
+            if len(rows) > _FLUSH:
+                yield _batch(rows, _ITEM_FIELDS)
+                rows = []
+        if rows:
+            yield _batch(rows, _ITEM_FIELDS)
+
+
+_ITEM_FIELDS = [("key", pa.int64()), ("item", pa.int64()), ("item_id", pa.int64()), ("size", pa.int64()), ("length", pa.int32()), ("there", pa.int32()), ("theirs", pa.list_(pa.int64()))]
+_HIT_FIELDS = [("key", pa.int64()), ("place", pa.int32()), ("at", pa.list_(pa.int32())), ("own", pa.list_(pa.int64()))]
+
 
+def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
 
-class Index:
-    """Windows of a slice of items."""
 
-    def __init__(self, items: list[tuple[int, bytes]], window: int = WINDOW) -> None:
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """Every window of every item (``item`` tells repeated ones apart) with the values of its slots."""
+    bounded_batches(benchmark.sparkSession)
+    texts = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    schema = "key long, item long, item_id long, size long, length int, there int, theirs array<long>"
+    return materialize(texts.where("text IS NOT NULL").mapInArrow(_item_windows, schema), "item-windows")  # fixes the numbers
+
+
+def _bit_map(known: DataFrame) -> bytes:
+    """The bit map of the hashes, from at most 2**(_BITS - 6) words of 64 bits."""
+    top = F.shiftrightunsigned("key", 64 - _BITS)
+    cells = known.select(F.shiftright(top, 6).alias("cell"), F.expr("shiftleft(1L, cast(key >>> {} & 63 AS int))".format(64 - _BITS)).alias("bit"))
+    found = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (_BITS - 6), np.int64)
+    out[found["cell"].to_numpy()] = found["bits"].to_numpy()
+    return out.tobytes()
+
+
+def _hits(lengths: list[int], bits: bytes):
+    """Windows of documents whose bit is set, with the columns in front of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
         memo = Templates()
-        self.ids: list[int] = []
-        self.sizes: list[int] = []
-        self.slots: list[dict[int, tuple[int, bytes]]] = []
-        self.places: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        self.lengths: list[int] = []
-        for item, text in items:
-            h, slots, words, at = memo.template(text)
-            length = min(window, len(h))
-            if length < MIN_WORDS or slots.all():
-                continue
-            number = len(self.ids)
-            found = windows(h, length)
-            self.ids.append(item)
-            self.sizes.append(len(found))
-            self.lengths.append(length)
-            self.slots.append(_values(words, at, h, slots, range(len(h))))
-            for place, w in enumerate(found.tolist()):
-                self.places[length, w].append((number, place))
-        self.places = dict(self.places)
-        self.maps = {}
-        for length in set(self.lengths):
-            marks = np.zeros(1 << _BITS, bool)
-            keys = np.array([w for n, w in self.places if n == length], np.uint64)
-            marks[keys >> np.uint64(64 - _BITS)] = True
-            self.maps[length] = marks
-
-    def leaks(self, memo: Templates, text: bytes | None, min_containment: float) -> list[tuple[int, float, int, int, int]]:
-        """(item, containment, windows met, slots compared, slots with another value)."""
-        if not text or not self.ids:
-            return []
-        h, slots, words, at = memo.template(text)
-        met: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for length, marks in self.maps.items():
-            own = windows(h, length)
-            for place in np.nonzero(marks[own >> np.uint64(64 - _BITS)])[0].tolist():
-                for item, there in self.places.get((length, int(own[place])), ()):
-                    met[item][place - there].append(there)
-        out = []
-        for item, alignments in met.items():
-            if sum(map(len, alignments.values())) < min_containment * self.sizes[item]:
-                continue
-            covered: set[int] = set()
-            forth: dict[tuple[int, bytes], tuple[int, bytes]] = {}
-            back: dict[tuple[int, bytes], tuple[int, bytes]] = {}
-            compared = changed = 0
-            for shift, there in sorted(alignments.items(), key=lambda x: (-len(x[1]), x[0])):
-                spots = sorted({i for t in there for i in range(t, t + self.lengths[item]) if i in self.slots[item]})
-                own_values = _values(words, at, h, slots, [i + shift for i in spots]) if spots else {}
-                pairs = [(self.slots[item][i], own_values[i + shift]) for i in spots if i + shift in own_values]
-                to, fro = dict(forth), dict(back)
-                if all(to.setdefault(a, b) == b and fro.setdefault(b, a) == a for a, b in pairs):
-                    forth, back = to, fro
-                    compared, changed = compared + len(pairs), changed + sum(a != b for a, b in pairs)
-                    covered.update(there)
-            if len(covered) >= min_containment * self.sizes[item]:
-                out.append((self.ids[item], len(covered) / self.sizes[item], len(covered), compared, changed))
-        return sorted(out)
-
-
-_FOUND = "array<struct<item_id:bigint,containment:double,n_windows:bigint,n_slots:bigint,n_changed:bigint>>"
-_NAMES = ("item_id", "containment", "n_windows", "n_slots", "n_changed")
-
-
-def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str, name: str, min_containment: float = MIN_CONTAINMENT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``docs`` and an array column of the items that each document leaks."""
-    items = materialize(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL"), "items")
-    total = items.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
-    slices = max(1, math.ceil(total / slice_bytes))
-    parts = []
-    for number in range(slices):
-        # about slice_bytes of text, however large the benchmark is
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == number).collect()
-        index = Index([(r["item_id"], r["text"].encode()) for r in rows])
-
-        def search(index=index):
-            memo = Templates()
-            return lambda texts: [[[dict(zip(_NAMES, x, strict=True)) for x in index.leaks(memo, t, min_containment)] for t in texts]]
-
-        parts.append(fresh(docs, f"leaks_{number}"))
-        docs = append_columns(docs, text_col, [(parts[-1], _FOUND)], search)
-    return docs.withColumn(name, F.concat(*parts)).drop(*(p for p in parts if p != name))
-
-
-def leaked_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+
+        def made(batch: pa.RecordBatch, who: list[int], rows: list[tuple]) -> pa.RecordBatch:
+            kept = batch.select(range(batch.num_columns - 1)).take(pa.array(who, pa.int64()))
+            found = _batch(rows, _HIT_FIELDS)
+            return pa.RecordBatch.from_arrays([*kept.columns, *found.columns], names=[*kept.schema.names, *found.schema.names])
+
+        for batch in batches:
+            rows: list[tuple] = []
+            who: list[int] = []
+            for number, text in enumerate(batch.column(batch.num_columns - 1).cast(pa.binary())):
+                h, slots, words, at = memo.template(text.as_py())
+                seen: dict[int, int] = {}
+                for length in lengths:
+                    own = keyed_windows(h, length)
+                    met = np.nonzero(marks[own >> np.uint64(64 - _BITS)])[0]
+                    for place, key in zip(met.tolist(), own[met].view(np.int64).tolist(), strict=True):
+                        rows.append((key, place, *_values(words, at, h, slots, seen, place, length)))
+                        who.append(number)
+                        if len(rows) > _FLUSH:
+                            yield made(batch, who, rows)
+                            rows, who = [], []
+            if rows:
+                yield made(batch, who, rows)
+
+    return run
+
+
+def consistent(matches: list[dict], size: int) -> tuple[int, int, int]:
+    """Windows of the item covered by alignments that agree on one one-to-one mapping, slots compared, slots changed."""
+    alignments: dict[int, list[dict]] = defaultdict(list)
+    for m in matches:
+        alignments[m["place"] - m["there"]].append(m)
+    covered: set[int] = set()
+    forth: dict[int, int] = {}
+    back: dict[int, int] = {}
+    compared = changed = 0
+    for _, group in sorted(alignments.items(), key=lambda x: (-len(x[1]), x[0])):
+        spots = {m["there"] + i: pair for m in group for i, *pair in zip(m["at"], m["theirs"], m["own"], strict=False)}
+        to, fro = dict(forth), dict(back)
+        if all(to.setdefault(a, b) == b and fro.setdefault(b, a) == a for _, (a, b) in sorted(spots.items())):
+            forth, back = to, fro
+            compared, changed = compared + len(spots), changed + sum(a != b for a, b in spots.values())
+            covered.update(m["there"] for m in group)
+            if len(covered) == size:
+                break
+    return len(covered), compared, changed
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes, matches = batch.column("size").to_pylist(), batch.column("matches")
+        made = [consistent(m.as_py(), n) for m, n in zip(matches, sizes, strict=True)]
+        columns = [pa.array(c, pa.int64()) for c in zip(*made, strict=True)] if made else [pa.array([], pa.int64())] * 3
+        kept = batch.select(range(batch.num_columns - 1))
+        yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, "n_windows", "n_slots", "n_changed"])
+
+
+def _leaks(rows: DataFrame, benchmark: DataFrame, min_containment: float, broadcast_windows: int) -> DataFrame:
+    """Leaks of ``rows`` (``row``, ``doc_id``, ``text``): one row per document and item."""
+    known = item_windows(benchmark)
+    lengths = sorted(r["length"] for r in known.select("length").distinct().collect())  # at most WINDOW - MIN_WORDS + 1
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("row", "doc_id"))
+    hits = rows.select("row", "doc_id", "text").mapInArrow(_hits(lengths, _bit_map(known)), f"{kinds}, key long, place int, at array<int>, own array<long>")
+    small = known.limit(broadcast_windows + 1).count() <= broadcast_windows
+    met = hits.join(F.broadcast(known) if small else known, "key")
+    one = F.struct("place", "there", "at", "own", "theirs")
+    pairs = met.groupBy("row", "item").agg(
+        F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.first("size").alias("size"), F.collect_list(one).alias("matches")
+    )
+    enough = pairs.where(F.size("matches") >= F.lit(float(min_containment)) * F.col("size")).select("row", "doc_id", "item_id", "size", "matches")
+    judged = enough.mapInArrow(_judged, f"{kinds}, item_id long, size long, n_windows long, n_slots long, n_changed long")
+    return judged.where(F.col("n_windows") >= F.lit(float(min_containment)) * F.col("size")).withColumn("containment", F.col("n_windows") / F.col("size"))
+
+
+def _narrow(docs: DataFrame, row: str, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(row).alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def leaked_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """One row per document and item that it leaks."""
-    narrow = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    found = with_leaks(narrow, benchmark, "text", "leaks", min_containment, slice_bytes)
-    return found.select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.*").withColumn("reparameterised", F.col("n_changed") > 0)
+    docs, row = identified(docs)
+    found = _leaks(_narrow(docs, row, id_col, text_col), benchmark, min_containment, broadcast_windows)
+    return found.select("doc_id", "item_id", "containment", "n_windows", "n_slots", "n_changed").withColumn("reparameterised", F.col("n_changed") > 0)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", min_containment: float = MIN_CONTAINMENT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """``docs`` without the documents that leak an item."""
-    name = fresh(docs, "leaks")
-    return with_leaks(docs, benchmark, text_col, name, min_containment, slice_bytes).where(F.size(name) == 0).drop(name)
+    docs, row = identified(docs)
+    found = _leaks(_narrow(docs, row, id_col, text_col), benchmark, min_containment, broadcast_windows)
+    leaking = materialize(found.select(F.col("row").alias(row)).distinct(), "leaking")
+    return docs.join(leaking, row, "left_anti").drop(row)

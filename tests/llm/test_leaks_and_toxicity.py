@@ -47,12 +47,12 @@ def test_names_and_units_are_typed():
     assert one[0].tolist() == other[0].tolist() and one[1].tolist() == [False, False, False, True, False, True, True, False, True, False, False]
 
 
-def test_short_items_use_one_window_and_slices_change_nothing(spark):
+def test_short_items_use_one_window_and_the_way_of_joining_changes_nothing(spark):
     benchmark = ["five short words in all", "too few words", None, "", ITEM, ITEM]
     texts = [f"{prose(i, 10)}\n{b}\n{prose(i + 50, 10)}" for i, b in enumerate(benchmark)]
     whole = found(spark, texts, benchmark)
     assert set(whole) == {(0, 1), (4, 5), (4, 6), (5, 5), (5, 6)}
-    assert set(found(spark, texts, benchmark, slice_bytes=40)) == set(whole)
+    assert set(found(spark, texts, benchmark, broadcast_windows=0)) == set(whole)
 
 
 def test_planted_items_and_nothing_else(spark):
