@@ -51,7 +51,7 @@ _NUMBER, _CAPITAL, _SENTENCE, _LINE, _EMPTY, _UNIT = 1, 2, 4, 8, 16, 32
 _EDGES = string.punctuation + "“”„«»‹›‘’…–—¿¡"
 _DIGITS = re.compile(r"[+-]?[\d][\d.,:/^x*+-]*[a-z%]{0,3}$")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xD6E8FEB86659FD93)
+_MIX, _ALL = 0xD6E8FEB86659FD93, (1 << 64) - 1
 _CACHE = 300_000
 _FLUSH = 50_000
 
@@ -132,7 +132,7 @@ def windows(h: np.ndarray, length: int) -> np.ndarray:
 
 def keyed_windows(h: np.ndarray, length: int) -> np.ndarray:
     """Hashes of the windows that differ by length as well."""
-    return windows(h, length) + np.uint64(length) * _MIX
+    return windows(h, length) + np.uint64(length * _MIX & _ALL)
 
 
 def _values(words: list[bytes], at: np.ndarray, h: np.ndarray, slots: np.ndarray, memo: dict[int, int], begin: int, length: int) -> tuple[list[int], list[int]]:
