@@ -4,6 +4,8 @@ One-way effects need no demeaned rows at all: centred cross products per entity
 Two-way effects are solved directly instead of by alternating projections.  After demeaning by entity, the period
 effects are ordinary regressors, as many as the calendar has periods; their normal equations are accumulated from
 counts per (entity, period), solved once, and the residualised rows follow from one broadcast of the period effects.
+Beyond ``DENSE_PERIODS`` the equations are not written out but solved by conjugate gradients, whose every step is two
+aggregates over the counts; the driver then holds one number per period and column.
 """
 
 from __future__ import annotations
@@ -12,13 +14,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators.regression import Fit, complete_rows, fit_products
 from panelforge.storage import materialize
 
-MAX_PERIODS = 5_000
+DENSE_PERIODS = 2_000
+
+#: Conjugate gradients end when the residual has shrunk to this share.
+TOLERANCE = 1e-13
 
 
 def within_fit(df: DataFrame, y: str, xs: Sequence[str], entity: str) -> tuple[Fit, int]:
@@ -72,8 +77,68 @@ def _period_equations(periods: list):
     return accumulate
 
 
-def residualize_two_way(df: DataFrame, columns: Sequence[str], entity: str, period: str) -> tuple[DataFrame, int, int]:
-    """Remove entity and period effects exactly, balanced or not.
+def _solved_densely(cells: DataFrame, entity: str, period: str, periods: list, right: np.ndarray) -> np.ndarray:
+    per_entity = cells.groupBy(entity).agg(F.collect_list(F.struct(F.col(period).alias("p"), "n")).alias("e"))
+    per_entity = per_entity.select(F.col("e.p").alias("periods"), F.col("e.n").alias("counts"))
+    parts = per_entity.mapInPandas(_period_equations(periods), "i int, row array<double>")
+    left = np.zeros((len(periods), len(periods)))
+    for r in parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
+        left[r["i"], r["j"]] = r["x"]
+    return np.linalg.lstsq(left, right, rcond=None)[0]
+
+
+def _lookup(spark: SparkSession, cells: DataFrame, period: str, periods: list, values: np.ndarray, names: Sequence[str]) -> DataFrame:
+    """One row per period with a column of ``values`` each."""
+    schema = ", ".join([f"`{period}` {cells.schema[period].dataType.simpleString()}", *[f"{n} double" for n in names]])
+    return spark.createDataFrame([(p, *map(float, values[i])) for i, p in enumerate(periods)], schema)
+
+
+def _solved_by_gradients(cells: DataFrame, entity: str, period: str, periods: list, right: np.ndarray) -> np.ndarray:
+    """Conjugate gradients for all columns side by side, scaled by the counts per period.
+
+    The equations are singular (effects are known up to a constant for each connected part of the panel) but consistent,
+    so the iteration from zero converges to a solution, and every solution gives the same residuals.
+    """
+    spark, k = cells.sparkSession, right.shape[1]
+    position = {p: i for i, p in enumerate(periods)}
+    count = np.zeros(len(periods))
+    for r in cells.groupBy(period).agg(F.sum("n").alias("n")).collect():
+        count[position[r[period]]] = r["n"]
+    names = [f"__v{c}" for c in range(k)]
+
+    def times(v: np.ndarray) -> np.ndarray:
+        placed = cells.join(F.broadcast(_lookup(spark, cells, period, periods, v, names)), period)
+        means = placed.groupBy(entity).agg(*[(F.sum(F.col(n) * F.col("n")) / F.sum("n")).alias(n) for n in names])
+        back = cells.join(means, entity).groupBy(period).agg(*[F.sum(F.col(n) * F.col("n")).alias(n) for n in names])
+        out = count[:, None] * v
+        for r in back.collect():
+            out[position[r[period]]] -= [r[n] for n in names]
+        return out
+
+    solution, residual = np.zeros_like(right), right.copy()
+    scaled = residual / count[:, None]
+    direction, size = scaled.copy(), (residual * scaled).sum(axis=0)
+    goal = TOLERANCE**2 * size
+    for _ in range(2 * len(periods)):
+        if (size <= goal).all():
+            break
+        image = times(direction)
+        along = (direction * image).sum(axis=0)
+        step = np.divide(size, along, out=np.zeros(k), where=(along > 0) & (size > goal))
+        solution, residual = solution + step * direction, residual - step * image
+        scaled = residual / count[:, None]
+        before, size = size, (residual * scaled).sum(axis=0)
+        turn = np.divide(size, before, out=np.zeros(k), where=before > 0)
+        direction = scaled + turn * direction
+    else:
+        raise RuntimeError("period effects did not converge")
+    return solution
+
+
+def residualize_two_way(
+    df: DataFrame, columns: Sequence[str], entity: str, period: str, dense_periods: int = DENSE_PERIODS
+) -> tuple[DataFrame, int, int]:
+    """Remove entity and period effects, balanced or not, with any number of periods.
 
     Returns the rows with residualised columns, the number of entities and the number of periods.  Rows are first
     counted and summed per (entity, period), so what is gathered for one entity is bounded by the calendar.
@@ -81,24 +146,18 @@ def residualize_two_way(df: DataFrame, columns: Sequence[str], entity: str, peri
     spark = df.sparkSession
     within = materialize(demean(df.select(entity, period, *columns), columns, entity), "within")
     sums = [F.sum(c).alias(f"__s{k}") for k, c in enumerate(columns)]
-    per_period = within.groupBy(period).agg(*sums).orderBy(period).limit(MAX_PERIODS + 1).collect()
-    if len(per_period) > MAX_PERIODS:
-        raise ValueError(f"period effects are solved densely; {period} has more than {MAX_PERIODS} values")
+    per_period = within.groupBy(period).agg(*sums).orderBy(period).collect()
     periods = [r[period] for r in per_period]
     right = np.array([[r[f"__s{k}"] for k in range(len(columns))] for r in per_period])
 
     cells = within.groupBy(entity, period).agg(F.count(F.lit(1)).alias("n"))
-    per_entity = cells.groupBy(entity).agg(F.collect_list(F.struct(F.col(period).alias("p"), "n")).alias("e"))
-    per_entity = per_entity.select(F.col("e.p").alias("periods"), F.col("e.n").alias("counts"))
     entities = within.select(entity).distinct().count()
-    parts = per_entity.mapInPandas(_period_equations(periods), "i int, row array<double>")
-    left = np.zeros((len(periods), len(periods)))
-    for r in parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
-        left[r["i"], r["j"]] = r["x"]
-    effects = np.linalg.lstsq(left, right, rcond=None)[0]
+    if len(periods) <= dense_periods:
+        effects = _solved_densely(cells, entity, period, periods, right)
+    else:
+        effects = _solved_by_gradients(materialize(cells, "cells"), entity, period, periods, right)
     names = [f"__g_{c}" for c in columns]
-    schema = ", ".join([f"{period} {within.schema[period].dataType.simpleString()}", *[f"{g} double" for g in names]])
-    lookup = spark.createDataFrame([(p, *map(float, effects[i])) for i, p in enumerate(periods)], schema)
+    lookup = _lookup(spark, within, period, periods, effects, names)
     joined = demean(within.join(F.broadcast(lookup), period), names, entity)
     out = joined.withColumns({c: F.col(c) - F.col(f"__g_{c}") for c in columns}).drop(*names)
     return out, entities, len(periods)

@@ -1,6 +1,6 @@
 """Autocorrelation-robust standard errors for regressions on a time series.
 
-A series has one row per period, so the calendar bounds each group; groups (portfolios) run in parallel.
+A series has one row per period, which is checked, so the calendar bounds each group; groups (portfolios) run in parallel.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.operators.joins import one_row_per_group
+
 
 def bartlett_weights(lag: int) -> np.ndarray:
     return 1 - np.arange(lag + 1) / (lag + 1)
@@ -63,11 +65,13 @@ def newey_west(
 ) -> DataFrame:
     """Regression of ``y`` on a constant and ``xs`` per group with HAC standard errors.
 
-    ``lag=None`` chooses the bandwidth from the data.
+    ``lag=None`` chooses the bandwidth from the data.  Rows without a period have no place in a series and are left out;
+    two rows for one period fail the job.
     """
     terms = ["const", *xs]
     keys = list(by)
-    rows = df.dropna(how="any", subset=[y, *xs]).select(*keys, time, y, *xs)
+    rows = df.dropna(how="any", subset=[time, y, *xs]).select(*keys, time, y, *xs)
+    rows = one_row_per_group(rows, [*keys, time])
     if not keys:
         rows, keys = rows.withColumn("__all", F.lit(0)), ["__all"]
 

@@ -23,6 +23,14 @@ def one_row_per(df: DataFrame, key: str) -> DataFrame:
     return single.select(key, checked.alias("__row")).select(*[F.col(f"__row.`{c}`").alias(c) if c != key else F.col(key) for c in df.columns])
 
 
+def one_row_per_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose ``keys`` must tell all rows apart: the job fails when two rows, even equal ones, share them."""
+    rest = [c for c in df.columns if c not in keys]
+    message = F.concat(F.lit(f"several rows for one {', '.join(keys)}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    return counted.where(F.when(F.col("__n") == 1, True).otherwise(F.raise_error(message).cast("boolean"))).select(*df.columns)
+
+
 def period_lookup(df: DataFrame, period: str) -> DataFrame:
     """Broadcastable lookup with one row per calendar period.
 
@@ -53,13 +61,20 @@ def join_validity(
     """Rows of ``right`` whose ``[start, end]`` contains ``left.date`` under an equal ``key``.
 
     The validity records are spread over the calendar years they touch and joined on ``(key, year)``, so a key with
-    a long history is split by year and only records of the same year are compared.  Every match is returned.
+    a long history is split by year and only records of the same year are compared.  Years outside those of
+    ``left.date`` are left out, so an end in the year 9999 costs nothing.  Every match is returned.
     """
     last = F.coalesce(F.col(end), open_end) if open_end is not None else F.col(end)
+    years = left.select(F.year(date).alias("__y"))
+    low, high = (years.select(edge("__y")).scalar() for edge in (F.min, F.max))
     spread = (
         right.withColumn(end, last)
         .where(F.col(start) <= F.col(end))
-        .withColumn("__year", F.explode(F.sequence(F.year(start), F.year(end))))
+        .withColumn("__from", F.greatest(F.year(start), low))
+        .withColumn("__to", F.least(F.year(end), high))
+        .where(F.col("__from") <= F.col("__to"))
+        .withColumn("__year", F.explode(F.sequence("__from", "__to")))
+        .drop("__from", "__to")
         .withColumnRenamed(key, "__key")
     )
     dated = left.withColumn("__year", F.year(date))

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from panelforge.operators.covariance import covariance_matrix
-from panelforge.operators.fixed_effects import two_way_fit, within_fit
+from panelforge.operators.fixed_effects import residualize_two_way, two_way_fit, within_fit
 from panelforge.operators.hac import automatic_lag, newey_west
 from panelforge.operators.regression import cluster_covariance, fit_products, ols, winsorize
 from panelforge.plans import betas, portfolio
@@ -73,6 +73,26 @@ def test_two_way_unbalanced_and_clusters(panel, unbalanced):
     np.testing.assert_allclose(cluster_covariance(rows, "y", fit, ["firm", "year"], small_sample=False), both, rtol=1e-6)
 
 
+def test_two_way_by_gradients(panel):
+    columns = ["x", "z", "y"]
+    solved = [residualize_two_way(panel, columns, "firm", "year", dense_periods=n)[0].toPandas().sort_values(["firm", "year"]) for n in (2_000, 0)]
+    np.testing.assert_allclose(solved[1][columns].to_numpy(), solved[0][columns].to_numpy(), atol=1e-9)
+
+
+def test_two_way_by_gradients_with_separate_parts(spark):
+    rows = [(f"{part}{i}", 10 * part + t, float((i * 7 + t * 3) % 5 + part)) for part in (1, 2) for i in range(6) for t in range(5) if (i + t) % 4]
+    frame = spark.createDataFrame(rows, "firm string, year int, x double")
+    solved = [residualize_two_way(frame, ["x"], "firm", "year", dense_periods=n)[0].toPandas().sort_values(["firm", "year"]) for n in (2_000, 0)]
+    np.testing.assert_allclose(solved[1]["x"].to_numpy(), solved[0]["x"].to_numpy(), atol=1e-9)
+
+
+def test_newey_west_wants_one_row_per_period(spark):
+    series = spark.createDataFrame([(1, 1.0), (2, 2.0), (2, 2.0), (3, 1.5), (4, 1.0)], "month int, ret double")
+    with pytest.raises(Exception, match="several rows for one month"):
+        newey_west(series, "ret", lag=1, prewhite=False).collect()
+    assert newey_west(series.distinct().union(spark.createDataFrame([(None, 9.0)], "month int, ret double")), "ret", lag=1, prewhite=False).first()["n"] == 4
+
+
 def test_given_design(panel, unbalanced):
     design = unbalanced[["x", "z"]].to_numpy()
     expected = np.linalg.lstsq(design, unbalanced["y"].to_numpy(), rcond=None)[0]

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from panelforge.operators.joins import join_validity
 from panelforge.plans import accounting
 from panelforge.plans import monthly_panel as mp
 from panelforge.plans.daily_panel import daily_panel
@@ -162,3 +163,14 @@ def test_rolling_betas_forget_bad_values(spark):
     for i in range(14, 60):
         expected = np.polyfit(market[i - 11 : i + 1], returns[i - 11 : i + 1], 1)[0]
         assert abs(found[months[i]] - expected) < 1e-9 * max(1, abs(expected))
+
+
+def test_validity_without_end(spark):
+    rows = spark.createDataFrame([(1, dt.date(2001, 5, 1)), (1, dt.date(2003, 5, 1)), (2, dt.date(2002, 1, 1))], "k int, at date")
+    records = spark.createDataFrame(
+        [(1, dt.date(1, 1, 1), dt.date(2001, 12, 31), "a"), (1, dt.date(2002, 1, 1), dt.date(9999, 12, 31), "b"), (2, dt.date(2005, 1, 1), None, "c"), (2, dt.date(1990, 1, 1), dt.date(1995, 1, 1), "d")],
+        "k int, first date, last date, name string",
+    )
+    matched = join_validity(rows, records, "k", "at", "first", "last", F.lit("9999-12-31").cast("date"))
+    assert {(r["k"], r["at"].year, r["name"]) for r in matched.collect()} == {(1, 2001, "a"), (1, 2003, "b")}
+    assert join_validity(rows.where("k > 9"), records, "k", "at", "first", "last").count() == 0
