@@ -12,7 +12,7 @@ from panelforge.plans import betas, investment, portfolio, returns, univariate
 from panelforge.storage import materialize
 from panelforge.workload import tables_sql
 from panelforge.workload.registry import query
-from panelforge.workload.sorting import MEDIAN_PORTFOLIOS, SORT_DATA, SUMMARY, sort_data, spread_sql
+from panelforge.workload.sorting import DECILE_PORTFOLIOS, MEDIAN_PORTFOLIOS, SORT_DATA, SUMMARY, sort_data, spread_sql
 
 STATS = "avg(ret * 100) AS daily_mean, stddev_samp(ret * 100) AS daily_sd, min(ret * 100) AS daily_min, max(ret * 100) AS daily_max"
 STAT_COLUMNS = "daily_mean daily_sd daily_min daily_max"
@@ -377,11 +377,6 @@ def se_newey_west_automatic(t):
     return univariate.long_short_test(_spread(t))
 
 
-@query("se_newey_west_regression", rounded=FITTED)
-def se_newey_west_regression(t):
-    return univariate.long_short_test(_spread(t), t.ff3)
-
-
 def _lagged_sums(pairs: str) -> str:
     """Bartlett-weighted autocovariance sums of the score products in ``pairs`` (columns j, a, b)."""
     return f"sum(CASE WHEN j = 0 THEN {pairs} ELSE (1 - j / ({HAC_LAG} + 1)) * {pairs} END)"
@@ -408,7 +403,59 @@ def se_newey_west_regression_lag(t):
     return univariate.long_short_test(_spread(t), t.ff3, lag=HAC_LAG, prewhite=False)
 
 
-@query("se_newey_west_by_portfolio", rounded=FITTED)
+def prewhitened_sql(rows: str, by: str = "") -> str:
+    """Regression of y on a constant and x over ``rows`` (month, y, x), automatic bandwidth, prewhitened scores."""
+    k, same = (f"{by}, ", f"p.{by} = q.{by} AND ") if by else ("", "")
+    group = f"GROUP BY {by}" if by else ""
+
+    def join(a: str, b: str) -> str:
+        return f"{a} JOIN {b} USING ({by})" if by else f"{a} CROSS JOIN {b}"
+
+    p_k = f"p.{by}, " if by else ""
+    return f"""
+    WITH d AS MATERIALIZED (
+      SELECT {k}row_number() OVER ({f"PARTITION BY {by} " if by else ""}ORDER BY month) AS t, y, x FROM ({rows}) WHERE y IS NOT NULL AND x IS NOT NULL AND month IS NOT NULL),
+    c AS MATERIALIZED (SELECT {k}regr_intercept(y, x) AS a, regr_slope(y, x) AS b, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx FROM d {group}),
+    u AS MATERIALIZED (SELECT {k}t, y - a - b * x AS u, x * (y - a - b * x) AS v FROM {join("d", "c")}),
+    r AS MATERIALIZED (
+      SELECT {k}(p22 * r11 - p12 * r21) / det AS c11, (p22 * r12 - p12 * r22) / det AS c12, (p11 * r21 - p12 * r11) / det AS c21, (p11 * r22 - p12 * r12) / det AS c22
+      FROM (SELECT *, p11 * p22 - p12 * p12 AS det FROM (
+        SELECT {p_k}sum(p.u * p.u) AS p11, sum(p.u * p.v) AS p12, sum(p.v * p.v) AS p22,
+               sum(p.u * q.u) AS r11, sum(p.u * q.v) AS r12, sum(p.v * q.u) AS r21, sum(p.v * q.v) AS r22
+        FROM u p JOIN u q ON {same}q.t = p.t + 1 {f"GROUP BY p.{by}" if by else ""}))),
+    w AS MATERIALIZED (
+      SELECT {k}t, u - pu * c11 - pv * c21 AS u, v - pu * c12 - pv * c22 AS v
+      FROM {join(f"(SELECT {p_k}q.t, q.u, q.v, p.u AS pu, p.v AS pv FROM u p JOIN u q ON {same}q.t = p.t + 1)", "r")}),
+    g AS MATERIALIZED (
+      SELECT {p_k}q.t - p.t AS j, sum(p.u * q.u) AS g11, sum(p.u * q.v + p.v * q.u) AS g12, sum(p.v * q.v) AS g22
+      FROM w p JOIN w q ON {same}q.t >= p.t GROUP BY ALL),
+    l AS MATERIALIZED (
+      SELECT {k}CAST(floor(1.1447 * pow(pow(sum(2 * j * g22) / sum(CASE WHEN j = 0 THEN g22 ELSE 2 * g22 END), 2), 1.0 / 3) * pow(any_value(n), 1.0 / 3)) AS INTEGER) AS lag
+      FROM {join("g", "c")} WHERE j <= floor(3 * pow(n / 100, 2.0 / 9)) {group}),
+    s AS MATERIALIZED (
+      SELECT {k}sum(CASE WHEN j = 0 THEN g11 ELSE 2 * bartlett * g11 END) AS s11, sum(CASE WHEN j = 0 THEN g12 / 2 ELSE bartlett * g12 END) AS s12,
+             sum(CASE WHEN j = 0 THEN g22 ELSE 2 * bartlett * g22 END) AS s22
+      FROM (SELECT g.*, lag, 1 - j / (least(lag, n - 2) + 1) AS bartlett FROM {join(join("g", "c"), "l")} WHERE j <= least(lag, n - 2)) {group}),
+    z AS (
+      SELECT *, ((1 - c22) * sxx - c12 * sx) / (dd * det) AS k11, (c21 * sxx - (1 - c11) * sx) / (dd * det) AS k12,
+             (c12 * n - (1 - c22) * sx) / (dd * det) AS k21, ((1 - c11) * n - c21 * sx) / (dd * det) AS k22
+      FROM (SELECT *, (1 - c11) * (1 - c22) - c12 * c21 AS dd, n * sxx - sx * sx AS det FROM {join(join(join("c", "r"), "s"), "l")})),
+    o AS (
+      SELECT {k}'const' AS term, a AS estimate, k11 * k11 * s11 + 2 * k11 * k12 * s12 + k12 * k12 * s22 AS var, lag, n FROM z
+      UNION ALL SELECT {k}'mkt_excess', b, k21 * k21 * s11 + 2 * k21 * k22 * s12 + k22 * k22 * s22, lag, n FROM z)
+    SELECT {k}term, estimate, sqrt(var) AS std_error, estimate / sqrt(var) AS t_stat, lag, n FROM o"""
+
+
+ALPHA_ROWS = f"SELECT s.month, long_short AS y, mkt_excess AS x FROM ({SPREAD}) s LEFT JOIN t_ff3 f ON s.month = f.month"
+DECILE_ROWS = f"SELECT portfolio, d.month, ret AS y, mkt_excess AS x FROM ({DECILE_PORTFOLIOS}) d LEFT JOIN t_ff3 f ON d.month = f.month"
+
+
+@query("se_newey_west_regression", prewhitened_sql(ALPHA_ROWS), FITTED)
+def se_newey_west_regression(t):
+    return univariate.long_short_test(_spread(t), t.ff3)
+
+
+@query("se_newey_west_by_portfolio", prewhitened_sql(DECILE_ROWS, "portfolio"), FITTED)
 def se_newey_west_by_portfolio(t):
     deciles = univariate.with_factors(univariate.decile_sort(sort_data(t), "beta_lag"), t.ff3.select("month", "mkt_excess"))
     return newey_west(deciles, "ret", ["mkt_excess"], by=["portfolio"])
