@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions.buckets import bucket_index, even_probabilities
@@ -19,6 +21,9 @@ GRID_EXCHANGES = {"NYSE": ("NYSE",), "NYSE, NASDAQ, AMEX": ALL_EXCHANGES}
 GRID_WEIGHTS = (True, False)
 GRID_SPLIT = "1990-06-01"
 
+#: Columns that name a specification.
+SPEC = ("n_portfolios", "exchanges", "value_weighted", "subsample")
+
 
 def breakpoints(
     panel: DataFrame, var: str, n: int, by: Sequence[str], exchanges: Sequence[str], profile: GroupProfile | None = None, **options
@@ -79,20 +84,48 @@ def grid_subsamples(split: str) -> dict[str, Column]:
     }
 
 
-def specification_grid(panel: DataFrame, split: str = GRID_SPLIT, **options) -> DataFrame:
+def grid_specs(
+    spark: SparkSession,
+    split: str = GRID_SPLIT,
+    portfolios: Sequence[int] = GRID_PORTFOLIOS,
+    exchanges: Sequence[str] = tuple(GRID_EXCHANGES),
+    weights: Sequence[bool] = GRID_WEIGHTS,
+    samples: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One numbered row per specification; ``samples`` gives the description of each subsample."""
+    samples = samples or {name: name for name in grid_subsamples(split)}
+    rows = [(i, *spec, samples[spec[-1]]) for i, spec in enumerate(product(sorted(portfolios), sorted(exchanges), weights, samples), start=1)]
+    return spark.createDataFrame(rows, "spec long, n_portfolios int, exchanges string, value_weighted boolean, subsample string, data string")
+
+
+def join_results(specs: DataFrame, results: DataFrame, name: str, by: Sequence[str] = SPEC) -> DataFrame:
+    """The list of results of every specification (an array column) joined back to it, one row per known result."""
+    joined = specs.join(results.select(*by, name), list(by))
+    rest = [c for c in joined.columns if c != name]
+    return joined.select(*rest, F.explode(name).alias(name)).where(F.col(name).isNotNull()).orderBy(F.desc(name))
+
+
+def specification_grid(
+    panel: DataFrame,
+    split: str = GRID_SPLIT,
+    portfolios: Sequence[int] = GRID_PORTFOLIOS,
+    exchanges: Mapping[str, Sequence[str]] = GRID_EXCHANGES,
+    weights: Sequence[bool] = GRID_WEIGHTS,
+    **options,
+) -> DataFrame:
     """Size premium for every combination of number of portfolios, exchanges, weighting and subsample.
 
     One plan answers all combinations.  Each row is labelled with the subsamples it belongs to and is placed once per
-    exchange set, in the finest buckets; as every number of portfolios divides the finest one, coarser buckets are
-    unions of finest ones and follow from the small table of sums, as do both weightings.
+    exchange set, in the finest buckets, as many as the least common multiple of the numbers of portfolios; so the buckets
+    of each number are unions of finest ones and follow from the small table of sums, as do both weightings.
     """
-    finest = max(GRID_PORTFOLIOS)
+    finest = math.lcm(*portfolios)
     labels = F.array_compact(F.array(*[F.when(p, F.lit(name)) for name, p in grid_subsamples(split).items()]))
     rows = (
         panel.where(F.col("mktcap_lag").isNotNull())
         .select("month", "exchange", "ret", "ret_excess", "mktcap_lag", F.explode(labels).alias("subsample"))
     )
-    sets = F.array_compact(F.array(*[F.when(F.col("exchange").isin(*members), F.lit(name)) for name, members in GRID_EXCHANGES.items()]))
+    sets = F.array_compact(F.array(*[F.when(F.col("exchange").isin(*members), F.lit(name)) for name, members in exchanges.items()]))
     group = ["month", "subsample", "exchanges"]
     eligible = rows.withColumn("exchanges", F.explode(sets))
     profile = profile_groups(eligible.select(*group), group)
@@ -110,16 +143,15 @@ def specification_grid(panel: DataFrame, split: str = GRID_SPLIT, **options) ->
         F.sum(F.col("ret_excess") * F.col("mktcap_lag")).alias("weighted"), F.sum("mktcap_lag").alias("weight"),
         F.sum("ret_excess").alias("plain"), F.count("ret_excess").alias("rows"),
     )
-    coarser = sums.withColumn("n_portfolios", F.explode(F.array(*[F.lit(n) for n in GRID_PORTFOLIOS])))
+    coarser = sums.withColumn("n_portfolios", F.explode(F.array(*[F.lit(n) for n in portfolios])))
     bucket = F.floor((F.col("fine") - 1) / (F.lit(finest) / F.col("n_portfolios"))).cast("int") + 1
     returns = coarser.groupBy(*group, "n_portfolios", bucket.alias("portfolio")).agg(
         (F.sum("weighted") / F.nullif(F.sum("weight"), F.lit(0.0))).alias("by_size"), (F.sum("plain") / F.sum("rows")).alias("by_count")
     )
-    weightings = F.array(*[F.struct(F.lit(size).alias("w"), F.col("by_size" if size else "by_count").alias("ret")) for size in GRID_WEIGHTS])
+    weightings = F.array(*[F.struct(F.lit(size).alias("w"), F.col("by_size" if size else "by_count").alias("ret")) for size in weights])
     both = returns.withColumn("e", F.explode(weightings)).select(
         *group, "n_portfolios", "portfolio", F.col("e.w").alias("value_weighted"), F.col("e.ret").alias("ret")
     )
-    spec = ["n_portfolios", "exchanges", "value_weighted", "subsample"]
-    monthly = small_minus_big(both, ["month", *spec])
-    out = monthly.groupBy(*spec).agg(F.avg("size_premium").alias("size_premium"))
+    monthly = small_minus_big(both, ["month", *SPEC])
+    out = monthly.groupBy(*SPEC).agg(F.avg("size_premium").alias("size_premium"))
     return out.where("size_premium IS NOT NULL").orderBy(F.desc("size_premium"))

@@ -54,6 +54,15 @@ def long_short(portfolios: DataFrame, low="low", high="high") -> DataFrame:
     return wide.withColumn("long_short", F.col("high") - F.col("low"))
 
 
+def long_short_extremes(portfolios: DataFrame) -> DataFrame:
+    """Highest minus lowest portfolio that each month has; a month with one portfolio has no low leg."""
+    low, high = F.min("portfolio"), F.max("portfolio")
+    wide = portfolios.groupBy("month").agg(
+        F.when(low < high, F.min_by("ret", "portfolio")).alias("low"), F.max_by("ret", "portfolio").alias("high")
+    )
+    return wide.withColumn("long_short", F.col("high") - F.col("low"))
+
+
 def with_factors(df: DataFrame, factors: DataFrame) -> DataFrame:
     return df.join(period_lookup(factors, "month"), "month", "left")
 

@@ -67,6 +67,11 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def convert_catalog(spark: SparkSession, tables: Sequence[str], schema: str, data_dir: str) -> list[str]:
-    """Write every named catalogue table as Parquet and return the paths."""
-    return [write_parquet(spark.table(name), name.split(".")[-1], schema, data_dir) for name in tables]
+def catalog_tables(spark: SparkSession, database: str) -> list[str]:
+    """Names of the tables of a database, without temporary views."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+def convert_catalog(spark: SparkSession, database: str, data_dir: str, schema: str | None = None) -> dict[str, str]:
+    """Write every table of a database as Parquet; the path of each."""
+    return {name: write_parquet(scan_table(spark, name, database), name, schema or database, data_dir) for name in catalog_tables(spark, database)}

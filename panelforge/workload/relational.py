@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import buckets, dates, scalars
@@ -12,7 +15,7 @@ from panelforge.sources import factors as factor_tables
 from panelforge.sources import readers, schemas
 from panelforge.storage import materialize, stage_path
 from panelforge.workload.registry import query
-from panelforge.workload.sorting import EXAMPLES_SQL, VALUE_WEIGHTED, assigned_sql, breaks_sql, examples
+from panelforge.workload.sorting import EXAMPLES_SQL, SPLIT, VALUE_WEIGHTED, assigned_sql, breaks_sql, examples, grid_sql
 from panelforge.workload.tables import END, START
 
 ORDERS = "SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders"
@@ -33,10 +36,18 @@ def scan_parquet(t):
     return table.where("c_nationkey >= 10").select("c_custkey", "c_mktsegment")
 
 
+def _through_catalog(t, df, name: str):
+    """``df`` written as a catalogue table of its own and scanned by name; the entry goes, the files stay for the result."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    readers.write_table(df, name, stage_path(t.spark, name))
+    out = readers.scan_table(t.spark, name)
+    t.spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @query("scan_table", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
 def scan_table(t):
-    readers.write_table(t.driver("customer"), "panelforge_customer", stage_path(t.spark, "customer"))
-    return readers.scan_table(t.spark, "panelforge_customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    return _through_catalog(t, t.driver("customer"), "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("scan_query", "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1")
@@ -82,20 +93,22 @@ def write_parquet(t):
 
 @query("write_table", "SELECT * FROM t_delistings", "dlret")
 def write_table(t):
-    readers.write_table(t.delistings, "panelforge_delistings", stage_path(t.spark, "delistings"))
-    return readers.scan_table(t.spark, "panelforge_delistings")
+    return _through_catalog(t, t.delistings, "delistings")
+
 
+GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
-@query("convert_catalog", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+
+@query("convert_catalog", " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {name}" for name in GIVEN))
 def convert_catalog(t):
-    names = []
-    for name in ("nation", "region"):
-        names.append(f"panelforge_{name}")
-        readers.write_table(t.driver(name), names[-1], stage_path(t.spark, name))
-    paths = readers.convert_catalog(t.spark, names, "converted", stage_path(t.spark, "data"))
-    nation = t.spark.read.schema(schemas.DRIVER["nation"]).parquet(paths[0])
-    region = t.spark.read.schema(schemas.DRIVER["region"]).parquet(paths[1])
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
+    database = f"panel_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{stage_path(t.spark, database)}'")
+    for name in GIVEN:
+        t.spark.catalog.createTable(f"{database}.{name}", f"{t.sf_dir}/{name}.parquet", "parquet")
+    paths = readers.convert_catalog(t.spark, database, stage_path(t.spark, "data"))
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    counts = [t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, path in paths.items()]
+    return reduce(DataFrame.unionAll, counts)
 
 
 @query("materialize", "SELECT exchange, count(*) AS n FROM t_panel GROUP BY 1")
@@ -719,14 +732,21 @@ def row_per_quantile(t):
     return arrays.select("month", F.posexplode("breaks").alias("k", "breakpoint"))
 
 
+SPEC_SAMPLES = {"all": "data", "no finance": "industry <> Finance", f"before {SPLIT}": f"month < {SPLIT}", f"from {SPLIT}": f"month >= {SPLIT}"}
+
+
 @query(
     "spec_grid_unnest",
-    """SELECT n, w.weighted, count(*) AS cells FROM (SELECT unnest([2, 5, 10]) AS n) s, (SELECT unnest([true, false]) AS weighted) w, (SELECT DISTINCT month FROM t_panel) GROUP BY 1, 2""",
+    f"""SELECT row_number() OVER (ORDER BY n_portfolios, exchanges, NOT value_weighted, place) AS spec, n_portfolios, value_weighted, data, size_premium
+        FROM ({grid_sql()}) g JOIN (VALUES {", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(SPEC_SAMPLES.items()))}) s(place, subsample, data)
+        ON g.subsample = s.subsample WHERE size_premium IS NOT NULL""",
+    "size_premium", 9,
 )
 def spec_grid_unnest(t):
-    spec = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(w).alias("weighted")) for n in size_sorts.GRID_PORTFOLIOS for w in size_sorts.GRID_WEIGHTS])
-    months = t.panel.select("month").distinct().withColumn("spec", F.explode(spec))
-    return months.groupBy("spec.n", "spec.weighted").agg(F.count(F.lit(1)).alias("cells"))
+    specs = size_sorts.grid_specs(t.spark, samples=SPEC_SAMPLES)
+    premiums = size_sorts.specification_grid(t.stored_panel("permno", "month", "exchange", "ret", "ret_excess", "mktcap_lag", "industry"), SPLIT)
+    results = premiums.groupBy(*size_sorts.SPEC).agg(F.collect_list("size_premium").alias("size_premium"))
+    return size_sorts.join_results(specs, results, "size_premium").drop("exchanges", "subsample")
 
 
 # -- scalar functions ----------------------------------------------------------------------------------------------------

@@ -216,9 +216,16 @@ def long_short(t):
     return univariate.long_short(univariate.median_sort(sort_data(t), "beta_lag"))
 
 
-@query("long_short_deciles", spread_sql(DECILE_PORTFOLIOS, "1", "10"), "low high long_short")
+@query(
+    "long_short_deciles",
+    f"""SELECT s.month, low, high, high - low AS long_short, mkt_excess, smb, hml FROM (
+          SELECT month, CASE WHEN min(portfolio) < max(portfolio) THEN arg_min(ret, portfolio) END AS low, arg_max(ret, portfolio) AS high
+          FROM ({DECILE_PORTFOLIOS}) GROUP BY month) s LEFT JOIN t_ff3 f ON s.month = f.month""",
+    "low high long_short mkt_excess smb hml",
+)
 def long_short_deciles(t):
-    return univariate.long_short(univariate.decile_sort(sort_data(t), "beta_lag"), 1, 10)
+    spread = univariate.long_short_extremes(univariate.decile_sort(sort_data(t), "beta_lag"))
+    return univariate.with_factors(spread, t.ff3.select("month", "mkt_excess", "smb", "hml"))
 
 
 PERFORMANCE = f"""
