@@ -69,11 +69,20 @@ class Tables:
             {"mi": month_index("date"), "r": F.expr("disc / vol - 0.05D")}
         )
 
+    @cached_property
+    def stored_monthly(self) -> DataFrame:
+        """Monthly aggregates written once, for plans in which returns and factors read them several times."""
+        return materialize(self.monthly_trade.drop("top", "disc"), "monthly-trade")
+
+    @cached_property
+    def stored_daily(self) -> DataFrame:
+        return materialize(self.daily_trade.select("permno", "date", "mi", "r"), "daily-trade")
+
     # -- raw security tables ---------------------------------------------------------------------------------
 
     @cached_property
     def msf(self) -> DataFrame:
-        return self.monthly_trade.where("(permno * 13 + mi) % 61 <> 0").selectExpr(
+        return self.stored_monthly.where("(permno * 13 + mi) % 61 <> 0").selectExpr(
             "permno", "last_date AS date",
             "CASE WHEN (permno * 7 + mi) % 53 <> 0 THEN r END AS ret",
             "CASE WHEN (permno * 31 + mi) % 97 = 0 THEN 0.0D ELSE qty END AS shrout",
@@ -82,7 +91,7 @@ class Tables:
 
     @cached_property
     def dsf(self) -> DataFrame:
-        return self.daily_trade.selectExpr("permno", "date", "CASE WHEN (permno * 7 + mi + day(date)) % 53 <> 0 THEN r END AS ret")
+        return self.stored_daily.selectExpr("permno", "date", "CASE WHEN (permno * 7 + mi + day(date)) % 53 <> 0 THEN r END AS ret")
 
     @cached_property
     def names(self) -> DataFrame:
@@ -139,7 +148,7 @@ class Tables:
 
     @cached_property
     def factors_raw(self) -> DataFrame:
-        return self.monthly_trade.groupBy("month", "mi").agg(
+        return self.stored_monthly.groupBy("month", "mi").agg(
             F.expr("CAST(first(mi) % 5 AS DOUBLE) * 0.02D + 0.1D").alias("RF"),
             F.expr("round(avg(r) * 100, 6)").alias("Mkt-RF"),
             F.expr(self._spread("permno % 2 = 0")).alias("SMB"),
@@ -150,7 +159,7 @@ class Tables:
 
     @cached_property
     def factors_daily_raw(self) -> DataFrame:
-        return self.daily_trade.groupBy("date").agg(
+        return self.stored_daily.groupBy("date").agg(
             F.expr("CAST(first(mi) % 5 AS DOUBLE) * 0.001D + 0.005D").alias("RF"),
             F.expr("round(avg(r) * 100, 6)").alias("Mkt-RF"),
             F.expr(self._spread("permno % 2 = 0")).alias("SMB"),

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from panelforge.operators.joins import join_validity
-from panelforge.plans import accounting
+from panelforge.plans import accounting, size_sorts, univariate
 from panelforge.plans import monthly_panel as mp
 from panelforge.plans.daily_panel import daily_panel
 from panelforge.plans.value_sorts import book_to_market, sorting_panel
@@ -174,3 +174,25 @@ def test_validity_without_end(spark):
     matched = join_validity(rows, records, "k", "at", "first", "last", F.lit("9999-12-31").cast("date"))
     assert {(r["k"], r["at"].year, r["name"]) for r in matched.collect()} == {(1, 2001, "a"), (1, 2003, "b")}
     assert join_validity(rows.where("k > 9"), records, "k", "at", "first", "last").count() == 0
+
+
+def test_grid_of_numbers_that_do_not_divide_each_other(spark):
+    months = [day("1990-01-01"), day("1990-07-01")]
+    rows = [(i, m, "NYSE" if i % 2 else "AMEX", 0.01 * i, 0.01 * (i * 7 % 13), float(i * i), "Finance" if i % 5 else "Other") for m in months for i in range(1, 31)]
+    panel = spark.createDataFrame(rows, "permno int, month date, exchange string, ret double, ret_excess double, mktcap_lag double, industry string")
+    grid = size_sorts.specification_grid(panel, portfolios=(2, 3), exchanges={"NYSE": ("NYSE",)}, weights=(True,))
+    found = {r["n_portfolios"]: r["size_premium"] for r in grid.where("subsample = 'all'").collect()}
+    for n in (2, 3):
+        assert found[n] == pytest.approx(size_sorts.size_premium(panel, n, ("NYSE",)).first()["size_premium"])
+    specs = size_sorts.grid_specs(spark, portfolios=(2, 3), exchanges=("NYSE",), weights=(True,))
+    results = grid.groupBy(*size_sorts.SPEC).agg(F.collect_list("size_premium").alias("size_premium"))
+    joined = size_sorts.join_results(specs, results, "size_premium").collect()
+    assert len(joined) == 2 * 4 and len({r["spec"] for r in joined}) == 8
+
+
+def test_extreme_portfolios_are_those_of_the_month(spark):
+    a, b, c = day("2000-01-01"), day("2000-02-01"), day("2000-03-01")
+    rows = [(1, a, 0.1), (2, a, 0.2), (10, a, 0.5), (2, b, 0.3), (7, b, 0.1), (4, c, 0.2)]
+    spread = univariate.long_short_extremes(spark.createDataFrame(rows, "portfolio int, month date, ret double"))
+    found = {r["month"]: (r["low"], r["high"]) for r in spread.collect()}
+    assert found == {a: (0.1, 0.5), b: (0.3, 0.1), c: (None, 0.2)}
