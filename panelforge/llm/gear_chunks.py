@@ -3,7 +3,8 @@
 A gear hash rolls over the UTF-8 bytes of every whole text; a chunk ends where the hash has a given pattern, but not before
 ``MIN_BYTES`` and no later than ``MAX_BYTES``.  Cuts depend on the bytes just before them only, so an insertion moves the
 cuts around itself and leaves the others.  Chunks with equal 128-bit digests in several documents are copies; the occurrence with the smallest
-(id, position) is their keeper.  A run of consecutive copied chunks with one keeper is a repeated span; spans of ``MIN_SPAN_WORDS`` or more are reported.  A passage loses less than one chunk at either
+(id, position) is their keeper.  Consecutive copied chunks are a run, whatever their keepers: earlier documents may hold parts
+of a passage that later ones share whole.  Runs of ``MIN_SPAN_WORDS`` or more are reported, one repeated span for each stretch of one keeper.  A passage loses less than one chunk at either
 end, so passages of over 50 words are found, while shared lines of a dozen words are left alone.
 
 Digests are counted by partial aggregation and joined back, so a chunk that a third of all documents share is never
@@ -79,7 +80,7 @@ def chunk_rows(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["hi", "lo", "doc_id", "chunk", "start", "bytes", "words"]
-    kinds = [np.int64, np.int64, np.int64, np.int32, np.int64, np.int32, np.int32]
+    kinds = [np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32]
 
     def batch_of(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
         columns = (np.concatenate(c).astype(k, copy=False) for c, k in zip(zip(*parts, strict=True), kinds, strict=True))
@@ -95,7 +96,8 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests, starts, sizes, words = chunk_rows(value)
             pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             n = len(digests)
-            parts.append([pair[:, 0], pair[:, 1], np.full(n, doc), np.arange(n), np.array(starts), np.array(sizes), np.array(words)])
+            first = xxhash.xxh32_intdigest(value) >> 1 << 32  # another text under the same id has other numbers
+            parts.append([pair[:, 0], pair[:, 1], np.full(n, doc), np.arange(first, first + n), np.array(starts), np.array(sizes), np.array(words)])
             held += n
             if held > 100_000:
                 yield batch_of(parts)
@@ -108,7 +110,7 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """Every chunk of every text: its digest as two longs, document, number, start, bytes, words begun."""
     bounded_batches(docs.sparkSession)
     narrow = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return narrow.mapInArrow(_run, "hi long, lo long, doc_id long, chunk int, start long, bytes int, words int")
+    return narrow.mapInArrow(_run, "hi long, lo long, doc_id long, chunk long, start long, bytes int, words int")
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,30 +124,49 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS) -> DataFrame:
     """One row per repeated span: document, byte range, words, the keeper's first byte, and whether this is the keeper.
 
-    The chunks of a run have one keeper and consecutive numbers; the keeper's own chunks and further copies inside the
-    keeper are told apart.  Runs are found within one document and keeper, so no window is larger than a document.
+    A run is a series of copied chunks with consecutive numbers, of ``min_words`` or more; a span is a stretch of it that
+    lies in its keeper as a whole.  Where a run has a span that is long enough alone, what is left at either end counts as
+    a run of its own: the first chunks of a passage depend on the bytes in front of it, so some copies share them by chance.
+    The keeper's own chunks and further copies inside the keeper are told apart.  Runs are found within one document, so no
+    window is larger than a document.
     """
     copies = materialize(repeated_chunks(docs, id_col, text_col), "chunk-copies")
-    own = (F.col("doc_id") == F.col("keeper_id")) & (F.col("start") == F.col("keeper_start"))
     # repeated rows of one document give every chunk as often: keep one of each
-    single = copies.withColumn("is_keeper", own).dropDuplicates(["doc_id", "keeper_id", "is_keeper", "chunk"])
-    line = Window.partitionBy("doc_id", "keeper_id", "is_keeper").orderBy("chunk")
-    runs = single.withColumn("run", F.col("chunk") - F.row_number().over(line))
-    spans = runs.groupBy("doc_id", "keeper_id", "is_keeper", "run").agg(
+    single = copies.withColumn("shift", F.col("start") - F.col("keeper_start")).dropDuplicates(["doc_id", "chunk"])
+    line = Window.partitionBy("doc_id").orderBy("chunk")
+    before = F.lag(F.struct(F.col("chunk") + 1, "keeper_id", "shift")).over(line)
+    joined = F.coalesce(before == F.struct("chunk", "keeper_id", "shift"), F.lit(False))
+    runs = single.withColumn("run", F.col("chunk") - F.row_number().over(line)).withColumn("begins", F.when(joined, 0).otherwise(1))
+    stretches = runs.withColumn("stretch", F.sum("begins").over(line)).groupBy("doc_id", "run", "stretch").agg(
         F.min("start").alias("span_start"),
         F.max(F.col("start") + F.col("bytes")).alias("span_end"),
         F.sum("words").alias("n_words"),
         F.count("*").alias("n_chunks"),
-        F.min_by("keeper_start", "chunk").alias("keeper_start"),
-    )
-    return spans.where(F.col("n_words") >= min_words).select(
-        "doc_id", "span_start", "span_end", "n_words", "n_chunks", "keeper_id", "keeper_start", "is_keeper"
+        F.first("keeper_id").alias("keeper_id"),
+        F.min("keeper_start").alias("keeper_start"),
+        F.first((F.col("doc_id") == F.col("keeper_id")) & (F.col("shift") == 0)).alias("is_keeper"),
     )
+    whole = Window.partitionBy("doc_id", "run")
+    enough = F.when(F.col("n_words") >= min_words, F.col("stretch"))
+    placed = stretches.withColumn("first", F.min(enough).over(whole)).withColumn("last", F.max(enough).over(whole))
+    # the part of a run: 0 before and 2 behind the stretches that are long enough alone, 1 from the first to the last of them
+    part = F.when(F.col("stretch") < F.col("first"), 0).when(F.col("stretch") > F.col("last"), 2).otherwise(1)
+    counted = placed.withColumn("part", part).withColumn("part_words", F.sum("n_words").over(Window.partitionBy("doc_id", "run", "part")))
+    long = counted.where(F.col("part_words") >= min_words)
+    return long.select("doc_id", "span_start", "span_end", "n_words", "n_chunks", "keeper_id", "keeper_start", "is_keeper")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS) -> DataFrame:
-    """``docs`` with every repeated span cut from the texts, except in the keeper."""
+    """``docs`` with every repeated span cut from the texts, except in the keeper.
+
+    Neighbouring spans that others keep count together, and shorter ones stay: the first whole copy of a passage keeps the
+    short parts that an earlier document has.
+    """
+    line = Window.partitionBy("doc_id").orderBy("span_start", "span_end")
     spans = repeated_spans(docs, id_col, text_col, min_words).where("NOT is_keeper")
+    apart = F.when(F.lag("span_end").over(line) >= F.col("span_start"), 0).otherwise(1)
+    spans = spans.withColumn("apart", apart).withColumn("group", F.sum("apart").over(line))
+    spans = spans.withColumn("group_words", F.sum("n_words").over(Window.partitionBy("doc_id", "group"))).where(F.col("group_words") >= min_words)
     listed = spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans"))
     listed = listed.select(F.col("doc_id").alias("_span_doc"), F.col("spans").alias("_spans"))
     raw = F.col(f"`{text_col}`").cast("binary")

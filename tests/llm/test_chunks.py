@@ -96,3 +96,33 @@ def test_a_passage_in_a_third_of_all_rows(spark):
     rows = [(i, f"{prose(i, 20)}\n{passage}" if i % 3 == 0 else prose(i, 60)) for i in range(600)]
     found = gear_chunks.repeated_spans(documents(spark, rows)).collect()
     assert {r["doc_id"] for r in found} == set(range(0, 600, 3)) and {r["keeper_id"] for r in found} == {0}
+
+
+def test_earlier_parts_do_not_hide_a_passage(spark):
+    """Earlier documents hold parts of passages that two later ones share whole."""
+    rows, pairs = [], {}
+    for k in range(40):
+        passage = prose(300 + k, 60)
+        words = passage.split()
+        rows.append((10 * k, f"{prose(3000 + k, 40)} {' '.join(words[20:40])} {prose(4000 + k, 30)}"))
+        for j in (1, 2):
+            rows.append((10 * k + j, f"{prose(5000 + 10 * k + j, 40 + j)}\n{passage}\n{prose(7000 + 10 * k + j, 30)}"))
+        pairs[10 * k] = passage
+    found = gear_chunks.repeated_spans(documents(spark, rows)).collect()
+    texts = dict((r[0], r[1].encode()) for r in rows)
+    words = {}
+    for r in found:
+        size = r["span_end"] - r["span_start"]
+        assert texts[r["doc_id"]][r["span_start"] : r["span_end"]] == texts[r["keeper_id"]][r["keeper_start"] : r["keeper_start"] + size]
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + r["n_words"]
+    assert all(words.get(k + j, 0) >= gear_chunks.MIN_SPAN_WORDS for k in pairs for j in (1, 2))
+    left = {r["doc_id"]: r["text"] for r in gear_chunks.without_repeats(documents(spark, rows)).collect()}
+    assert all(p in left[k + 1] and p not in left[k + 2] for k, p in pairs.items())
+
+
+def test_texts_of_one_id_do_not_mix(spark):
+    one, two = prose(1, 60), prose(2, 60)
+    rows = [(5, one), (5, two), (5, two), (6, one), (7, two)]
+    spans = gear_chunks.repeated_spans(documents(spark, rows)).collect()
+    assert {r["doc_id"] for r in spans} == {5, 6, 7} and {r["keeper_id"] for r in spans} == {5}
+    assert sum(r["n_words"] for r in spans if r["doc_id"] == 5) == 120
