@@ -5,8 +5,8 @@ within a sentence, unless all in capitals; neighbouring ones are one name) and u
 after numbers are replaced by typed placeholders, other words are lower-cased and stripped of punctuation.  Windows of
 ``WINDOW`` template words of every item are hashed; the windows of every document are joined to them by hash.  Matches of
 an item on one alignment give a mapping from the item's slot values to the document's.  It must be one to one, so that a
-question asked again with other numbers and names is caught and a form that merely looks alike is not.  A document leaks an
-item when consistent alignments cover ``MIN_CONTAINMENT`` of the item's windows.
+question asked again with other numbers and names is caught and a form that merely looks alike is not; windows that hold a
+conflicting slot do not count.  A document leaks an item when the others cover ``MIN_CONTAINMENT`` of the item's windows.
 
 Items are cut into windows on the executors and stay a table.  A bit map of their hashes, of fixed size, goes with the
 tasks that read documents, so that hardly a window without a partner leaves its task; the rest meet in a hash join, for which
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -229,7 +229,10 @@ def _hits(lengths: list[int], bits: bytes):
 
 
 def consistent(matches: list[dict], size: int) -> tuple[int, int, int]:
-    """Windows of the item covered by alignments that agree on one one-to-one mapping, slots compared, slots changed."""
+    """Windows of the item whose slots agree on one one-to-one mapping, slots compared in them, slots changed.
+
+    Only the windows that hold a conflicting slot are dropped from an alignment; equal slots come first, then frequent ones.
+    """
     alignments: dict[int, list[dict]] = defaultdict(list)
     for m in matches:
         alignments[m["place"] - m["there"]].append(m)
@@ -238,14 +241,20 @@ def consistent(matches: list[dict], size: int) -> tuple[int, int, int]:
     back: dict[int, int] = {}
     compared = changed = 0
     for _, group in sorted(alignments.items(), key=lambda x: (-len(x[1]), x[0])):
-        spots = {m["there"] + i: pair for m in group for i, *pair in zip(m["at"], m["theirs"], m["own"], strict=False)}
+        spots = {m["there"] + i: tuple(pair) for m in group for i, *pair in zip(m["at"], m["theirs"], m["own"], strict=False)}
+        often = Counter(spots.values())
         to, fro = dict(forth), dict(back)
-        if all(to.setdefault(a, b) == b and fro.setdefault(b, a) == a for _, (a, b) in sorted(spots.items())):
-            forth, back = to, fro
-            compared, changed = compared + len(spots), changed + sum(a != b for a, b in spots.values())
-            covered.update(m["there"] for m in group)
-            if len(covered) == size:
-                break
+        for a, b in sorted(often, key=lambda x: (x[0] != x[1], -often[x], x)):
+            if to.get(a, b) == b and fro.get(b, a) == a:
+                to[a], fro[b] = b, a
+        kept = [m for m in group if all(to.get(a) == b for a, b in zip(m["theirs"], m["own"], strict=False))]
+        used = {spot: spots[spot] for spot in {m["there"] + i for m in kept for i in m["at"]}}
+        forth.update(used.values())
+        back.update((b, a) for a, b in used.values())
+        compared, changed = compared + len(used), changed + sum(a != b for a, b in used.values())
+        covered.update(m["there"] for m in kept)
+        if len(covered) == size:
+            break
     return len(covered), compared, changed
 
 

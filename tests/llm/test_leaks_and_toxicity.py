@@ -40,6 +40,17 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert set(rows) == {(0, 1)}
 
 
+def test_equal_numbers_asked_again_as_different_ones(spark):
+    item = f"{prose(31, 14)} 3 pens and {prose(32, 14)}. Then 3 books came {prose(33, 14)}"
+    again = item.replace("3 pens", "4 pens").replace("3 books", "7 books")
+    altered = item.replace("3 books", "8 books")
+    other = item.replace("3 books", "5 books")
+    merged = other.replace("3 pens", "4 pens").replace("5 books", "4 books")
+    rows = found(spark, [again, altered, merged], [item, other])
+    assert {(0, 1), (1, 1), (2, 1), (2, 2)} <= set(rows)
+    assert rows[1, 1]["n_changed"] == 0 and 0.5 <= rows[0, 1]["containment"] < 1.0 and rows[2, 1]["containment"] == 1.0
+
+
 def test_names_and_units_are_typed():
     memo = template_leaks.Templates()
     h, slots, _, _ = memo.template(b"The dog of Ann Lee weighs 5 kg. Then 5 cats came.")
