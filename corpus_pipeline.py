@@ -21,7 +21,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return template_leaks.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return template_leaks.without_leaks(docs, read_table(spark, sf_dir, "benchmark"), plain_names=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return template_leaks.leaked_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return template_leaks.leaked_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), plain_names=True)
 
 
 def op7_proportional_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

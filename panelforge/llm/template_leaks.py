@@ -7,6 +7,8 @@ after numbers are replaced by typed placeholders, other words are lower-cased an
 an item on one alignment give a mapping from the item's slot values to the document's.  It must be one to one, so that a
 question asked again with other numbers and names is caught and a form that merely looks alike is not; windows that hold a
 conflicting slot do not count.  A document leaks an item when the others cover ``MIN_CONTAINMENT`` of the item's windows.
+With ``plain_names`` a second template leaves names as lower-cased words, so that copies in other letters are caught; either
+may match.
 
 Items are cut into windows on the executors and stay a table.  A bit map of their hashes, of fixed size, goes with the
 tasks that read documents, so that hardly a window without a partner leaves its task; the rest meet in a hash join, for which
@@ -103,6 +105,10 @@ class Templates(dict):
 
     def template(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
         """Hashes of the template words, whether each is a placeholder, the words of the text, and where each begins in them."""
+        return self.templates(text, False)[0]
+
+    def templates(self, text: bytes | None, plain_names: bool) -> list[tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
+        """The template, and with ``plain_names`` the one that leaves names as lower-cased words."""
         if len(self) > _CACHE:
             self._clear()
         words = (text or b"").replace(b"\n", b" \0 ").split()
@@ -114,12 +120,15 @@ class Templates(dict):
         number = (flags & _NUMBER) > 0
         name = ((flags & _CAPITAL) > 0) & inner
         unit = ((flags & _UNIT) > 0) & np.concatenate(([False], number[:-1]))[: len(number)]
-        h = self.hashes[codes[kept]]
-        for kind, where in (("name", name), ("unit", unit), ("number", number)):
-            h[where] = _PLACEHOLDER[kind]
+        plain = self.hashes[codes[kept]]
+        h = plain.copy()
+        h[name] = _PLACEHOLDER["name"]
+        for kind, where in (("unit", unit), ("number", number)):
+            h[where] = plain[where] = _PLACEHOLDER[kind]
         again = name & np.concatenate(([False], name[:-1]))[: len(name)]
         single = ~again
-        return h[single], (number | name | unit)[single], words, kept[single]
+        typed = (h[single], (number | name | unit)[single], words, kept[single])
+        return [typed, (plain, number | unit, words, kept)] if plain_names else [typed]
 
 
 def windows(h: np.ndarray, length: int) -> np.ndarray:
@@ -130,9 +139,9 @@ def windows(h: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def keyed_windows(h: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of the windows that differ by length as well."""
-    return windows(h, length) + np.uint64(length * _MIX & _ALL)
+def keyed_windows(h: np.ndarray, length: int, kind: int) -> np.ndarray:
+    """Hashes of the windows that differ by length and kind of template as well."""
+    return windows(h, length) + np.uint64((length + kind * 2 * WINDOW) * _MIX & _ALL)
 
 
 def _values(words: list[bytes], at: np.ndarray, h: np.ndarray, slots: np.ndarray, memo: dict[int, int], begin: int, length: int) -> tuple[list[int], list[int]]:
@@ -149,27 +158,32 @@ def _values(words: list[bytes], at: np.ndarray, h: np.ndarray, slots: np.ndarray
     return places, out
 
 
-def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = Templates()
-    for batch in batches:
-        rows: list[tuple] = []
-        for item, item_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            h, slots, words, at = memo.template(text.encode())
-            length = min(WINDOW, len(h))
-            if length < MIN_WORDS or slots.all():
-                continue
-            found = keyed_windows(h, length).view(np.int64).tolist()
-            seen: dict[int, int] = {}
-            for there, key in enumerate(found):
-                rows.append((key, item, item_id, len(found), length, there, _values(words, at, h, slots, seen, there, length)[1]))
-            if len(rows) > _FLUSH:
+def _item_windows(plain_names: bool):
+    """Windows of the items, for both kinds of template."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Templates()
+        for batch in batches:
+            rows: list[tuple] = []
+            for item, item_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for kind, (h, slots, words, at) in enumerate(memo.templates(text.encode(), plain_names)):
+                    length = min(WINDOW, len(h))
+                    if length < MIN_WORDS or slots.all():
+                        continue
+                    found = keyed_windows(h, length, kind).view(np.int64).tolist()
+                    seen: dict[int, int] = {}
+                    for there, key in enumerate(found):
+                        rows.append((key, item, item_id, kind, len(found), length, there, _values(words, at, h, slots, seen, there, length)[1]))
+                if len(rows) > _FLUSH:
+                    yield _batch(rows, _ITEM_FIELDS)
+                    rows = []
+            if rows:
                 yield _batch(rows, _ITEM_FIELDS)
-                rows = []
-        if rows:
-            yield _batch(rows, _ITEM_FIELDS)
+
+    return run
 
 
-_ITEM_FIELDS = [("key", pa.int64()), ("item", pa.int64()), ("item_id", pa.int64()), ("size", pa.int64()), ("length", pa.int32()), ("there", pa.int32()), ("theirs", pa.list_(pa.int64()))]
+_ITEM_FIELDS = [("key", pa.int64()), ("item", pa.int64()), ("item_id", pa.int64()), ("kind", pa.int32()), ("size", pa.int64()), ("length", pa.int32()), ("there", pa.int32()), ("theirs", pa.list_(pa.int64()))]
 _HIT_FIELDS = [("key", pa.int64()), ("place", pa.int32()), ("at", pa.list_(pa.int32())), ("own", pa.list_(pa.int64()))]
 
 
@@ -177,12 +191,12 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
+def item_windows(benchmark: DataFrame, plain_names: bool = False) -> DataFrame:
     """Every window of every item (``item`` tells repeated ones apart) with the values of its slots."""
     bounded_batches(benchmark.sparkSession)
     texts = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    schema = "key long, item long, item_id long, size long, length int, there int, theirs array<long>"
-    return materialize(texts.where("text IS NOT NULL").mapInArrow(_item_windows, schema), "item-windows")  # fixes the numbers
+    schema = "key long, item long, item_id long, kind int, size long, length int, there int, theirs array<long>"
+    return materialize(texts.where("text IS NOT NULL").mapInArrow(_item_windows(plain_names), schema), "item-windows")  # fixes the numbers
 
 
 def _bit_map(known: DataFrame) -> bytes:
@@ -195,7 +209,7 @@ def _bit_map(known: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _hits(lengths: list[int], bits: bytes):
+def _hits(lengths: list[int], bits: bytes, plain_names: bool):
     """Windows of documents whose bit is set, with the columns in front of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,17 +225,17 @@ def _hits(lengths: list[int], bits: bytes):
             rows: list[tuple] = []
             who: list[int] = []
             for number, text in enumerate(batch.column(batch.num_columns - 1).cast(pa.binary())):
-                h, slots, words, at = memo.template(text.as_py())
-                seen: dict[int, int] = {}
-                for length in lengths:
-                    own = keyed_windows(h, length)
-                    met = np.nonzero(marks[own >> np.uint64(64 - _BITS)])[0]
-                    for place, key in zip(met.tolist(), own[met].view(np.int64).tolist(), strict=True):
-                        rows.append((key, place, *_values(words, at, h, slots, seen, place, length)))
-                        who.append(number)
-                        if len(rows) > _FLUSH:
-                            yield made(batch, who, rows)
-                            rows, who = [], []
+                for kind, (h, slots, words, at) in enumerate(memo.templates(text.as_py(), plain_names)):
+                    seen: dict[int, int] = {}
+                    for length in lengths:
+                        own = keyed_windows(h, length, kind)
+                        met = np.nonzero(marks[own >> np.uint64(64 - _BITS)])[0]
+                        for place, key in zip(met.tolist(), own[met].view(np.int64).tolist(), strict=True):
+                            rows.append((key, place, *_values(words, at, h, slots, seen, place, length)))
+                            who.append(number)
+                            if len(rows) > _FLUSH:
+                                yield made(batch, who, rows)
+                                rows, who = [], []
             if rows:
                 yield made(batch, who, rows)
 
@@ -267,37 +281,41 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, "n_windows", "n_slots", "n_changed"])
 
 
-def _leaks(rows: DataFrame, benchmark: DataFrame, min_containment: float, broadcast_windows: int) -> DataFrame:
-    """Leaks of ``rows`` (``row``, ``doc_id``, ``text``): one row per document and item."""
-    known = item_windows(benchmark)
+def _leaks(rows: DataFrame, benchmark: DataFrame, min_containment: float, broadcast_windows: int, plain_names: bool) -> DataFrame:
+    """Leaks of ``rows`` (``row``, ``doc_id``, ``text``): one row per document and item, of the kind of template that covers more."""
+    known = item_windows(benchmark, plain_names)
     lengths = sorted(r["length"] for r in known.select("length").distinct().collect())  # at most WINDOW - MIN_WORDS + 1
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("row", "doc_id"))
-    hits = rows.select("row", "doc_id", "text").mapInArrow(_hits(lengths, _bit_map(known)), f"{kinds}, key long, place int, at array<int>, own array<long>")
+    hits = rows.select("row", "doc_id", "text").mapInArrow(_hits(lengths, _bit_map(known), plain_names), f"{kinds}, key long, place int, at array<int>, own array<long>")
     small = known.limit(broadcast_windows + 1).count() <= broadcast_windows
     met = hits.join(F.broadcast(known) if small else known, "key")
     one = F.struct("place", "there", "at", "own", "theirs")
-    pairs = met.groupBy("row", "item").agg(
+    pairs = met.groupBy("row", "item", "kind").agg(
         F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.first("size").alias("size"), F.collect_list(one).alias("matches")
     )
-    enough = pairs.where(F.size("matches") >= F.lit(float(min_containment)) * F.col("size")).select("row", "doc_id", "item_id", "size", "matches")
-    judged = enough.mapInArrow(_judged, f"{kinds}, item_id long, size long, n_windows long, n_slots long, n_changed long")
-    return judged.where(F.col("n_windows") >= F.lit(float(min_containment)) * F.col("size")).withColumn("containment", F.col("n_windows") / F.col("size"))
+    enough = pairs.where(F.size("matches") >= F.lit(float(min_containment)) * F.col("size")).select("row", "doc_id", "item", "kind", "item_id", "size", "matches")
+    judged = enough.mapInArrow(_judged, f"{kinds}, item long, kind int, item_id long, size long, n_windows long, n_slots long, n_changed long")
+    leaks = judged.where(F.col("n_windows") >= F.lit(float(min_containment)) * F.col("size")).withColumn("containment", F.col("n_windows") / F.col("size"))
+    if not plain_names:
+        return leaks
+    best = F.max_by(F.struct("doc_id", "item_id", "containment", "n_windows", "n_slots", "n_changed"), F.struct("containment", -F.col("kind")))
+    return leaks.groupBy("row", "item").agg(best.alias("best")).select("row", "best.*")
 
 
 def _narrow(docs: DataFrame, row: str, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(row).alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def leaked_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """One row per document and item that it leaks."""
+def leaked_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, broadcast_windows: int = BROADCAST_WINDOWS, plain_names: bool = False) -> DataFrame:
+    """One row per document and item that it leaks; with ``plain_names`` copies that write names in other letters count too."""
     docs, row = identified(docs)
-    found = _leaks(_narrow(docs, row, id_col, text_col), benchmark, min_containment, broadcast_windows)
+    found = _leaks(_narrow(docs, row, id_col, text_col), benchmark, min_containment, broadcast_windows, plain_names)
     return found.select("doc_id", "item_id", "containment", "n_windows", "n_slots", "n_changed").withColumn("reparameterised", F.col("n_changed") > 0)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_containment: float = MIN_CONTAINMENT, broadcast_windows: int = BROADCAST_WINDOWS, plain_names: bool = False) -> DataFrame:
     """``docs`` without the documents that leak an item."""
     docs, row = identified(docs)
-    found = _leaks(_narrow(docs, row, id_col, text_col), benchmark, min_containment, broadcast_windows)
+    found = _leaks(_narrow(docs, row, id_col, text_col), benchmark, min_containment, broadcast_windows, plain_names)
     leaking = materialize(found.select(F.col("row").alias(row)).distinct(), "leaking")
     return docs.join(leaking, row, "left_anti").drop(row)

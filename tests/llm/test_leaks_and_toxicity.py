@@ -40,6 +40,18 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert set(rows) == {(0, 1)}
 
 
+def test_copies_in_other_letters(spark):
+    """As the registered query and the pipeline run it."""
+    german = "Der Hund von Anna sah im Garten hinter dem Haus einen Vogel und die Katze auf dem Dach der Scheune am Bach."
+    short = "Name the Capital of Northern Freedonia in Summer"
+    texts = [ITEM.upper().lower(), ITEM.upper(), f"{prose(1, 30)} {german.lower()} {prose(2, 30)}", f"{prose(3, 9)} {short} {prose(4, 9)}", ITEM, prose(5, 90)]
+    rows = found(spark, texts, [ITEM, german, short], plain_names=True)
+    assert set(rows) == {(0, 1), (1, 1), (2, 2), (3, 3), (4, 1)}
+    assert all(r["containment"] == 1.0 and not r["reparameterised"] for r in rows.values())
+    other = ITEM.replace("Boston", "Paris").replace("Albany", "New Lyon").replace("120", "80")
+    assert found(spark, [other], [ITEM], plain_names=True)[0, 1]["reparameterised"]
+
+
 def test_equal_numbers_asked_again_as_different_ones(spark):
     item = f"{prose(31, 14)} 3 pens and {prose(32, 14)}. Then 3 books came {prose(33, 14)}"
     again = item.replace("3 pens", "4 pens").replace("3 books", "7 books")
