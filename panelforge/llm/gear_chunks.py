@@ -79,7 +79,7 @@ def chunk_rows(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["hi", "lo", "doc_id", "chunk", "start", "bytes", "words"]
+    names = ["hi", "lo", "chunk", "doc_id", "start", "bytes", "words"]
     kinds = [np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32]
 
     def batch_of(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
@@ -97,7 +97,7 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             n = len(digests)
             first = xxhash.xxh32_intdigest(value) >> 1 << 32  # another text under the same id has other numbers
-            parts.append([pair[:, 0], pair[:, 1], np.full(n, doc), np.arange(first, first + n), np.array(starts), np.array(sizes), np.array(words)])
+            parts.append([pair[:, 0], pair[:, 1], np.arange(first, first + n), np.full(n, doc), np.array(starts), np.array(sizes), np.array(words)])
             held += n
             if held > 100_000:
                 yield batch_of(parts)
@@ -107,10 +107,13 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every chunk of every text: its digest as two longs, document, number, start, bytes, words begun."""
+    """Every chunk of every text: its digest as two longs, number, document, start, bytes, words begun.
+
+    The hash of the text in the number's upper half stands next to the document, so both compress as one.
+    """
     bounded_batches(docs.sparkSession)
     narrow = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return narrow.mapInArrow(_run, "hi long, lo long, doc_id long, chunk long, start long, bytes int, words int")
+    return narrow.mapInArrow(_run, "hi long, lo long, chunk long, doc_id long, start long, bytes int, words int")
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,7 +135,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     copies = materialize(repeated_chunks(docs, id_col, text_col), "chunk-copies")
     # repeated rows of one document give every chunk as often: keep one of each
-    single = copies.withColumn("shift", F.col("start") - F.col("keeper_start")).dropDuplicates(["doc_id", "chunk"])
+    single = copies.dropDuplicates(["doc_id", "chunk"]).withColumn("shift", F.col("start") - F.col("keeper_start"))
     line = Window.partitionBy("doc_id").orderBy("chunk")
     before = F.lag(F.struct(F.col("chunk") + 1, "keeper_id", "shift")).over(line)
     joined = F.coalesce(before == F.struct("chunk", "keeper_id", "shift"), F.lit(False))
