@@ -122,6 +122,20 @@ def words_of(data: bytes | None) -> list[bytes]:
     return data.split() if data else []
 
 
+#: Capitals to small letters, and every ASCII character but letters and digits to a space.
+_PLAIN = bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+#: Words of ``plain`` texts, for engines with regular expressions, after A-Z became small.
+PLAIN_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def plain(data: bytes) -> bytes:
+    """Words of ASCII letters and digits and all other characters beyond ASCII, in small letters, with spaces between."""
+    return data.translate(_PLAIN)
+
+
 def quoted(text: str) -> str:
     """``text`` as a SQL string literal."""
     return "'" + text.replace("'", "''") + "'"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import (
-    gear_chunks, license_join, proportional_shards, quality_hosts, quality_sql, sequence_files, simhash_tiles,
-    template_leaks, temperature_mix, token_counts, toxic_automaton,
+    cuckoo_dedup, gear_chunks, importance_resampling, license_join, pair_maxscore, proportional_shards, quality_hosts, quality_sql,
+    sequence_files, simhash_tiles, template_leaks, temperature_mix, token_counts, toxic_automaton,
 )
 from panelforge.llm.common import read_table
 
@@ -60,11 +60,24 @@ def op10_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_join.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_maxscore.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo_dedup.groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_host_quality, op2_simhash, op3_temperature_mix, op4_gear_chunks, op5_token_counts, op6_template_leaks,
-        op7_proportional_shards, op8_toxic_automaton, op9_sequence_files, op10_license_join,
+        op7_proportional_shards, op8_toxic_automaton, op9_sequence_files, op10_license_join, op11_importance_resampling, op12_pair_maxscore,
+        op13_cuckoo_dedup,
     )
 }
 
@@ -74,4 +87,7 @@ ORACLES = {
     "op3_temperature_mix": temperature_mix.sql(),
     "op7_proportional_shards": proportional_shards.sql(),
     "op10_license_join": license_join.sql(),
+    "op11_importance_resampling": importance_resampling.sql(),
+    "op12_pair_maxscore": pair_maxscore.sql(),
+    "op13_cuckoo_dedup": cuckoo_dedup.sql(),
 }
