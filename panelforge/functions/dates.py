@@ -29,6 +29,12 @@ def month_index(date: Column | str) -> Column:
     return F.year(date) * 12 + F.month(date)
 
 
+def month_at(index: Column | str) -> Column:
+    """The first day of the month with a ``month_index``."""
+    place = (F.col(index) if isinstance(index, str) else index) - 1
+    return F.make_date(F.floor(place / 12).cast("int"), (F.pmod(place, F.lit(12)) + 1).cast("int"), F.lit(1))
+
+
 def parse_yyyymm(value: Column) -> Column:
     """First day of the month in a yyyymm number or text, by arithmetic rather than text formats."""
     number = value.cast("int")

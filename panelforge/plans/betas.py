@@ -16,25 +16,28 @@ from panelforge.operators.reshape import to_long
 from panelforge.operators.windows import rolling_sums
 
 Y, X = "ret_excess", "mkt_excess"
+CENTRED = "mkt_centred"
 BETAS = ("beta_monthly", "beta_daily")
 NOISE = 1e-10
 
 
-def with_market(panel: DataFrame, factors: DataFrame, period: str) -> DataFrame:
-    """The market return less its mean over the calendar, which leaves slopes as they are and keeps sums of squares small.
+def with_market(panel: DataFrame, factors: DataFrame, period: str, name: str = X) -> DataFrame:
+    """The panel with the market return of its period; values that are no finite numbers count as missing on both sides.
 
-    The lookup has one row per period, so its unpartitioned window is bounded by the calendar.  Values that are no
-    finite numbers count as missing on both sides.
+    Under the name ``CENTRED`` the column is the return less its mean over the calendar, which leaves slopes as they are and
+    keeps sums of squares small.  The lookup has one row per period, so its unpartitioned window is bounded by the calendar.
     """
-    market = period_lookup(factors.select(period, finite(F.col(X)).alias(X)), period)
-    centred = F.col(X) - F.avg(X).over(Window.partitionBy(F.lit(0)))
-    return panel.withColumn(Y, finite(F.col(Y))).join(F.broadcast(market.withColumn(X, centred)), period, "left")
+    market = period_lookup(factors.select(period, finite(F.col(X)).alias(name)), period)
+    if name == CENTRED:
+        market = market.withColumn(name, F.col(name) - F.avg(name).over(Window.partitionBy(F.lit(0))))
+    return panel.withColumn(Y, finite(F.col(Y))).join(F.broadcast(market), period, "left")
 
 
 def _pair_terms() -> dict[str, Column]:
-    """Summands of the regression of Y on X over rows where both are known."""
-    pair = F.col(Y).isNotNull() & F.col(X).isNotNull()
-    terms = {"n": F.lit(1.0), "sx": F.col(X), "sy": F.col(Y), "sxx": F.col(X) * F.col(X), "sxy": F.col(X) * F.col(Y)}
+    """Summands of the regression of Y on the centred market over rows where both are known."""
+    x, y = F.col(CENTRED), F.col(Y)
+    pair = y.isNotNull() & x.isNotNull()
+    terms = {"n": F.lit(1.0), "sx": x, "sy": y, "sxx": x * x, "sxy": x * y}
     return {k: F.when(pair, t) for k, t in terms.items()}
 
 
@@ -57,7 +60,7 @@ def beta_monthly(
 ) -> DataFrame:
     """Rolling slope of excess returns on the market over ``months`` calendar months (or ``rows`` preceding rows)."""
     data = keep_min_rows(panel, "permno", min_history) if min_history else panel
-    data = with_market(data.select("permno", "month", Y), factors, "month").withColumn("__mi", month_index("month"))
+    data = with_market(data.select("permno", "month", Y), factors, "month", CENTRED).withColumn("__mi", month_index("month"))
     width = ("range", -(months - 1), 0) if rows is None else ("rows", -rows, 0)
     out = rolling_sums(data, _pair_terms(), "permno", "__mi", width)
     if require_consecutive:
@@ -77,7 +80,7 @@ def beta_daily(
     Days are first reduced to monthly sums, which are aggregated map-side; the window then runs over months.
     """
     data = keep_min_rows(daily, "permno", min_history) if min_history else daily
-    data = with_market(data.select("permno", "month", "date", Y), factors, "date")
+    data = with_market(data.select("permno", "month", "date", Y), factors, "date", CENTRED)
     terms = _pair_terms()
     monthly = data.groupBy("permno", "month").agg(*[F.sum(t).alias(k) for k, t in terms.items()])
     monthly = monthly.withColumn("__mi", month_index("month"))
@@ -88,7 +91,7 @@ def beta_daily(
 
 def beta_trailing_days(daily: DataFrame, factors: DataFrame, days: int = 90, min_obs: int = 50) -> DataFrame:
     """Slope over the ``days`` rows before the current one."""
-    data = with_market(daily.select("permno", "date", Y), factors, "date")
+    data = with_market(daily.select("permno", "date", Y), factors, "date", CENTRED)
     out = rolling_sums(data, _pair_terms(), "permno", "date", ("rows", -days, -1))
     return out.where(F.col("n") >= min_obs).select("permno", "date", _slope().alias("beta")).dropna(subset=["beta"])
 

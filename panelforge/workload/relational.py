@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import buckets, dates, scalars
-from panelforge.operators import aggregates, joins, quantiles, reshape, windows
+from panelforge.operators import aggregates, asof, blocks, joins, quantiles, reshape, sliding, windows
 from panelforge.plans import betas, size_sorts, trades, univariate
 from panelforge.sources import factors as factor_tables
 from panelforge.sources import readers, schemas
@@ -357,22 +357,31 @@ def join_cross(t):
     return t.issues.select("complete_cusip", F.explode(live).alias("date"))
 
 
-ASOF = """
-    SELECT gvkey, month, last_be FROM (
-      SELECT p.gvkey, p.month, last_value(a.be IGNORE NULLS) OVER w AS last_be, last_value(CASE WHEN a.be IS NOT NULL THEN p.month END IGNORE NULLS) OVER w AS seen
-      FROM (SELECT DISTINCT gvkey, month FROM t_linked WHERE gvkey IS NOT NULL) p
-      LEFT JOIN t_accounts a ON p.gvkey = a.gvkey AND p.month = CAST(date_trunc('month', a.datadate) AS DATE)
-      WINDOW w AS (PARTITION BY p.gvkey ORDER BY p.month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-    WHERE seen > month - INTERVAL 12 MONTH"""
+FILED = "SELECT gvkey, CAST(date_trunc('month', datadate) AS DATE) AS filed, be FROM t_accounts WHERE be IS NOT NULL"
+ASOF = f"""SELECT p.gvkey, p.month, a.be AS last_be FROM (SELECT DISTINCT gvkey, month FROM t_linked WHERE gvkey IS NOT NULL) p
+    ASOF JOIN ({FILED}) a ON p.gvkey = a.gvkey AND p.month >= a.filed WHERE a.filed > p.month - INTERVAL 12 MONTH"""
 
 
 @query("join_asof_stale", ASOF, "last_be", 9)
 def join_asof_stale(t):
+    """The latest filing at or before each month, whether or not the panel has the filing's month, not older than a year."""
     months = t.linked.where("gvkey IS NOT NULL").select("gvkey", "month").distinct()
-    filed = t.accounts.select("gvkey", dates.month_of("datadate").alias("month"), "be")
-    joined = months.join(filed, ["gvkey", "month"], "left").withColumn("seen", F.when(F.col("be").isNotNull(), F.col("month")))
-    carried = joined.withColumns({c: windows.fill_down(c, ["gvkey"], "month") for c in ("be", "seen")})
-    return carried.where(F.col("seen") > dates.shift_months(F.col("month"), -12)).select("gvkey", "month", F.col("be").alias("last_be"))
+    filed = t.accounts.where("be IS NOT NULL").select("gvkey", dates.month_of("datadate").alias("filed"), "be")
+    fresh = F.col("filed") > dates.shift_months(F.col("month"), -12)
+    return asof.join_asof(months, filed, ["gvkey"], "month", "filed", ["be"], fresh, "inner").select("gvkey", "month", F.col("be").alias("last_be"))
+
+
+@query(
+    "join_asof_blocks",
+    """SELECT e.event_id, o.o_orderkey, o.d FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'O' ELSE 'F' END AS status, DATE '1995-01-01' + CAST(event_id * 7 % 2500 AS INTEGER) AS at FROM events) e
+       ASOF LEFT JOIN (SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS d, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) o ON e.status = o.o_orderstatus AND e.at >= o.d""",
+)
+def join_asof_blocks(t):
+    """The plan for hot keys, forced: two keys, cut into blocks that carry their last row on."""
+    asked = t.driver("events").selectExpr("event_id", "CASE WHEN event_id % 3 = 0 THEN 'O' ELSE 'F' END AS status", "date_add(DATE'1995-01-01', CAST(event_id * 7 % 2500 AS INT)) AS at")
+    orders = _orders(t).select(F.col("o_orderstatus").alias("status"), "d", "o_orderkey")
+    out = asof.join_asof(asked, orders, ["status"], "at", "d", ["o_orderkey"], max_group_rows=100, block_rows=300)
+    return out.select("event_id", "o_orderkey", "d")
 
 
 @query("join_m2m", "SELECT p.permno, p.date, k.gvkey, k.linktype FROM t_panel p JOIN t_links k ON p.permno = k.lpermno AND p.date BETWEEN k.linkdt AND coalesce(k.linkenddt, DATE '2001-12-31')")
@@ -555,12 +564,25 @@ def agg_rescale_base(t):
 
 @query("win_lag", "SELECT permno, month, lag(vol) OVER (PARTITION BY permno ORDER BY month) AS prev FROM t_monthly_trade")
 def win_lag(t):
-    return t.monthly_trade.select("permno", "month", windows.lag_row("vol", ["permno"], "month").alias("prev"))
+    return blocks.shift_rows(t.stored_monthly.select("permno", "month", "vol"), {"prev": "vol"}, ["permno"], ["month"]).drop("vol")
 
 
 @query("win_lead", "SELECT permno, month, lead(vol) OVER (PARTITION BY permno ORDER BY month) AS next FROM t_monthly_trade")
 def win_lead(t):
-    return t.monthly_trade.select("permno", "month", windows.lag_row("vol", ["permno"], "month", -1).alias("next"))
+    return blocks.shift_rows(t.stored_monthly.select("permno", "month", "vol"), {"next": "vol"}, ["permno"], ["month"], -1).drop("vol")
+
+
+@query(
+    "win_shift_blocks",
+    "SELECT o_orderkey, lag(o_totalprice, 3) OVER w AS before, lead(o_totalprice, 3) OVER w AS after FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY CAST(o_orderdate AS DATE), o_orderkey)",
+)
+def win_shift_blocks(t):
+    """The plan for groups beyond one task, forced: blocks of 250 rows with copies of their neighbours' edges."""
+    rows = _orders(t).select("o_orderkey", "o_orderstatus", "d", "o_totalprice")
+    size = {"max_group_rows": 100, "block_rows": 250}
+    rows = materialize(blocks.shift_rows(rows, {"before": "o_totalprice"}, ["o_orderstatus"], ["d", "o_orderkey"], 3, **size), "shifted")
+    out = blocks.shift_rows(rows, {"after": "o_totalprice"}, ["o_orderstatus"], ["d", "o_orderkey"], -3, **size)
+    return out.select("o_orderkey", "before", "after")
 
 
 @query("win_group_max", "SELECT permno, month, max(vol) OVER (PARTITION BY permno) AS top FROM t_monthly_trade")
@@ -593,26 +615,52 @@ def win_ntile_narrowed(t):
     return quantiles.ntile(rows, "v", 10, ["o_orderstatus"], "o_orderkey", "decile", max_group_rows=500).drop("v")
 
 
-@query("win_row_number", "SELECT gvkey, datadate, CAST(row_number() OVER (PARTITION BY gvkey ORDER BY datadate) AS INTEGER) AS seq FROM t_funda")
+@query("win_row_number", "SELECT gvkey, datadate, row_number() OVER (PARTITION BY gvkey ORDER BY datadate) AS seq FROM t_funda")
 def win_row_number(t):
-    return t.funda.select("gvkey", "datadate", F.row_number().over(Window.partitionBy("gvkey").orderBy("datadate")).alias("seq"))
+    return blocks.number_in_group(materialize(t.funda.select("gvkey", "datadate"), "funda"), ["gvkey"], ["datadate"])
+
+
+@query("win_row_number_blocks", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS seq FROM orders")
+def win_row_number_blocks(t):
+    rows = t.driver("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return blocks.number_in_group(rows, ["o_orderstatus"], [F.col("o_totalprice").desc(), "o_orderkey"], max_group_rows=100).select("o_orderkey", "seq")
 
 
 @query("win_rows_frame", "SELECT permno, month, sum(qty) OVER (PARTITION BY permno ORDER BY month ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS qty, count(*) OVER (PARTITION BY permno ORDER BY month ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS n FROM t_monthly_trade")
 def win_rows_frame(t):
-    frame = Window.partitionBy("permno").orderBy("month").rowsBetween(-60, 0)
-    return t.monthly_trade.select("permno", "month", F.sum("qty").over(frame).alias("qty"), F.count(F.lit(1)).over(frame).alias("n"))
+    terms = {"qty": F.col("qty"), "n": F.lit(1.0)}
+    out = windows.rolling_sums(t.monthly_trade.select("permno", "month", "qty"), terms, "permno", "month", ("rows", -60, 0))
+    return out.select("permno", "month", "qty", F.col("n").cast("long").alias("n"))
+
+
+# One value in a hundred is NaN and one is huge; frames that do not hold them must not feel them.
+SPOILT = "CASE WHEN (permno + mi) % 101 = 0 THEN {nan} WHEN (permno + mi) % 103 = 0 THEN 1e12 ELSE qty END"
+
+
+@query(
+    "win_rows_frame_spoilt",
+    f"""SELECT permno, month, coalesce(sum(CASE WHEN NOT isnan(q) THEN q END) OVER w, 0) AS qty
+        FROM (SELECT permno, month, {SPOILT.format(nan="'NaN'::DOUBLE")} AS q FROM (SELECT *, CAST(12 * year(month) + month(month) AS INTEGER) AS mi FROM t_monthly_trade))
+        WINDOW w AS (PARTITION BY permno ORDER BY month ROWS BETWEEN 25 PRECEDING AND 2 PRECEDING)""",
+    "qty", 4,
+)
+def win_rows_frame_spoilt(t):
+    rows = t.monthly_trade.select("permno", "month", "qty", (12 * F.year("month") + F.month("month")).alias("mi"))
+    spoilt = rows.withColumn("q", F.expr(SPOILT.format(nan="DOUBLE('NaN')")))
+    return windows.rolling_sums(spoilt, {"total": F.col("q")}, "permno", "month", ("rows", -25, -2)).select("permno", "month", F.col("total").alias("qty"))
 
 
 @query("win_rows_excl_current", "SELECT permno, date, sum(qty) OVER (PARTITION BY permno ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS qty FROM t_daily_trade")
 def win_rows_excl_current(t):
-    frame = Window.partitionBy("permno").orderBy("date").rowsBetween(-20, -1)
-    return t.daily_trade.select("permno", "date", F.sum("qty").over(frame).alias("qty"))
+    terms = {"total": F.col("qty"), "n": F.lit(1.0)}
+    out = windows.rolling_sums(t.daily_trade.select("permno", "date", "qty"), terms, "permno", "date", ("rows", -20, -1))
+    return out.select("permno", "date", F.when(F.col("n") > 0, F.col("total")).alias("qty"))
 
 
 @query("win_range_months", "SELECT permno, month, sum(qty) OVER (PARTITION BY permno ORDER BY month RANGE BETWEEN INTERVAL 11 MONTH PRECEDING AND CURRENT ROW) AS qty FROM t_monthly_trade")
 def win_range_months(t):
-    return t.monthly_trade.select("permno", "month", F.sum("qty").over(windows.months_window("permno", "mi", 12)).alias("qty"))
+    out = windows.rolling_sums(t.monthly_trade.select("permno", "month", "mi", "qty"), {"total": F.col("qty")}, "permno", "mi", ("range", -11, 0))
+    return out.select("permno", "month", F.col("total").alias("qty"))
 
 
 @query(
@@ -627,17 +675,50 @@ def win_frame_minmax(t):
     return rows.select("permno", "month", span.alias("span"), F.count(F.lit(1)).over(frame).alias("n"))
 
 
+def _slid(t, windows_: dict, periods: int, **options):
+    rows = t.panel.select("permno", "month", "ret_excess", "mktcap").withColumn("mi", dates.month_index("month"))
+    out = sliding.slide_periods(rows, "permno", "mi", windows_, periods, **options)
+    return out.withColumn("month", dates.month_at("mi")).drop("mi")
+
+
+SLIDE = """SELECT permno, month, {result} FROM t_panel
+       WINDOW w AS (PARTITION BY permno ORDER BY month RANGE BETWEEN INTERVAL {before} MONTH PRECEDING AND CURRENT ROW)"""
+
+
+@query("win_slide_period", SLIDE.format(result="CASE WHEN count(ret_excess) OVER w >= 24 THEN avg(ret_excess) OVER w END AS mean", before=35), "mean", 9)
+def win_slide_period(t):
+    return _slid(t, {"mean": sliding.mean("ret_excess", 24)}, 36)
+
+
+@query("win_slide_extremes", SLIDE.format(result="min(ret_excess) OVER w AS lowest, max(mktcap) OVER w AS highest", before=18), "lowest highest", 9)
+def win_slide_extremes(t):
+    return _slid(t, {"lowest": sliding.extreme("ret_excess", highest=False), "highest": sliding.extreme("mktcap")}, 19)
+
+
 @query(
-    "win_slide_period",
-    """SELECT permno, month, CASE WHEN count(ret_excess) OVER w >= 24 THEN avg(ret_excess) OVER w END AS mean FROM t_panel
-       WINDOW w AS (PARTITION BY permno ORDER BY month RANGE BETWEEN INTERVAL 35 MONTH PRECEDING AND CURRENT ROW)""",
-    "mean", 9,
+    "win_slide_quantiles",
+    SLIDE.format(result=", ".join(f"CASE WHEN count(ret_excess) OVER w >= 6 THEN quantile_cont(ret_excess, {p}) OVER w END AS {n}" for n, p in (("q10", 0.1), ("q50", 0.5))), before=20),
+    "q10 q50", 9,
 )
-def win_slide_period(t):
-    rows = t.panel.select("permno", "month", "ret_excess").withColumn("mi", dates.month_index("month"))
-    frame = windows.months_window("permno", "mi", 36)
-    mean = F.when(F.count("ret_excess").over(frame) >= 24, F.avg("ret_excess").over(frame))
-    return rows.select("permno", "month", mean.alias("mean"))
+def win_slide_quantiles(t):
+    out = _slid(t, {"q": sliding.quantiles("ret_excess", (0.1, 0.5), 6)}, 21)
+    return out.select("permno", "month", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"))
+
+
+@query(
+    "win_slide_regression",
+    SLIDE.format(
+        result="""CASE WHEN date_diff('month', min(month) OVER (PARTITION BY permno), month) >= 23 AND regr_count(ret_excess, ln(mktcap)) OVER w >= 12 THEN regr_slope(ret_excess, ln(mktcap)) OVER w END AS slope,
+               CASE WHEN date_diff('month', min(month) OVER (PARTITION BY permno), month) >= 23 AND regr_count(ret_excess, ln(mktcap)) OVER w >= 12 THEN regr_intercept(ret_excess, ln(mktcap)) OVER w END AS intercept""",
+        before=23,
+    ),
+    "slope intercept",
+)
+def win_slide_regression(t):
+    """Regression in complete windows only."""
+    rows = t.panel.select("permno", "month", "ret_excess", F.ln("mktcap").alias("size")).withColumn("mi", dates.month_index("month"))
+    out = sliding.slide_periods(rows, "permno", "mi", {"fit": sliding.regression("ret_excess", "size", 12)}, 24, complete=True)
+    return out.select("permno", dates.month_at("mi").alias("month"), F.col("fit.slope").alias("slope"), F.col("fit.intercept").alias("intercept"))
 
 
 @query(
@@ -646,7 +727,18 @@ def win_slide_period(t):
     "ret", 9,
 )
 def win_fill_down(t):
-    return t.dsf.select("permno", "date", windows.fill_down("ret", ["permno"], "date").alias("ret"))
+    return blocks.fill_rows(materialize(t.dsf.select("permno", "date", "ret"), "daily"), ["ret"], ["permno"], ["date"])
+
+
+@query(
+    "win_fill_down_blocks",
+    """SELECT o_orderkey, last_value(v IGNORE NULLS) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+       FROM (SELECT *, CASE WHEN o_orderkey % 997 = 5 THEN o_totalprice END AS v FROM orders)""",
+)
+def win_fill_down_blocks(t):
+    """Known values a thousand rows apart, blocks of two hundred: most are carried over several blocks."""
+    rows = t.driver("orders").selectExpr("o_orderkey", "o_orderstatus", "CASE WHEN o_orderkey % 997 = 5 THEN o_totalprice END AS v")
+    return blocks.fill_rows(rows, ["v"], ["o_orderstatus"], ["o_orderkey"], max_group_rows=100, block_rows=200).select("o_orderkey", "v")
 
 
 @query(
