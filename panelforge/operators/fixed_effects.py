@@ -11,6 +11,7 @@ aggregates over the counts; the driver then holds one number per period and colu
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -72,18 +73,64 @@ def _period_equations(periods: list):
                 n = np.asarray(counts, dtype=float)
                 total[at, at] += n
                 total[np.ix_(at, at)] -= np.outer(n, n) / n.sum()
-        yield pd.DataFrame({"i": np.arange(size), "row": list(total)})
+        yield pd.DataFrame({"i": np.arange(size), "row": [line.tobytes() for line in total]})
 
     return accumulate
 
 
+def _added_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Packed rows with the same number as their sum."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, row in zip(batch["i"], batch["row"], strict=True):
+            line = np.frombuffer(row)
+            total[i] = total[i] + line if i in total else line
+    yield pd.DataFrame({"i": list(total), "row": [line.tobytes() for line in total.values()]})
+
+
+def _roots(links: Iterator[tuple]) -> dict:
+    """The smallest node joined to each node that a link names."""
+    above: dict = {}
+
+    def root(x):
+        while above.setdefault(x, x) != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        above[high] = low
+    return {x: root(x) for x in above}
+
+
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """As few links as keep what the given ones join together: at most one for each period."""
+    roots = _roots((a, b) for batch in batches for a, b in zip(batch["a"], batch["b"], strict=True))
+    yield pd.DataFrame({"a": list(roots.values()), "b": list(roots)}, dtype="int64")
+
+
+def connected_parts(cells: DataFrame, entity: str, period: str, periods: list) -> int:
+    """Number of parts of the panel that share neither an entity nor a period.
+
+    Every entity joins the periods it was seen in.  Tasks reduce those links to a spanning forest of the calendar, twice, so
+    the driver receives a few links per period.
+    """
+    numbers = _lookup(cells.sparkSession, cells, period, periods, np.arange(len(periods))[:, None], ["__k"])
+    numbered = cells.join(F.broadcast(numbers), period).select(entity, F.col("__k").cast("long").alias("b"))
+    first = numbered.groupBy(entity).agg(F.min("b").alias("a"))
+    links = numbered.join(first, entity).select("a", "b").distinct()
+    forest = links.mapInPandas(_forest, "a long, b long").distinct().mapInPandas(_forest, "a long, b long")
+    return len(set(_roots((r["a"], r["b"]) for r in forest.collect()).values()))
+
+
 def _solved_densely(cells: DataFrame, entity: str, period: str, periods: list, right: np.ndarray) -> np.ndarray:
     per_entity = cells.groupBy(entity).agg(F.collect_list(F.struct(F.col(period).alias("p"), "n")).alias("e"))
     per_entity = per_entity.select(F.col("e.p").alias("periods"), F.col("e.n").alias("counts"))
-    parts = per_entity.mapInPandas(_period_equations(periods), "i int, row array<double>")
+    parts = per_entity.mapInPandas(_period_equations(periods), "i int, row binary")
     left = np.zeros((len(periods), len(periods)))
-    for r in parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect():
-        left[r["i"], r["j"]] = r["x"]
+    for r in parts.repartition("i").mapInPandas(_added_up, "i int, row binary").collect():
+        left[r["i"]] = np.frombuffer(r["row"])
     return np.linalg.lstsq(left, right, rcond=None)[0]
 
 
@@ -135,12 +182,26 @@ def _solved_by_gradients(cells: DataFrame, entity: str, period: str, periods: li
     return solution
 
 
+@dataclass(frozen=True)
+class Effects:
+    """Sizes of a two-way panel: entities, periods, and parts that share neither."""
+
+    entities: int
+    periods: int
+    parts: int
+
+    @property
+    def rank(self) -> int:
+        """Independent effects: one is lost for every part."""
+        return self.entities + self.periods - self.parts
+
+
 def residualize_two_way(
     df: DataFrame, columns: Sequence[str], entity: str, period: str, dense_periods: int = DENSE_PERIODS
-) -> tuple[DataFrame, int, int]:
-    """Remove entity and period effects, balanced or not, with any number of periods.
+) -> tuple[DataFrame, Effects]:
+    """Remove entity and period effects, balanced or not, connected or not, with any number of periods.
 
-    Returns the rows with residualised columns, the number of entities and the number of periods.  Rows are first
+    Returns the rows with residualised columns and the sizes of the panel.  Rows are first
     counted and summed per (entity, period), so what is gathered for one entity is bounded by the calendar.
     """
     spark = df.sparkSession
@@ -150,22 +211,22 @@ def residualize_two_way(
     periods = [r[period] for r in per_period]
     right = np.array([[r[f"__s{k}"] for k in range(len(columns))] for r in per_period])
 
-    cells = within.groupBy(entity, period).agg(F.count(F.lit(1)).alias("n"))
-    entities = within.select(entity).distinct().count()
+    cells = materialize(within.groupBy(entity, period).agg(F.count(F.lit(1)).alias("n")), "cells")
+    entities = cells.select(entity).distinct().count()
     if len(periods) <= dense_periods:
         effects = _solved_densely(cells, entity, period, periods, right)
     else:
-        effects = _solved_by_gradients(materialize(cells, "cells"), entity, period, periods, right)
+        effects = _solved_by_gradients(cells, entity, period, periods, right)
     names = [f"__g_{c}" for c in columns]
     lookup = _lookup(spark, within, period, periods, effects, names)
     joined = demean(within.join(F.broadcast(lookup), period), names, entity)
     out = joined.withColumns({c: F.col(c) - F.col(f"__g_{c}") for c in columns}).drop(*names)
-    return out, entities, len(periods)
+    return out, Effects(entities, len(periods), connected_parts(cells, entity, period, periods))
 
 
-def two_way_fit(df: DataFrame, y: str, xs: Sequence[str], entity: str, period: str) -> tuple[Fit, DataFrame, int, int]:
-    """Two-way fixed-effect estimate, the residualised rows, and the numbers of entities and periods."""
+def two_way_fit(df: DataFrame, y: str, xs: Sequence[str], entity: str, period: str) -> tuple[Fit, DataFrame, Effects]:
+    """Two-way fixed-effect estimate, the residualised rows, and the sizes of the panel."""
     rows = complete_rows(df, [entity, period, y, *xs])
-    residual, entities, periods = residualize_two_way(rows, [*xs, y], entity, period)
+    residual, effects = residualize_two_way(rows, [*xs, y], entity, period)
     residual = materialize(residual, "residual")
-    return fit_products(residual, y, xs), residual, entities, periods
+    return fit_products(residual, y, xs), residual, effects

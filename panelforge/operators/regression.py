@@ -130,11 +130,19 @@ def cluster_meat(df: DataFrame, y: str, fit: Fit, cluster: Sequence[str]) -> tup
     return _matrix(row, k), row["g"]
 
 
+def positive_part(covariance: np.ndarray) -> np.ndarray:
+    """The nearest positive semi-definite matrix: negative eigenvalues become zero."""
+    values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
+    return (vectors * np.clip(values, 0, None)) @ vectors.T
+
+
 def cluster_covariance(
-    df: DataFrame, y: str, fit: Fit, clusters: Sequence[str], estimated: int | None = None, small_sample: bool = True
+    df: DataFrame, y: str, fit: Fit, clusters: Sequence[str], estimated: int | None = None, small_sample: bool = True, repair: bool = False
 ) -> np.ndarray:
     """Cluster-robust covariance for one or two cluster variables.
 
+    With two the matrix is a difference, which may have negative variances; ``repair`` then clips its eigenvalues at zero.
+
     With ``small_sample`` the result is scaled by ``(n-1)/(n-K)`` and ``G/(G-1)``, where K is ``estimated`` (default:
     the number of coefficients) and G the smaller number of clusters.
     """
@@ -151,6 +159,8 @@ def cluster_covariance(
         raise ValueError("one or two cluster variables")
     smallest = min(g for _, (_, g) in parts)
     covariance = fit.bread @ sum(sign * meat for sign, (meat, _) in parts) @ fit.bread
+    if repair:
+        covariance = positive_part(covariance)
     if not small_sample:
         return covariance
     k = len(fit.terms) if estimated is None else estimated

@@ -49,14 +49,14 @@ def panel_regressions(investment: DataFrame) -> DataFrame:
     data = materialize(investment.select("gvkey", "year", Y, *XS), "regression")
     pooled = ols(data, Y, XS)
     firm, firms = within_fit(data, Y, XS, "gvkey")
-    both, residual, _, years = two_way_fit(data, Y, XS, "gvkey", "year")
+    both, residual, effects = two_way_fit(data, Y, XS, "gvkey", "year")
     k = len(XS)
-    by_firm = cluster_covariance(residual, Y, both, ["gvkey"], estimated=k + years)
+    by_firm = cluster_covariance(residual, Y, both, ["gvkey"], estimated=k + effects.periods - effects.parts + 1)
     by_both = cluster_covariance(residual, Y, both, ["gvkey", "year"], estimated=k + 1)
     tables = [
         pooled.table(spark, pooled.iid(), "ols"),
         firm.table(spark, firm.iid(absorbed=firms), "fe_firm"),
-        both.table(spark, both.iid(absorbed=firms + years - 1), "fe_firm_year"),
+        both.table(spark, both.iid(absorbed=effects.rank), "fe_firm_year"),
         both.table(spark, by_firm, "cluster_firm"),
         both.table(spark, by_both, "cluster_firm_year"),
     ]

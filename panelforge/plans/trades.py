@@ -32,7 +32,6 @@ FINAL_COLUMNS = (*OUTPUT_COLUMNS, "asof_cd", "wis_fl", "days_to_sttl_ct", "stlmn
 NOT_A_TRADE = ("R", "X", "D")
 MAX_SETTLEMENT_DAYS = 7
 COPIES_PER_ROW = 100_000
-LEVELS_PER_TABLE = 16
 
 
 def scope(trades: DataFrame, start: str, end: str, ids: DataFrame | None = None) -> DataFrame:
@@ -81,39 +80,66 @@ def pre_cancel(trades: DataFrame) -> DataFrame:
     return drop_matched(_status(trades, False, "T"), _status(trades, False, "C"), _original_message())
 
 
+def correction_levels(kept: DataFrame, corrections: DataFrame) -> DataFrame:
+    """The round in which each corrected report key (``cusip_id``, ``trd_exctn_dt``, ``key``) first appears: 0 for keys in ``kept``.
+
+    A key first appears one round after the earliest of the keys that it corrects, so its round is its distance from ``kept``.
+    Keys that correct just one other are followed by pointers that reach four times as far with every written table; a chain of n
+    links takes log4 n of them, and pointers that still move after more steps than there are keys run in a circle that no kept
+    key enters.  What is left is a graph of the keys where chains begin or meet, whose distances are relaxed until they stay.
+    """
+    group = ["cusip_id", "trd_exctn_dt"]
+    edges = corrections.where("orig_msg_seq_nb IS NOT NULL").select(
+        *group, F.col("orig_msg_seq_nb").alias("original"), F.col("msg_seq_nb").alias("key")
+    )
+    edges = materialize(edges.distinct(), "corrections")
+    originals = edges.select(*group, F.col("original").alias("key")).distinct()
+    present = kept.select(*group, F.col("msg_seq_nb").alias("key")).distinct().withColumn("present", F.lit(True))
+    into = edges.where("original <> key").groupBy(*group, "key").agg(F.count(F.lit(1)).alias("n"), F.min("original").alias("to"))
+    nodes = materialize(originals.join(present, [*group, "key"], "left").join(into, [*group, "key"], "left"), "corrected-keys")
+
+    jumps = nodes.where("present IS NULL AND n = 1").select(*group, "key", "to", F.lit(1).cast("long").alias("steps"))
+    jumps, reach, bound = materialize(jumps, "jumps"), 1, None
+    while True:
+        onward = jumps.select(*group, F.col("key").alias("to"), F.col("to").alias("__to"), F.col("steps").alias("__steps"))
+        moving = jumps.join(onward.select(*group, "to"), [*group, "to"], "left_semi").count()
+        bound = jumps.count() if bound is None else bound
+        if not moving or reach > bound:
+            break
+        farther = jumps
+        for _ in range(3):
+            farther = farther.join(onward, [*group, "to"], "left").select(
+                *group, "key", F.coalesce("__to", "to").alias("to"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps")
+            )
+        jumps, reach = materialize(farther, "jumps"), reach * 4
+
+    roots = nodes.where("present OR n IS NULL OR n <> 1").select(*group, "key", F.col("key").alias("to"), F.lit(0).cast("long").alias("steps"))
+    roots = roots.unionByName(jumps)
+    meets = nodes.where("present IS NULL AND n > 1").select(*group, "key")
+    links = edges.where("original <> key").join(meets, [*group, "key"], "left_semi")
+    links = links.join(roots.select(*group, F.col("key").alias("original"), F.col("to").alias("origin"), "steps"), [*group, "original"])
+    links = materialize(links.groupBy(*group, "key", "origin").agg((F.min("steps") + 1).alias("steps")), "meeting-chains")
+    begun = materialize(nodes.where("present").select(*group, F.col("key").alias("origin"), F.lit(0).cast("long").alias("level")), "levels")
+    while True:
+        reached = links.join(begun, [*group, "origin"]).select(*group, F.col("key").alias("origin"), (F.col("level") + F.col("steps")).alias("level"))
+        nearer = begun.unionByName(reached).groupBy(*group, "origin").agg(F.min("level").alias("level"))
+        if links.isEmpty() or nearer.exceptAll(begun).isEmpty():
+            break
+        begun = materialize(nearer, "levels")
+    found = roots.join(begun.withColumnRenamed("origin", "to"), [*group, "to"])
+    return found.select(*group, "key", (F.col("level") + F.col("steps")).alias("level"))
+
+
 def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
     """Earlier regime: replace each corrected report by its correction, which may itself be corrected.
 
     A report key is (bond, day, sequence number).  All corrections of a key apply together, in the round after the
     key first appears, and remove exactly the reports that were there at that time.  It is therefore enough to find
-    the first round of every corrected key; the rounds walk over the keys of corrections only, never over trades.
-    A key enters one round only, so each link between corrections is followed at most once and the loop ends.
+    the first round of every corrected key, which ``correction_levels`` does on the keys of corrections only, never on trades.
     """
     corrections = _status(trades, False, "W")
     group = ["cusip_id", "trd_exctn_dt"]
-    edges = materialize(
-        corrections.where("orig_msg_seq_nb IS NOT NULL")
-        .select(*group, F.col("orig_msg_seq_nb").alias("original"), F.col("msg_seq_nb").alias("replacement"))
-        .distinct(),
-        "corrections",
-    )
-    originals = edges.select(*group, F.col("original").alias("key")).distinct()
-    onward = originals.withColumnRenamed("key", "replacement")
-    passing = materialize(edges.join(onward, [*group, "replacement"], "left_semi"), "passing")
-    present = kept.select(*group, F.col("msg_seq_nb").alias("key")).join(originals, [*group, "key"], "left_semi").distinct()
-    level = 0
-    frontier = materialize(present.withColumn("level", F.lit(level)), "level")
-    levels = frontier
-    while not frontier.isEmpty():
-        level += 1
-        reached = passing.join(frontier.withColumnRenamed("key", "original"), [*group, "original"], "left_semi")
-        fresh = reached.select(*group, F.col("replacement").alias("key")).join(levels, [*group, "key"], "left_anti")
-        frontier = materialize(fresh.withColumn("level", F.lit(level)), "level")
-        levels = levels.unionByName(frontier)
-        if level % LEVELS_PER_TABLE == 0:
-            levels = materialize(levels, "levels")
-    levels = materialize(levels.groupBy(*group, "key").agg(F.min("level").alias("level")), "levels")
-
+    levels = materialize(correction_levels(kept, corrections), "levels")
     removed = levels.where("level = 0").withColumnRenamed("key", "msg_seq_nb").drop("level")
     untouched = kept.join(removed, [*group, "msg_seq_nb"], "left_anti")
     applied = corrections.join(levels.withColumnsRenamed({"key": "orig_msg_seq_nb", "level": "__l"}), [*group, "orig_msg_seq_nb"])

@@ -280,8 +280,8 @@ BALANCED_YEARS = f"(SELECT count(DISTINCT year) FROM ({BALANCED_ROWS}))"
 
 @query("ols_fe_twoway", _terms(TWO_WAY, "fe2", f"{BALANCED_ENTITIES} + {BALANCED_YEARS} - 1"), FITTED)
 def ols_fe_twoway(t):
-    fit, _, entities, years = two_way_fit(_balanced_years(t), "y", ["x", "z"], "permno", "year")
-    return fit.table(t.spark, fit.iid(absorbed=entities + years - 1), "fe2")
+    fit, _, effects = two_way_fit(_balanced_years(t), "y", ["x", "z"], "permno", "year")
+    return fit.table(t.spark, fit.iid(absorbed=effects.rank), "fe2")
 
 
 def _alternating(table: str, passes: int = 60) -> str:
@@ -299,8 +299,26 @@ UNBALANCED = TWO.format(sums=SUMS.format(rows=_alternating("t_year_panel")))
 
 @query("ols_fe_twoway_unbalanced", _terms(UNBALANCED, "fe2", f"{ENTITIES} + {YEARS} - 1"), FITTED)
 def ols_fe_twoway_unbalanced(t):
-    fit, _, entities, years = two_way_fit(_year_panel(t), "y", ["x", "z"], "permno", "year")
-    return fit.table(t.spark, fit.iid(absorbed=entities + years - 1), "fe2")
+    fit, _, effects = two_way_fit(_year_panel(t), "y", ["x", "z"], "permno", "year")
+    return fit.table(t.spark, fit.iid(absorbed=effects.rank), "fe2")
+
+
+APART = "(permno % 2 = 0) = (year <= 1998)"
+HALVES = f"(SELECT * FROM t_year_panel WHERE {APART})"
+
+
+@query(
+    "ols_fe_twoway_parts",
+    _terms(
+        TWO.format(sums=SUMS.format(rows=_alternating(HALVES))), "fe2",
+        f"(SELECT count(DISTINCT permno) FROM {HALVES}) + (SELECT count(DISTINCT year) FROM {HALVES}) - (SELECT count(DISTINCT permno % 2) FROM {HALVES})",
+    ),
+    FITTED,
+)
+def ols_fe_twoway_parts(t):
+    """Two halves that share neither an entity nor a year: one effect more is lost."""
+    fit, _, effects = two_way_fit(_year_panel(t).where(APART), "y", ["x", "z"], "permno", "year")
+    return fit.table(t.spark, fit.iid(absorbed=effects.rank), "fe2")
 
 
 def _meat(rows: str, by: str) -> str:
@@ -331,7 +349,7 @@ TWO_WAY_MEAT = f"""SELECT f.mxx + y.mxx - b.mxx AS mxx, f.mxz + y.mxz - b.mxz AS
 
 @query("se_cluster_twoway", _clustered(TWO_WAY, BALANCED_ROWS, "cluster2", TWO_WAY_MEAT, "3"), FITTED)
 def se_cluster_twoway(t):
-    fit, rows, _, _ = two_way_fit(_balanced_years(t), "y", ["x", "z"], "permno", "year")
+    fit, rows, _ = two_way_fit(_balanced_years(t), "y", ["x", "z"], "permno", "year")
     return fit.table(t.spark, regression.cluster_covariance(rows, "y", fit, ["permno", "year"], estimated=3), "cluster2")
 
 

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from panelforge.operators.covariance import covariance_matrix
-from panelforge.operators.fixed_effects import residualize_two_way, two_way_fit, within_fit
+from panelforge.operators.fixed_effects import connected_parts, residualize_two_way, two_way_fit, within_fit
 from panelforge.operators.hac import automatic_lag, newey_west
 from panelforge.operators.regression import cluster_covariance, fit_products, ols, winsorize
 from panelforge.plans import betas, portfolio
@@ -56,10 +56,11 @@ def test_one_way(panel, unbalanced):
 
 def test_two_way_unbalanced_and_clusters(panel, unbalanced):
     design, inverse, beta, residual = dense(unbalanced, "firm", "year")
-    fit, rows, firms, years = two_way_fit(panel, "y", ["x", "z"], "firm", "year")
+    fit, rows, effects = two_way_fit(panel, "y", ["x", "z"], "firm", "year")
     np.testing.assert_allclose(fit.beta, beta[:2], rtol=1e-8)
     expected = residual @ residual / (len(residual) - design.shape[1]) * inverse[:2, :2]
-    np.testing.assert_allclose(fit.iid(absorbed=firms + years - 1), expected, rtol=1e-7)
+    np.testing.assert_allclose(fit.iid(absorbed=effects.rank), expected, rtol=1e-7)
+    assert effects.parts == 1
 
     def sandwich(*keys):
         scores = pd.DataFrame(design * residual[:, None]).groupby([unbalanced[k] for k in keys]).sum().to_numpy()
@@ -73,6 +74,45 @@ def test_two_way_unbalanced_and_clusters(panel, unbalanced):
     np.testing.assert_allclose(cluster_covariance(rows, "y", fit, ["firm", "year"], small_sample=False), both, rtol=1e-6)
 
 
+@pytest.mark.parametrize("dense_periods", [2_000, 0])
+def test_two_way_rank_of_a_panel_in_parts(spark, unbalanced, dense_periods):
+    """Firms of three kinds seen in years of their own: a dense regression on all dummies loses one for each part."""
+    apart = unbalanced[unbalanced["i"] % 3 == unbalanced["t"] % 3]
+    residual, effects = residualize_two_way(spark.createDataFrame(apart), ["x", "z", "y"], "firm", "year", dense_periods)
+    design = np.hstack([apart[["x", "z"]].to_numpy(), pd.get_dummies(apart["firm"]).to_numpy(float), pd.get_dummies(apart["year"]).to_numpy(float)])
+    assert effects.parts == 3 and effects.rank + 2 == np.linalg.matrix_rank(design)
+    beta = np.linalg.lstsq(design, apart["y"].to_numpy(), rcond=None)[0]
+    left = apart["y"].to_numpy() - design @ beta
+    fit = fit_products(residual, "y", ["x", "z"])
+    np.testing.assert_allclose(fit.beta, beta[:2], rtol=1e-7)
+    expected = left @ left / (len(apart) - np.linalg.matrix_rank(design)) * np.linalg.pinv(design.T @ design)[:2, :2]
+    np.testing.assert_allclose(fit.iid(absorbed=effects.rank), expected, rtol=1e-6)
+
+
+def test_parts_of_a_long_chain(spark):
+    """Firms that each link two neighbouring years: one part, two when a link is missing."""
+    chain = pd.DataFrame([(f, f + k) for f in range(60) for k in (0, 1)], columns=["firm", "year"])
+    for frame, parts in ((chain, 1), (chain[chain["firm"] != 30], 2)):
+        periods = sorted(int(y) for y in frame["year"].unique())
+        assert connected_parts(spark.createDataFrame(frame).repartition(7), "firm", "year", periods) == parts
+
+
+def test_negative_variances_are_repaired(spark):
+    """Scores that cancel within both clusters but not within their intersection."""
+    frame = pd.DataFrame({"g": [0, 0, 1, 1] * 6, "h": [0, 1, 0, 1] * 6, "x": np.tile([1.0, -1.0, -1.0, 1.0], 6), "y": np.tile([1.0, 1.0, 1.0, 1.0], 6)})
+    frame["z"] = np.linspace(-1, 1, len(frame)) ** 3
+    rows = spark.createDataFrame(frame)
+    fit = fit_products(rows, "y", ["x", "z"])
+    raw = cluster_covariance(rows, "y", fit, ["g", "h"], small_sample=False)
+    assert np.linalg.eigvalsh(raw).min() < -1e-6
+    fixed = cluster_covariance(rows, "y", fit, ["g", "h"], small_sample=False, repair=True)
+    values, vectors = np.linalg.eigh(raw)
+    np.testing.assert_allclose(fixed, vectors @ np.diag(np.maximum(values, 0)) @ vectors.T, atol=1e-12)
+    assert np.linalg.eigvalsh(fixed).min() > -1e-12
+    same = cluster_covariance(rows, "y", fit, ["g"], repair=True)
+    np.testing.assert_allclose(same, cluster_covariance(rows, "y", fit, ["g"]), atol=1e-12)
+
+
 def test_two_way_by_gradients(panel):
     columns = ["x", "z", "y"]
     solved = [residualize_two_way(panel, columns, "firm", "year", dense_periods=n)[0].toPandas().sort_values(["firm", "year"]) for n in (2_000, 0)]

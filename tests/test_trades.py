@@ -99,6 +99,37 @@ def test_correction_chain_and_unmatched(spark):
     assert [r["msg_seq_nb"] for r in got] == ["3"]
 
 
+def test_a_long_chain_takes_few_tables(spark, monkeypatch):
+    """A thousand links: the last correction alone survives, and pointers reach it in a handful of written tables."""
+    written = []
+    plain = trades.materialize
+    monkeypatch.setattr(trades, "materialize", lambda df, name="stage": written.append(name) or plain(df, name))
+    rows = [report(msg_seq_nb="0")] + [report(msg_seq_nb=str(k + 1), orig_msg_seq_nb=str(k), trc_st="W") for k in range(1000)]
+    rows += [report(cusip_id="C", msg_seq_nb="7", orig_msg_seq_nb="6", trc_st="W")]  # corrects nothing that is there
+    scoped = table(spark, rows)
+    got = trades.pre_corrections(trades.pre_cancel(scoped), scoped).collect()
+    assert [(r["cusip_id"], r["msg_seq_nb"]) for r in got] == [("B", "1000")]
+    assert len(written) <= 11
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_levels_of_any_graph_of_corrections(spark, seed):
+    """Chains that fork, meet and run in circles: rounds equal those of walking link by link."""
+    rng = random.Random(seed)
+    links = {(rng.randrange(60), rng.randrange(60)) for _ in range(70)} | {(100 + k, 101 + k) for k in range(30)} | {(130, 100), (120, 125), (5, 100)}
+    start = set(rng.sample(range(60), 6))
+    reports = [report(msg_seq_nb=str(k)) for k in start] + [report(msg_seq_nb=str(b), orig_msg_seq_nb=str(a), trc_st="W") for a, b in links]
+    scoped = table(spark, reports)
+    found = trades.correction_levels(trades.pre_cancel(scoped), scoped.where("trc_st = 'W'")).collect()
+    corrected = {a for a, _ in links}
+    level, frontier, expected = 0, start & corrected, {}
+    while frontier:
+        expected |= {k: level for k in frontier}
+        level += 1
+        frontier = {b for a, b in links if a in frontier and b in corrected and b not in expected}
+    assert {int(r["key"]): r["level"] for r in found} == expected and len(found) == len(expected)
+
+
 def test_correction_cycle_ends(spark):
     rows = [report(msg_seq_nb="1"), report(msg_seq_nb="2", orig_msg_seq_nb="1", trc_st="W"), report(msg_seq_nb="1", orig_msg_seq_nb="2", trc_st="W", yld_pt=7.0)]
     scoped = table(spark, rows)
