@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.dates import shift_months
+from panelforge.storage import materialize
+
+#: Left rows of one key that may meet in one cell of a validity join.
+CELL_ROWS = 100_000
 
 
 def one_row_per(df: DataFrame, key: str) -> DataFrame:
@@ -49,6 +53,11 @@ def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in by])
 
 
+def _no_day() -> Column:
+    """The day that stands for a whole year; no record begins so early."""
+    return F.lit("0001-01-01").cast("date")
+
+
 def join_validity(
     left: DataFrame,
     right: DataFrame,
@@ -57,32 +66,47 @@ def join_validity(
     start: str,
     end: str,
     open_end: Column | None = None,
+    how: str = "inner",
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Rows of ``right`` whose ``[start, end]`` contains ``left.date`` under an equal ``key``.
+    """Rows of ``left`` with every row of ``right`` whose ``[start, end]`` contains ``left.date`` under an equal ``key``.
 
-    The validity records are spread over the calendar years they touch and joined on ``(key, year)``, so a key with
-    a long history is split by year and only records of the same year are compared.  Years outside those of
-    ``left.date`` are left out, so an end in the year 9999 costs nothing.  Every match is returned.
+    The validity records are spread over cells of the calendar and joined on (key, cell), so only what lies in one cell is
+    compared.  A cell is a year of a key, unless the key has more than ``cell_rows`` left rows in that year: then it is a
+    day on which the key has any, cut again by a hash of the row where a single day has too many.  Years outside those of
+    ``left.date`` are left out, so an end in the year 9999 costs nothing.  ``how`` is "inner" or "left", which keeps rows
+    without a match, their columns of ``right`` being NULL.
     """
     last = F.coalesce(F.col(end), open_end) if open_end is not None else F.col(end)
-    years = left.select(F.year(date).alias("__y"))
-    low, high = (years.select(edge("__y")).scalar() for edge in (F.min, F.max))
-    spread = (
-        right.withColumn(end, last)
-        .where(F.col(start) <= F.col(end))
-        .withColumn("__from", F.greatest(F.year(start), low))
-        .withColumn("__to", F.least(F.year(end), high))
-        .where(F.col("__from") <= F.col("__to"))
-        .withColumn("__year", F.explode(F.sequence("__from", "__to")))
-        .drop("__from", "__to")
-        .withColumnRenamed(key, "__key")
-    )
+    records = right.withColumn(end, last).where(F.col(start) <= F.col(end)).withColumnRenamed(key, "__key")
+    per_year = left.where(F.col(date).isNotNull()).groupBy(key, F.year(date).alias("__year")).agg(F.count(F.lit(1)).alias("__n"))
+    low, high, most = per_year.agg(F.min("__year"), F.max("__year"), F.max("__n")).first()
     dated = left.withColumn("__year", F.year(date))
-    matched = dated.join(
-        spread,
-        (dated[key] == spread["__key"]) & (dated["__year"] == spread["__year"]) & F.col(date).between(F.col(start), F.col(end)),
-    )
-    return matched.drop(dated["__year"]).drop(spread["__year"]).drop("__key")
+    years = F.sequence(F.greatest(F.year(start), F.lit(low)), F.least(F.year(end), F.lit(high)))
+    reached = (F.year(start) <= F.lit(high)) & (F.year(end) >= F.lit(low))
+    spread = records.where(reached).withColumn("__r_year", F.explode(years))
+    cells, inside = [("__year", "__r_year")], F.col(date).between(F.col(start), F.col(end))
+    if most is not None and most > cell_rows:
+        hot = materialize(per_year.where(F.col("__n") > cell_rows).select(key, "__year"), "hot-years")
+        days = dated.join(hot, [key, "__year"], "left_semi").groupBy(key, F.col(date).alias("__day"))
+        days = materialize(days.agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("__parts")), "hot-days")
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+        ours = days.withColumnsRenamed({key: "__l_key", "__day": "__l_day"})
+        dated = dated.join(ours, (F.col(key) == F.col("__l_key")) & (F.col(date) == F.col("__l_day")), "left")
+        dated = dated.withColumns({"__part": F.coalesce(F.pmod(row, F.col("__parts")), F.lit(0)), "__cell": F.coalesce(F.col("__l_day"), _no_day())})
+        dated = dated.drop("__l_key", "__l_day", "__parts")
+
+        hot_years = hot.withColumnsRenamed({key: "__key", "__year": "__r_year"})
+        cold = spread.join(hot_years, ["__key", "__r_year"], "left_anti").withColumns({"__r_part": F.lit(0).cast("long"), "__r_cell": _no_day()})
+        theirs = days.select(F.col(key).alias("__key"), F.year("__day").alias("__r_year"), F.col("__day").alias("__r_cell"), "__parts")
+        daily = spread.join(theirs, ["__key", "__r_year"]).where(F.col("__r_cell").between(F.col(start), F.col(end)))
+        daily = daily.withColumn("__r_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts").cast("long") - 1))).drop("__parts")
+        spread = cold.unionByName(daily)
+        cells += [("__cell", "__r_cell"), ("__part", "__r_part")]
+    matches = (F.col(key) == F.col("__key")) & inside
+    for ours, theirs in cells:
+        matches = matches & (F.col(ours) == F.col(theirs))
+    return dated.join(spread, matches, how).drop("__key", *[c for pair in cells for c in pair])
 
 
 def join_shifted_month(df: DataFrame, keys: Sequence[str], month: str, columns: dict[str, str], months: int) -> DataFrame:

@@ -118,8 +118,8 @@ def valid_links(links: DataFrame, as_of: str) -> DataFrame:
 
 def link_entities(panel: DataFrame, links: DataFrame, as_of: str) -> DataFrame:
     """Attach ``gvkey`` where a link covers the observation date; several valid links give several rows."""
-    matched = join_validity(panel.select("permno", "date"), valid_links(links, as_of), "permno", "date", "linkdt", "linkenddt")
-    return panel.join(matched.select("permno", "date", "gvkey"), ["permno", "date"], "left")
+    linked = join_validity(panel, valid_links(links, as_of), "permno", "date", "linkdt", "linkenddt", how="left")
+    return linked.drop("linkdt", "linkenddt")
 
 
 def overlapping_links(panel: DataFrame, links: DataFrame, as_of: str) -> DataFrame:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from panelforge.functions.dates import month_of
 from panelforge.operators.windows import lag_month
 from panelforge.plans import accounting, reports
+from panelforge.plans import daily_panel as daily
 from panelforge.plans import monthly_panel as mp
 from panelforge.sources import factors as factor_tables
+from panelforge.storage import materialize, stage_path
 from panelforge.workload.registry import query
 from panelforge.workload.tables import AS_OF, END, INDUSTRY_COLUMNS, START
 
@@ -72,6 +74,20 @@ def build_daily_panel(t):
     return t.daily
 
 
+@query("refresh_daily_panel", "SELECT * FROM t_daily")
+def refresh_daily_panel(t):
+    """A panel written before returns of two months and a delisting were known, brought up to date month by month."""
+    path = stage_path(t.spark, "daily-panel")
+    returns, exits = materialize(t.dsf, "returns"), materialize(t.delistings, "delistings")
+    new = returns.where("date BETWEEN DATE'1997-03-10' AND DATE'1997-03-20' OR trunc(date, 'MM') = DATE'1999-06-01'")
+    late = exits.where("permno % 2 = 0")
+    before = daily.daily_panel(returns.exceptAll(new), exits.exceptAll(late), t.ff3_daily, END)
+    daily.write_daily_panel(before, path)
+    months = daily.touched_months(returns, new, late)
+    daily.refresh_daily_panel(t.spark, path, returns, exits, t.ff3_daily, END, months)
+    return t.spark.read.parquet(path).select("permno", "date", "month", "ret", "ret_excess")
+
+
 @query("link_entities", "SELECT permno, date, month, gvkey, mktcap FROM t_linked", "mktcap")
 def link_entities(t):
     return t.linked.select("permno", "date", "month", "gvkey", "mktcap")

@@ -12,8 +12,8 @@ from panelforge.functions import buckets, dates, scalars
 from panelforge.operators import aggregates, asof, blocks, joins, quantiles, reshape, sliding, windows
 from panelforge.plans import betas, size_sorts, trades, univariate
 from panelforge.sources import factors as factor_tables
-from panelforge.sources import readers, schemas
-from panelforge.storage import materialize, stage_path
+from panelforge.sources import published, readers, schemas
+from panelforge.storage import materialize, materialize_bucketed, stage_path
 from panelforge.workload.registry import query
 from panelforge.workload.sorting import EXAMPLES_SQL, SPLIT, VALUE_WEIGHTED, assigned_sql, breaks_sql, examples, grid_sql
 from panelforge.workload.tables import END, START
@@ -64,11 +64,42 @@ def scan_csv(t):
     return out.select("year", "month", F.col("R_F").alias("r_f"), F.col("R_MKT").alias("r_mkt"))
 
 
+PUBLISHED = ("Mkt-RF", "SMB", "HML", "RF")
+
+
+def _published_file(t) -> str:
+    """A factor file as it is published: text, the monthly table, a title, the annual table, text."""
+    raw = t.factors_raw.select("date", *PUBLISHED)
+    header = "," + ",".join(PUBLISHED)
+    fields = [F.format_string("%12.6f", F.coalesce(F.col(f"`{c}`"), F.lit(-99.99))) for c in PUBLISHED]
+    monthly = raw.select(F.lit(10).alias("part"), F.col("date").cast("int").alias("at"), F.concat_ws(",", "date", *fields).alias("value"))
+    yearly = raw.groupBy(F.substring("date", 1, 4).alias("date")).agg(*[F.sum(f"`{c}`").alias(c) for c in PUBLISHED])
+    annual = yearly.select(F.lit(30).alias("part"), F.col("date").cast("int").alias("at"), F.concat_ws(",", F.concat(F.lit("  "), "date"), *fields).alias("value"))
+    text = [
+        (0, 0, "This file was created from monthly returns, in percent, of 1995 and later years"), (0, 1, "Missing data are indicated by -99.99 or -999."),
+        (0, 2, ""), (0, 3, header), (20, 0, ""), (20, 1, " Annual Factors: January-December "), (20, 2, header), (40, 0, ""), (40, 1, "Copyright, the authors"),
+    ]
+    lines = t.spark.createDataFrame(text, "part int, at int, value string").unionByName(monthly).unionByName(annual)
+    path = stage_path(t.spark, "published")
+    lines.repartition(1).sortWithinPartitions("part", "at").select("value").write.text(path)
+    return path
+
+
 @query("scan_factor_csv", "SELECT * FROM t_ff3", "rf mkt_excess smb hml", 8)
 def scan_factor_csv(t):
-    path = stage_path(t.spark, "factors")
-    t.factors_raw.select("date", "RF", "Mkt-RF", "SMB", "HML").write.csv(path, header=True)
-    return factor_tables.monthly_factors(readers.scan_csv(t.spark, path, schemas.FACTORS3), START, END)
+    rows, _ = published.published_table(t.spark, _published_file(t), PUBLISHED)
+    return factor_tables.monthly_factors(rows, START, END)
+
+
+@query(
+    "scan_factor_csv_annual",
+    """SELECT CAST(date AS INTEGER) // 100 AS year, sum("RF") AS rf, sum("Mkt-RF") AS mkt_excess, sum("SMB") AS smb, sum("HML") AS hml FROM t_factors_raw GROUP BY 1""",
+    "rf mkt_excess smb hml", 4,
+)
+def scan_factor_csv_annual(t):
+    """The second table of the same file."""
+    rows, _ = published.published_table(t.spark, _published_file(t), PUBLISHED, table=2)
+    return rows.select(F.col("date").cast("int").alias("year"), *[F.col(f"`{old}`").alias(new) for old, new in factor_tables.THREE_FACTORS.items()])
 
 
 @query("scan_macro_sheet", 'SELECT yyyymm, "Index" AS level, TRY_CAST(svar AS DOUBLE) AS svar FROM t_macro_raw', "level")
@@ -91,6 +122,19 @@ def write_parquet(t):
     return readers.scan_parquet(t.spark, "dsf", "stocks", data_dir, schemas.DAILY_STOCK)
 
 
+@query(
+    "write_table_bucketed",
+    "SELECT p.permno, p.month, lag(p.mktcap) OVER (PARTITION BY p.permno ORDER BY p.month) AS prev, b.beta_monthly FROM t_panel p LEFT JOIN t_beta_monthly b ON p.permno = b.permno AND p.month = b.month",
+    "prev beta_monthly",
+)
+def write_table_bucketed(t):
+    """A stored panel and stored betas, both in buckets of securities."""
+    panel = materialize_bucketed(t.panel.select("permno", "month", "mktcap"), ["permno"], 8, ["permno", "month"], "panel")
+    beta = materialize_bucketed(t.beta_monthly.select("permno", "month", "beta_monthly"), ["permno"], 8, ["permno", "month"], "beta")
+    lagged = panel.select("permno", "month", windows.lag_row("mktcap", ["permno"], "month").alias("prev"))
+    return lagged.join(beta, ["permno", "month"], "left")
+
+
 @query("write_table", "SELECT * FROM t_delistings", "dlret")
 def write_table(t):
     return _through_catalog(t, t.delistings, "delistings")
@@ -319,6 +363,20 @@ def join_validity(t):
     return joins.join_validity(looked_up, records, "c_custkey", "at", "valid_from", "valid_to", open_end).select("c_custkey", "at", "valid_from")
 
 
+@query(
+    "join_validity_hot",
+    f"""SELECT e.event_id, count(v.valid_from) AS n, max(v.valid_from) AS latest
+        FROM (SELECT event_id, user_id % 100 AS k, DATE '1996-01-01' + CAST(event_id * event_id % 1500 // 3 AS INTEGER) AS at FROM events) e
+        LEFT JOIN (SELECT o_custkey % 100 AS k, valid_from, valid_to FROM ({VALIDITY})) v ON e.k = v.k AND e.at BETWEEN v.valid_from AND coalesce(v.valid_to, DATE '1996-09-01') GROUP BY e.event_id""",
+)
+def join_validity_hot(t):
+    """Every (key, year) taken for a hot one and cut into days and parts of days; rows without a match stay."""
+    looked_up = t.driver("events").selectExpr("event_id", "user_id % 100 AS k", "date_add(DATE'1996-01-01', CAST(event_id * event_id % 1500 div 3 AS INT)) AS at")
+    records = _validity(t).withColumn("k", F.col("o_custkey") % 100).drop("o_custkey")
+    out = joins.join_validity(looked_up, records, "k", "at", "valid_from", "valid_to", F.lit("1996-09-01").cast("date"), "left", cell_rows=3)
+    return out.groupBy("event_id").agg(F.count("valid_from").alias("n"), F.max("valid_from").alias("latest"))
+
+
 @query("join_interval_bucket", f"SELECT permno, month, bucket FROM ({assigned_sql('SELECT * FROM t_panel', 'mktcap', 4, 'month, industry', chr(39) + 'NYSE' + chr(39) + ', ' + chr(39) + 'AMEX' + chr(39), 'bucket')})")
 def join_interval_bucket(t):
     out = size_sorts.assign_portfolio(t.stored_panel("permno", "month", "exchange", "industry", "mktcap"), "mktcap", 4, ["month", "industry"], ("NYSE", "AMEX"), "bucket")
