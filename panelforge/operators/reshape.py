@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelforge.operators.quantiles import number_rows
+
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "name", value: str = "value") -> DataFrame:
     return df.unpivot(list(ids), list(values), name, value)
@@ -40,6 +42,14 @@ def nest(df: DataFrame, by: Sequence[str], order: str, name: str = "data") -> Da
     return df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*inner))).alias(name))
 
 
+def nest_pieces(df: DataFrame, by: Sequence[str], order: str, rows: int = 100_000, name: str = "data") -> DataFrame:
+    """Rows of each group as sorted arrays of ``rows`` rows, numbered by ``piece`` from 0: for groups of any size."""
+    numbered = number_rows(df, list(by), [F.col(order)]).withColumn("piece", F.floor(F.col("__place") / rows))
+    inner = ["__place", order, *[c for c in df.columns if c not in by and c != order]]
+    arrays = numbered.groupBy(*by, "piece").agg(F.sort_array(F.collect_list(F.struct(*inner))).alias(name))
+    return arrays.withColumn(name, F.transform(name, lambda e: e.dropFields("__place")))
+
+
 def unnest(df: DataFrame, name: str = "data") -> DataFrame:
     rest = [c for c in df.columns if c != name]
     return df.select(*rest, F.explode(name).alias("__e")).select(*rest, "__e.*")

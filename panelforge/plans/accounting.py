@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from panelforge.functions.scalars import ratio
 from panelforge.operators.aggregates import keep_group_maximum
 from panelforge.operators.windows import shift_year
+from panelforge.sources.readers import raw_input
 
 # Standard reporting format.
 FORMAT = {"indfmt": "INDL", "datafmt": "STD", "consol": "C"}
+REQUIRED = (
+    "gvkey", "datadate", *FORMAT, "seq", "ceq", "at", "lt", "txditc", "txdb", "itcb", "pstkrv", "pstkl", "pstk", "sale", "cogs", "xsga", "xint",
+)
 
 
 def _or_zero(name: str) -> Column:
@@ -18,6 +22,8 @@ def _or_zero(name: str) -> Column:
 
 
 def standard_format(filings: DataFrame) -> DataFrame:
+    """Filings in the standard format, with all columns that the later steps need."""
+    filings = raw_input(filings, REQUIRED, others=True)
     for column, wanted in FORMAT.items():
         filings = filings.where(F.col(column) == wanted)
     return filings

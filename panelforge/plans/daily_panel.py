@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.dates import month_of
 from panelforge.plans.monthly_panel import add_excess_return
+from panelforge.sources.readers import raw_input
 from panelforge.storage import materialize, remove_folder
 
 
@@ -16,9 +17,9 @@ def daily_panel(returns: DataFrame, delistings: DataFrame, factors: DataFrame, e
     One lookup of the delisting record per security serves replacement and cut-off.  The days to add are found by
     reducing the returns to delisting days first, so the daily table itself is never shuffled for them.
     """
-    known = delistings.dropna(subset=["permno", "dlstdt", "dlret"])
+    known = raw_input(delistings, ("permno", "dlstdt", "dlret")).dropna()
     exits = known.groupBy("permno").agg(F.max_by(F.struct("dlstdt", "dlret"), "dlstdt").alias("d")).select("permno", "d.*")
-    daily = returns.select("permno", "date", "ret").dropna()
+    daily = raw_input(returns, ("permno", "date", "ret")).dropna()
     exit_days = exits.select("permno", F.col("dlstdt").alias("date"))
     present = daily.select("permno", "date").join(exit_days, ["permno", "date"], "left_semi")
     added = exits.select("permno", F.col("dlstdt").alias("date"), F.col("dlret").alias("ret")).join(present, ["permno", "date"], "left_anti")

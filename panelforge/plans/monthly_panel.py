@@ -9,6 +9,7 @@ from panelforge.functions.dates import month_of
 from panelforge.functions.scalars import floor_at, zero_to_null
 from panelforge.operators.joins import join_validity, period_lookup
 from panelforge.operators.windows import lag_month
+from panelforge.sources.readers import raw_input
 
 # Share codes of common stock, exchange codes, industry ranges of SIC codes, delisting codes.
 COMMON_SHARE_CODES = (10, 11)
@@ -83,8 +84,9 @@ def add_excess_return(df: DataFrame, risk_free: DataFrame, period: str, ret: str
 
 def classified_returns(returns: DataFrame, names: DataFrame, delistings: DataFrame) -> DataFrame:
     """Monthly returns with size, lagged size, classifications and delisting-adjusted return (no row filter)."""
-    exits = delistings_by_month(delistings)
-    panel = valid_names(returns.withColumn("month", month_of("date")), names)
+    returns = raw_input(returns, ("permno", "date", "ret", "shrout", "altprc"))
+    exits = delistings_by_month(raw_input(delistings, ("permno", "dlstdt", "dlret", "dlstcd")))
+    panel = valid_names(returns.withColumn("month", month_of("date")), raw_input(names, ("permno", "shrcd", "exchcd", "siccd", "namedt", "nameendt")))
     panel = panel.join(exits, ["permno", "month"], "left")
     panel = panel.withColumn("mktcap", market_cap(F.col("shrout"), F.col("altprc")))
     panel = panel.withColumn("mktcap_lag", lag_month("mktcap", "permno", "month"))

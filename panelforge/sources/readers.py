@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
+
+from panelforge.functions.scalars import nan_to_null
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -16,6 +18,16 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def raw_input(df: DataFrame, columns: Sequence[str], others: bool = False) -> DataFrame:
+    """The named columns of a raw table, all of which must be there, and with ``others`` the rest.
+
+    NaN, as other tools write a missing number, becomes NULL.
+    """
+    kept = require_columns(df, columns).columns if others else list(columns)
+    real = {f.name for f in df.schema if isinstance(f.dataType, DoubleType | FloatType)}
+    return df.select(*[nan_to_null(F.col(f"`{c}`")).alias(c) if c in real else F.col(f"`{c}`") for c in kept])
+
+
 def table_path(data_dir: str, schema: str, table: str) -> str:
     return f"{data_dir.rstrip('/')}/{schema}/{table}.parquet"
 

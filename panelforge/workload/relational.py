@@ -857,6 +857,13 @@ def nest(t):
     return nested.select("gvkey", F.size("data").cast("long").alias("filings"), F.col("data")[0]["datadate"].alias("first"), F.element_at("data", -1)["datadate"].alias("last"))
 
 
+@query("nest_pieces", "SELECT o_orderstatus, (r - 1) // 400 AS piece, count(*) AS n, max(o_orderkey) AS last FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS r FROM orders) GROUP BY ALL")
+def nest_pieces(t):
+    """Three large groups in arrays of bounded size."""
+    pieces = reshape.nest_pieces(t.driver("orders").select("o_orderstatus", "o_orderkey", "o_totalprice"), ["o_orderstatus"], "o_orderkey", 400)
+    return pieces.select("o_orderstatus", "piece", F.size("data").cast("long").alias("n"), F.element_at("data", -1)["o_orderkey"].alias("last"))
+
+
 @query("unnest", 'SELECT gvkey, datadate, "at" FROM t_funda')
 def unnest(t):
     return reshape.unnest(reshape.nest(t.funda.select("gvkey", "datadate", "at"), ["gvkey"], "datadate"))

@@ -21,7 +21,7 @@ from panelforge.storage import materialize
 
 START, END = "1995-01-01", "2001-12-31"
 AS_OF = "2001-12-31"
-TRADE_START, TRADE_END = "2010-01-01", "2013-12-31"
+TRADE_START, TRADE_END = "2010-03-01", "2013-03-31"
 INDUSTRY_COLUMNS = ("NoDur", "Durbl", "Manuf", "Enrgy", "HiTec", "Telcm", "Shops", "Hlth", "Utils", "Other")
 DAILY_MIN_OBS = 15
 

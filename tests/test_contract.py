@@ -1,19 +1,23 @@
+"""Registered queries against their SQL twins: a selection of every family, or with PANELFORGE_ALL=1 all of them."""
+
 import os
 
 import pytest
 
 import __spark_entry__ as contract
 from panelforge.storage import materialize, shared_dir
+from panelforge.workload.catalog import REGISTRY
 from tests.oracle import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
 ALWAYS = (
-    "build_monthly_panel build_daily_panel link_entities accounting_panel book_equity_coverage size_concentration size_summary macro_predictors "
-    "beta_daily beta_trailing_days beta_coverage median_sort capm_performance annual_compound assign_portfolio specification_grid "
-    "clean_trades bond_activity bond_summary agg_cov_matrix ols_fe_oneway se_cluster_oneway se_newey_west "
-    "se_newey_west_by_portfolio spec_grid_unnest convert_catalog long_short_deciles agg_quantile_narrowed win_ntile_narrowed join_validity join_asof_stale"
+    "build_monthly_panel build_daily_panel link_entities accounting_panel size_concentration macro_predictors "
+    "beta_daily beta_trailing_days median_sort annual_compound assign_portfolio clean_trades trade_scope "
+    "agg_cov_matrix ols_single ols_by_group ols_cross_section ols_fe_twoway_parts se_cluster_oneway se_newey_west "
+    "spec_grid_unnest agg_quantile_narrowed win_ntile_narrowed join_validity_hot join_asof_stale join_asof_blocks "
+    "win_shift_blocks win_fill_down_blocks win_rows_frame_spoilt win_slide_regression scan_factor_csv_annual refresh_daily_panel nest_pieces"
 ).split()
-NAMES = list(contract.oracle_sql()) if os.environ.get("PANELFORGE_ALL") else ALWAYS
+NAMES = list(REGISTRY) if os.environ.get("PANELFORGE_ALL") else ALWAYS
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +31,10 @@ def test_query_against_sql(spark, duck, name):
     assert compare(found, duck.sql(contract.oracle_sql()[name]).df()) == "ok"
 
 
+def test_every_query_outside_the_corpus_has_a_twin():
+    assert all(query.oracle() for query in REGISTRY.values())
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
