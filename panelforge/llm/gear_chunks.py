@@ -7,8 +7,11 @@ cuts around itself and leaves the others.  Chunks with equal 128-bit digests in
 of a passage that later ones share whole.  Runs of ``MIN_SPAN_WORDS`` or more are reported, one repeated span for each stretch of one keeper.  A passage loses less than one chunk at either
 end, so passages of over 50 words are found, while shared lines of a dozen words are left alone.
 
-Digests are counted by partial aggregation and joined back, so a chunk that a third of all documents share is never
-gathered.  Defined results: NULL and empty texts have no chunks; documents without an id are ignored, as nothing could name
+Digests are counted by partial aggregation.  The copied ones are written with their keepers and joined to the chunks, which are cut once
+more: a bit map of copied digests, sized by their number up to 2**``MAX_BITS`` bits, lets tasks leave out most chunks that have no copy
+before they are shuffled (and only those: what the map lets through is joined by the whole digest).  A digest with more than one in
+``HOT_SHARE`` of the copied chunks is cut into parts for the join, so a chunk that a third of all documents share is neither gathered
+nor one task.  Such digests are fewer than ``HOT_SHARE`` by count and broadcast.  Defined results: NULL and empty texts have no chunks; documents without an id are ignored, as nothing could name
 them; repeated rows have the same spans; an empty table gives an empty table; extra columns are ignored.
 """
 
@@ -30,6 +33,13 @@ MASK_BITS = 5
 MAX_BYTES = 96
 MIN_SPAN_WORDS = 20
 
+#: Bits of the map of copied digests: for each digest, and at most (as a power of two).
+BITS_PER_DIGEST = 16
+MAX_BITS = 27
+
+#: A digest with more than one in so many copied chunks is hot.
+HOT_SHARE = 1_000
+
 #: The table of the gear hash, from a rule: one hash per byte value.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 2024) for b in range(256)], np.uint64)
 
@@ -78,12 +88,16 @@ def chunk_rows(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int
     return [digest(text[a:b]) for a, b in zip(starts, ends, strict=True)], starts, [b - a for a, b in zip(starts, ends, strict=True)], words
 
 
-def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["hi", "lo", "chunk", "doc_id", "start", "bytes", "words"]
-    kinds = [np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32]
+#: A chunk's first byte, bytes and words begun in one number, which compresses better and orders by the first byte.
+_PLACE = {"start": "place >> 16", "bytes": "CAST(place >> 8 & 255 AS INT)", "words": "CAST(place & 255 AS INT)"}
+
+
+def _run(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    names = ["hi", "lo", "chunk", "doc_id", "place"]
+    shift = None if marks is None else np.uint64(64 - (len(marks) * 8).bit_length() + 1)
 
     def batch_of(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        columns = (np.concatenate(c).astype(k, copy=False) for c, k in zip(zip(*parts, strict=True), kinds, strict=True))
+        columns = (np.concatenate(c) for c in zip(*parts, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     for batch in batches:
@@ -97,8 +111,14 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             n = len(digests)
             first = xxhash.xxh32_intdigest(value) >> 1 << 32  # another text under the same id has other numbers
-            parts.append([pair[:, 0], pair[:, 1], np.arange(first, first + n), np.full(n, doc), np.array(starts), np.array(sizes), np.array(words)])
-            held += n
+            place = np.array(starts, np.int64) << 16 | np.array(sizes, np.int64) << 8 | np.array(words, np.int64)
+            columns = [pair[:, 0], pair[:, 1], np.arange(first, first + n, dtype=np.int64), np.full(n, doc, np.int64), place]
+            if marks is not None:
+                bit = pair[:, 0].view(np.uint64) >> shift
+                kept = np.flatnonzero(marks[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                columns = [c[kept] for c in columns]
+            parts.append(columns)
+            held += len(columns[0])
             if held > 100_000:
                 yield batch_of(parts)
                 parts, held = [], 0
@@ -106,22 +126,47 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(parts)
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every chunk of every text: its digest as two longs, number, document, start, bytes, words begun.
+def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: bytes | None = None) -> DataFrame:
+    """Every chunk of every text: its digest as two longs, number, document, and place (see ``_PLACE``).
 
-    The hash of the text in the number's upper half stands next to the document, so both compress as one.
+    The hash of the text in the number's upper half stands next to the document, so both compress as one.  With ``bits``
+    only chunks whose bit is set.
     """
     bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _run(batches, None if bits is None else np.frombuffer(bits, np.uint8))
+
     narrow = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return narrow.mapInArrow(_run, "hi long, lo long, chunk long, doc_id long, start long, bytes int, words int")
+    return narrow.mapInArrow(run, "hi long, lo long, chunk long, doc_id long, place long")
+
+
+def bit_map(digests: DataFrame, count: int) -> bytes:
+    """One bit for the first bits of ``hi`` of each digest, at most 2**(MAX_BITS - 6) words of 64 bits."""
+    bits = min(max(10, (count * BITS_PER_DIGEST).bit_length()), MAX_BITS)
+    top = F.shiftrightunsigned("hi", 64 - bits)
+    cells = digests.select(F.shiftright(top, 6).alias("cell"), F.expr(f"shiftleft(1L, cast(hi >>> {64 - bits} & 63 AS int))").alias("bit"))
+    found = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found["cell"].to_numpy()] = found["bits"].to_numpy()
+    return out.tobytes()
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Chunks that occur in two documents or more, each with its keeper.  Chunks are cut again for the join instead of being stored."""
-    cut = chunks(docs, id_col, text_col)
-    keepers = cut.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last")
-    keepers = keepers.select("hi", "lo", F.col("first.doc_id").alias("keeper_id"), F.col("first.start").alias("keeper_start"))
-    return cut.join(keepers, ["hi", "lo"]).drop("hi", "lo")
+    found = chunks(docs, id_col, text_col).groupBy("hi", "lo").agg(
+        F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    found = found.where("first.doc_id < last").select("hi", "lo", F.col("first.doc_id").alias("keeper_id"), F.expr("first.place >> 16").alias("keeper_start"), "n")
+    keepers = materialize(found, "chunk-keepers")
+    count, total = keepers.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    hot = keepers.where(F.col("n") * HOT_SHARE > total).select("hi", "lo", F.least("n", F.ceil(F.col("n") * HOT_SHARE / total)).cast("long").alias("parts"))
+    hot = F.broadcast(hot)
+    dealt = keepers.drop("n").join(hot, ["hi", "lo"], "left")
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)).alias("part")).drop("parts")
+    cut = chunks(docs, id_col, text_col, bit_map(keepers, count)).join(hot, ["hi", "lo"], "left")
+    cut = cut.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id", "chunk"), "parts"), F.lit(0))).drop("parts")
+    return cut.join(dealt, ["hi", "lo", "part"]).drop("hi", "lo", "part")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS) -> DataFrame:
@@ -134,6 +179,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     window is larger than a document.
     """
     copies = materialize(repeated_chunks(docs, id_col, text_col), "chunk-copies")
+    copies = copies.withColumns({c: F.expr(e) for c, e in _PLACE.items()}).drop("place")
     # repeated rows of one document give every chunk as often: keep one of each
     single = copies.dropDuplicates(["doc_id", "chunk"]).withColumn("shift", F.col("start") - F.col("keeper_start"))
     line = Window.partitionBy("doc_id").orderBy("chunk")

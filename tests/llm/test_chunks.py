@@ -126,3 +126,29 @@ def test_texts_of_one_id_do_not_mix(spark):
     spans = gear_chunks.repeated_spans(documents(spark, rows)).collect()
     assert {r["doc_id"] for r in spans} == {5, 6, 7} and {r["keeper_id"] for r in spans} == {5}
     assert sum(r["n_words"] for r in spans if r["doc_id"] == 5) == 120
+
+
+def test_bit_map_and_hot_digests_lose_nothing(spark, monkeypatch):
+    """A passage in every document, pieces shared by few, and the same spans whether or not digests are cut into parts or the map is full."""
+    rng = random.Random(17)
+    shared = " ".join(f"common{rng.randrange(900)}" for _ in range(80))
+    pairs = [" ".join(f"pair{rng.randrange(900)}" for _ in range(60)) for _ in range(20)]
+    rows = [(i, " ".join(f"own{rng.randrange(9000)}" for _ in range(30)) + f" {shared} " + (pairs[i // 2 % 20])) for i in range(80)]
+    docs = documents(spark, rows).repartition(3)
+    found = {}
+    for share, bits in ((1_000, 27), (1, 27), (50, 10)):
+        monkeypatch.setattr(gear_chunks, "HOT_SHARE", share)
+        monkeypatch.setattr(gear_chunks, "MAX_BITS", bits)
+        found[share] = sorted(map(tuple, gear_chunks.repeated_spans(docs).collect()))
+    assert found[1_000] == found[1] == found[50] and {r[0] for r in found[50]} == set(range(80))
+
+
+def test_marked_chunks_hold_every_copied_one(spark):
+    docs = documents(spark, [(i, f"text {i // 2} of a pair " * 9) for i in range(400)])
+    every = gear_chunks.chunks(docs)
+    copied = every.groupBy("hi", "lo").count().where("count > 1")
+    bits = gear_chunks.bit_map(copied, copied.count())
+    kept = gear_chunks.chunks(docs, bits=bits)
+    assert every.join(copied, ["hi", "lo"], "left_semi").select(kept.columns).exceptAll(kept).count() == 0
+    other = documents(spark, [(i, f"{i * i} something else {i} " * 9) for i in range(300)])
+    assert gear_chunks.chunks(other, bits=bits).count() * 4 < gear_chunks.chunks(other).count()
