@@ -104,23 +104,25 @@ def _roots(links: Iterator[tuple]) -> dict:
     return {x: root(x) for x in above}
 
 
-def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """As few links as keep what the given ones join together: at most one for each period."""
-    roots = _roots((a, b) for batch in batches for a, b in zip(batch["a"], batch["b"], strict=True))
-    yield pd.DataFrame({"a": list(roots.values()), "b": list(roots)}, dtype="int64")
+def _forest(position: dict):
+    """As few links as keep together what an entity of the task was seen in: at most one for each period."""
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = ([position[p] for p in entity] for batch in batches for entity in batch["periods"])
+        roots = _roots((entity[0], p) for entity in seen for p in entity)
+        yield pd.DataFrame({"a": list(roots.values()), "b": list(roots)}, dtype="int64")
+
+    return links
 
 
 def connected_parts(cells: DataFrame, entity: str, period: str, periods: list) -> int:
     """Number of parts of the panel that share neither an entity nor a period.
 
-    Every entity joins the periods it was seen in.  Tasks reduce those links to a spanning forest of the calendar, twice, so
-    the driver receives a few links per period.
+    Every entity joins the periods it was seen in.  Each task reduces those links to a spanning forest of the calendar, so
+    the driver receives distinct links, a few per period.
     """
-    numbers = _lookup(cells.sparkSession, cells, period, periods, np.arange(len(periods))[:, None], ["__k"])
-    numbered = cells.join(F.broadcast(numbers), period).select(entity, F.col("__k").cast("long").alias("b"))
-    first = numbered.groupBy(entity).agg(F.min("b").alias("a"))
-    links = numbered.join(first, entity).select("a", "b").distinct()
-    forest = links.mapInPandas(_forest, "a long, b long").distinct().mapInPandas(_forest, "a long, b long")
+    per_entity = cells.groupBy(entity).agg(F.collect_set(period).alias("periods")).select("periods")
+    forest = per_entity.mapInPandas(_forest({p: k for k, p in enumerate(periods)}), "a long, b long").distinct()
     return len(set(_roots((r["a"], r["b"]) for r in forest.collect()).values()))
 
 

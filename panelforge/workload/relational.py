@@ -687,7 +687,7 @@ def win_row_number_blocks(t):
 @query("win_rows_frame", "SELECT permno, month, sum(qty) OVER (PARTITION BY permno ORDER BY month ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS qty, count(*) OVER (PARTITION BY permno ORDER BY month ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS n FROM t_monthly_trade")
 def win_rows_frame(t):
     terms = {"qty": F.col("qty"), "n": F.lit(1.0)}
-    out = windows.rolling_sums(t.monthly_trade.select("permno", "month", "qty"), terms, "permno", "month", ("rows", -60, 0))
+    out = windows.rolling_sums(t.monthly_trade.select("permno", "month", "qty"), terms, "permno", "month", ("rows", -60, 0), min_block_width=8)
     return out.select("permno", "month", "qty", F.col("n").cast("long").alias("n"))
 
 
@@ -705,7 +705,7 @@ SPOILT = "CASE WHEN (permno + mi) % 101 = 0 THEN {nan} WHEN (permno + mi) % 103
 def win_rows_frame_spoilt(t):
     rows = t.monthly_trade.select("permno", "month", "qty", (12 * F.year("month") + F.month("month")).alias("mi"))
     spoilt = rows.withColumn("q", F.expr(SPOILT.format(nan="DOUBLE('NaN')")))
-    return windows.rolling_sums(spoilt, {"total": F.col("q")}, "permno", "month", ("rows", -25, -2)).select("permno", "month", F.col("total").alias("qty"))
+    return windows.rolling_sums(spoilt, {"total": F.col("q")}, "permno", "month", ("rows", -25, -2), min_block_width=8).select("permno", "month", F.col("total").alias("qty"))
 
 
 @query("win_rows_excl_current", "SELECT permno, date, sum(qty) OVER (PARTITION BY permno ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS qty FROM t_daily_trade")
@@ -717,7 +717,7 @@ def win_rows_excl_current(t):
 
 @query("win_range_months", "SELECT permno, month, sum(qty) OVER (PARTITION BY permno ORDER BY month RANGE BETWEEN INTERVAL 11 MONTH PRECEDING AND CURRENT ROW) AS qty FROM t_monthly_trade")
 def win_range_months(t):
-    out = windows.rolling_sums(t.monthly_trade.select("permno", "month", "mi", "qty"), {"total": F.col("qty")}, "permno", "mi", ("range", -11, 0))
+    out = windows.rolling_sums(t.monthly_trade.select("permno", "month", "mi", "qty"), {"total": F.col("qty")}, "permno", "mi", ("range", -11, 0), min_block_width=8)
     return out.select("permno", "month", F.col("total").alias("qty"))
 
 

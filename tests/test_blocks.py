@@ -100,7 +100,7 @@ def total(values):
 @pytest.mark.parametrize(("first", "last"), [(-7, 0), (-8, -1), (-12, -5), (-29, 0), (-200, -1), (-3, 0), (-5, 5)])
 def test_rows_frames_hold_nothing_of_what_they_passed(history, first, last):
     df, data = history
-    found = windows.rolling_sums(df, {"s": F.col("v"), "n": F.lit(1.0)}, "e", "k", ("rows", first, last))
+    found = windows.rolling_sums(df, {"s": F.col("v"), "n": F.lit(1.0)}, "e", "k", ("rows", first, last), min_block_width=8)
     assert found.columns == [*df.columns, "s", "n"]
     for r in found.collect():
         inside = [v for e, k, _, v in data if e == r["e"] and r["k"] + first <= k <= r["k"] + last]
@@ -110,7 +110,7 @@ def test_rows_frames_hold_nothing_of_what_they_passed(history, first, last):
 @pytest.mark.parametrize("width", [1, 8, 11, 60, 500])
 def test_range_frames_with_gaps_and_repeated_periods(history, width):
     df, data = history
-    found = windows.rolling_sums(df, {"s": F.col("v"), "n": F.lit(1.0)}, "e", "at", ("range", 1 - width, 0)).collect()
+    found = windows.rolling_sums(df, {"s": F.col("v"), "n": F.lit(1.0)}, "e", "at", ("range", 1 - width, 0), min_block_width=8).collect()
     assert len(found) == len(data)
     for r in found:
         inside = [v for e, _, at, v in data if e == r["e"] and r["at"] - width < at <= r["at"]]
