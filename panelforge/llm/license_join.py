@@ -90,8 +90,11 @@ def matches(blocks: DataFrame, sets: list[tuple[int, str, list[str], int]], orde
     prefixes = []
     for number, label, words, needed in sets:
         ordered = sorted(words, key=rank.__getitem__)
-        prefixes += [(w, number, label, ordered, at, needed) for at, w in enumerate(ordered[: len(words) - needed + 1])]
-    index = spark.createDataFrame(prefixes, "word string, template int, label string, template_words array<string>, at int, needed int")
+        shown = {"template": number, "label": label, "template_words": F.array(*map(F.lit, ordered)), "needed": needed}
+        prefixes += [shown | {"word": w, "at": at} for at, w in enumerate(ordered[: len(words) - needed + 1])]
+    # literals, not rows made in the program, whose scan would start Python workers
+    rows = F.array(*[F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in p.items()]) for p in prefixes])
+    index = spark.range(1).select(F.explode(rows).alias("p")).select("p.*")
     ranks = F.create_map(*(F.lit(x) for w in order for x in (w, rank[w])))
     by_rank = F.transform(F.array_sort(F.transform(F.col("words"), lambda w: F.struct(ranks[w].alias("r"), w.alias("w")))), lambda x: x["w"])
     probes = blocks.select("row", "block", by_rank.alias("words")).select("row", "block", "words", F.posexplode("words").alias("place", "word"))
