@@ -106,6 +106,23 @@ def test_every_shard_matches_the_mixture(spark, range_rows):
         assert all(abs(shares[s] - n / 8) <= 2 for s in range(8))
 
 
+@pytest.mark.parametrize("range_rows", [7, 1024])
+def test_sources_of_one_row_are_spread(spark, range_rows):
+    docs = sourced(spark, {"big": 2000} | {f"single{i}": 1 for i in range(400)} | {f"pair{i}": 2 for i in range(40)})
+    rows = proportional_shards.sharded_documents(docs.drop("shard"), range_rows=range_rows).select("source", "shard").collect()
+    for kind, n in {"big": 2000, "single": 400, "pair": 80}.items():
+        shares = Counter(r["shard"] for r in rows if r["source"].startswith(kind))
+        assert all(abs(shares[s] - n / 8) <= 2 for s in range(8)), kind
+
+
+def test_rows_without_an_id_are_spread_over_ranges(spark):
+    docs = documents(spark, [(None, f"text {i}", "a") for i in range(900)])
+    digests = docs.select(proportional_shards.seeded("s", F.lit("null"), F.crc32(F.col("text").cast("binary"))).alias("d"))
+    assert digests.distinct().count() == 900
+    rows = proportional_shards.interleave(docs, range_rows=10).select("shard", "slot").collect()
+    assert len(rows) == 900 and len(set(map(tuple, rows))) == 900
+
+
 @pytest.mark.parametrize("range_rows", [3, 1024])
 def test_shards_against_sql(spark, range_rows):
     docs = awkward_documents(spark).where("doc_id <= 6 OR doc_id >= 9 OR doc_id IS NULL")  # the checksum in SQL is slow on long texts
