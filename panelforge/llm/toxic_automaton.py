@@ -7,7 +7,10 @@ are kept as they are met, and most words leave the automaton after a few letters
 of being exact or misspelled, and of its context window: inside quotation marks or after a verb of speech it may be a
 report of abuse rather than abuse.  Feature weights are log ratios of their document counts in the two classes.
 
-The fit reads at most ``MAX_LABELLED`` labelled rows, those of smallest hash; scores are computed for all texts, whole.
+The fit reads at most ``MAX_LABELLED`` labelled rows, those of smallest hash, and keeps every term that passes its tests;
+scores are computed for all texts, whole.  How often a term must occur follows from the terms that chance alone would let
+pass.  A word that matches nothing is tried once more by its parts between dashes, slashes and dots.
+A text without a match always scores below one half, whatever the share of toxic labels.
 Defined results: NULL and empty texts have no match and get the score of texts without any; without labelled rows of both
 kinds every score is 0; labels given twice for a document count as toxic if one of them does; repeated rows each get their
 score; an empty table gives an empty table; extra columns are ignored, or passed through by ``without_toxic``.
@@ -16,6 +19,7 @@ score; an empty table gives an empty table; extra columns are ignored, or passed
 from __future__ import annotations
 
 import math
+import re
 import string
 from collections import defaultdict
 from collections.abc import Iterator
@@ -32,12 +36,15 @@ from panelforge.storage import materialize
 MAX_LABELLED = 20_000
 FOLDS = 5
 
-#: Lexicon: stem lengths tried, toxic share and different neighbours asked for, terms read and kept.
+#: Lexicon: stem lengths tried, toxic share, different neighbours and toxic texts asked for, share of chance terms allowed.
 STEM_LENGTHS = (4, 5, 6, 7)
 MIN_PRECISION = 0.9
 MIN_NEIGHBOURS = 4
-MAX_CANDIDATES = 5_000
-MAX_TERMS = 500
+MIN_TEXTS = 3
+MAX_CHANCE = 0.001
+
+#: Highest score of a text without any match.
+UNMATCHED = 0.49
 
 #: Weight of a text's further matches, and documents that the assumed weight of a misspelling counts for.
 FURTHER = 0.1
@@ -49,6 +56,7 @@ SPEECH = frozenset("said says say wrote writes called calls quoted quote quotes
 _OPEN, _CLOSE = "\"“„«‹'‘", "\"”“»›'’"
 
 _EDGES = string.punctuation + "“”„«»‹›‘’…–—¿¡"
+_JOINTS = re.compile(r"[-‐‑–—/\\|_,.;:!?…+=~]+")
 _CACHE = 200_000
 _STATES = 50_000
 _PLACES = 63
@@ -157,7 +165,10 @@ class Matcher(dict):
     def __missing__(self, word: bytes) -> tuple[int, int] | None:
         if len(self) >= _CACHE:
             self.clear()
-        found = self.automaton.match(bare(word)) if word else None
+        whole = bare(word) if word else ""
+        found = self.automaton.match(whole) if word else None
+        if found is None and _JOINTS.search(whole):
+            found = min(filter(None, (self.automaton.match(p) for p in _JOINTS.split(whole) if p)), default=None)
         self[word] = found
         return found
 
@@ -190,7 +201,7 @@ class Model:
         if self.prior is None:
             return 0.0
         if not features:
-            return 1.0 / (1.0 + math.exp(-(self.prior + self.none)))
+            return min(UNMATCHED, 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.prior + self.none)))))
         weights = sorted(((self.weights.get(f, 0.0), f) for f in features), reverse=True)
         # terms of a text go together, so the strongest match counts in full and each further one a little
         total = weights[0][0] + sum(FURTHER * w for w, _ in weights[1:] if w > 0)
@@ -236,7 +247,33 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def choose_terms(candidates: list[tuple[str, int]], kept: int = MAX_TERMS) -> list[str]:
+def chance_of(n: int, share: float) -> float:
+    """Probability that of ``n`` texts drawn at random at least ``MIN_PRECISION`` are toxic."""
+    least = math.ceil(MIN_PRECISION * n - 1e-9)
+    logs = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share) for k in range(least, n + 1)]
+    return min(1.0, sum(map(math.exp, logs)))
+
+
+def texts_needed(held: list[tuple[int, int, int]], share: float) -> int:
+    """Least toxic texts of a term, from (texts, terms in so many, those that pass the other tests) and the toxic share.
+
+    The smallest number from which on chance would let less than half a term pass, or less than ``MAX_CHANCE`` of those that
+    do.  Terms without any meaning are told by those that do not pass: of m in n texts each, m (1 - chance) would not.
+    """
+    needed, by_chance, passing = MIN_TEXTS, 0.0, 0
+    for n, terms, passed in sorted(held, reverse=True):
+        if n < MIN_TEXTS:
+            break
+        chance = chance_of(n, share)
+        by_chance, passing = by_chance + (terms - passed) * chance / max(1e-9, 1.0 - chance), passing + passed
+        if by_chance > max(0.5, MAX_CHANCE * passing):
+            needed = max(needed, n + 1) if needed == MIN_TEXTS else needed
+        else:
+            needed = MIN_TEXTS
+    return needed
+
+
+def choose_terms(candidates: list[tuple[str, int]]) -> list[str]:
     """Of nested candidates (term, toxic texts), the most special one that still covers nearly the same texts."""
     count = dict(candidates)
 
@@ -258,11 +295,11 @@ def choose_terms(candidates: list[tuple[str, int]], kept: int = MAX_TERMS) -> li
             dropped.add(stem)
         elif stem not in dropped:
             dropped.update(inside[stem])
-    return sorted((t for t in count if t not in dropped), key=lambda t: (-count[t], t))[:kept]
+    return sorted((t for t in count if t not in dropped), key=lambda t: (-count[t], t))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_LABELLED) -> Model:
-    """Learn lexicon and weights.  What reaches the driver is bounded by ``MAX_CANDIDATES`` and by features of ``MAX_TERMS``."""
+    """Learn lexicon and weights.  What reaches the driver are terms of at least three of the at most ``max_rows`` labelled texts."""
     bounded_batches(docs.sparkSession)
     rows = materialize(training_rows(docs, labels, id_col, text_col, max_rows), "labelled")
     totals = rows.agg(F.sum("toxic").alias("pos"), F.count("*").alias("n")).first()
@@ -272,16 +309,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = rows.mapInArrow(_term_counts, "term string, pos long, neg long, after long")
     counted = counted.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.bit_or("after").alias("after")).where("pos > 1")
     counted = materialize(counted, "terms")
-    # a term must stand in so many toxic texts that chance would not give one such term among all
-    enough = max(3.0, (math.log(max(2, counted.count())) + 1.0) / math.log((positive + negative) / positive))
-    # and follow at least half as many different words as it would if it stood in different places everywhere
+    # a term must follow at least half as many different words as it would if it stood in different places everywhere
     spread = 0.5 * _PLACES * (1.0 - F.exp(-F.col("pos") / _PLACES))
-    found = counted.where(
-        (F.col("pos") >= enough)
-        & (F.col("pos") >= MIN_PRECISION * (F.col("pos") + F.col("neg")))
-        & (F.bit_count("after") >= F.greatest(F.lit(float(MIN_NEIGHBOURS)), spread))
+    passes = (F.col("pos") >= MIN_PRECISION * (F.col("pos") + F.col("neg"))) & (
+        F.bit_count("after") >= F.greatest(F.lit(float(MIN_NEIGHBOURS)), spread)
     )
-    candidates = [(r["term"], r["pos"]) for r in found.orderBy(F.desc("pos"), "term").limit(MAX_CANDIDATES).collect()]
+    # and stand in so many toxic texts that chance would not give many such terms among all: one row per number of texts
+    held = counted.groupBy((F.col("pos") + F.col("neg")).alias("n")).agg(F.count("*").alias("terms"), F.count_if(passes).alias("passed"))
+    enough = texts_needed([(r["n"], r["terms"], r["passed"]) for r in held.collect()], positive / (positive + negative))
+    found = counted.where(passes & (F.col("pos") >= enough))
+    candidates = [(r["term"], r["pos"]) for r in found.collect()]
     terms = choose_terms(candidates)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

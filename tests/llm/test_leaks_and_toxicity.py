@@ -1,4 +1,5 @@
 import random
+from math import ceil, comb
 from zlib import crc32
 
 import pytest
@@ -179,3 +180,54 @@ def test_awkward_rows_and_missing_labels(spark):
     kept = toxic_automaton.without_toxic(docs, odd)
     assert kept.columns == docs.columns
     assert toxic_automaton.score(empty_documents(spark), labels).count() == 0
+
+
+def insults(spark, n_insults, texts_each, clean):
+    """Made-up insults (letters drawn at random), each in texts of its own among prose, and clean prose."""
+    r = random.Random(11)
+    words = set()
+    while len(words) < n_insults:
+        words.add("".join(r.choice("bcdfghjklmnpqrstvwxz") + r.choice("aeiou") for _ in range(5)))
+    rows, labels, vocabulary = [], [], prose(5, 1500).split()
+    for i in range(n_insults * texts_each + clean):
+        text = [vocabulary[int(1500 * r.random() ** 2)] for _ in range(25)]
+        if i < n_insults * texts_each:
+            text.insert(i % 23 + 1, sorted(words)[i // texts_each])
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(i < n_insults * texts_each)))
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize(("n_insults", "texts_each", "clean"), [(700, 20, 6000), (900, 12, 4000)])
+def test_many_terms_and_mostly_toxic_labels(spark, n_insults, texts_each, clean):
+    docs, labels = insults(spark, n_insults, texts_each, clean)
+    toxic = n_insults * texts_each
+    held = [r for r in toxic_automaton.score(docs, labels).collect() if r["held_out"]]
+    found = [r["predicted"] for r in held if r["doc_id"] < toxic]
+    alarms = [r["predicted"] for r in held if r["doc_id"] >= toxic]
+    assert sum(found) >= 0.95 * len(found) and sum(alarms) <= 0.01 * len(alarms)
+
+
+def test_a_model_without_terms_rejects_nothing(spark):
+    rows = [(i, prose(i, 30)) for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 > 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    scored = toxic_automaton.score(documents(spark, rows), labels).collect()
+    assert {r["predicted"] for r in scored} == {0}
+
+
+def test_words_joined_by_punctuation_match():
+    matcher = toxic_automaton.Matcher(["idiot", "moron"])
+    for text in ("moron—you", "idiot/clown", "worthless-moron", "you.idiot.", "big_idiot..now"):
+        assert matcher.features(text.encode()), text
+    assert not matcher.features("well-known more/on e-mail".encode())
+
+
+def test_texts_needed_against_the_definition():
+    held = [(n, 400 // n, 3 if n > 8 else 0) for n in range(1, 60)]
+    for share in (0.05, 0.3, 0.8):
+        needed = toxic_automaton.texts_needed(held, share)
+        kept = [row for row in held if row[0] >= needed]
+        odds = {n: toxic_automaton.chance_of(n, share) for n, *_ in held}
+        assert all(abs(odds[n] - sum(comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(ceil(0.9 * n), n + 1))) < 1e-9 for n in odds)
+        expected = sum((t - p) * odds[n] / (1 - odds[n]) for n, t, p in kept)
+        assert needed >= 3 and (not kept or expected <= max(0.5, 0.001 * sum(p for *_, p in kept)))
