@@ -19,6 +19,12 @@ def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
 
 
+def most_shared(words, template):
+    """Words of a template in the block that holds most of them, every block tried."""
+    known = set(template.words)
+    return max((len(known.intersection(words[i : i + template.span])) for i in range(len(words))), default=0)
+
+
 def slow_scan(text):
     words = words_of(text)
     starts, base = [], set()
@@ -28,13 +34,11 @@ def slow_scan(text):
         starts += hits
         base |= {label} if hits else set()
     labels, best = set(base), 1.0 if starts else 0.0
-    for line in (text or "").translate(LOWER).split("\n"):
-        held = set(words_of(line))
-        for _, label, template, needed in license_join.template_sets(license_join.TEMPLATES, license_join.CONTAINMENT):
-            shared = len(held & set(template))
-            if shared >= needed:
-                labels.add(label)
-                best = max(best, shared / len(template))
+    for t in license_join.template_sets(license_join.TEMPLATES, license_join.CONTAINMENT):
+        shared = most_shared(words, t)
+        if shared >= t.needed:
+            labels.add(t.label)
+            best = max(best, shared / len(t.words))
     return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), round(best, 6)
 
 
@@ -47,6 +51,12 @@ NOTICES = [
     "Licensed under CC\nBY-NC 4.0 all rights\nreserved",
     "général public license MIT\tLICENSE",
     "license mit license",
+    "/* Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and\n * associated documentation files */",
+    "# Redistribution and use in source and binary forms, with or\n# without modification, are permitted provided that the\n# following conditions are met:",
+    "all Germans reserved their human rights",
+    "all the " + "filler words here " * 40 + "rights of cc stand here and by far from nc or from 4 men and 0 women are licensed at last under what is reserved",
+    "head " * 5000 + "Released under\nthe MIT License " + "tail " * 5000,
+    "All rights\n\nreserved",
 ]
 
 
@@ -62,6 +72,17 @@ def test_scan_against_brute_force(spark):
     assert found == Counter((r["doc_id"], *slow_scan(r["text"])) for r in docs.collect())
 
 
+def test_wrapped_notices_are_found_and_long_lines_are_not(spark):
+    labels = {r["doc_id"]: r["labels"] for r in license_join.scan(notices(spark)).where("doc_id >= 108").collect()}
+    assert labels == {108: "mit", 109: "bsd", 110: "", 111: "", 112: "mit", 113: "proprietary"}
+
+
+@pytest.mark.parametrize("piece_words", [1, 7, 50])
+def test_notices_across_pieces(spark, monkeypatch, piece_words):
+    monkeypatch.setattr(license_join, "PIECE_WORDS", piece_words)
+    test_scan_against_brute_force(spark)
+
+
 def test_scan_against_sql(spark):
     against_sql(notices(spark), license_join.scan, license_join.sql())
 
@@ -74,7 +95,7 @@ def test_filters_lose_no_match(spark):
         sets = license_join.template_sets(license_join.TEMPLATES, containment)
         found = {r["doc_id"]: r["labels"] for r in license_join.scan(docs, containment=containment).collect()}
         for i, t in enumerate(texts):
-            expected = {label for _, label, template, needed in sets if len(set(words_of(t)) & set(template)) >= needed}
+            expected = {s.label for s in sets if most_shared(words_of(t), s) >= s.needed}
             base = {label for phrase, label in license_join.PHRASES if f" {phrase} " in f" {' '.join(words_of(t))} "}
             assert found[i] == ",".join(sorted(expected | base))
 
