@@ -25,6 +25,9 @@ SYMBOLS = b"#*$%&|<>"
 #: A host falls when its shrunk failure rate is above this.
 MAX_HOST_RATE = 0.6
 
+#: Counted hosts up to which their rates are broadcast.
+BROADCAST_HOSTS = 200_000
+
 #: Prior strength, in documents, where the rates of hosts differ no more than chance makes them.
 STRONGEST_PRIOR = 1000.0
 
@@ -104,9 +107,10 @@ def host_rates(measured: DataFrame) -> DataFrame:
     return hosts.withColumn("host_rate", (F.col("n_failed") + F.lit(alpha)) / (F.col("n_docs") + F.lit(alpha + beta)))
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_host_rate: float = MAX_HOST_RATE, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """One row per document: measures, ``base_failed``, its host's shrunk rate and ``kept``."""
     measured = materialize(document_measures(docs, id_col, text_col, host_col), "host-measures")
-    hosts = host_rates(measured).select("host", "host_rate")
-    judged = measured.join(hosts, "host")
+    hosts = materialize(host_rates(measured).select("host", "host_rate"), "host-rates")
+    # documents of a hot host stay where they are; beyond the bound the planner splits skewed parts
+    judged = measured.join(F.broadcast(hosts) if hosts.count() <= broadcast_hosts else hosts, "host")
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_host_rate))

@@ -67,3 +67,9 @@ def quality_hosts_query(docs):
 
 def test_empty_table(spark):
     assert quality_hosts.judge(empty_documents(spark)).count() == 0
+
+
+def test_hosts_joined_either_way_agree(spark):
+    docs = awkward_documents(spark)
+    both = [Counter(map(tuple, quality_hosts.judge(docs, broadcast_hosts=n).select("doc_id", "host_rate", "kept").collect())) for n in (0, 100)]
+    assert both[0] == both[1] and sum(both[0].values()) == docs.count()
