@@ -31,13 +31,16 @@ BLOCK_ROWS = 512
 _POINTS, _ROUNDS, _DIGITS = 32, 6, 6
 
 
-def token_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    words = F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit(WORD_PATTERN))
+def token_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    text = F.col(f"`{text_col}`").cast("string")
+    words = F.regexp_count(text, F.lit(WORD_PATTERN))
     return docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{source_col}`").alias("source"),
         key_of(source_col).alias("source_key"),
         (F.coalesce(words, F.lit(0)) + 1).cast("long").alias("n_tokens"),
+        # of id and text, so that rows without an id or with one id are shuffled as well
+        seeded(seed, F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("digest"),
         *carry,
     )
 
@@ -128,8 +131,7 @@ def mixture(
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row for every time a document is drawn: its pass, block, the block's place in the pass and the row's in it."""
-    rows = token_rows(docs, id_col, text_col, source_col, carry)
-    rows = materialize(rows.withColumn("digest", seeded(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), "mix-rows")
+    rows = materialize(token_rows(docs, id_col, text_col, source_col, seed, carry), "mix-rows")
     n_blocks = max(1, math.ceil(rows.count() / block_rows))
     rows = rows.withColumn("block", F.floor(unit_fraction(F.col("digest")) * F.lit(n_blocks)).cast("long"))
     blocks = materialize(rows.groupBy("source_key", "block").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_rows")), "mix-blocks")
@@ -153,7 +155,7 @@ def mixture(
 
     inner = Window.partitionBy("source_key", "block", "pass").orderBy("row_digest", "doc_id", "n_tokens")
     drawn = rows.join(taken, ["source_key", "block"])
-    drawn = drawn.withColumn("row_digest", seeded(seed, "row", F.col("pass"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    drawn = drawn.withColumn("row_digest", seeded(seed, "row", F.col("pass"), F.col("digest")))
     drawn = drawn.withColumns(
         {
             "in_block": F.row_number().over(inner).cast("long"),
@@ -182,10 +184,9 @@ def sql(seed: str = SEED, entropy_share: float = ENTROPY_SHARE, max_repeats: flo
 WITH RECURSIVE rows AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS source_key,
          coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0) + 1 AS n_tokens,
-         coalesce(doc_id::VARCHAR, 'null') AS id_text,
-         ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+         md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS digest
   FROM documents),
-cut AS (SELECT *, floor(u * greatest(1, ceil((SELECT count(*) FROM rows) / {block_rows}.0)))::BIGINT AS block FROM rows),
+cut AS (SELECT *, floor(('0x' || substr(digest, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE * greatest(1, ceil((SELECT count(*) FROM rows) / {block_rows}.0)))::BIGINT AS block FROM rows),
 shares AS (SELECT source_key, sum(n_tokens)::BIGINT AS tokens, ln(sum(n_tokens)::DOUBLE / (SELECT sum(n_tokens) FROM rows)) AS log_share FROM rows GROUP BY 1),
 facts AS (SELECT count(*) AS k, max(log_share) AS hi, min(log_share) AS lo FROM shares),
 halves(i, low_e, high_e, low_r, high_r) AS (
@@ -214,6 +215,6 @@ taken AS (SELECT *, CASE WHEN pass < whole THEN tokens ELSE rest - before END AS
 drawn AS (SELECT c.doc_id, c.source, t.pass, c.block, t.block_rank, c.n_tokens, t.weight, t.repeats, t.room, row_number() OVER w AS in_block,
          coalesce(sum(c.n_tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM cut c JOIN taken t USING (source_key, block) WHERE t.room > 0
-  WINDOW w AS (PARTITION BY source_key, block, pass ORDER BY md5('{seed}:row:' || pass || ':' || c.id_text), c.doc_id NULLS FIRST, c.n_tokens))
+  WINDOW w AS (PARTITION BY source_key, block, pass ORDER BY md5('{seed}:row:' || pass || ':' || c.digest), c.doc_id NULLS FIRST, c.n_tokens))
 SELECT doc_id, source, pass::INTEGER AS pass, block, block_rank, in_block, n_tokens::BIGINT AS n_tokens, weight, repeats FROM drawn WHERE start < room
 """

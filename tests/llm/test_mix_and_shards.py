@@ -141,3 +141,9 @@ def test_sharding_keeps_clashing_columns(spark):
     found = proportional_shards.sharded_documents(docs)
     assert found.columns == [*docs.columns, "_shard", "slot"]
     assert found.select(F.countDistinct("_shard")).first()[0] == 8
+
+
+def test_rows_without_an_id_are_mixed_in_blocks(spark):
+    docs = documents(spark, [(None, f"text {i}", "a") for i in range(600)])
+    blocks = Counter(r["block"] for r in temperature_mix.mixture(docs, block_rows=20).collect())
+    assert sum(blocks.values()) == 600 and len(blocks) == 30 and max(blocks.values()) <= 45
