@@ -18,7 +18,8 @@ def stars(links: DataFrame) -> DataFrame:
     ``links`` has two comparable columns ``a`` and ``b``.  Each round rehangs the larger neighbours of every node on its
     smallest neighbour and then the smaller ones, so the number of links never grows and long chains shorten
     geometrically.  Minima are aggregated map-side and joined back, no neighbourhood is gathered; every round is a
-    written table, so a lost executor costs one round at most.
+    written table, so a lost executor costs one round at most.  Links with a NULL end and links of a node to itself are
+    ignored; repeated links count once; without links there are no rows.
     """
     current = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     current = materialize(current, "links")

@@ -5,7 +5,8 @@ document comes from), the failure rates are shrunk with a beta prior fitted to a
 shrunk rate is beyond the limit takes its other documents with it.
 
 Defined results: a NULL or empty text has no words and fails; NULL hosts form one host; repeated rows each count and each
-get a verdict; an empty table gives an empty table; columns other than id, text and host are ignored.
+get a verdict, and so does a host at the limit, which is kept; very long texts are measured whole, in batches of bounded bytes;
+an empty table gives an empty table; columns other than id, text and host are ignored.
 """
 
 from __future__ import annotations

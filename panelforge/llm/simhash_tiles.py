@@ -7,7 +7,8 @@ counts.  Tiles are cut by hash at a fixed expected size, so a large group of nea
 pair returns links to the smallest linked fingerprint, at most one per member, never all its pairs; links become
 components by alternating stars.
 
-Defined results: NULL and wordless texts have fingerprint zero and link like any other; repeated rows are linked; a
+Defined results: NULL and wordless texts have fingerprint zero and link like any other; repeated rows are linked; a bit set in just half the
+shingles is 0; very long texts are read whole, in batches of bounded bytes; a
 component without any id has a NULL component; an empty table gives an empty table; extra columns are ignored.
 """
 

@@ -15,7 +15,8 @@ tasks that read documents, so that hardly a window without a partner leaves its
 the items' windows are broadcast only where counting them found at most ``BROADCAST_WINDOWS``.  Slot values travel as 64-bit
 hashes.  Matches are gathered by document and item, after a count has dropped the pairs that cannot reach the threshold.
 
-Defined results: items with fewer than ``MIN_WORDS`` template words, NULL ones included, match nothing; NULL and empty
+Defined results: items with fewer than ``MIN_WORDS`` template words, NULL ones and items made of slots only included, match
+nothing; very long texts are read whole, in batches of bounded bytes; of alignments that tie any may be reported; NULL and empty
 documents leak nothing; repeated items and documents are each reported; empty tables give no pairs; extra columns are
 ignored, or passed through by ``without_leaks``.
 """
