@@ -21,9 +21,9 @@ def one_row_per(df: DataFrame, key: str) -> DataFrame:
     if not rest:
         return known.distinct()
     message = F.concat(F.lit(f"several rows for one {key}: "), F.col(key).cast("string"))
-    rows = F.collect_set(F.struct(*[F.col(f"`{c}`") for c in rest]))
-    single = known.groupBy(key).agg(rows.alias("__rows"))
-    checked = F.when(F.size("__rows") == 1, F.col("__rows")[0]).otherwise(F.raise_error(message))
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    single = known.groupBy(key).agg(F.min(row).alias("__low"), F.max(row).alias("__high"))  # equal only if all rows are
+    checked = F.when(F.col("__low").eqNullSafe(F.col("__high")), F.col("__low")).otherwise(F.raise_error(message))
     return single.select(key, checked.alias("__row")).select(*[F.col(f"__row.`{c}`").alias(c) if c != key else F.col(key) for c in df.columns])
 
 

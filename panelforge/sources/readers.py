@@ -10,6 +10,9 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from panelforge.functions.scalars import nan_to_null
 
+#: Rows of a table given in the program up to which it is broadcast.
+INLINE_ROWS = 100_000
+
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
@@ -62,8 +65,9 @@ def scan_jdbc(spark: SparkSession, url: str, table: str, partition: tuple[str, i
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
-    """Small table given in the program, marked for broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), columns))
+    """Table given in the program, marked for broadcast up to ``INLINE_ROWS`` rows."""
+    table = spark.createDataFrame(list(rows), columns)
+    return F.broadcast(table) if len(rows) <= INLINE_ROWS else table
 
 
 def write_parquet(df: DataFrame, table: str, schema: str, data_dir: str, partition_by: Sequence[str] = ()) -> str:

@@ -196,3 +196,26 @@ def test_extreme_portfolios_are_those_of_the_month(spark):
     spread = univariate.long_short_extremes(spark.createDataFrame(rows, "portfolio int, month date, ret double"))
     found = {r["month"]: (r["low"], r["high"]) for r in spread.collect()}
     assert found == {a: (0.1, 0.5), b: (0.3, 0.1), c: (None, 0.2)}
+
+
+def test_equal_rows_of_a_period_are_one_and_missing_values_count(spark):
+    from panelforge.operators.joins import period_lookup
+
+    nan = float("nan")
+    rows = spark.createDataFrame([("a", None, nan)] * 500 + [("b", 1.0, None)] * 3 + [(None, 1.0, 2.0), (None, 3.0, 4.0)], "month string, x double, y double")
+    found = {r["month"]: (r["x"], str(r["y"])) for r in period_lookup(rows, "month").collect()}
+    assert found == {"a": (None, "nan"), "b": (1.0, "None")}
+    for other in (("b", None, None), ("b", 1.0, 0.0), ("a", None, None)):
+        with pytest.raises(Exception, match="several rows for one month"):
+            period_lookup(rows.union(spark.createDataFrame([other], rows.schema)), "month").collect()
+
+
+def test_inline_tables_are_broadcast_up_to_a_bound(spark, monkeypatch):
+    from panelforge.sources import readers
+
+    def plan():
+        return readers.inline_table(spark, [(1, "a"), (2, "b")], "k int, v string")._jdf.queryExecution().analyzed().toString()
+
+    assert "ResolvedHint" in plan()
+    monkeypatch.setattr(readers, "INLINE_ROWS", 1)
+    assert "ResolvedHint" not in plan()
