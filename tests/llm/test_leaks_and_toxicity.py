@@ -1,5 +1,5 @@
 import random
-from math import ceil, comb
+from math import ceil, comb, exp, log
 from zlib import crc32
 
 import pytest
@@ -231,3 +231,45 @@ def test_texts_needed_against_the_definition():
         assert all(abs(odds[n] - sum(comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(ceil(0.9 * n), n + 1))) < 1e-9 for n in odds)
         expected = sum((t - p) * odds[n] / (1 - odds[n]) for n, t, p in kept)
         assert needed >= 3 and (not kept or expected <= max(0.5, 0.001 * sum(p for *_, p in kept)))
+
+
+def test_scores_against_plain_counts(spark):
+    """Weights and scores worked out again from the labelled texts, each word compared with every term."""
+    docs, labels = labelled(spark, 400)
+    model = toxic_automaton.fit(docs, labels)
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+
+    def features(text):
+        words = text.encode().split()
+        hits = [(i, slow_match(toxic_automaton.bare(w), model.terms)) for i, w in enumerate(words)]
+        hits = [(i, h) for i, h in hits if h]
+        chosen = [(i, h) for i, h in hits if h[0] == 0] or hits
+        return {(term, int(d > 0), toxic_automaton.quotation(words, i)) for i, (d, term) in chosen}
+
+    train = [i for i in texts if crc32(str(i).encode()) % 5]
+    held = {i: features(t) for i, t in texts.items()}
+    n = [sum(toxic[i] == c for i in train) for c in (0, 1)]
+
+    def seen(feature, c):
+        return sum(toxic[i] == c and (feature in held[i] if feature else not held[i]) for i in train)
+
+    def ratio(feature):
+        return log((seen(feature, 1) + 0.5) / (n[1] + 1)) - log((seen(feature, 0) + 0.5) / (n[0] + 1))
+
+    def towards(feature, assumed):
+        rows = seen(feature, 0) + seen(feature, 1)
+        return (rows * ratio(feature) + 2 * assumed) / (rows + 2)
+
+    prior, weights = log(n[1] / n[0]), {}
+    for k in range(len(model.terms)):
+        weights[k, 0, 0] = ratio((k, 0, 0))
+        weights[k, 1, 0] = towards((k, 1, 0), 0.75 * weights[k, 0, 0])
+        for m in (0, 1):
+            weights[k, m, 1] = towards((k, m, 1), 0.5 * weights[k, m, 0])
+    assert model.terms and model.weights == pytest.approx(weights)
+    for r in toxic_automaton.score(docs, labels).collect():
+        own = sorted((weights[f] for f in held[r["doc_id"]]), reverse=True)
+        total = prior + (own[0] + 0.1 * sum(w for w in own[1:] if w > 0) if own else ratio(None))
+        expected = 1 / (1 + exp(-total))
+        assert r["score"] == pytest.approx(expected if own else min(0.49, expected))
