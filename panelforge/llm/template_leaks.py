@@ -10,13 +10,16 @@ conflicting slot do not count.  A document leaks an item when the others cover `
 With ``plain_names`` a second template leaves names as lower-cased words, so that copies in other letters are caught; either
 may match.
 
-Items are cut into windows on the executors and stay a table.  A bit map of their hashes, of fixed size, goes with the
-tasks that read documents, so that hardly a window without a partner leaves its task; the rest meet in a hash join, for which
-the items' windows are broadcast only where counting them found at most ``BROADCAST_WINDOWS``.  Slot values travel as 64-bit
-hashes.  Matches are gathered by document and item, after a count has dropped the pairs that cannot reach the threshold.
+Items are cut into windows on the executors and stay a table.  A bit map of their hashes, sized by their number up to
+2**``MAX_BITS`` bits, goes with the tasks that read documents, so that hardly a window without a partner leaves its task; the rest
+meet in a hash join, for which the items' windows are broadcast only where counting them found at most ``BROADCAST_WINDOWS``.
+Slot values travel as 64-bit hashes.  Matches are dealt by document and item and gathered by alignment, which holds every window
+of the item once at most.  After a sum has dropped the pairs that cannot reach the threshold, the alignments of a pair stream
+through its judgement, longest first: it keeps one mapping and the windows covered, both bounded by the item, so a document
+that repeats an item's lines any number of times is never gathered.
 
 Defined results: items with fewer than ``MIN_WORDS`` template words, NULL ones and items made of slots only included, match
-nothing; very long texts are read whole, in batches of bounded bytes; of alignments that tie any may be reported; NULL and empty
+nothing; very long texts are read whole, in batches of bounded bytes; of alignments of one length the first in the text comes first; NULL and empty
 documents leak nothing; repeated items and documents are each reported; empty tables give no pairs; extra columns are
 ignored, or passed through by ``without_leaks``.
 """
@@ -25,13 +28,13 @@ from __future__ import annotations
 
 import re
 import string
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import bounded_batches, identified
@@ -58,8 +61,11 @@ _MIX, _ALL = 0xD6E8FEB86659FD93, (1 << 64) - 1
 _CACHE = 300_000
 _FLUSH = 50_000
 
-#: The bit map has 2**_BITS bits, 2 MiB.
-_BITS = 24
+#: Powers of two: the bits of the map of item windows, at least and at most (16 MiB; fuller beyond, then more windows are shuffled).
+MIN_BITS, MAX_BITS = 24, 27
+
+#: Bits of the map for each item window.
+BITS_PER_WINDOW = 16
 
 
 def _hash(text: str) -> int:
@@ -200,12 +206,13 @@ def item_windows(benchmark: DataFrame, plain_names: bool = False) -> DataFrame:
     return materialize(texts.where("text IS NOT NULL").mapInArrow(_item_windows(plain_names), schema), "item-windows")  # fixes the numbers
 
 
-def _bit_map(known: DataFrame) -> bytes:
-    """The bit map of the hashes, from at most 2**(_BITS - 6) words of 64 bits."""
-    top = F.shiftrightunsigned("key", 64 - _BITS)
-    cells = known.select(F.shiftright(top, 6).alias("cell"), F.expr("shiftleft(1L, cast(key >>> {} & 63 AS int))".format(64 - _BITS)).alias("bit"))
+def _bit_map(known: DataFrame, count: int) -> bytes:
+    """The bit map of the hashes, from at most 2**(MAX_BITS - 6) words of 64 bits."""
+    bits = min(max(MIN_BITS, (count * BITS_PER_WINDOW).bit_length()), MAX_BITS)
+    top = F.shiftrightunsigned("key", 64 - bits)
+    cells = known.select(F.shiftright(top, 6).alias("cell"), F.expr(f"shiftleft(1L, cast(key >>> {64 - bits} & 63 AS int))").alias("bit"))
     found = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (_BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[found["cell"].to_numpy()] = found["bits"].to_numpy()
     return out.tobytes()
 
@@ -214,7 +221,8 @@ def _hits(lengths: list[int], bits: bytes, plain_names: bool):
     """Windows of documents whose bit is set, with the columns in front of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
+        marks = np.frombuffer(bits, np.uint8)
+        shift = np.uint64(64 - (len(marks) * 8).bit_length() + 1)
         memo = Templates()
 
         def made(batch: pa.RecordBatch, who: list[int], rows: list[tuple]) -> pa.RecordBatch:
@@ -230,7 +238,8 @@ def _hits(lengths: list[int], bits: bytes, plain_names: bool):
                     seen: dict[int, int] = {}
                     for length in lengths:
                         own = keyed_windows(h, length, kind)
-                        met = np.nonzero(marks[own >> np.uint64(64 - _BITS)])[0]
+                        bit = own >> shift
+                        met = np.flatnonzero(marks[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
                         for place, key in zip(met.tolist(), own[met].view(np.int64).tolist(), strict=True):
                             rows.append((key, place, *_values(words, at, h, slots, seen, place, length)))
                             who.append(number)
@@ -243,43 +252,66 @@ def _hits(lengths: list[int], bits: bytes, plain_names: bool):
     return run
 
 
-def consistent(matches: list[dict], size: int) -> tuple[int, int, int]:
-    """Windows of the item whose slots agree on one one-to-one mapping, slots compared in them, slots changed.
+class Coverage:
+    """What a document covers of an item of ``size`` windows, under one one-to-one mapping of slots.
 
-    Only the windows that hold a conflicting slot are dropped from an alignment; equal slots come first, then frequent ones.
+    Alignments come longest first.  Only the windows that hold a conflicting slot are dropped from one; equal slots come first,
+    then frequent ones.
     """
-    alignments: dict[int, list[dict]] = defaultdict(list)
-    for m in matches:
-        alignments[m["place"] - m["there"]].append(m)
-    covered: set[int] = set()
-    forth: dict[int, int] = {}
-    back: dict[int, int] = {}
-    compared = changed = 0
-    for _, group in sorted(alignments.items(), key=lambda x: (-len(x[1]), x[0])):
-        spots = {m["there"] + i: tuple(pair) for m in group for i, *pair in zip(m["at"], m["theirs"], m["own"], strict=False)}
-        often = Counter(spots.values())
-        to, fro = dict(forth), dict(back)
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.covered: set[int] = set()
+        self.forth: dict[int, int] = {}
+        self.back: dict[int, int] = {}
+        self.compared = self.changed = 0
+
+    def add(self, group: list[dict]) -> None:
+        """Another alignment, as its matches."""
+        if len(self.covered) == self.size:
+            return
+        spots = {m["there"] + i: pair for m in group for i, *pair in zip(m["at"], m["theirs"], m["own"], strict=False)}
+        often = Counter(map(tuple, spots.values()))
+        to: dict[int, int] = {}
+        fro: dict[int, int] = {}
         for a, b in sorted(often, key=lambda x: (x[0] != x[1], -often[x], x)):
-            if to.get(a, b) == b and fro.get(b, a) == a:
+            if self.forth.get(a, to.get(a, b)) == b and self.back.get(b, fro.get(b, a)) == a:
                 to[a], fro[b] = b, a
         kept = [m for m in group if all(to.get(a) == b for a, b in zip(m["theirs"], m["own"], strict=False))]
-        used = {spot: spots[spot] for spot in {m["there"] + i for m in kept for i in m["at"]}}
-        forth.update(used.values())
-        back.update((b, a) for a, b in used.values())
-        compared, changed = compared + len(used), changed + sum(a != b for a, b in used.values())
-        covered.update(m["there"] for m in kept)
-        if len(covered) == size:
-            break
-    return len(covered), compared, changed
+        used = [spots[spot] for spot in {m["there"] + i for m in kept for i in m["at"]}]
+        self.forth.update(used)
+        self.back.update((b, a) for a, b in used)
+        self.compared += len(used)
+        self.changed += sum(a != b for a, b in used)
+        self.covered.update(m["there"] for m in kept)
+
+
+_PAIR = ["row", "item", "kind"]
+_HEAD = ["row", "doc_id", "item", "kind", "item_id", "size"]
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per pair from its alignments, which follow each other, also from batch to batch."""
+
+    def made(ended: list[tuple[pa.RecordBatch, Coverage]]) -> Iterator[pa.RecordBatch]:
+        if ended:
+            heads = pa.Table.from_batches([head for head, _ in ended]).combine_chunks()
+            counts = zip(*((len(c.covered), c.compared, c.changed) for _, c in ended), strict=True)
+            for name, values in zip(("n_windows", "n_slots", "n_changed"), counts, strict=True):
+                heads = heads.append_column(name, pa.array(values, pa.int64()))
+            yield from heads.to_batches()
+
+    pair, last = None, []
     for batch in batches:
-        sizes, matches = batch.column("size").to_pylist(), batch.column("matches")
-        made = [consistent(m.as_py(), n) for m, n in zip(matches, sizes, strict=True)]
-        columns = [pa.array(c, pa.int64()) for c in zip(*made, strict=True)] if made else [pa.array([], pa.int64())] * 3
-        kept = batch.select(range(batch.num_columns - 1))
-        yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, "n_windows", "n_slots", "n_changed"])
+        ended = []
+        heads, matches = batch.select(_HEAD), batch.column("matches")
+        for i, here in enumerate(zip(*(batch.column(c).to_pylist() for c in _PAIR), strict=True)):
+            if here != pair:
+                ended += last
+                pair, last = here, [(heads.slice(i, 1), Coverage(batch.column("size")[i].as_py()))]
+            last[0][1].add(matches[i].as_py())
+        yield from made(ended)
+    yield from made(last)
 
 
 def _leaks(rows: DataFrame, benchmark: DataFrame, min_containment: float, broadcast_windows: int, plain_names: bool) -> DataFrame:
@@ -287,15 +319,15 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, min_containment: float, broadc
     known = item_windows(benchmark, plain_names)
     lengths = sorted(r["length"] for r in known.select("length").distinct().collect())  # at most WINDOW - MIN_WORDS + 1
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("row", "doc_id"))
-    hits = rows.select("row", "doc_id", "text").mapInArrow(_hits(lengths, _bit_map(known), plain_names), f"{kinds}, key long, place int, at array<int>, own array<long>")
-    small = known.limit(broadcast_windows + 1).count() <= broadcast_windows
-    met = hits.join(F.broadcast(known) if small else known, "key")
-    one = F.struct("place", "there", "at", "own", "theirs")
-    pairs = met.groupBy("row", "item", "kind").agg(
-        F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.first("size").alias("size"), F.collect_list(one).alias("matches")
-    )
-    enough = pairs.where(F.size("matches") >= F.lit(float(min_containment)) * F.col("size")).select("row", "doc_id", "item", "kind", "item_id", "size", "matches")
-    judged = enough.mapInArrow(_judged, f"{kinds}, item long, kind int, item_id long, size long, n_windows long, n_slots long, n_changed long")
+    count = known.count()
+    hits = rows.select("row", "doc_id", "text").mapInArrow(_hits(lengths, _bit_map(known, count), plain_names), f"{kinds}, key long, place int, at array<int>, own array<long>")
+    met = hits.join(F.broadcast(known) if count <= broadcast_windows else known, "key").withColumn("offset", F.col("place") - F.col("there"))
+    facts = [F.first(c).alias(c) for c in ("doc_id", "item_id", "size")]
+    # dealt by pair, so neither the alignments nor the sums over a pair move rows again
+    aligned = met.repartition(*_PAIR).groupBy(*_PAIR, "offset").agg(*facts, F.collect_list(F.struct("there", "at", "own", "theirs")).alias("matches"))
+    aligned = aligned.withColumn("n", F.size("matches"))
+    enough = aligned.withColumn("total", F.sum("n").over(Window.partitionBy(*_PAIR))).where(F.col("total") >= F.lit(float(min_containment)) * F.col("size"))
+    judged = enough.sortWithinPartitions(*_PAIR, F.col("n").desc(), "offset").select(*_HEAD, "matches").mapInArrow(_judged, f"{kinds}, item long, kind int, item_id long, size long, n_windows long, n_slots long, n_changed long")
     leaks = judged.where(F.col("n_windows") >= F.lit(float(min_containment)) * F.col("size")).withColumn("containment", F.col("n_windows") / F.col("size"))
     if not plain_names:
         return leaks

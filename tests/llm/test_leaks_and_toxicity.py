@@ -1,8 +1,11 @@
 import random
+import re
+from collections import Counter, defaultdict
 from math import ceil, comb, exp, log
 from zlib import crc32
 
 import pytest
+import xxhash
 
 from panelforge.llm import template_leaks, toxic_automaton
 from tests.llm.frames import awkward_documents, documents, empty_documents
@@ -94,6 +97,135 @@ def test_stage_passes_all_columns(spark):
     assert template_leaks.leaked_pairs(docs, items(spark, [])).count() == 0
 
 
+def slow_template(text, plain_names):
+    """Template words, and for each the hash of its slot's value or None, word by word."""
+    out, before, line = [], None, True
+    edges = template_leaks._EDGES
+    tokens = [t for line in text.split("\n") for t in [*line.encode().split(), None]]
+    for raw in tokens:
+        word = raw and raw.decode()
+        core = (word or "").strip(edges)
+        if core:
+            low, last = core.lower(), out[-1] if out else None
+            kind = low
+            if re.match(r"[+-]?\d[\d.,:/^x*+-]*[a-z%]{0,3}$", low):
+                kind = "<number>"
+            elif low in template_leaks.UNITS and last and last["kind"] == "<number>":
+                kind = "<unit>"
+            elif not plain_names and core[0].isupper() and not core.isupper() and not line and not (before or "").rstrip("\"'”’)»").endswith((".", "!", "?", ":")):
+                kind = "<name>"
+            if kind == "<name>" and last and last["kind"] == "<name>":
+                last["raw"].append(word)
+            else:
+                out.append({"kind": kind, "raw": [word]})
+        elif word and out:
+            out[-1]["raw"].append(word)
+        before, line = word, word is None
+    slots = [w["kind"] in ("<number>", "<unit>", "<name>") for w in out]
+    values = [" ".join(w["raw"]).strip(edges).lower().encode() for w in out]
+    seeds = [int(template_leaks._PLACEHOLDER[w["kind"][1:-1]]) if s else 0 for w, s in zip(out, slots, strict=True)]
+    return [w["kind"] for w in out], [xxhash.xxh64_intdigest(v, seed) >> 1 if s else None for v, seed, s in zip(values, seeds, slots, strict=True)]
+
+
+def slow_coverage(item, doc):
+    """Windows of the item that the document has under one mapping, slots compared, slots changed; every window against every other."""
+    (a, mine), (b, theirs) = item, doc
+    size = min(template_leaks.WINDOW, len(a))
+    if size < template_leaks.MIN_WORDS or None not in mine:
+        return None
+    number, lines = len(a) - size + 1, defaultdict(list)
+    for there in range(number):
+        for place in range(len(b) - size + 1):
+            if a[there : there + size] == b[place : place + size]:
+                lines[place - there].append(there)
+    mapped, covered, spots_used = [], set(), []
+    for shift, starts in sorted(lines.items(), key=lambda x: (-len(x[1]), x[0])):
+        if len(covered) == number:
+            break
+        spots = {t: (mine[t], theirs[t + shift]) for start in starts for t in range(start, start + size) if mine[t] is not None}
+        times, agreed = Counter(spots.values()), set(mapped)
+        for pair in sorted(times, key=lambda p: (p[0] != p[1], -times[p], p)):
+            if all((pair[0] == x) == (pair[1] == y) for x, y in agreed):
+                agreed.add(pair)
+        good = [start for start in starts if all(spots[t] in agreed for t in range(start, start + size) if t in spots)]
+        used = [spots[t] for t in sorted({t for start in good for t in range(start, start + size) if t in spots})]
+        mapped += used
+        spots_used += used
+        covered.update(good)
+    return len(covered) / number, len(covered), len(spots_used), sum(x != y for x, y in spots_used)
+
+
+def slow_leaks(texts, benchmark, plain_names):
+    out = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(benchmark, 1):
+            both = [slow_coverage(slow_template(item, k), slow_template(text, k)) for k in ([False, True] if plain_names else [False])]
+            best = max((c for c in both if c), key=lambda c: c[0], default=None)
+            if best and best[0] >= template_leaks.MIN_CONTAINMENT:
+                out[d, i] = best
+    return out
+
+
+def question(r):
+    """Words of a small vocabulary, with numbers, units, names, marks and line ends, so that windows meet in many ways."""
+    plain = ["the train", "leaves at", "and then", "how many", "are left", "she took", "of", "in", "to"]
+    slots = [lambda: str(r.randint(1, 4)), lambda: f"{r.randint(1, 3)} km", lambda: r.choice(["Ann", "Bob Lee", "Rome", "Oslo"]), lambda: r.choice([".", "-", "?\nThen"])]
+    return " ".join(r.choice(slots)() if r.random() < 0.4 else r.choice(plain) for _ in range(r.randint(4, 22)))
+
+
+def asked_again(r, text):
+    """Other numbers and names, equal ones alike or not, and sometimes other letters or a lost word."""
+    for old in ("1", "2", "3", "Ann", "Rome"):
+        text = text.replace(old, r.choice([old, "7", "Ann", "Oslo"]) if old.isalpha() else str(r.randint(1, 9)), r.choice([1, -1]))
+    words = text.split(" ")
+    if r.random() < 0.3:
+        del words[r.randrange(len(words))]
+    return r.choice([str, str, str.lower, str.upper])(" ".join(words))
+
+
+@pytest.mark.parametrize("plain_names", [False, True])
+def test_query_against_every_window(spark, plain_names):
+    r = random.Random(12)
+    benchmark = [question(r) for _ in range(25)]
+    texts = [" ".join([question(r), asked_again(r, r.choice(benchmark)), question(r)]) for _ in range(60)]
+    texts += [f"{asked_again(r, benchmark[i])}\n{asked_again(r, benchmark[i])}" for i in range(20)] + ["1 km 2 km 3 4 " * 30]
+    rows = found(spark, texts, benchmark, plain_names=plain_names)
+    expected = slow_leaks(texts, benchmark, plain_names)
+    got = {k: (v["containment"], v["n_windows"], v["n_slots"], v["n_changed"]) for k, v in rows.items()}
+    assert got == expected and len(got) > 40 and any(v["reparameterised"] for v in rows.values())
+
+
+def test_repeats_of_an_item_stream_by(spark, monkeypatch):
+    """A document that repeats an item, with other numbers each time, and long tables of numbers, in tiny batches."""
+    monkeypatch.setattr(template_leaks, "bounded_batches", lambda spark: None)
+    item = f"{prose(41, 6)} 3 pens and 4 books for 5 pupils {prose(42, 6)}"
+    table = "rates were 1 2 3 4 5 6 7 8 9 10 in all and more to come"
+    many = "\n".join(item.replace("3", str(i)).replace("4", str(i + 1)) for i in range(600))
+    numbers = " ".join(str(i % 97) for i in range(3000))
+    texts = [many, f"{many}\n{item}", numbers, f"{numbers}\n{table}", prose(43, 200)]
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        rows = found(spark, texts, [item, table])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(rows) == {(0, 1), (1, 1), (3, 2)} and all(v["containment"] == 1.0 for v in rows.values())
+    got = {k: (v["containment"], v["n_windows"], v["n_slots"], v["n_changed"]) for k, v in rows.items()}
+    assert got == slow_leaks(texts, [item, table], False)
+
+
+def test_map_of_windows_grows_with_their_number(spark, monkeypatch):
+    """A map of few bits lets more windows through and changes no result."""
+    benchmark = [prose(500 + i, 30) for i in range(40)]
+    texts = [f"{prose(i, 30)}\n{benchmark[i]}" for i in range(40)]
+    known = template_leaks.item_windows(items(spark, benchmark))
+    sizes = [len(template_leaks._bit_map(known, n)) * 8 for n in (0, 1 << 22, 1 << 40)]
+    assert sizes == [1 << 24, 1 << 27, 1 << 27]
+    whole = found(spark, texts, benchmark)
+    monkeypatch.setattr(template_leaks, "MIN_BITS", 8)
+    monkeypatch.setattr(template_leaks, "MAX_BITS", 8)
+    assert found(spark, texts, benchmark) == whole and set(whole) == {(i, i + 1) for i in range(40)}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
