@@ -2,8 +2,8 @@
 
 A gear hash rolls over the UTF-8 bytes of every whole text; a chunk ends where the hash has a given pattern, but not before
 ``MIN_BYTES`` and no later than ``MAX_BYTES``.  Cuts depend on the bytes just before them only, so an insertion moves the
-cuts around itself and leaves the others.  Chunks with equal 128-bit digests in several documents are copies; the occurrence with the smallest
-(id, position) is their keeper.  Consecutive copied chunks are a run, whatever their keepers: earlier documents may hold parts
+cuts around itself and leaves the others.  Chunks with equal 128-bit digests in several rows are copies; the occurrence with the smallest
+id (rows without one come last), then place in the files, then position is their keeper.  Consecutive copied chunks are a run, whatever their keepers: earlier documents may hold parts
 of a passage that later ones share whole.  Runs of ``MIN_SPAN_WORDS`` or more are reported, one repeated span for each stretch of one keeper.  A passage loses less than one chunk at either
 end, so passages of over 50 words are found, while shared lines of a dozen words are left alone.
 
@@ -11,8 +11,9 @@ Digests are counted by partial aggregation.  The copied ones are written with th
 more: a bit map of copied digests, sized by their number up to 2**``MAX_BITS`` bits, lets tasks leave out most chunks that have no copy
 before they are shuffled (and only those: what the map lets through is joined by the whole digest).  A digest with more than one in
 ``HOT_SHARE`` of the copied chunks is cut into parts for the join, so a chunk that a third of all documents share is neither gathered
-nor one task.  Such digests are fewer than ``HOT_SHARE`` by count and broadcast.  Defined results: NULL and empty texts have no chunks; documents without an id are ignored, as nothing could name
-them; repeated rows have the same spans; an empty table gives an empty table; extra columns are ignored.
+nor one task.  Such digests are fewer than ``HOT_SHARE`` by count and broadcast.  Defined results: NULL and empty texts have no chunks; rows are told apart by their place in the files, so
+rows without an id or with the same id are documents like others, and of repeated rows the first keeps; passages that one text
+repeats count with ``within``; very long texts are cut whole; an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import bounded_batches
+from panelforge.llm.common import bounded_batches, fresh, identified
 from panelforge.storage import materialize
 
 MIN_BYTES = 8
@@ -92,27 +93,29 @@ def chunk_rows(text: bytes) -> tuple[list[bytes], list[int], list[int], list[int
 _PLACE = {"start": "place >> 16", "bytes": "CAST(place >> 8 & 255 AS INT)", "words": "CAST(place & 255 AS INT)"}
 
 
+_OWNER = ["doc_id", "file", "row"]
+
+
 def _run(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    names = ["hi", "lo", "chunk", "doc_id", "place"]
+    names = ["hi", "lo", "chunk", "place", *_OWNER]
     shift = None if marks is None else np.uint64(64 - (len(marks) * 8).bit_length() + 1)
 
-    def batch_of(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        columns = (np.concatenate(c) for c in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+    def batch_of(parts: list[list[np.ndarray]], batch: pa.RecordBatch) -> pa.RecordBatch:
+        *columns, who = (pa.array(np.concatenate(c)) for c in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([*columns, *(batch.column(c).take(who) for c in _OWNER)], names=names)
 
     for batch in batches:
         parts: list[list[np.ndarray]] = []
         held = 0
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+        for number, text in enumerate(batch.column("text").cast(pa.binary())):
             value = text.as_py()
             if not value:
                 continue
             digests, starts, sizes, words = chunk_rows(value)
             pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             n = len(digests)
-            first = xxhash.xxh32_intdigest(value) >> 1 << 32  # another text under the same id has other numbers
             place = np.array(starts, np.int64) << 16 | np.array(sizes, np.int64) << 8 | np.array(words, np.int64)
-            columns = [pair[:, 0], pair[:, 1], np.arange(first, first + n, dtype=np.int64), np.full(n, doc, np.int64), place]
+            columns = [pair[:, 0], pair[:, 1], np.arange(n, dtype=np.int64), place, np.full(n, number, np.int64)]
             if marks is not None:
                 bit = pair[:, 0].view(np.uint64) >> shift
                 kept = np.flatnonzero(marks[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
@@ -120,25 +123,28 @@ def _run(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = None) ->
             parts.append(columns)
             held += len(columns[0])
             if held > 100_000:
-                yield batch_of(parts)
+                yield batch_of(parts, batch)
                 parts, held = [], 0
         if parts:
-            yield batch_of(parts)
+            yield batch_of(parts, batch)
+
 
+def text_rows(marked: DataFrame, row: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id, place in the files and text of every row of ``identified`` documents."""
+    return marked.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"{row}.file").alias("file"), F.col(f"{row}.row").alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: bytes | None = None) -> DataFrame:
-    """Every chunk of every text: its digest as two longs, number, document, and place (see ``_PLACE``).
 
-    The hash of the text in the number's upper half stands next to the document, so both compress as one.  With ``bits``
-    only chunks whose bit is set.
+def chunks(rows: DataFrame, bits: bytes | None = None) -> DataFrame:
+    """Every chunk of every text of ``text_rows``: its digest as two longs, number, place (see ``_PLACE``) and row.
+
+    With ``bits`` only chunks whose bit is set.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _run(batches, None if bits is None else np.frombuffer(bits, np.uint8))
 
-    narrow = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "hi long, lo long, chunk long, doc_id long, place long")
+    return rows.mapInArrow(run, "hi long, lo long, chunk long, place long, doc_id long, file long, row long")
 
 
 def bit_map(digests: DataFrame, count: int) -> bytes:
@@ -152,76 +158,91 @@ def bit_map(digests: DataFrame, count: int) -> bytes:
     return out.tobytes()
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Chunks that occur in two documents or more, each with its keeper.  Chunks are cut again for the join instead of being stored."""
-    found = chunks(docs, id_col, text_col).groupBy("hi", "lo").agg(
-        F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
+def repeated_chunks(rows: DataFrame, within: bool = False) -> DataFrame:
+    """Chunks of ``text_rows`` that occur in two rows or more (``within``: at two places), each with its keeper.
+
+    Chunks are cut again for the join instead of being stored.
+    """
+    owner = [F.col("doc_id").isNull().alias("nameless"), *_OWNER]
+    found = chunks(rows).groupBy("hi", "lo").agg(
+        F.min(F.struct(*owner, "place")).alias("first"), F.max(F.struct(*owner)).alias("last"), F.count(F.lit(1)).alias("n")
     )
-    found = found.where("first.doc_id < last").select("hi", "lo", F.col("first.doc_id").alias("keeper_id"), F.expr("first.place >> 16").alias("keeper_start"), "n")
+    again = "n > 1" if within else "first.file <> last.file OR first.row <> last.row"
+    keeper = {"keeper_id": "first.doc_id", "keeper_file": "first.file", "keeper_row": "first.row", "keeper_start": "first.place >> 16"}
+    found = found.where(again).select("hi", "lo", *(F.expr(e).alias(c) for c, e in keeper.items()), "n")
     keepers = materialize(found, "chunk-keepers")
     count, total = keepers.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     hot = keepers.where(F.col("n") * HOT_SHARE > total).select("hi", "lo", F.least("n", F.ceil(F.col("n") * HOT_SHARE / total)).cast("long").alias("parts"))
     hot = F.broadcast(hot)
     dealt = keepers.drop("n").join(hot, ["hi", "lo"], "left")
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)).alias("part")).drop("parts")
-    cut = chunks(docs, id_col, text_col, bit_map(keepers, count)).join(hot, ["hi", "lo"], "left")
-    cut = cut.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id", "chunk"), "parts"), F.lit(0))).drop("parts")
+    cut = chunks(rows, bit_map(keepers, count)).join(hot, ["hi", "lo"], "left")
+    cut = cut.withColumn("part", F.coalesce(F.pmod(F.xxhash64("file", "row", "chunk"), "parts"), F.lit(0))).drop("parts")
     return cut.join(dealt, ["hi", "lo", "part"]).drop("hi", "lo", "part")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS) -> DataFrame:
+_SPAN = ["span_start", "span_end", "n_words", "n_chunks", "keeper_id", "keeper_start", "is_keeper"]
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS, within: bool = False) -> DataFrame:
     """One row per repeated span: document, byte range, words, the keeper's first byte, and whether this is the keeper.
 
     A run is a series of copied chunks with consecutive numbers, of ``min_words`` or more; a span is a stretch of it that
     lies in its keeper as a whole.  Where a run has a span that is long enough alone, what is left at either end counts as
     a run of its own: the first chunks of a passage depend on the bytes in front of it, so some copies share them by chance.
-    The keeper's own chunks and further copies inside the keeper are told apart.  Runs are found within one document, so no
-    window is larger than a document.
+    The keeper's own chunks and further copies inside the keeper are told apart.  With ``within`` passages that lie twice in
+    one text count as well.  Runs are found within one row's text, so no window is larger than a text.
     """
-    copies = materialize(repeated_chunks(docs, id_col, text_col), "chunk-copies")
+    return _spans(text_rows(*identified(docs), id_col, text_col), min_words, within).select("doc_id", *_SPAN)
+
+
+def _spans(rows: DataFrame, min_words: int, within: bool = False) -> DataFrame:
+    """Repeated spans with the place of their row."""
+    copies = materialize(repeated_chunks(rows, within), "chunk-copies")
     copies = copies.withColumns({c: F.expr(e) for c, e in _PLACE.items()}).drop("place")
-    # repeated rows of one document give every chunk as often: keep one of each
-    single = copies.dropDuplicates(["doc_id", "chunk"]).withColumn("shift", F.col("start") - F.col("keeper_start"))
-    line = Window.partitionBy("doc_id").orderBy("chunk")
-    before = F.lag(F.struct(F.col("chunk") + 1, "keeper_id", "shift")).over(line)
-    joined = F.coalesce(before == F.struct("chunk", "keeper_id", "shift"), F.lit(False))
-    runs = single.withColumn("run", F.col("chunk") - F.row_number().over(line)).withColumn("begins", F.when(joined, 0).otherwise(1))
-    stretches = runs.withColumn("stretch", F.sum("begins").over(line)).groupBy("doc_id", "run", "stretch").agg(
+    copies = copies.withColumn("shift", F.col("start") - F.col("keeper_start"))
+    line = Window.partitionBy("file", "row").orderBy("chunk")
+    before = F.lag(F.struct(F.col("chunk") + 1, "keeper_file", "keeper_row", "shift")).over(line)
+    joined = F.coalesce(before == F.struct("chunk", "keeper_file", "keeper_row", "shift"), F.lit(False))
+    runs = copies.withColumn("run", F.col("chunk") - F.row_number().over(line)).withColumn("begins", F.when(joined, 0).otherwise(1))
+    stretches = runs.withColumn("stretch", F.sum("begins").over(line)).groupBy("file", "row", "run", "stretch").agg(
+        F.first("doc_id").alias("doc_id"),
         F.min("start").alias("span_start"),
         F.max(F.col("start") + F.col("bytes")).alias("span_end"),
         F.sum("words").alias("n_words"),
         F.count("*").alias("n_chunks"),
         F.first("keeper_id").alias("keeper_id"),
         F.min("keeper_start").alias("keeper_start"),
-        F.first((F.col("doc_id") == F.col("keeper_id")) & (F.col("shift") == 0)).alias("is_keeper"),
+        F.first((F.col("file") == F.col("keeper_file")) & (F.col("row") == F.col("keeper_row")) & (F.col("shift") == 0)).alias("is_keeper"),
     )
-    whole = Window.partitionBy("doc_id", "run")
+    whole = Window.partitionBy("file", "row", "run")
     enough = F.when(F.col("n_words") >= min_words, F.col("stretch"))
     placed = stretches.withColumn("first", F.min(enough).over(whole)).withColumn("last", F.max(enough).over(whole))
     # the part of a run: 0 before and 2 behind the stretches that are long enough alone, 1 from the first to the last of them
     part = F.when(F.col("stretch") < F.col("first"), 0).when(F.col("stretch") > F.col("last"), 2).otherwise(1)
-    counted = placed.withColumn("part", part).withColumn("part_words", F.sum("n_words").over(Window.partitionBy("doc_id", "run", "part")))
-    long = counted.where(F.col("part_words") >= min_words)
-    return long.select("doc_id", "span_start", "span_end", "n_words", "n_chunks", "keeper_id", "keeper_start", "is_keeper")
+    counted = placed.withColumn("part", part).withColumn("part_words", F.sum("n_words").over(Window.partitionBy("file", "row", "run", "part")))
+    return counted.where(F.col("part_words") >= min_words).select(*_OWNER, *_SPAN)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_SPAN_WORDS, within: bool = False) -> DataFrame:
     """``docs`` with every repeated span cut from the texts, except in the keeper.
 
     Neighbouring spans that others keep count together, and shorter ones stay: the first whole copy of a passage keeps the
     short parts that an earlier document has.
     """
-    line = Window.partitionBy("doc_id").orderBy("span_start", "span_end")
-    spans = repeated_spans(docs, id_col, text_col, min_words).where("NOT is_keeper")
+    docs, row = identified(docs)
+    line = Window.partitionBy("file", "row").orderBy("span_start", "span_end")
+    spans = _spans(text_rows(docs, row, id_col, text_col), min_words, within).where("NOT is_keeper")
     apart = F.when(F.lag("span_end").over(line) >= F.col("span_start"), 0).otherwise(1)
     spans = spans.withColumn("apart", apart).withColumn("group", F.sum("apart").over(line))
-    spans = spans.withColumn("group_words", F.sum("n_words").over(Window.partitionBy("doc_id", "group"))).where(F.col("group_words") >= min_words)
-    listed = spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans"))
-    listed = listed.select(F.col("doc_id").alias("_span_doc"), F.col("spans").alias("_spans"))
+    spans = spans.withColumn("group_words", F.sum("n_words").over(Window.partitionBy("file", "row", "group"))).where(F.col("group_words") >= min_words)
+    listed = spans.groupBy("file", "row").agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans"))
+    cut, text = fresh(docs, "spans"), F.col(f"`{text_col}`").cast("string")
+    joined = docs.join(listed.select(F.struct("file", "row").alias(row), F.col("spans").alias(cut)), row, "left")
     raw = F.col(f"`{text_col}`").cast("binary")
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit(b"").alias("out"))
     merged = F.aggregate(
-        F.col("_spans"),
+        F.col(cut),
         state,
         lambda s, x: F.struct(
             F.greatest(s["at"], x["span_end"]).alias("at"),
@@ -229,6 +250,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ),
         lambda s: F.concat(s["out"], F.substring(raw, (s["at"] + 1).cast("int"), F.octet_length(raw))),
     )
-    joined = docs.join(listed, F.col(f"`{id_col}`") == F.col("_span_doc"), "left")
-    text = F.when(F.col("_spans").isNull(), F.col(f"`{text_col}`").cast("string")).otherwise(F.try_validate_utf8(merged.cast("string")))
-    return joined.withColumn(text_col, text).drop("_span_doc", "_spans")
+    merged = F.when(F.col(cut).isNull(), text).otherwise(F.try_validate_utf8(merged.cast("string")))
+    return joined.withColumn(text_col, merged).select(*(f"`{c}`" for c in docs.columns if c != row))

@@ -1,10 +1,14 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from panelforge.llm import gear_chunks
+from panelforge.llm.common import identified
 from tests.llm.frames import awkward_documents, documents, empty_documents
 
 
@@ -80,7 +84,7 @@ def test_repeats_are_cut_from_all_but_the_keeper(spark):
     passage = prose(1, 80)
     docs = documents(spark, [(1, f"{prose(2, 30)} {passage}"), (2, f"{prose(3, 30)} {passage} {prose(4, 30)}"), (3, None), (None, passage)])
     texts = {r["doc_id"]: r["text"] for r in gear_chunks.without_repeats(docs).collect()}
-    assert texts[1].endswith(passage) and texts[3] is None and texts[None] == passage
+    assert texts[1].endswith(passage) and texts[3] is None and passage not in texts[None]
     assert passage not in texts[2] and texts[2].startswith(prose(3, 30)[:150]) and len(texts[2].split()) < 90
 
 
@@ -125,7 +129,7 @@ def test_texts_of_one_id_do_not_mix(spark):
     rows = [(5, one), (5, two), (5, two), (6, one), (7, two)]
     spans = gear_chunks.repeated_spans(documents(spark, rows)).collect()
     assert {r["doc_id"] for r in spans} == {5, 6, 7} and {r["keeper_id"] for r in spans} == {5}
-    assert sum(r["n_words"] for r in spans if r["doc_id"] == 5) == 120
+    assert sum(r["n_words"] for r in spans if r["doc_id"] == 5) == 180 and sum(r["is_keeper"] for r in spans) == 2
 
 
 def test_bit_map_and_hot_digests_lose_nothing(spark, monkeypatch):
@@ -144,11 +148,68 @@ def test_bit_map_and_hot_digests_lose_nothing(spark, monkeypatch):
 
 
 def test_marked_chunks_hold_every_copied_one(spark):
-    docs = documents(spark, [(i, f"text {i // 2} of a pair " * 9) for i in range(400)])
-    every = gear_chunks.chunks(docs)
+    rows = gear_chunks.text_rows(*identified(documents(spark, [(i, f"text {i // 2} of a pair " * 9) for i in range(400)])))
+    every = gear_chunks.chunks(rows)
     copied = every.groupBy("hi", "lo").count().where("count > 1")
     bits = gear_chunks.bit_map(copied, copied.count())
-    kept = gear_chunks.chunks(docs, bits=bits)
+    kept = gear_chunks.chunks(rows, bits)
     assert every.join(copied, ["hi", "lo"], "left_semi").select(kept.columns).exceptAll(kept).count() == 0
-    other = documents(spark, [(i, f"{i * i} something else {i} " * 9) for i in range(300)])
-    assert gear_chunks.chunks(other, bits=bits).count() * 4 < gear_chunks.chunks(other).count()
+    other = gear_chunks.text_rows(*identified(documents(spark, [(i, f"{i * i} something else {i} " * 9) for i in range(300)])))
+    assert gear_chunks.chunks(other, bits).count() * 4 < gear_chunks.chunks(other).count()
+
+
+def slow_spans(rows, within):
+    """Every span by one walk over the chunks of every text; ids tell rows apart, at most one is NULL."""
+    cut, places = {}, {}
+    for rank, (doc, text) in enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0]))):
+        digests, starts, sizes, words = gear_chunks.chunk_rows(text.encode()) if text else ([], [], [], [])
+        cut[doc] = rank, list(zip(digests, starts, sizes, words, strict=True))
+        for digest, start in zip(digests, starts, strict=True):
+            places.setdefault(digest, []).append((rank, start, doc))
+    copied = {d: min(p) for d, p in places.items() if len(p if within else {r for r, _, _ in p}) > 1}
+    out = []
+    for doc, (rank, line) in cut.items():
+        runs, after = [], None
+        for i, (digest, start, size, words) in enumerate(line):
+            if digest not in copied:
+                continue
+            keeper, at, name = copied[digest]
+            if after != i:
+                runs.append([])
+            if not runs[-1] or runs[-1][-1]["key"] != (keeper, start - at):
+                runs[-1].append({"key": (keeper, start - at), "start": start, "words": 0, "chunks": 0, "name": name, "at": at})
+            stretch = runs[-1][-1]
+            stretch.update(end=start + size, words=stretch["words"] + words, chunks=stretch["chunks"] + 1)
+            after = i + 1
+        for run in runs:
+            alone = [k for k, x in enumerate(run) if x["words"] >= gear_chunks.MIN_SPAN_WORDS]
+            parts = [run[: alone[0]], run[alone[0] : alone[-1] + 1], run[alone[-1] + 1 :]] if alone else [run]
+            for part in parts:
+                if sum(x["words"] for x in part) >= gear_chunks.MIN_SPAN_WORDS:
+                    out += [(doc, x["start"], x["end"], x["words"], x["chunks"], x["name"], x["at"], x["key"] == (rank, 0)) for x in part]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("within", [False, True])
+def test_spans_against_a_walk_over_all_chunks(spark, within):
+    r = random.Random(23)
+    pieces = [prose(900 + i, r.randint(5, 70)) for i in range(30)]
+    rows = [(i, r.choice([" ", "\n"]).join(r.choice(pieces) if r.random() < 0.6 else prose(10_000 + 50 * i + j, 15) for j in range(r.randint(0, 12)))) for i in range(70)]
+    rows += [(None, "\n".join(pieces[:5])), (500, "\n".join([prose(77, 60)] * 4)), (501, None), (502, "")]
+    r.shuffle(rows)
+    found = gear_chunks.repeated_spans(documents(spark, rows).repartition(4), within=within).collect()
+    expected = slow_spans(rows, within)
+    assert Counter(map(tuple, found)) == expected and sum(expected.values()) > 100
+    assert {None} < {d for d, *_ in expected} and (500 in {d for d, *_ in expected}) == within
+
+
+def test_rows_without_an_id_and_rows_of_one_id_are_copies(spark):
+    """Each of them is a document; the first row keeps, the others lose their text; names that clash stay."""
+    one, two = prose(1, 60), prose(2, 60)
+    docs = documents(spark, [(None, one), (None, one), (None, f"{one} {prose(3, 40)}"), (9, two), (9, two)]).withColumn("spans", F.lit(1))
+    found = gear_chunks.repeated_spans(docs).collect()
+    assert Counter(r["doc_id"] for r in found if r["is_keeper"]) == {None: 1, 9: 1}
+    assert Counter(r["doc_id"] for r in found if not r["is_keeper"]) == {None: 2, 9: 1}
+    left = gear_chunks.without_repeats(docs)
+    texts = [r["text"] for r in left.collect()]
+    assert left.columns == docs.columns and texts.count(two) == 1 and sum(t.startswith(one[:200]) for t in texts) == 1
