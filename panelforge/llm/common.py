@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,27 @@ def unit_fraction(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+#: So many ranges, blocks or stretches are one part of a running sum.
+PART_ROWS = 4096
+
+
+def sums_before(df: DataFrame, by: Sequence[str], part: Column, order: Sequence[str], **values: Column) -> DataFrame:
+    """``df`` with the sum of each of ``values`` over earlier rows of its group (``name``) and over all of them (``name_all``).
+
+    The sums are those of whole parts before plus those inside a part, so no task sorts a group: one level has a row for every
+    part, the other the rows of one part.  ``part`` ascends with ``order``, which has no ties.
+    """
+    upper = fresh(df, "upper")
+    parted = df.withColumn(upper, part)
+    group, line = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(upper).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, upper).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    wholes = parted.groupBy(*by, upper).agg(*(F.sum(v).alias(n) for n, v in values.items()))
+    wholes = wholes.select(*by, upper, *(F.coalesce(F.sum(n).over(line), F.lit(0)).alias(f"{n}_parts") for n in values), *(F.sum(n).over(group).alias(f"{n}_all") for n in values))
+    parted = parted.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in values.items()})
+    joined = parted.join(wholes, [*by, upper])
+    return joined.select(*df.columns, *((F.col(n) + F.col(f"{n}_parts")).alias(n) for n in values), *(f"{n}_all" for n in values))
+
+
 def _is_scan(df: DataFrame) -> bool:
     plan = getattr(df, "_jdf", None)
     return plan is not None and plan.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"

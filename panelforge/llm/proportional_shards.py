@@ -5,7 +5,7 @@ a source is 1/2 if no other has as many rows; the k sources of one size are shuf
 so that thousands of sources of one row are spread over the shards like the rows of one source.  Sorted by fractional rank, every stretch of the table has the mixture of the whole, so the order is cut into shards whose row counts
 differ by one at most (the law ``rows``).  Neither order is taken in one task: ranks within a source are offsets of hash
 ranges plus places within a range, and the places in the sorted order are offsets of equal stretches of fractional rank
-plus places within a stretch.  Ranges and stretches hold a bounded expected number of rows, whatever the sources' sizes:
+plus places within a stretch; the offsets themselves are summed in two levels.  Ranges and stretches hold a bounded expected number of rows, whatever the sources' sizes:
 the digest is one of id and text, so rows without an id are spread as well.  Sources of one size are numbered by ranges, too.
 
 Defined results: a NULL text has size 1 and checksum 0; NULL sources form one source; repeated rows are dealt like any
@@ -19,7 +19,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import fresh, identified, key_of, seeded, unit_fraction
+from panelforge.llm import common
+from panelforge.llm.common import fresh, identified, key_of, seeded, sums_before, unit_fraction
 from panelforge.storage import materialize
 
 SEED = "shards-1"
@@ -43,6 +44,11 @@ def _shifts(sources: DataFrame, seed: str, range_rows: int) -> DataFrame:
     return numbered.join(parts, ["of", "part"]).select("source_key", "of", "alike", (F.col("before") + F.col("own")).alias("number"))
 
 
+def _counted(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of each key, written, as they are read twice: one for every ``range_rows`` rows of the input."""
+    return materialize(rows.groupBy(*keys).agg(F.count("*").alias("n")), "shard-counts")
+
+
 def interleave(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -68,13 +74,8 @@ def interleave(
     n_ranges = max(1, math.ceil(total / range_rows))
     ranged = rows.withColumn("range", F.floor(unit_fraction(F.col("digest")) * F.lit(n_ranges)).cast("long"))
 
-    per_source = Window.partitionBy("source_key")
-    earlier = per_source.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("source_key", "range").agg(F.count("*").alias("n"))
-    offsets = offsets.select(
-        "source_key", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"), F.sum("n").over(per_source).alias("of")
-    )
-    offsets = materialize(offsets, "shard-offsets")
+    offsets = sums_before(_counted(ranged, "source_key", "range"), ["source_key"], F.floor(F.col("range") / common.PART_ROWS), ["range"], offset=F.col("n"))
+    offsets = materialize(offsets.select("source_key", "range", "offset", F.col("offset_all").alias("of")), "shard-offsets")
     shifts = _shifts(offsets.select("source_key", "of").distinct(), seed, range_rows)
     ties = ["digest", "doc_id", "text_crc32", "size"]
     within = Window.partitionBy("source_key", "range").orderBy(*ties)
@@ -84,10 +85,8 @@ def interleave(
     ranked = ranked.withColumn("fraction", fraction).withColumn("stretch", F.floor(F.col("fraction") * F.lit(n_ranges)).cast("long"))
     ranked = materialize(ranked.drop("range", "offset", "of", "place", "alike", "number"), "shard-ranks")
 
-    # one row for every ``range_rows`` rows of the input
-    before = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    stretches = ranked.groupBy("stretch").agg(F.count("*").alias("n"))
-    stretches = stretches.select("stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    stretches = sums_before(_counted(ranked, "stretch"), [], F.floor(F.col("stretch") / common.PART_ROWS), ["stretch"], offset=F.col("n"))
+    stretches = stretches.select("stretch", "offset")
     inside = Window.partitionBy("stretch").orderBy("fraction", "source_key", *ties)
     dealt = ranked.withColumn("place", F.row_number().over(inside)).join(stretches, "stretch")
     dealt = dealt.withColumn("position", F.col("offset") + F.col("place") - 1)

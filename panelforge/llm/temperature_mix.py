@@ -6,7 +6,7 @@ one whose weights reach the target entropy, lowered no further than the repetiti
 every source once) gives each source a number of tokens.  They are realised as passes over the source: whole passes, then
 a part of one.  Rows are hashed into blocks of bounded size; every pass takes the blocks in a seeded permutation of its
 own and the rows of a block in another, and the last pass ends inside one block.  So running totals are taken over the
-blocks of a source and within a block, never over the rows of a source.
+blocks of a source, in two levels, and within a block, never over the rows of a source.
 
 Tokens of a row are its words and one end mark.  Defined results: NULL and empty texts have one token; NULL sources form
 one source; rows with the same id and text share a block and are told apart by storage order only; an empty table gives an
@@ -20,7 +20,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import WORD_PATTERN, identified, key_of, seeded, unit_fraction
+from panelforge.llm import common
+from panelforge.llm.common import WORD_PATTERN, identified, key_of, seeded, sums_before, unit_fraction
 from panelforge.storage import materialize
 
 SEED = "mix-1"
@@ -142,14 +143,10 @@ def mixture(
     last = F.col("whole") + F.when(F.col("rest") > 0, 0).otherwise(-1)
     passes = blocks.join(weights, "source_key").where(last >= 0)
     passes = passes.withColumn("pass", F.explode(F.sequence(F.lit(0), last)))
-    order = Window.partitionBy("source_key", "pass").orderBy("block_digest", "block")
     placed = passes.withColumn("block_digest", seeded(seed, "block", F.col("pass"), F.col("source_key"), F.col("block")))
-    placed = placed.withColumns(
-        {
-            "block_rank": F.row_number().over(order).cast("long"),
-            "before": F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        }
-    )
+    part = F.floor(unit_fraction(F.col("block_digest")) * F.lit(math.ceil(n_blocks / common.PART_ROWS)))
+    placed = sums_before(placed, ["source_key", "pass"], part, ["block_digest", "block"], block_rank=F.lit(1), before=F.col("tokens"))
+    placed = placed.withColumn("block_rank", F.col("block_rank") + 1)
     room = F.when(F.col("pass") < F.col("whole"), F.col("tokens")).otherwise(F.col("rest") - F.col("before"))
     taken = placed.withColumn("room", room).where("room > 0").select("source_key", "block", "pass", "block_rank", "room", "weight", "repeats")
 

@@ -5,7 +5,7 @@ from zlib import crc32
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.llm import proportional_shards, temperature_mix
+from panelforge.llm import common, proportional_shards, temperature_mix
 from tests.llm.frames import awkward_documents, documents, empty_documents
 from tests.llm.twins import against_sql
 
@@ -147,3 +147,26 @@ def test_rows_without_an_id_are_mixed_in_blocks(spark):
     docs = documents(spark, [(None, f"text {i}", "a") for i in range(600)])
     blocks = Counter(r["block"] for r in temperature_mix.mixture(docs, block_rows=20).collect())
     assert sum(blocks.values()) == 600 and len(blocks) == 30 and max(blocks.values()) <= 45
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_sums_in_two_levels_against_a_plain_window(spark, by):
+    rows = spark.range(500).selectExpr("cast(id * 37 % 500 as bigint) AS at", "id % 3 = 0 AS g", "id % 7 AS v", "id AS upper")
+    found = common.sums_before(rows, by, F.floor(F.col("at") / 9), ["at"], total=F.col("v"), place=F.lit(1))
+    assert found.columns == [*rows.columns, "total", "place", "total_all", "place_all"]
+    groups = {}
+    for r in sorted(found.collect(), key=lambda r: r["at"]):
+        before = groups.setdefault(r["g"] if by else None, [])
+        assert (r["total"], r["place"]) == (sum(before), len(before))
+        before.append(r["v"])
+    for r in found.collect():
+        whole = groups[r["g"] if by else None]
+        assert (r["total_all"], r["place_all"]) == (sum(whole), len(whole))
+    assert common.sums_before(rows.limit(0), by, F.floor(F.col("at") / 9), ["at"], total=F.col("v")).count() == 0
+
+
+def test_parts_of_running_sums_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(common, "PART_ROWS", 2)
+    docs = awkward_documents(spark).where("doc_id <= 6 OR doc_id >= 9 OR doc_id IS NULL").unionByName(sourced(spark, {"a": 90, "b": 30, "c": 1, "d": 1}))
+    against_sql(docs, lambda d: proportional_shards.interleave(d, range_rows=3), proportional_shards.sql())
+    against_sql(docs, lambda d: temperature_mix.mixture(d, block_rows=4), temperature_mix.sql(block_rows=4))
