@@ -6,6 +6,9 @@ import pytest
 
 from panelforge.plans import trades
 from panelforge.plans.bonds import bonds_outstanding
+from panelforge.sources.schemas import DRIVER
+from panelforge.workload.catalog import REGISTRY
+from panelforge.workload.tables import Tables
 
 SCHEMA = (
     "cusip_id string, msg_seq_nb string, orig_msg_seq_nb string, entrd_vol_qt double, rptd_pr double, yld_pt double, rpt_side_cd string, "
@@ -151,6 +154,30 @@ def test_cleaned_ids_are_input_ids(spark):
     assert [r["cusip_id"] for r in got.collect()] == ["A", "A"]
 
 
+def test_scope_drops_what_lies_outside(spark):
+    days = [dt.date(2009, 12, 31), dt.date(2010, 1, 1), BEFORE, dt.date(2013, 12, 31), dt.date(2014, 1, 1), None]
+    got = trades.scope(table(spark, [report(trd_exctn_dt=d) for d in days]), "2010-01-01", "2013-12-31").collect()
+    assert sorted(r["trd_exctn_dt"] for r in got) == days[1:4]
+
+
+def test_queries_take_the_reports_of_all_quarters(spark, tmp_path):
+    """Items shipped from 1995 to 2001, the whole calendar of the orders: every report is in the scope of the cleaning queries."""
+    rng = random.Random(3)
+    shipped = [dt.datetime(1995, 1, 2) + dt.timedelta(days=d) for d in range(0, 2499, 7)] + [dt.datetime(2001, 11, 4)]
+    rows = []
+    for i, day in enumerate(shipped * 3):
+        flag, status = rng.choice(["AF", "AF", "RF", "NF", "NO", "RO"])
+        rows.append((rng.randrange(40), rng.randrange(48), rng.randrange(12), rng.randint(1, 4), float(rng.randint(1, 3)), 10.0, 0.0, 0.01 * (i % 5), flag, status, day))
+    spark.createDataFrame(rows, DRIVER["lineitem"]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    reports = [r.asDict() for r in Tables(spark, str(tmp_path)).trades.collect()]
+    assert REGISTRY["trade_scope"].run(spark, str(tmp_path)).count() == len(reports) == len(rows)
+    got = REGISTRY["clean_trades"].run(spark, str(tmp_path)).collect()
+    shown = lambda r: tuple(round(r[c], 6) if c == "yld_pt" else r[c] for c in trades.OUTPUT_COLUMNS)
+    assert Counter(shown(r) for r in got) == Counter(shown(r) for r in clean_by_hand(reports))
+    executed = [r["trd_exctn_dt"] for r in got]
+    assert min(executed) < dt.date(2010, 3, 1) and max(executed) > dt.date(2013, 3, 31)
+
+
 def test_bonds_outstanding_edges(spark):
     day = dt.date
     spans = [(day(2014, 1, 1), day(2014, 4, 1)), (day(2014, 1, 2), day(2014, 3, 31)), (day(2010, 1, 1), day(2030, 1, 1)), (day(2016, 10, 2), day(2020, 1, 1)),
