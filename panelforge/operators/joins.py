@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.dates import shift_months
@@ -109,6 +109,36 @@ def join_validity(
     return dated.join(spread, matches, how).drop("__key", *[c for pair in cells for c in pair])
 
 
+def condense_validity(
+    right: DataFrame, key: str, start: str, end: str, open_end: Column | None = None, count: str = "n", latest: str = "latest"
+) -> DataFrame:
+    """Disjoint periods (``key``, ``start``, ``end``) with the number of overlapping records and the latest start among them.
+
+    What is counted over all records that are valid on a day is then looked up in one period, so rows of a key are never paired
+    with its records.  Records are first added up by key and day, map-side; the rest works on that table, which the calendar
+    bounds for each key whatever the number of records: counts are running sums over its days, and only days on which records
+    end and none begins are compared with the records begun before, of which the one that lasts longest stands for its day.
+    """
+    last = F.coalesce(F.col(end), open_end) if open_end is not None else F.col(end)
+    records = right.select(F.col(key).alias("k"), F.col(start).alias("first"), last.alias("last")).where("k IS NOT NULL AND first <= last")
+    begins = F.struct(F.col("first").alias("day"), F.lit(1).cast("long").alias("step"), "last")
+    ends = F.struct(F.date_add("last", 1).alias("day"), F.lit(-1).cast("long").alias("step"), F.lit(None).cast("date").alias("last"))
+    steps = records.select("k", F.explode(F.array(begins, ends)).alias("s")).groupBy("k", "s.day")
+    steps = materialize(steps.agg(F.sum("s.step").alias("step"), F.max("s.last").alias("last")), "validity-steps")
+
+    by_day = Window.partitionBy("k").orderBy("day")
+    running = F.sum("step").over(by_day.rowsBetween(Window.unboundedPreceding, 0))
+    periods = steps.select("k", "day", "last", running.alias("n"), F.date_sub(F.lead("day").over(by_day), 1).alias("until")).where("n > 0")
+    begun = steps.where("last IS NOT NULL").select("k", F.col("day").alias("first"), "last")
+    older = join_validity(periods.where("last IS NULL").select("k", "day"), begun, "k", "day", "first", "last")
+    older = older.groupBy("k", "day").agg(F.max("first").alias("older"))
+    begins_here = F.when(F.col("last").isNotNull(), F.col("day"))
+    return periods.join(older, ["k", "day"], "left").select(
+        F.col("k").alias(key), F.col("day").alias(start), F.col("until").alias(end),
+        F.col("n").alias(count), F.coalesce(begins_here, F.col("older")).alias(latest),
+    )
+
+
 def join_shifted_month(df: DataFrame, keys: Sequence[str], month: str, columns: dict[str, str], months: int) -> DataFrame:
     """Attach ``columns`` (old name to new name) from the row of the same entity ``months`` earlier."""
     other = df.select(

@@ -370,11 +370,15 @@ def join_validity(t):
         LEFT JOIN (SELECT o_custkey % 100 AS k, valid_from, valid_to FROM ({VALIDITY})) v ON e.k = v.k AND e.at BETWEEN v.valid_from AND coalesce(v.valid_to, DATE '1996-09-01') GROUP BY e.event_id""",
 )
 def join_validity_hot(t):
-    """Every (key, year) taken for a hot one and cut into days and parts of days; rows without a match stay."""
+    """Every (key, year) taken for a hot one and cut into days and parts of days; rows without a match stay.
+
+    Records of a key overlap, so they are condensed to disjoint periods first: an event meets one period, not all records of its key.
+    """
     looked_up = t.driver("events").selectExpr("event_id", "user_id % 100 AS k", "date_add(DATE'1996-01-01', CAST(event_id * event_id % 1500 div 3 AS INT)) AS at")
     records = _validity(t).withColumn("k", F.col("o_custkey") % 100).drop("o_custkey")
-    out = joins.join_validity(looked_up, records, "k", "at", "valid_from", "valid_to", F.lit("1996-09-01").cast("date"), "left", cell_rows=3)
-    return out.groupBy("event_id").agg(F.count("valid_from").alias("n"), F.max("valid_from").alias("latest"))
+    periods = joins.condense_validity(records, "k", "valid_from", "valid_to", F.lit("1996-09-01").cast("date"))
+    out = joins.join_validity(looked_up, periods, "k", "at", "valid_from", "valid_to", how="left", cell_rows=3)
+    return out.groupBy("event_id").agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n"), F.max("latest").alias("latest"))
 
 
 @query("join_interval_bucket", f"SELECT permno, month, bucket FROM ({assigned_sql('SELECT * FROM t_panel', 'mktcap', 4, 'month, industry', chr(39) + 'NYSE' + chr(39) + ', ' + chr(39) + 'AMEX' + chr(39), 'bucket')})")

@@ -8,10 +8,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelforge.operators import windows
-from panelforge.operators.joins import join_validity
+from panelforge.operators.joins import condense_validity, join_validity
 from panelforge.plans import betas, daily_panel
 from panelforge.sources import published
+from panelforge.sources.schemas import DRIVER
 from panelforge.storage import materialize, materialize_bucketed, remove_folder
+from panelforge.workload import relational
+from panelforge.workload.catalog import REGISTRY
 
 FILE = """﻿This file was created by hand, with commas, too
 Missing data are indicated by -99.99 or -999.
@@ -160,6 +163,50 @@ def test_validity_cells_of_hot_keys(spark, cell_rows, how):
     assert set(found.columns) == {"i", "k", "at", "first", "last", "r"}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_condensed_periods_count_what_is_valid(spark, seed):
+    """Periods of a key are disjoint and hold, for every day, the records valid on it and the latest start of these."""
+    rng = random.Random(seed)
+    day, open_end = dt.date(1999, 12, 1), dt.date(2000, 2, 10)
+    right = []
+    for _ in range(60):
+        first = rng.choice([None, *[day + dt.timedelta(rng.randrange(80))] * 9])
+        right.append((rng.choice(["a", "a", "b", None]), first, rng.choice([None, (first or day) + dt.timedelta(rng.choice([-2, 0, 1, 3, 40, 400]))])))
+    right += [right[0], right[0], ("c", day, dt.date(9999, 12, 31)), ("d", dt.date(2001, 1, 1), None)]
+    records = spark.createDataFrame(right, "k string, f date, t date")
+    found = condense_validity(records, "k", "f", "t", F.lit(open_end)).collect()
+    for k in "abcd":
+        for at in (day + dt.timedelta(i) for i in range(-5, 500)):
+            hits = [f for g, f, t in right if g == k and f is not None and f <= at <= (t or open_end)]
+            period = [(r["n"], r["latest"]) for r in found if r["k"] == k and r["f"] <= at <= r["t"]]
+            assert period == ([(len(hits), max(hits))] if hits else [])
+    assert all(r["k"] for r in found)
+
+
+def test_overlapping_records_of_a_hot_key_are_not_paired(spark, tmp_path, monkeypatch):
+    """Three times the customers and events of one key: the rows that the join deals out grow three times, not nine."""
+    dealt, plain = [], relational.joins.join_validity
+    records_of = lambda left, right, *a, **k: dealt.append((left.count(), right.count())) or plain(left, right, *a, **k)
+    monkeypatch.setattr(relational.joins, "join_validity", records_of)
+    ordered = [dt.datetime(1996, 1, 1) + dt.timedelta(days=d) for d in (0, 40, 90, 200)]
+    for size in (20, 60):
+        orders = [(i, 100 * (i // 4), "O", 1.0, ordered[i % 4] + dt.timedelta(days=i // 4 % 7), "p") for i in range(4 * size)]
+        events = [(i, dt.datetime(1996, 1, 1), 100 * (i % size), "e", 1.0, None) for i in range(size)] + [(None, None, 0, "e", 1.0, None), (1, None, None, "e", 1.0, None)]
+        at = tmp_path / str(size)
+        spark.createDataFrame(orders, DRIVER["orders"]).write.parquet(str(at / "orders.parquet"))
+        spark.createDataFrame(events, DRIVER["events"]).write.parquet(str(at / "events.parquet"))
+        got = {r["event_id"]: (r["n"], r["latest"]) for r in REGISTRY["join_validity_hot"].run(spark, str(at)).collect()}
+        expected = {None: (0, None)}
+        days = [sorted(o[4].date() for o in orders if o[1] == 100 * c) for c in range(size)]
+        for i in range(size):
+            day = dt.date(1996, 1, 1) + dt.timedelta(days=i * i % 1500 // 3)
+            valid = [max(d for d in mine if d <= day) for mine in days if mine[0] <= day and (day < mine[-1] or day <= dt.date(1996, 9, 1))]
+            expected[i] = (len(valid), max(valid, default=None))
+        assert got == expected
+    (few, few_periods), (many, many_periods) = dealt[1], dealt[3]
+    assert many <= 3.2 * few and many_periods == few_periods  # as many periods as there are days on which records begin or end
+
+
 def test_hot_keys_are_spread_over_days(spark):
     rows = spark.range(50_000).selectExpr("id", "1 AS k", "date_add(DATE'2003-01-01', CAST(id % 300 AS INT)) AS at")
     records = spark.createDataFrame([(1, "2003-01-01", "2003-12-31")], "k int, first string, last string").selectExpr("k", "DATE(first) AS first", "DATE(last) AS last")
