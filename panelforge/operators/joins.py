@@ -170,14 +170,17 @@ def keep_matched(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> Dat
     return _half_join(left, right, keys, "left_semi")
 
 
-def drop_matched(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> DataFrame:
-    return _half_join(left, right, keys, "left_anti")
+def drop_matched(left: DataFrame, right: DataFrame, keys: dict[str, str], hashed: bool = False) -> DataFrame:
+    return _half_join(left, right, keys, "left_anti", hashed)
 
 
-def _half_join(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str) -> DataFrame:
-    """Semi or anti join; the right side is reduced to distinct keys before it is shuffled."""
+def _half_join(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str, hashed: bool = False) -> DataFrame:
+    """Semi or anti join; the right side is reduced to distinct keys before it is shuffled.
+
+    ``hashed`` is for wide left rows and a right side that grows with them: its keys of a partition are hashed, nothing is sorted.
+    """
     probe = right.select(*[F.col(theirs).alias(ours) for ours, theirs in keys.items()]).distinct()
-    return left.join(probe, list(keys), how)
+    return left.join(probe.hint("shuffle_hash") if hashed else probe, list(keys), how)
 
 
 def join_add_missing(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

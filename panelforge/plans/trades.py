@@ -72,12 +72,12 @@ def post_regime(trades: DataFrame) -> DataFrame:
     """Cancellations and reversals of the later regime in one anti join, as both match the same key of the trades."""
     cancelled = _status(trades, True, "X", "C").select(*MESSAGE_KEY)
     reversed_ = _status(trades, True, "Y").select(*[F.col(theirs).alias(ours) for ours, theirs in _original_message().items()])
-    return drop_matched(_status(trades, True, "T", "R"), cancelled.unionByName(reversed_), _same_message())
+    return drop_matched(_status(trades, True, "T", "R"), cancelled.unionByName(reversed_), _same_message(), hashed=True)
 
 
 def pre_cancel(trades: DataFrame) -> DataFrame:
     """Earlier regime: trades that no cancellation names as its original."""
-    return drop_matched(_status(trades, False, "T"), _status(trades, False, "C"), _original_message())
+    return drop_matched(_status(trades, False, "T"), _status(trades, False, "C"), _original_message(), hashed=True)
 
 
 def correction_levels(kept: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -96,7 +96,8 @@ def correction_levels(kept: DataFrame, corrections: DataFrame) -> DataFrame:
     originals = edges.select(*group, F.col("original").alias("key")).distinct()
     present = kept.select(*group, F.col("msg_seq_nb").alias("key")).distinct().withColumn("present", F.lit(True))
     into = edges.where("original <> key").groupBy(*group, "key").agg(F.count(F.lit(1)).alias("n"), F.min("original").alias("to"))
-    nodes = materialize(originals.join(present, [*group, "key"], "left").join(into, [*group, "key"], "left"), "corrected-keys")
+    nodes = originals.join(present.hint("shuffle_hash"), [*group, "key"], "left").join(into.hint("shuffle_hash"), [*group, "key"], "left")
+    nodes = materialize(nodes, "corrected-keys")
 
     jumps = nodes.where("present IS NULL AND n = 1").select(*group, "key", "to", F.lit(1).cast("long").alias("steps"))
     jumps, reach, bound = materialize(jumps, "jumps"), 1, None
@@ -141,9 +142,10 @@ def pre_corrections(kept: DataFrame, trades: DataFrame) -> DataFrame:
     group = ["cusip_id", "trd_exctn_dt"]
     levels = materialize(correction_levels(kept, corrections), "levels")
     removed = levels.where("level = 0").withColumnRenamed("key", "msg_seq_nb").drop("level")
-    untouched = kept.join(removed, [*group, "msg_seq_nb"], "left_anti")
-    applied = corrections.join(levels.withColumnsRenamed({"key": "orig_msg_seq_nb", "level": "__l"}), [*group, "orig_msg_seq_nb"])
-    gone = levels.withColumnsRenamed({"key": "msg_seq_nb", "level": "__at"})
+    untouched = kept.join(removed.hint("shuffle_hash"), [*group, "msg_seq_nb"], "left_anti")
+    named = levels.withColumnsRenamed({"key": "orig_msg_seq_nb", "level": "__l"}).hint("shuffle_hash")
+    applied = corrections.join(named, [*group, "orig_msg_seq_nb"])
+    gone = levels.withColumnsRenamed({"key": "msg_seq_nb", "level": "__at"}).hint("shuffle_hash")
     applied = applied.join(gone, [*group, "msg_seq_nb"], "left").where("__at IS NULL OR __l + 1 > __at")
     return untouched.unionByName(applied.select(*kept.columns))
 
@@ -154,16 +156,18 @@ def pre_reversals(kept: DataFrame) -> DataFrame:
     With c reversals of some terms the first c matching trades go.  Only terms with a reversal are looked at; their
     identical reports are counted before they are ordered, first by execution time (bounded by the seconds of a
     day) and then within one time, so a large group of copies is one row until the survivors are written out again.
-    The affected reports are written first: a hot key of the join is then split by skew handling, and the copies are
-    combined map-side by the count.
+    The reports are written with the count of their reversals: they are dealt by terms once, a hot key of that join is
+    split by skew handling, and the copies are combined map-side by the count.  ``kept`` is read for the few columns of its
+    reversals and once for the rest, so callers need not write it.
     """
     terms = list(TERMS)
     reversals = kept.where("asof_cd = 'R'").groupBy(*terms).agg(F.count(F.lit(1)).alias("__c"))
+    reversals = materialize(reversals, "reversals")
     candidates = kept.where(null_or(F.col("asof_cd"), ~F.col("asof_cd").isin(*NOT_A_TRADE)))
-    safe = candidates.join(reversals.select(*terms), terms, "left_anti")
+    marked = materialize(candidates.join(reversals.hint("shuffle_hash"), terms, "left"), "candidates")
 
     columns = kept.columns
-    affected = materialize(candidates.join(reversals, terms), "affected")
+    safe, affected = marked.where("__c IS NULL"), marked.where("__c IS NOT NULL")
     counted = affected.groupBy(*columns, "__c").agg(F.count(F.lit(1)).alias("__copies"))
     times = counted.groupBy(*terms, "trd_exctn_tm").agg(F.sum("__copies").alias("__at_time"))
     by_time = Window.partitionBy(*terms).orderBy(F.col("trd_exctn_tm").asc_nulls_last())
@@ -198,7 +202,7 @@ def agency(trades: DataFrame) -> DataFrame:
     buys = trades.where((counterparty == "D") & (side == "B"))
     match = {c: c for c in ("cusip_id", "trd_exctn_dt", "entrd_vol_qt", "rptd_pr")}
     plain = trades.where((counterparty == "C") | ((counterparty == "D") & (side == "S")))
-    return plain.unionByName(drop_matched(buys, sells, match).select(*trades.columns))
+    return plain.unionByName(drop_matched(buys, sells, match, hashed=True).select(*trades.columns))
 
 
 def settlement_filters(trades: DataFrame) -> DataFrame:
@@ -230,7 +234,6 @@ def clean_trades(trades: DataFrame, start: str, end: str, ids: DataFrame | None
         scoped = materialize(scoped, "scope")
     later = post_regime(scoped)
     kept = materialize(pre_cancel(scoped).select(*COLUMNS), "kept")
-    corrected = materialize(pre_corrections(kept, scoped), "corrected")
-    earlier = pre_reversals(corrected)
+    earlier = pre_reversals(pre_corrections(kept, scoped))
     combined = later.select(*FINAL_COLUMNS).unionByName(earlier.select(*FINAL_COLUMNS))
     return output(settlement_filters(agency(materialize(combined, "combined"))), ordered)

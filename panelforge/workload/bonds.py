@@ -32,22 +32,17 @@ def _scope(t):
     return trades.scope(t.trades, TRADE_START, TRADE_END)
 
 
-def _stored_scope(t):
-    return materialize(_scope(t), "scope")
-
-
 def _corrected(t):
-    scoped = _stored_scope(t)
+    """The scope is a filter that each branch pushes into its own narrow scan of the reports, so it is not written."""
+    scoped = _scope(t)
     kept = materialize(trades.pre_cancel(scoped).select(*trades.COLUMNS), "kept")
     return trades.pre_corrections(kept, scoped)
 
 
-def _combined(t):
-    scoped = _stored_scope(t)
-    later = trades.post_regime(scoped).select(*trades.COLUMNS)
-    kept = materialize(trades.pre_cancel(scoped).select(*trades.COLUMNS), "kept")
-    earlier = trades.pre_reversals(materialize(trades.pre_corrections(kept, scoped), "corrected"))
-    return materialize(later.unionByName(earlier.select(*trades.COLUMNS)), "combined")
+def _combined(t, *columns):
+    later = trades.post_regime(_scope(t)).select(*columns)
+    earlier = trades.pre_reversals(_corrected(t))
+    return materialize(later.unionByName(earlier.select(*columns)), "combined")
 
 
 @query("bond_universe", "SELECT * FROM t_bonds", "offering_amt coupon", 4)
@@ -93,17 +88,18 @@ def pre_corrections(t):
 
 @query("pre_reversals", f"SELECT {SHOWN} FROM t_pre_reversals", "yld_pt")
 def pre_reversals(t):
-    return trades.pre_reversals(materialize(_corrected(t), "corrected")).select(*COLUMNS)
+    return trades.pre_reversals(_corrected(t)).select(*COLUMNS)
 
 
 @query("agency", f"SELECT {SHOWN} FROM t_agency", "yld_pt")
 def agency(t):
-    return trades.agency(_combined(t)).select(*COLUMNS)
+    return trades.agency(_combined(t, *COLUMNS))
 
 
 @query("settlement_filters", f"SELECT {SHOWN} FROM t_settled", "yld_pt")
 def settlement_filters(t):
-    return trades.settlement_filters(trades.agency(_combined(t))).select(*COLUMNS)
+    combined = _combined(t, *dict.fromkeys([*COLUMNS, *trades.FINAL_COLUMNS]))
+    return trades.settlement_filters(trades.agency(combined)).select(*COLUMNS)
 
 
 @query(

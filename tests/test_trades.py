@@ -7,6 +7,7 @@ import pytest
 from panelforge.plans import trades
 from panelforge.plans.bonds import bonds_outstanding
 from panelforge.sources.schemas import DRIVER
+from panelforge.workload import bonds
 from panelforge.workload.catalog import REGISTRY
 from panelforge.workload.tables import Tables
 
@@ -178,6 +179,26 @@ def test_queries_take_the_reports_of_all_quarters(spark, tmp_path):
     assert min(executed) < dt.date(2010, 3, 1) and max(executed) > dt.date(2013, 3, 31)
 
 
+def test_whole_reports_are_written_twice_at_most(spark, tmp_path, monkeypatch):
+    """Reversals and agency trades write no copy of all reports; whole rows are written after cancellations and with their reversals."""
+    wide, plain = [], trades.materialize
+
+    def noted(df, name="stage"):
+        if set(trades.COLUMNS) <= set(df.columns):
+            wide.append(name)
+        return plain(df, name)
+
+    monkeypatch.setattr(trades, "materialize", noted)
+    monkeypatch.setattr(bonds, "materialize", noted)
+    flags = ["AF", "AF", "RF", "NF", "RO"]
+    rows = [(i % 40, i % 48, i % 12, i % 4 + 1, 1.0, 10.0, 0.0, 0.01, *flags[i % 5], dt.datetime(1995, 1, 2) + dt.timedelta(days=i % 2400)) for i in range(1200)]
+    spark.createDataFrame(rows, DRIVER["lineitem"]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for name in ("pre_reversals", "agency", "settlement_filters", "clean_trades"):
+        wide.clear()
+        assert REGISTRY[name].run(spark, str(tmp_path)).count() > 0
+        assert len(wide) <= 2, (name, wide)
+
+
 def test_bonds_outstanding_edges(spark):
     day = dt.date
     spans = [(day(2014, 1, 1), day(2014, 4, 1)), (day(2014, 1, 2), day(2014, 3, 31)), (day(2010, 1, 1), day(2030, 1, 1)), (day(2016, 10, 2), day(2020, 1, 1)),
